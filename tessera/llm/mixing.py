@@ -6,10 +6,9 @@ document is emitted once for each integer boundary that its interval crosses.
 Documents are taken in order of size, largest first, so the words taken differ
 from the target by less than about one largest document.
 
-The prefix sums are distributed: documents are dealt into ranges of (source,
-size, id), each range counts its rows by source, the counts are summed over the
-ranges before it, and rows are numbered within their range.  A source of any
-share of the rows so spreads over many tasks.
+All documents of a source expect the same number of copies, so the prefix sum is
+the document's rank within the source times that number.  Ranks are found by
+ranges (see ``ranks``); a source of any share of the rows spreads over many tasks.
 
 Defined results: a null or empty text has size 0 and is never taken; the null
 source is a source of its own and comes last; repeated rows are documents of
@@ -22,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import scratch, skew
+from . import ranks, scratch, skew
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_COPIES = 3
@@ -68,23 +67,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MA
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MAX_COPIES, seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies and source for each document."""
-    spark = docs.sparkSession
     sized = scratch.materialise(docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), word_count(docs[text]).alias("size")), "mix-sizes")
     goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     goal = scratch.materialise(goal.select(F.col("source").alias("of"), "source_size", "target", rate.alias("rate"), offset_of(F.col("source"), seed).alias("shift")), "mix-targets")
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = sized.repartitionByRange(parts, F.col("source").asc_nulls_last(), F.col("size").desc(), F.col("doc_id").asc_nulls_last())
-    ranged = scratch.materialise(ranged.withColumn("range", F.spark_partition_id()), "mix-ranges")
-    counts = ranged.groupBy("source", "range").count()
-    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = scratch.materialise(counts.select(F.col("source").alias("s"), F.col("range").alias("r"), F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("start")), "mix-starts")
-
-    within = Window.partitionBy("range", "source").orderBy(F.col("size").desc(), F.col("doc_id").asc_nulls_last())
-    ranked = ranged.withColumn("number", F.row_number().over(within))
-    ranked = ranked.join(skew.small(starts), F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
+    ranked = ranks.numbered(sized, "source", [F.col("size").desc(), F.col("doc_id").asc_nulls_last()])
     ranked = ranked.join(skew.small(goal), F.col("source").eqNullSafe(F.col("of")))
-    rank = F.col("start") + F.col("number")
+    rank = F.col("rank")
     copies = F.floor(rank * F.col("rate") + F.col("shift")) - F.floor((rank - 1) * F.col("rate") + F.col("shift"))
     return ranked.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), "source")
