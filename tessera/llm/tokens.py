@@ -18,6 +18,7 @@ import hashlib
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -82,28 +83,22 @@ class Units:
             return piece[1:]
         return piece if piece[:1] == "\n" else " " + piece
 
-    def values(self, texts: list[str]) -> list[list]:
-        """For each text the values of its units, in order."""
-        known = self.known
-        cuts = [self.cut(t) for t in texts]
-        found = [list(map(known.get, c)) for c in cuts]
-        missing = list({p for c, f in zip(cuts, found, strict=True) if None in f for p, v in zip(c, f, strict=True) if v is None})
-        extra = {}
+    def values(self, texts: list[str]) -> tuple[list, list[int]]:
+        """The values of the units of all texts in order, and each text's number of units."""
+        known, cuts = self.known, [self.cut(t) for t in texts]
+        flat = list(chain.from_iterable(cuts))
+        missing = list(set(flat).difference(known))
         for a in range(0, len(missing), 20_000):
             part = missing[a : a + 20_000]
-            extra.update(zip(part, self._encode([self._whole(p) for p in part]), strict=True))
-        for k, f in enumerate(found):
-            if None in f:
-                found[k] = [extra[p] if v is None else v for p, v in zip(cuts[k], f, strict=True)]
-        room = MAX_UNITS - len(known)
-        if room > 0:
-            for p, v in extra.items():
-                if len(p) <= MAX_UNIT_CHARS:
-                    known[p] = v
-                    room -= 1
-                    if room == 0:
-                        break
-        return found
+            known.update(zip(part, self._encode([self._whole(p) for p in part]), strict=True))
+        found = list(map(known.__getitem__, flat))
+        if len(known) > MAX_UNITS:  # what came last goes; frequent units came early
+            for p in missing[-(len(known) - MAX_UNITS) :]:
+                del known[p]
+        for p in missing:
+            if len(p) > MAX_UNIT_CHARS:
+                known.pop(p, None)
+        return found, [len(c) for c in cuts]
 
 
 _units: dict[tuple[str, str], Units] = {}
@@ -132,15 +127,19 @@ def encoded(texts: list[bytes], path: str):
     """The ids of each text as little-endian 32-bit integers."""
     table = units(path, "ids")
     for a, b in _slices(texts):
-        for vals in table.values([t.decode("utf-8", "replace") for t in texts[a:b]]):
-            yield b"".join(vals)
+        found, sizes = table.values([t.decode("utf-8", "replace") for t in texts[a:b]])
+        at = 0
+        for n in sizes:
+            yield b"".join(found[at : at + n])
+            at += n
 
 
 def _counts(path: str):
     def counts(batch: pa.RecordBatch) -> dict:
         table, texts, out = units(path, "count"), arrow.texts(batch.column("text")), []
         for a, b in _slices(texts):
-            out += [sum(v) for v in table.values([t.decode("utf-8", "replace") for t in texts[a:b]])]
+            found, sizes = table.values([t.decode("utf-8", "replace") for t in texts[a:b]])
+            out += np.add.reduceat(np.array(found, dtype=np.int64), np.cumsum([0, *sizes[:-1]])).tolist()
         return {"digest": batch.column("digest"), "n_tokens": out}
 
     return counts
