@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, toxicity
+from . import embedding_dedup, simhash, toxicity
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,5 +19,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op6_simhash": op6_simhash}
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op6_simhash": op6_simhash, "op7_embeddings": op7_embeddings}
 SQL: dict[str, str] = {}
