@@ -15,6 +15,7 @@ library's own.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from . import arrow, scratch
 from .exact_dedup import RepeatFilter
+from .words import WordEncoder, slices
 
 #: Units that one Python worker remembers at most.
 MAX_UNITS = 300_000
@@ -101,43 +103,39 @@ class Units:
         return found, [len(c) for c in cuts]
 
 
-_units: dict[tuple[str, str], Units] = {}
+_units: dict[str, Units] = {}
 
 
-def units(path: str, kind: str) -> Units:
-    """The worker's own table for a tokenizer; kind: "count" or "ids" (little-endian 32-bit)."""
-    if (path, kind) not in _units:
-        _units[path, kind] = Units(path, len if kind == "count" else lambda ids: np.array(ids, dtype="<u4").tobytes())
-    return _units[path, kind]
-
-
-def _slices(texts: list[bytes], most: int = 4_000_000):
-    """Index ranges of about ``most`` bytes."""
-    start = size = 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def units(path: str) -> Units:
+    """The worker's own table of token counts for a tokenizer."""
+    if path not in _units:
+        _units[path] = Units(path, len)
+    return _units[path]
 
 
 def encoded(texts: list[bytes], path: str):
     """The ids of each text as little-endian 32-bit integers."""
-    table = units(path, "ids")
-    for a, b in _slices(texts):
-        found, sizes = table.values([t.decode("utf-8", "replace") for t in texts[a:b]])
-        at = 0
-        for n in sizes:
-            yield b"".join(found[at : at + n])
-            at += n
+    if path not in _encoders:
+        table = Units(path, None)
+        _encoders[path] = WordEncoder(path) if table.kind == "blanks" else table.library
+    encoder = _encoders[path]
+    for a, b in slices(texts):
+        if isinstance(encoder, WordEncoder):
+            ids, at = encoder.encode(texts[a:b])
+            data = ids.astype("<u4").tobytes()
+            yield from (data[4 * x : 4 * y] for x, y in itertools.pairwise(at))
+        else:
+            for e in encoder.encode_batch_fast([t.decode("utf-8", "replace") for t in texts[a:b]], add_special_tokens=False):
+                yield np.array(e.ids, dtype="<u4").tobytes()
+
+
+_encoders: dict = {}
 
 
 def _counts(path: str):
     def counts(batch: pa.RecordBatch) -> dict:
-        table, texts, out = units(path, "count"), arrow.texts(batch.column("text")), []
-        for a, b in _slices(texts):
+        table, texts, out = units(path), arrow.texts(batch.column("text")), []
+        for a, b in slices(texts):
             found, sizes = table.values([t.decode("utf-8", "replace") for t in texts[a:b]])
             out += np.add.reduceat(np.array(found, dtype=np.int64), np.cumsum([0, *sizes[:-1]])).tolist()
         return {"digest": batch.column("digest"), "n_tokens": out}
