@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, simhash, toxicity
+from . import embedding_dedup, simhash, substring_dedup, toxicity
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.strip_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_text=False).drop("kept")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.group(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -23,5 +27,5 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op6_simhash": op6_simhash, "op7_embeddings": op7_embeddings}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_substring_dedup": op3_substring_dedup, "op6_simhash": op6_simhash, "op7_embeddings": op7_embeddings}
 SQL: dict[str, str] = {}
