@@ -8,7 +8,9 @@ _MODULES = [queries_native, queries_near, queries_text]
 
 
 def queries() -> dict:
-    return {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+    import corpus_pipeline
+
+    return {k: v for m in _MODULES for k, v in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:

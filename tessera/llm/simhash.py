@@ -241,8 +241,131 @@ def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     return skew.join_by_group(prints, classes, ["fp"], "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
+def word_fingerprint(words: list[bytes]) -> int:
+    """The fingerprint of the distinct words of a text: it moves less with an edit than one of shingles."""
+    if not words:
+        return 0
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in set(words)), dtype="<u8")
+    ones = sum(np.unpackbits(hashes[a : a + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for a in range(0, len(hashes), 65_536))
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def shingle_set(words: list[bytes], size: int) -> np.ndarray:
+    """The sorted distinct hashes of the word shingles (fewer words: of the whole sequence)."""
+    parts = [b" ".join(words)] if len(words) <= size else map(b" ".join, zip(*[words[k:] for k in range(size)], strict=False))
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, parts), dtype="<u8"))
+
+
+def near_pairs(values: np.ndarray, radius: int, per_value: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a bucket within ``radius``: all of them while they are few, else those with the
+    value that has most neighbours and with each value's nearest four."""
+    differ = np.bitwise_count(values[:, None] ^ values[None, :])
+    np.fill_diagonal(differ, 255)
+    near = differ <= radius
+    if near.sum() > 2 * per_value * len(values):
+        few = np.zeros_like(near)
+        rows = np.arange(len(values))
+        for _ in range(4):
+            best = differ.argmin(axis=1)
+            few[rows, best] = True
+            differ[rows, best] = 255
+        few[:, near.sum(axis=0).argmax()] = True
+        near &= few
+    i, j = np.nonzero(near)
+    return np.minimum(values[i], values[j]), np.maximum(values[i], values[j])
+
+
+def candidate_pairs(fps: DataFrame, rows: int, radius: int, bucket: int = BUCKET) -> DataFrame:
+    """a, b: pairs of distinct fingerprints ``fps`` (a table on disk) within ``radius``, to be verified.
+
+    A bucket of more than ``bucket`` fingerprints is dealt into parts, which share
+    its least fingerprint; each key deals them anew.
+    """
+    chosen = masks(bit_counts(fps), rows, radius)
+    keyed = fps.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in chosen])).alias("mask"))
+    keyed = keyed.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
+    sizes = keyed.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("root")).filter("n > 1")
+    large = scratch.materialise(sizes.filter(F.col("n") > bucket), "simhash-large")
+    if large.isEmpty():
+        lists = keyed.groupBy("mask", "value").agg(F.collect_list("fp").alias("fps"))
+    else:
+        marked = keyed.join(skew.small(large), ["mask", "value"], "left")
+        parts = F.ceil(F.coalesce("n", F.lit(1)) / bucket)
+        marked = marked.withColumn("part", F.pmod(F.xxhash64("fp", "mask"), parts))
+        lists = marked.groupBy("mask", "value", "part").agg(F.collect_list("fp").alias("own"), F.any_value("root").alias("root"))
+        lists = lists.select(F.when(F.col("root").isNull(), F.col("own")).otherwise(F.array_union("own", F.array("root"))).alias("fps"))
+
+    def pairs(batch: pa.RecordBatch) -> dict:
+        flat, at = batch.column(0).flatten().to_numpy().view(np.uint64), np.cumsum([0, *[len(x) for x in batch.column(0)]])
+        found = [near_pairs(flat[a:b], radius) for a, b in itertools.pairwise(at)]
+        both = np.unique(np.stack([np.concatenate([f[i] for f in found]) for i in (0, 1)], axis=1), axis=0).view(np.int64)
+        return {"a": both[:, 0], "b": both[:, 1]}
+
+    return arrow.mapped(lists.select("fps").filter(F.size("fps") > 1), pairs, "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 5) -> DataFrame:
+    """doc_id, component_id: documents linked by a similarity of word shingles of at least ``similarity``.
+
+    Fingerprints of the distinct words retrieve candidates within ``radius`` bits;
+    these are verified by the Jaccard similarity of their shingle sets.  Rows with
+    equal shingle sets are one node.
+    """
+
+    def sign(batch: pa.RecordBatch) -> dict:
+        words = [words_of(t) for t in arrow.texts(batch.column(1))]
+        fp = np.array([word_fingerprint(w) for w in words], dtype=np.uint64).view(np.int64)
+        sig = np.array([xxhash.xxh3_64_intdigest(shingle_set(w, shingle).tobytes()) for w in words], dtype=np.uint64).view(np.int64)
+        return {"doc_id": batch.column(0), "fp": fp, "sig": sig}
+
+    cols = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
+    signed = scratch.materialise(arrow.mapped(cols, sign, "doc_id long, fp long, sig long"), "near-signed")
+    nodes = signed.groupBy("sig").agg(F.min("doc_id").alias("first"), F.any_value("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
+    nodes = scratch.materialise(nodes, "near-nodes")
+    fps = scratch.materialise(nodes.groupBy("fp").agg(F.min("sig").alias("root")), "near-fingerprints")
+    rows = fps.count()
+    pairs = nodes.join(fps, "fp").filter("sig <> root").select(F.col("sig").alias("a"), F.col("root").alias("b"))
+    if rows > 1:
+        roots = [fps.select(F.col("fp").alias(k), F.col("root").alias(f"root_{k}")) for k in "ab"]
+        found = scratch.materialise(candidate_pairs(fps, rows, radius), "near-pairs")
+        pairs = pairs.unionByName(found.join(roots[0], "a").join(roots[1], "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    pairs = scratch.materialise(pairs, "near-candidates")
+
+    # The shingle sets of the nodes in question, from one text each.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(nodes, "sig").select("sig", F.col("first").alias("of"))
+    source = cols.join(wanted, F.col("doc_id") == F.col("of")).select("sig", "text")
+
+    def sets(batch: pa.RecordBatch) -> dict:
+        found = [shingle_set(words_of(t), shingle) for t in arrow.texts(batch.column(1))]
+        own = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in found], dtype=np.uint64).view(np.int64) == batch.column(0).to_numpy()
+        at = np.flatnonzero(own)  # of several rows with one id the one that is meant
+        return {"sig": batch.column(0).take(pa.array(at)), "set": pa.array([found[k].tobytes() for k in at], pa.binary())}
+
+    shingles = scratch.materialise(arrow.mapped(source, sets, "sig long, set binary"), "near-sets")
+    left, right = (shingles.select(F.col("sig").alias(k), F.col("set").alias(f"set_{k}")) for k in "ab")
+
+    def verify(batch: pa.RecordBatch) -> dict:
+        keep = []
+        for k, (x, y) in enumerate(zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True)):
+            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            if min(len(x), len(y)) >= similarity * max(len(x), len(y)):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both >= similarity * (len(x) + len(y) - both):
+                    keep.append(k)
+        at = pa.array(keep, pa.int64())
+        return {k: batch.column(k).take(at) for k in "ab"}
+
+    links = arrow.mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), verify, "a long, b long")
+    labels = components(scratch.materialise(links, "near-links"))
+    members = scratch.materialise(labels.join(nodes, labels["node"] == nodes["sig"]).select("sig", "label", "first"), "near-members")
+    least = scratch.materialise(members.groupBy("label").agg(F.min("first").alias("least")), "near-least")
+    known = scratch.materialise(members.join(least, "label").select("sig", "least"), "near-known")
+    classes = scratch.materialise(nodes.join(known, "sig", "left").select("sig", "n", F.coalesce("least", "first").alias("component_id")), "near-classes")
+    return skew.join_by_group(signed.select("doc_id", "sig"), classes, ["sig"], "n", signed.count()).select("doc_id", "component_id")
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with all columns, reduced to the smallest id of each group of near-duplicates."""
-    found = group(docs, doc_id, text)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs[doc_id].eqNullSafe(F.col("__kept")), "left_semi")
+    found = near_duplicates(docs, doc_id, text)
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(skew.small(scratch.materialise(gone, "near-gone")), docs[doc_id].eqNullSafe(F.col("__gone")), "left_anti")
