@@ -13,6 +13,17 @@ def texts(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+#: Arrow batches are worked on in slices of about this size, which bounds what Python holds at once.
+SLICE_BYTES = 6 << 20
+
+
+def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` of about ``SLICE_BYTES`` (rows are never cut)."""
+    step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def mapped(df: DataFrame, batch_of: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
     """``df`` with each Arrow batch replaced by the columns that ``batch_of`` returns."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -22,8 +33,9 @@ def mapped(df: DataFrame, batch_of: Callable[[pa.RecordBatch], Iterator[dict] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                cols = batch_of(batch)
+            for part in sliced(batch):
+                cols = batch_of(part)
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for f, c in ((f, cols[f.name]) for f in types)], schema=types)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

@@ -313,10 +313,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
 
     def sign(batch: pa.RecordBatch) -> dict:
-        words = [words_of(t) for t in arrow.texts(batch.column(1))]
-        fp = np.array([word_fingerprint(w) for w in words], dtype=np.uint64).view(np.int64)
-        sig = np.array([xxhash.xxh3_64_intdigest(shingle_set(w, shingle).tobytes()) for w in words], dtype=np.uint64).view(np.int64)
-        return {"doc_id": batch.column(0), "fp": fp, "sig": sig}
+        found = [(word_fingerprint(w), xxhash.xxh3_64_intdigest(shingle_set(w, shingle).tobytes())) for w in map(words_of, arrow.texts(batch.column(1)))]
+        both = np.array(found, dtype=np.uint64).reshape(-1, 2).view(np.int64)
+        return {"doc_id": batch.column(0), "fp": both[:, 0], "sig": both[:, 1]}
 
     cols = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     signed = scratch.materialise(arrow.mapped(cols, sign, "doc_id long, fp long, sig long"), "near-signed")

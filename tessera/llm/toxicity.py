@@ -291,14 +291,15 @@ def hash_of(x) -> int:
 SPAN = "array<struct<start: int, end: int, p: double>>"
 
 
-def tag(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, score, spans (offsets in code points and marginals of tokens above one half) of each row."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.keys, model.weights, model.bias, model.transitions, model.document, model.trained))  # at most one weight a feature of the bounded sample
+def _scorer(spark, model: Model, texts_of):
+    """A function over batches: the first column, score and spans; ``texts_of`` finds the texts in a batch."""
+    shared = spark.sparkContext.broadcast((model.keys, model.weights, model.bias, model.transitions, model.document, model.trained))  # at most one weight a feature of the bounded sample
     cache: dict = {}
 
     def score(batch: pa.RecordBatch) -> dict:
-        own = cache.setdefault("model", None) or cache.update(model=Model(*shared.value)) or cache["model"]
-        texts, scores, spans = arrow.texts(batch.column(1)), [], []
+        if not cache:
+            cache["model"] = Model(*shared.value)
+        own, texts, scores, spans = cache["model"], texts_of(batch), [], []
         for a, b in slices(texts):
             part = texts[a:b]
             words, found = features(part)
@@ -311,8 +312,14 @@ def tag(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text
                 i = int(np.searchsorted(words.first, k, side="right")) - 1
                 lists[i].append((int(words.starts[k] - base[i]), int(words.ends[k] - base[i]), float(q)))
             spans += [_in_code_points(t, x) for t, x in zip(part, lists, strict=True)]
-        return {"doc_id": batch.column(0), "score": np.concatenate(scores), "spans": spans}
+        return {batch.schema.names[0]: batch.column(0), "score": np.concatenate(scores), "spans": spans}
+
+    return score
 
+
+def tag(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, score, spans (offsets in code points and marginals of tokens above one half) of each row."""
+    score = _scorer(docs.sparkSession, model, lambda batch: arrow.texts(batch.column(1)))
     cols = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
     return arrow.mapped(cols, score, f"doc_id {kind}, score double, spans {SPAN}")
@@ -336,6 +343,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 def keep_clean(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with all columns, without the documents that are predicted toxic."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"))
-    scored = tag(rows, train(docs, labels, doc_id, text), "row", "text")
-    return scored.filter(F.col("score") < 0.5).select("doc_id.*")
+    at = docs.columns.index(text)
+    score = _scorer(docs.sparkSession, train(docs, labels, doc_id, text), lambda batch: arrow.texts(batch.column(0).field(at)))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    kind = rows.schema["row"].dataType.simpleString()
+    return arrow.mapped(rows, score, f"row {kind}, score double, spans {SPAN}").filter(F.col("score") < 0.5).select("row.*")

@@ -151,7 +151,7 @@ class WordEncoder:
     ALNUM = np.zeros(256, dtype=bool)
     ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
