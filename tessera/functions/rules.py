@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -199,8 +200,6 @@ def constraints(content: Column, found: Column, around: int = 300) -> Column:
     Places of matches are needed, which column functions do not give, so this is a
     vectorised function over Arrow batches.
     """
-    import pandas as pd
-
     patterns = [s.replace("{METRIC}", metric_pattern()) for s in V.CONSTRAINT_SHAPES]
 
     @F.pandas_udf(f"array<{CONSTRAINT}>")
