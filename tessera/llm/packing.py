@@ -124,7 +124,7 @@ def packed_sequences(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LE
     cut = scratch.materialise(pieces(docs, tokenizer_path, seq_len, end_id, True, doc_id, text), "pieces")
     placed = place(cut, seq_len)
 
-    def join(key, table: pa.Table) -> pa.Table:
+    def join(key, table):
         table = table.sort_by("offset")
         parts = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in table.column("ids").to_pylist()]
         ids, segments = np.concatenate(parts), np.repeat(np.arange(1, len(parts) + 1, dtype=np.int32), [len(p) for p in parts])
