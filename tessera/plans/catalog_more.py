@@ -1 +1,307 @@
-"""More queries (registered on import)."""
+"""More queries: sources, page analysis, crawl analytics, ordering, set operations and the model pass."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import crawl, model_pass
+from ..sources import pages as P
+from ..sources import sitemaps
+from . import catalog as C
+from . import guide
+from . import oracle as O
+from .catalog import c, query
+
+
+def pages(spark, sf):
+    return spark.read.parquet(f"{sf}/pages.parquet")
+
+
+def events(spark, sf):
+    return spark.read.parquet(f"{sf}/events.parquet")
+
+
+def orders(spark, sf):
+    return spark.read.parquet(f"{sf}/orders.parquet")
+
+
+# --- Sources and addresses -------------------------------------------------------------------------
+
+_CODES = "SELECT section_id, CASE WHEN source = 'fannie_mae' THEN 'https://guide.example.com/sel/' || lower(section_code) || CASE WHEN section_id % 2 = 0 THEN '/' || title ELSE '' END ELSE 'http' || CASE WHEN section_id % 3 = 0 THEN '' ELSE 's' END || '://rules.example.com/app/guide/section/' || section_code END AS url FROM "
+
+
+def addresses(spark, sf):
+    parts = C._split_top(_CODES.removeprefix("SELECT ").removesuffix(" FROM "))
+    return C.sections(spark, sf).selectExpr(*parts)
+
+
+_URLS = f"{_CODES} ({guide.SECTIONS_SQL})"
+
+
+@query("src_03_discover_codes", f"{O.WITH_SECTIONS} SELECT DISTINCT source, section_code FROM sections WHERE section_code <> ''")
+def _(spark, sf):
+    return C.sections(spark, sf).filter("section_code <> ''").select("source", "section_code").distinct()
+
+
+@query("src_04_source_filter", f"{O.WITH_SECTIONS} SELECT section_id FROM sections WHERE source = 'freddie_mac'")
+def _(spark, sf):
+    return sitemaps.of_source(C.sections(spark, sf), "freddie-mac").select("section_id")
+
+
+@query("src_07_toc_fallback", f"{O.WITH_SECTIONS}, site AS (SELECT DISTINCT section_code FROM sections WHERE section_id % 2 = 0), toc AS (SELECT section_code, min(section_id) AS section_id FROM sections WHERE source = 'fannie_mae' GROUP BY section_code) SELECT section_code, 'sitemap' AS origin FROM site UNION ALL SELECT section_code, 'toc' FROM toc WHERE section_code NOT IN (SELECT section_code FROM site)")
+def _(spark, sf):
+    every = C.sections(spark, sf)
+    site = every.filter("section_id % 2 = 0").select("section_code").distinct()
+    toc = every.filter("source = 'fannie_mae'").select("section_code", c("section_id").alias("place"))
+    return sitemaps.with_fallback(site, toc, "section_code", "place")
+
+
+@query("src_08_second_guide_urls", rf"WITH u AS ({_URLS}) SELECT section_id, regexp_extract(url, '/section/([0-9]+(?:\.[0-9]+)?)', 1) AS code FROM u WHERE contains(url, '/app/guide/section/') AND starts_with(url, 'https://rules.example.com/') AND regexp_matches(url, '/section/[0-9]+')")
+def _(spark, sf):
+    return sitemaps.second_guide(addresses(spark, sf), "rules.example.com").select("section_id", "code")
+
+
+@query("src_09_section_code", r"WITH u AS (" + _URLS + r"), x AS (SELECT section_id, upper(coalesce(nullif(regexp_extract(url, '/sel/([^/]+)/', 1), ''), nullif(regexp_extract(url, '/sel/([^/]+)$', 1), ''))) AS code FROM u) SELECT section_id, CASE WHEN regexp_matches(code, '^[A-E]') THEN code END AS code FROM x")
+def _(spark, sf):
+    return addresses(spark, sf).select("section_id", sitemaps.section_code(c("url")).alias("code"))
+
+
+@query("src_10_slug", "SELECT page_id, string_split(rtrim(url, '/'), '/')[-1] AS slug FROM pages")
+def _(spark, sf):
+    return pages(spark, sf).select("page_id", sitemaps.url_slug(c("url")).alias("slug"))
+
+
+@query("src_11_valid_url", f"WITH u AS ({_URLS}) SELECT section_id, starts_with(url, 'https://rules.example.com/') AS valid FROM u")
+def _(spark, sf):
+    return addresses(spark, sf).select("section_id", sitemaps.valid_url(c("url"), "rules.example.com").alias("valid"))
+
+
+# --- Page analysis ---------------------------------------------------------------------------------
+
+@query("htm_01_markdown")
+def _(spark, sf):
+    return pages(spark, sf).select("page_id", P.markdown(c("html")).alias("markdown"))
+
+
+@query("htm_02_cross_reference_links", rf"WITH t AS (SELECT section_id, 'see [this](/app/guide/section/' || section_code || ') and [that](/sel/b3-' || (section_id % 9) || '/x)' AS text FROM ({guide.SECTIONS_SQL}) WHERE source = 'freddie_mac') SELECT section_id, regexp_replace(regexp_replace(text, '\[([^\]]+)\]\([^)]*/app/guide/section/([0-9.]+)[^)]*\)', '[\1](\2)', 'g'), '\(/sel/b3-([0-9])/x\)', '(B3-\1)', 'g') AS text FROM t")
+def _(spark, sf):
+    text = F.concat(F.lit("see [this](/app/guide/section/"), c("section_code"), F.lit(") and [that](/sel/b3-"), (c("section_id") % 9).cast("string"), F.lit("/x)"))
+    return C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_id", P.short_links(text).alias("text"))
+
+
+@query("htm_03_white_space", r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)[ \t]+$', '', 'g'), '\n{4,}', chr(10) || chr(10) || chr(10), 'g'), '^\s+', ''), '\s+$', '') AS text FROM documents WHERE regexp_full_match(text, '[\x20-\x7e\n]*')")
+def _(spark, sf):
+    return C.documents(spark, sf).filter(c("text").rlike(r"\A[\x20-\x7e\n]*\z")).select("doc_id", P.tidy(c("text")).alias("text"))
+
+
+_DATED = f"SELECT section_id, CASE section_id % 4 WHEN 0 THEN 'Effective: ' || (1 + section_id % 12) || '/' || (1 + section_id % 28) || '/2023' WHEN 1 THEN 'Updated 13/40/2021 and 2/3/2022' WHEN 2 THEN 'on 7/9/2020 only' ELSE 'none' END AS text FROM ({guide.SECTIONS_SQL})"
+
+
+def dated(spark, sf):
+    d = "CASE section_id % 4 WHEN 0 THEN 'Effective: ' || (1 + section_id % 12) || '/' || (1 + section_id % 28) || '/2023' WHEN 1 THEN 'Updated 13/40/2021 and 2/3/2022' WHEN 2 THEN 'on 7/9/2020 only' ELSE 'none' END"
+    return C.sections(spark, sf).selectExpr("section_id", f"{d} AS text")
+
+
+@query("htm_08_effective_date", f"WITH t AS ({_DATED}) SELECT section_id, CASE section_id % 4 WHEN 0 THEN strftime(make_date(2023, CAST(1 + section_id % 12 AS INTEGER), CAST(1 + section_id % 28 AS INTEGER)), '%Y-%m-%d') WHEN 2 THEN '2020-07-09' END AS effective_date FROM t")
+def _(spark, sf):
+    return dated(spark, sf).select("section_id", P.effective_date(c("text"), anywhere=True).alias("effective_date"))
+
+
+@query("htm_09_labelled_date", f"WITH t AS ({_DATED}) SELECT section_id, CASE section_id % 4 WHEN 0 THEN strftime(make_date(2023, CAST(1 + section_id % 12 AS INTEGER), CAST(1 + section_id % 28 AS INTEGER)), '%Y-%m-%d') END AS effective_date FROM t")
+def _(spark, sf):
+    return dated(spark, sf).select("section_id", P.effective_date(c("text"), anywhere=False).alias("effective_date"))
+
+
+@query("htm_10_first_guide_hierarchy", r"WITH s AS (SELECT DISTINCT section_code FROM (" + guide.SECTIONS_SQL + r") WHERE source = 'fannie_mae') SELECT section_code, left(section_code, 1) AS part, CASE WHEN regexp_matches(section_code, '^[A-E]\d+-\d+\.\d+-\d+$') THEN regexp_extract(section_code, '^([A-E]\d+-\d+)\.', 1) WHEN regexp_matches(section_code, '^[A-E]\d*-\d+-\d+$') THEN regexp_extract(section_code, '^([A-E]\d*-\d+)-', 1) ELSE section_code END AS chapter, CASE WHEN regexp_matches(section_code, '^[A-E]\d+-\d+\.\d+-\d+$') THEN regexp_extract(section_code, '^([A-E]\d+-\d+\.\d+)-', 1) END AS subpart FROM s")
+def _(spark, sf):
+    own = C.sections(spark, sf).filter("source = 'fannie_mae'").select("section_code").distinct()
+    part, chapter, subpart = P.code_hierarchy(c("section_code"))
+    return own.select("section_code", part.alias("part"), chapter.alias("chapter"), subpart.alias("subpart"))
+
+
+@query("htm_12_second_guide_hierarchy", f"WITH s AS (SELECT DISTINCT section_code FROM ({guide.SECTIONS_SQL}) WHERE source = 'freddie_mac') SELECT section_code, split_part(section_code, '.', 1) AS chapter, CAST(floor(CAST(split_part(section_code, '.', 1) AS INTEGER) / 1000) AS INTEGER) AS part FROM s")
+def _(spark, sf):
+    own = C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_code").distinct()
+    return own.select("section_code", F.split_part("section_code", F.lit("."), F.lit(1)).alias("chapter"), F.floor(T.chapter_number(c("section_code")) / 1000).cast("int").alias("part"))
+
+
+@query("htm_14_page_links")
+def _(spark, sf):
+    found = pages(spark, sf).select("page_id", F.posexplode(P.links(c("html"))).alias("place", "link"))
+    once = found.groupBy("page_id", c("link.href").alias("href")).agg(F.min_by(F.struct("place", "link"), "place").alias("x"))
+    return once.select("page_id", "href", "x.link.text", "x.place")
+
+
+@query("htm_16_table_count", "SELECT page_id, CAST(len(regexp_extract_all(lower(html), '<table[ >]')) AS BIGINT) AS tables, CAST(len(regexp_extract_all(lower(html), '<li[ >]')) AS BIGINT) AS items FROM pages")
+def _(spark, sf):
+    low = F.lower("html")
+    return pages(spark, sf).select("page_id", F.regexp_count(low, F.lit("<table[ >]")).cast("long").alias("tables"), F.regexp_count(low, F.lit("<li[ >]")).cast("long").alias("items"))
+
+
+# --- Ordering, limits, windows, sets ---------------------------------------------------------------
+
+@query("scl_09_sort_key", f"SELECT section_id, CASE WHEN TRY_CAST(split_part(section_code, '.', 1) AS INTEGER) IS NOT NULL AND TRY_CAST(split_part(section_code, '.', 2) AS INTEGER) IS NOT NULL THEN CAST(split_part(section_code, '.', 1) AS INTEGER) ELSE 0 END AS major, CASE WHEN TRY_CAST(split_part(section_code, '.', 1) AS INTEGER) IS NOT NULL AND TRY_CAST(split_part(section_code, '.', 2) AS INTEGER) IS NOT NULL THEN CAST(split_part(section_code, '.', 2) AS INTEGER) ELSE 0 END AS minor FROM ({guide.SECTIONS_SQL})")
+def _(spark, sf):
+    major, minor = T.sort_key(c("section_code"))
+    return C.sections(spark, sf).select("section_id", major.alias("major"), minor.alias("minor"))
+
+
+@query("scl_10_chapter_label", f"SELECT section_id, 'chapter_' || split_part(section_code, '.', 1) AS label FROM ({guide.SECTIONS_SQL}) WHERE source = 'freddie_mac'")
+def _(spark, sf):
+    return C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_id", F.concat(F.lit("chapter_"), F.split_part("section_code", F.lit("."), F.lit(1))).alias("label"))
+
+
+@query("srt_01_sort_codes", f"SELECT section_code, row_number() OVER (ORDER BY section_code) AS place FROM (SELECT DISTINCT section_code FROM ({guide.SECTIONS_SQL}) WHERE source = 'fannie_mae')")
+def _(spark, sf):
+    own = C.sections(spark, sf).filter("source = 'fannie_mae'").select("section_code").distinct()
+    return own.withColumn("place", F.row_number().over(Window.orderBy("section_code")).cast("long"))
+
+
+@query("srt_02_numeric_sort", f"SELECT section_code, row_number() OVER (ORDER BY CAST(split_part(section_code, '.', 1) AS INTEGER), CAST(split_part(section_code, '.', 2) AS INTEGER)) AS place FROM (SELECT DISTINCT section_code FROM ({guide.SECTIONS_SQL}) WHERE source = 'freddie_mac')")
+def _(spark, sf):
+    own = C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_code").distinct()
+    return own.withColumn("place", F.row_number().over(Window.orderBy(*T.sort_key(c("section_code")))).cast("long"))
+
+
+@query("srt_03_sorted_distribution", f"{O.WITH_ENTITIES}, d AS (SELECT entity, count(*) AS n, min(section_id * 1000 + seq) AS first_seen FROM found GROUP BY entity) SELECT entity, n, row_number() OVER (ORDER BY n DESC, first_seen, entity) AS place FROM d")
+def _(spark, sf):
+    rows = C.with_entities(spark, sf).select("section_id", "seq", F.explode("entities").alias("entity"))
+    counts = rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("section_id", "seq")).alias("seen"))
+    return counts.select("entity", "n", F.row_number().over(Window.orderBy(F.desc("n"), "seen", "entity")).cast("long").alias("place"))
+
+
+@query("lim_01_head_then_skip", "WITH head AS (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 100) SELECT o_orderkey FROM head WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def _(spark, sf):
+    every = orders(spark, sf)
+    done = every.filter("o_orderstatus = 'F'").select("o_orderkey")
+    return crawl.frontier(every.select("o_orderkey"), done, "o_orderkey", 100)
+
+
+@query("lim_03_row_caps", f"{O.WITH_CHUNKS} SELECT section_id, seq, array_to_string(list_slice({O.listed(O.term_list('content'))}, 1, 3), ',') AS terms FROM chunks")
+def _(spark, sf):
+    from ..functions import rules as R
+
+    return C.headed(spark, sf).select("section_id", c("seq").cast("long").alias("seq"), F.array_join(F.slice(R.terms(c("content")), 1, 3), ",").alias("terms"))
+
+
+@query("lim_04_error_head", "SELECT event_id FROM events WHERE event_type = 'error' ORDER BY ts, event_id LIMIT 10")
+def _(spark, sf):
+    return events(spark, sf).filter("event_type = 'error'").orderBy("ts", "event_id").limit(10).select("event_id")
+
+
+@query("win_01_failure_runs", "WITH g AS (SELECT *, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS grp FROM events) SELECT event_id, CASE WHEN event_type = 'error' THEN count(*) FILTER (event_type = 'error') OVER (PARTITION BY user_id, grp ORDER BY ts, event_id) ELSE 0 END AS run FROM g")
+def _(spark, sf):
+    rows = events(spark, sf).select("event_id", "user_id", "ts", (c("event_type") != "error").alias("ok"))
+    return crawl.failure_runs(rows, "user_id", ["ts", "event_id"], "ok").select("event_id", "run")
+
+
+@query("win_02_adaptive_delay")
+def _(spark, sf):
+    status = F.when(c("event_type") == "error", 429).when(c("event_type") == "signup", 503).otherwise(200)
+    rows = events(spark, sf).select("user_id", "ts", "event_id", status.alias("status"))
+    return crawl.adaptive_delays(rows, "user_id", ["ts", "event_id"], "status")
+
+
+@query("set_01_right_biased_merge", "SELECT coalesce(n.k, o.k) AS k, coalesce(n.h, o.h) AS h FROM (SELECT doc_id AS k, sha256(text) AS h FROM documents WHERE doc_id % 3 = 0) n FULL JOIN (SELECT doc_id AS k, lang AS h FROM documents WHERE doc_id % 2 = 0) o ON n.k = o.k")
+def _(spark, sf):
+    docs = C.documents(spark, sf)
+    new = docs.filter("doc_id % 3 = 0").select(c("doc_id").alias("k"), F.sha2("text", 256).alias("h"))
+    old = docs.filter("doc_id % 2 = 0").select(c("doc_id").alias("k"), c("lang").alias("h"))
+    return crawl.right_biased_merge(old, new, "k", "h")
+
+
+# --- Crawl and increments --------------------------------------------------------------------------
+
+@query("jon_08_resume_skip", "SELECT o_orderkey FROM orders WHERE o_orderstatus NOT IN ('F', 'O') OR o_orderkey % 5 = 0")
+def _(spark, sf):
+    every = orders(spark, sf)
+    manifest = every.select(c("o_orderkey").alias("key"), F.when(c("o_orderstatus") == "F", "success").when(c("o_orderstatus") == "O", "quality_warning").otherwise("failed").alias("status"))
+    files = every.filter("o_orderkey % 5 <> 0").select(c("o_orderkey").alias("key"))
+    return crawl.to_fetch(every.select(c("o_orderkey").alias("key")), manifest, files, "key").select(c("key").alias("o_orderkey"))
+
+
+@query("jon_09_incremental_skip", "SELECT d.doc_id FROM documents d LEFT JOIN (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'old' ELSE sha256(text) END AS hash FROM documents WHERE doc_id % 3 <> 0) s ON d.doc_id = s.doc_id AND sha256(d.text) = s.hash WHERE s.doc_id IS NULL")
+def _(spark, sf):
+    now = C.documents(spark, sf).select("doc_id", F.sha2("text", 256).alias("hash"))
+    state = now.filter("doc_id % 3 <> 0").select("doc_id", F.when(c("doc_id") % 4 == 0, F.lit("old")).otherwise(c("hash")).alias("hash"))
+    return crawl.changed(now, state, ["doc_id", "hash"]).select("doc_id")
+
+
+@query("agg_10_manifest_counters", "SELECT user_id, count(*) AS discovered, count(*) FILTER (event_type IN ('view', 'click')) AS scraped, count(*) FILTER (event_type = 'signup') AS warnings, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'purchase') AS skipped FROM events GROUP BY user_id")
+def _(spark, sf):
+    status = F.when(c("event_type") == "error", "failed").when(c("event_type") == "signup", "quality_warning").when(c("event_type") == "purchase", "skipped").otherwise("success")
+    return crawl.counters(events(spark, sf).select("user_id", status.alias("status")), "user_id", "status")
+
+
+@query("agg_15_first_wins", "SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text")
+def _(spark, sf):
+    from ..operators import graph
+
+    return graph.first_by(C.documents(spark, sf).select("doc_id", "text"), ["text"], ["doc_id"])
+
+
+@query("res_03_quality_gate", "WITH a AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS n FROM events) SELECT user_id, event_id, CASE WHEN value < 50 THEN 'quality_warning' ELSE 'success' END AS status FROM a WHERE n = 1 AND value IS NOT NULL")
+def _(spark, sf):
+    rows = events(spark, sf).filter("value is not null").select("user_id", "event_id", "value")
+    return crawl.quality_gate(rows, "user_id", "event_id", "value", 50)
+
+
+@query("res_06_circuit_breaker", "WITH g AS (SELECT *, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS grp FROM events), r AS (SELECT user_id, event_id, event_type, count(*) FILTER (event_type = 'error') OVER (PARTITION BY user_id, grp ORDER BY ts, event_id) AS run FROM g) SELECT event_id, user_id FROM r WHERE event_type = 'error' AND run % 2 = 0")
+def _(spark, sf):
+    rows = events(spark, sf).select("event_id", "user_id", "ts", (c("event_type") != "error").alias("ok"))
+    return crawl.breaker_trips(rows, "user_id", ["ts", "event_id"], "ok", 2).select("event_id", "user_id")
+
+
+# --- Model pass ------------------------------------------------------------------------------------
+
+_KEY = f"{O.WITH_SECTIONS}, k AS (SELECT section_id, body, sha256(left(body, 8000) || '|stub|v1') AS key FROM sections), cache AS (SELECT DISTINCT key FROM k WHERE section_id % 3 = 0)"
+
+
+def cache_keys(spark, sf):
+    own = C.sections(spark, sf).select("section_id", "body", model_pass.cache_key(c("body"), "stub", "v1").alias("key"))
+    return own, own.filter("section_id % 3 = 0").select("key").distinct()
+
+
+@query("jon_10_cache_lookup", f"{_KEY} SELECT section_id, cache.key IS NOT NULL AS hit FROM k LEFT JOIN cache USING (key)")
+def _(spark, sf):
+    own, cache = cache_keys(spark, sf)
+    return model_pass.looked_up(own, cache).select("section_id", "hit")
+
+
+@query("agg_13_dry_run", rf"{_KEY}, l AS (SELECT k.*, c.key IS NOT NULL AS hit FROM k LEFT JOIN cache c USING (key)) SELECT count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses, CAST(sum(CASE WHEN hit THEN 0 ELSE (len(regexp_extract_all(body, '\S+')) * 13) // 10 END) AS BIGINT) AS input_tokens, count(*) FILTER (NOT hit) * 300 AS output_tokens FROM l")
+def _(spark, sf):
+    own, cache = cache_keys(spark, sf)
+    return model_pass.dry_run(own, cache, "body")
+
+
+@query("agg_14_cache_statistics", f"{_KEY}, l AS (SELECT k.*, c.key IS NOT NULL AS hit FROM k LEFT JOIN cache c USING (key)) SELECT count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses, (SELECT count(*) FROM cache) AS entries, count(*) FILTER (hit) * 1000 // count(*) AS hit_per_mille FROM l")
+def _(spark, sf):
+    own, cache = cache_keys(spark, sf)
+    return model_pass.cache_statistics(own, cache)
+
+
+@query("lim_02_first_chunks_only", f"{O.WITH_CHUNKS} SELECT section_id, seq, row_number() OVER (ORDER BY section_id, seq) <= 50 AS chosen FROM chunks")
+def _(spark, sf):
+    return model_pass.first_rows(C.headed(spark, sf), ["section_id", "seq"], 50).select("section_id", c("seq").cast("long").alias("seq"), "chosen")
+
+
+@query("llm_04_prompt")
+def _(spark, sf):
+    own = C.with_entities(spark, sf)
+    return own.select("section_id", "seq", model_pass.prompt(c("title"), c("section_code"), c("content"), c("entities")).alias("prompt"))
+
+
+@query("llm_05_response")
+def _(spark, sf):
+    own = C.sections(spark, sf)
+    text = F.when(c("section_id") % 3 == 0, F.lit("no json")).otherwise(F.concat(F.lit("```json\n{\"summary\": \""), c("section_code"), F.lit("\", \"entities\": {\"a\": [\"b\"]}, \"numeric_constraints\": [{\"metric\": \"LTV\", \"value\": 80}]}\n```")))
+    return own.select("section_id", model_pass.parsed(text).alias("r")).select("section_id", "r.summary", F.size("r.numeric_constraints").alias("n"))
+
+
+@query("llm_08_enrich_batch")
+def _(spark, sf):
+    own, cache = cache_keys(spark, sf)
+    rows = model_pass.looked_up(own, cache)
+    return model_pass.completed(rows.filter("not hit").select("section_id", c("body").alias("prompt")), model_pass.StubModel()).select("section_id", "tokens")
