@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from re import _parser
 
 import pandas as pd
 from pyspark.sql import Column
@@ -25,6 +26,49 @@ def any_of(patterns: list[str], flags: str = FLAGS) -> str:
     return flags + "|".join(f"(?:{p})" for p in patterns)
 
 
+def required_literals(pattern: str) -> list[str] | None:
+    """Lower-case strings of which every match of ``pattern`` has at least one; None if there is no telling."""
+
+    def of(items) -> list[str] | None:
+        options: list[list[str]] = []
+        run = ""
+        for op, arg in [*items, (None, None)]:
+            if op == _parser.LITERAL and arg < 128:
+                run += chr(arg).lower()
+                continue
+            if run:
+                options.append([run])
+                run = ""
+            inner = None
+            if op == _parser.SUBPATTERN:
+                inner = of(arg[3])
+            elif op == _parser.BRANCH:
+                each = [of(b) for b in arg[1]]
+                inner = None if None in each else [x for e in each for x in e]
+            elif op == _parser.MAX_REPEAT and arg[0] >= 1:
+                inner = of(arg[2])
+            if inner:
+                options.append(inner)
+        return max(options, key=lambda o: (min(map(len, o)), -len(o)), default=None)
+
+    found = of(_parser.parse(pattern))
+    return found if found and min(map(len, found)) >= 2 else None
+
+
+def matches(content: Column, pattern: str, flags: str = FLAGS) -> Column:
+    """Whether ``content`` has ``pattern``.
+
+    A search for plain strings that every match must have comes before the pattern;
+    only texts of ASCII take it, since case folding beyond ASCII is for patterns.
+    """
+    needed, hit = required_literals(pattern), content.rlike(flags + pattern)
+    if needed is None:
+        return hit
+    low = F.lower(content)
+    near = reduce(lambda a, b: a | b, [F.contains(low, F.lit(x)) for x in dict.fromkeys(needed)])
+    return (near | (F.octet_length(content) != F.char_length(content))) & hit
+
+
 def strings(values: list[str]) -> Column:
     return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
@@ -50,19 +94,19 @@ def severity(content: Column) -> Column:
     """The strongest level with a signal."""
     out = None
     for level, patterns in V.SEVERITY_SIGNALS[:-1]:
-        hit = content.rlike(any_of(patterns))
+        hit = reduce(lambda a, b: a | b, [matches(content, p) for p in patterns])
         out = F.when(hit, F.lit(level)) if out is None else out.when(hit, F.lit(level))
     return out.otherwise(F.lit("info_only"))
 
 
 def severity_signals(content: Column, most: int = 10) -> Column:
     """level:pattern of the first signals found, in declared order."""
-    found = chosen([(f"{level}:{p}", content.rlike(FLAGS + p)) for level, patterns in V.SEVERITY_SIGNALS for p in patterns])
+    found = chosen([(f"{level}:{p}", matches(content, p)) for level, patterns in V.SEVERITY_SIGNALS for p in patterns])
     return F.slice(found, 1, most)
 
 
 def requirement_counts(content: Column) -> list[tuple[str, Column]]:
-    return [(kind, reduce(lambda a, b: a + b, [content.rlike(FLAGS + p).cast("int") for p in patterns])) for kind, patterns in V.REQUIREMENT_SIGNALS]
+    return [(kind, reduce(lambda a, b: a + b, [matches(content, p).cast("int") for p in patterns])) for kind, patterns in V.REQUIREMENT_SIGNALS]
 
 
 def requirement_type(content: Column) -> Column:
@@ -107,17 +151,17 @@ def domains(source: Column, code: Column, content: Column) -> Column:
 
 def enumerations(content: Column) -> Column:
     """enumeration.value of all that match."""
-    return chosen([(f"{e}.{v}", content.rlike(FLAGS + p)) for e, v, p in V.ENUMERATIONS])
+    return chosen([(f"{e}.{v}", matches(content, p)) for e, v, p in V.ENUMERATIONS])
 
 
 def terms(content: Column) -> Column:
     """Glossary terms found, in glossary order; up to four characters they must be whole words."""
     low = F.lower(content)
-    return chosen([(t, content.rlike(FLAGS + r"\b" + re.escape(t) + r"\b") if len(t) <= 4 else F.contains(low, F.lit(t.lower()))) for t in V.TERMS])
+    return chosen([(t, matches(content, r"\b" + re.escape(t) + r"\b") if len(t) <= 4 else F.contains(low, F.lit(t.lower()))) for t in V.TERMS])
 
 
 def entity_conditions(content: Column) -> list[tuple[str, Column]]:
-    return [(f"{kind}.{value}", content.rlike(any_of(patterns))) for kind, value, patterns, _ in V.ENTITIES]
+    return [(f"{kind}.{value}", reduce(lambda a, b: a | b, [matches(content, p) for p in patterns])) for kind, value, patterns, _ in V.ENTITIES]
 
 
 def entities(content: Column) -> Column:

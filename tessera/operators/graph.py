@@ -50,13 +50,24 @@ def equivalent(chunks: DataFrame) -> DataFrame:
     return _edges(first, "EQUIVALENT", path("e.source", "e.section_code"), path("e.l.source", "e.l.section_code"), F.create_map(F.lit("topic"), F.col("e.l.topic"), F.lit("relationship"), F.col("e.l.relationship")))
 
 
+def chunk_edges(chunks: DataFrame) -> DataFrame:
+    """The three layers that come from single chunks, in one pass over them."""
+    kind = "array<struct<type:string,source:string,target:string,metadata:map<string,string>>>"
+
+    def edge(name: str, source: Column, target: Column, metadata: Column) -> Column:
+        return F.struct(F.lit(name).alias("type"), source.alias("source"), target.alias("target"), metadata.alias("metadata"))
+
+    own, none = F.col("chunk_id"), F.lit(None).cast(_NONE)
+    applies = F.transform("entities", lambda e: edge("APPLIES_TO", own, e, none)).cast(kind)
+    refers = F.transform("conditional_refs", lambda r: edge("CONDITIONAL", own, r["then_see"], F.create_map(F.lit("if_entity"), r["if_entity"]))).cast(kind)
+    limit = lambda x: F.concat(x["metric"], F.lit(" "), x["operator"], F.lit(" "), x["value"], x["unit"])
+    bounds = F.flatten(F.transform("numeric_constraints", lambda x: F.transform(x["conditions"], lambda c: edge("CONSTRAINS", c, limit(x), F.create_map(F.lit("chunk_id"), own, F.lit("source_text"), x["source_text"]))))).cast(kind)
+    return chunks.select(F.explode(F.concat(applies, refers, bounds)).alias("e")).select("e.*")
+
+
 def edges(chunks: DataFrame) -> DataFrame:
     """All five layers."""
-    layers = [applies_to(chunks), conditional(chunks), implies(chunks.sparkSession), constrains(chunks), equivalent(chunks)]
-    out = layers[0]
-    for layer in layers[1:]:
-        out = out.unionByName(layer)
-    return out
+    return chunk_edges(chunks).unionByName(implies(chunks.sparkSession)).unionByName(equivalent(chunks))
 
 
 def reverse_index(chunks: DataFrame) -> DataFrame:
