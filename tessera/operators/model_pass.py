@@ -102,3 +102,9 @@ def completed(rows: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*keys, pa.array([a for a, _ in out], pa.string()), pa.array([n for _, n in out], pa.int64())], schema=types)
 
     return rows.mapInArrow(call, schema)
+
+
+def totals(rows: DataFrame) -> DataFrame:
+    """Rows processed and cached, tokens used, and the share of them that counts as input (seven tenths)."""
+    used = F.when(F.col("cached"), F.lit(0)).otherwise(F.col("tokens"))
+    return rows.agg(F.count_if(~F.col("cached")).alias("processed"), F.count_if(F.col("cached")).alias("cached"), F.sum(used).cast("long").alias("tokens"), F.sum(F.floor(used * 7 / 10)).cast("long").alias("input_tokens"))

@@ -305,3 +305,153 @@ def _(spark, sf):
     own, cache = cache_keys(spark, sf)
     rows = model_pass.looked_up(own, cache)
     return model_pass.completed(rows.filter("not hit").select("section_id", c("body").alias("prompt")), model_pass.StubModel()).select("section_id", "tokens")
+
+
+# --- Pieces of the enrichment pass -----------------------------------------------------------------
+
+def _hits(spark, sf):
+    """Each statement of a limit: the text matched and the number in it."""
+    from ..functions import rules as R
+
+    found = [F.arrays_zip(F.regexp_extract_all("content", F.lit(p), F.lit(0)).alias("hit"), F.regexp_extract_all("content", F.lit(p), F.lit(1)).alias("value")).cast("array<struct<hit:string,value:string>>") for p in R.constraint_patterns()]
+    rows = C.headed(spark, sf).select("section_id", c("seq").cast("long").alias("seq"), F.explode(F.concat(*found)).alias("x"))
+    return rows.select("section_id", "seq", "x.hit", "x.value")
+
+
+@query("ext_06_metric", f"{O.WITH_LIMITS} SELECT section_id, seq, hit, metric FROM named")
+def _(spark, sf):
+    from ..functions import rules as R
+
+    return _hits(spark, sf).select("section_id", "seq", "hit", R.metric(c("hit")).alias("metric"))
+
+
+@query("ext_07_operator", f"{O.WITH_LIMITS} SELECT section_id, seq, hit, operator FROM full_hits")
+def _(spark, sf):
+    from ..functions import rules as R
+
+    return _hits(spark, sf).withColumn("metric", R.metric(c("hit"))).filter("metric is not null and value <> ''").select("section_id", "seq", "hit", R.operator(c("hit"), c("metric")).alias("operator"))
+
+
+@query("ext_08_unit", f"{O.WITH_LIMITS} SELECT section_id, seq, hit, unit FROM full_hits")
+def _(spark, sf):
+    from ..functions import rules as R
+
+    return _hits(spark, sf).withColumn("metric", R.metric(c("hit"))).filter("metric is not null and value <> ''").select("section_id", "seq", "hit", R.unit(c("metric")).alias("unit"))
+
+
+@query("ext_02_merged_enumerations", f"{O.WITH_CHUNKS}, s AS (SELECT section_id, {C._ENUMS} AS own FROM sections), t AS (SELECT section_id, seq, {C._ENUMS.replace('body', 'content')} AS more FROM chunks) SELECT section_id, seq, array_to_string(list_sort(list_distinct(list_concat(own, more))), ',') AS enumerations FROM t JOIN s USING (section_id)")
+def _(spark, sf):
+    from ..functions import rules as R
+    from ..operators import chunking
+
+    rows = chunking.chunked(C.sections(spark, sf).withColumn("own", R.enumerations(c("body"))), chunking.by_headings(c("body")))
+    merged = F.array_sort(F.array_union("own", R.enumerations(c("content"))))
+    return rows.select("section_id", c("seq").cast("long").alias("seq"), F.array_join(merged, ",").alias("enumerations"))
+
+
+@query("ext_11_resolved_entity", f"{O.WITH_REFERENCES} SELECT section_id, seq, p AS phrase, if_entity FROM resolved")
+def _(spark, sf):
+    from ..functions import rules as R
+
+    shape = R.V.CONDITIONAL_SHAPES
+    tidy = lambda x: F.regexp_replace(T.strip(x), r"[.,;:]+\z", "")
+    pairs = []
+    for k, p in enumerate(shape):
+        one, two = (F.regexp_extract_all("content", F.lit(R.FLAGS + p), F.lit(g)) for g in (1, 2))
+        pairs.append(F.arrays_zip(*((two, one) if k == 2 else (one, two))).cast("array<struct<phrase:string,target:string>>"))
+    rows = C.headed(spark, sf).select("section_id", "seq", "section_code", F.explode(F.concat(*pairs)).alias("x"))
+    rows = rows.select("section_id", c("seq").cast("long").alias("seq"), "section_code", tidy(c("x.phrase")).alias("phrase"), tidy(c("x.target")).alias("target"))
+    once = rows.filter("target <> section_code").dropDuplicates(["section_id", "seq", "phrase", "target"])
+    return once.select("section_id", "seq", "phrase", R.resolved_entity(c("phrase")).alias("if_entity"))
+
+
+@query("jon_06_section_attributes", f"{O.WITH_CHUNKS}, s AS (SELECT section_id, {O.content_type()} AS content_type, array_to_string({O.domains()}, ',') AS domains FROM sections) SELECT section_id, seq, content_type, domains FROM chunks JOIN s USING (section_id)")
+def _(spark, sf):
+    from ..operators import chunking
+    from . import enrich
+
+    rows = chunking.chunked(enrich.tagged_sections(C.sections(spark, sf)), chunking.by_headings(c("body")))
+    return rows.select("section_id", c("seq").cast("long").alias("seq"), "content_type", F.array_join("domains", ",").alias("domains"))
+
+
+@query("jon_07_result_by_key", f"{O.WITH_CHUNKS} SELECT section_id, seq, length(content) AS answer_chars FROM chunks")
+def _(spark, sf):
+    chunks = C.headed(spark, sf)
+    answers = chunks.select("section_id", "seq", F.char_length("content").cast("long").alias("answer_chars"))
+    return chunks.select("section_id", "seq").join(answers, ["section_id", "seq"]).select("section_id", c("seq").cast("long").alias("seq"), "answer_chars")
+
+
+@query("agg_11_status_report", "SELECT o_orderpriority AS source, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS scraped, count(*) FILTER (o_orderstatus = 'P') AS failed, count(*) FILTER (o_orderkey % 5 <> 0) AS files FROM orders GROUP BY 1")
+def _(spark, sf):
+    every = orders(spark, sf).select(c("o_orderpriority").alias("source"), "o_orderkey", "o_orderstatus")
+    files = every.filter("o_orderkey % 5 <> 0").groupBy("source").agg(F.count(F.lit(1)).alias("files"))
+    totals = every.groupBy("source").agg(F.count(F.lit(1)).alias("total"), F.count_if(c("o_orderstatus") == "F").alias("scraped"), F.count_if(c("o_orderstatus") == "P").alias("failed"))
+    return totals.join(files, "source", "left").withColumn("files", F.coalesce("files", F.lit(0)))
+
+
+@query("agg_12_model_totals", rf"{O.WITH_SECTIONS}, t AS (SELECT len(regexp_extract_all(body, '\S+')) AS tokens, section_id % 3 = 0 AS cached FROM sections) SELECT count(*) FILTER (NOT cached) AS processed, count(*) FILTER (cached) AS cached, CAST(sum(CASE WHEN cached THEN 0 ELSE tokens END) AS BIGINT) AS tokens, CAST(sum(CASE WHEN cached THEN 0 ELSE tokens * 7 // 10 END) AS BIGINT) AS input_tokens FROM t")
+def _(spark, sf):
+    rows = C.sections(spark, sf).select(T.word_count(c("body")).alias("tokens"), (c("section_id") % 3 == 0).alias("cached"))
+    return model_pass.totals(rows)
+
+
+@query("chk_03_definition_terms")
+def _(spark, sf):
+    from ..operators import chunking
+
+    body = F.concat(c("body"), F.lit("\n\n**"), c("title"), F.lit("**\nfirst meaning\n\n__second__\nmeaning two\n\n**third**\nmeaning three"))
+    return chunking.chunked(C.sections(spark, sf).withColumn("body", body), chunking.by_terms(c("body"))).select("section_id", "seq", "heading", "content")
+
+
+@query("chk_05_merge_undersize")
+def _(spark, sf):
+    from ..operators import chunking
+
+    return chunking.chunked(C.sections(spark, sf), chunking.merge_undersize(chunking.by_headings(c("body")))).select("section_id", "seq", "heading", "content", "word_count")
+
+
+@query("chk_07_semantic_chunks", f"{O.WITH_CHUNKS}, w AS (SELECT section_id, title, count(*) AS n, CAST(sum({O.words('content')}) AS BIGINT) AS words FROM chunks GROUP BY ALL) SELECT section_id, 'section' AS chunk_type, title AS heading, words FROM w UNION ALL SELECT c.section_id, 'subsection', c.heading, CAST({O.words('content')} AS BIGINT) FROM chunks c JOIN w USING (section_id) WHERE w.words > 50 AND w.n > 1")
+def _(spark, sf):
+    chunks = C.headed(spark, sf)
+    whole = chunks.groupBy("section_id", "title").agg(F.count(F.lit(1)).alias("n"), F.sum("word_count").alias("words"))
+    large = whole.filter("words > 50 and n > 1").select("section_id")
+    own = whole.select("section_id", F.lit("section").alias("chunk_type"), c("title").alias("heading"), "words")
+    return own.unionByName(chunks.join(large, "section_id", "left_semi").select("section_id", F.lit("subsection").alias("chunk_type"), "heading", c("word_count").alias("words")))
+
+
+@query("chk_08_merge_subsections")
+def _(spark, sf):
+    from ..operators import chunking
+
+    parts = F.transform(chunking.by_headings(c("body")), lambda x: F.struct(F.coalesce(x["heading"], F.lit("")).alias("heading"), x["content"].alias("content"), T.word_count(x["content"]).alias("words"), chunking.has_table(x["content"]).alias("tables"), F.lit(False).alias("lists")))
+    return C.sections(spark, sf).select("section_id", F.posexplode(chunking.merge_small_subsections(parts)).alias("seq", "x")).select("section_id", "seq", "x.heading", "x.words")
+
+
+def _enriched(spark, sf):
+    from . import enrich
+
+    return enrich.enrich(C.sections(spark, sf))
+
+
+@query("scl_11_chunk_header")
+def _(spark, sf):
+    from ..sources import files
+
+    return _enriched(spark, sf).select("chunk_id", "seq", files.chunk_header().alias("text"))
+
+
+@query("snk_03_index_entries")
+def _(spark, sf):
+    from ..sources import files
+
+    return files.index_entries(_enriched(spark, sf))
+
+
+@query("htm_17_parsed_pages")
+def _(spark, sf):
+    from ..sources import section_pages
+
+    source = F.when(c("page_id") % 2 == 0, "fannie_mae").otherwise("freddie_mac")
+    code = F.when(c("page_id") % 2 == 0, F.format_string("B3-%d-01", c("page_id") % 9)).otherwise(F.format_string("%d.1", 1101 + c("page_id") % 6000))
+    fetched = pages(spark, sf).select("url", source.alias("source"), code.alias("section_code"), "html")
+    return section_pages.parsed(fetched).select("url", "title", "part_code", "chapter_code", "word_count", "table_count", F.size("subsections").alias("subsections"), F.size("cross_references").alias("references"))
