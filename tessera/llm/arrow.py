@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import DataType, StructField, StructType
 
 
 def texts(column: pa.Array) -> list[bytes]:
@@ -13,6 +14,11 @@ def texts(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def with_column(name: str, kind: DataType, rest: str) -> StructType:
+    """A schema of a column of any type and of the columns of ``rest``; names inside ``kind`` may be anything."""
+    return StructType([StructField(name, kind), *StructType.fromDDL(rest).fields])
+
+
 #: Arrow batches are worked on in slices of about this size, which bounds what Python holds at once.
 SLICE_BYTES = 6 << 20
 
@@ -24,12 +30,11 @@ def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, step)
 
 
-def mapped(df: DataFrame, batch_of: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
+def mapped(df: DataFrame, batch_of: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str | StructType) -> DataFrame:
     """``df`` with each Arrow batch replaced by the columns that ``batch_of`` returns."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    types = to_arrow_schema(StructType.fromDDL(schema))
+    types = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

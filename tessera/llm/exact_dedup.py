@@ -103,7 +103,7 @@ def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     joined with the decisions on them.
     """
     sha = F.unhex(F.sha2(normalised(docs[text]), 256)).alias("sha")
-    keyed = docs.select(docs[doc_id].alias("doc_id"), sha, F.char_length(F.coalesce(docs[text], F.lit(""))).alias("n_chars"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    keyed = docs.select(docs[doc_id].alias("doc_id"), sha, F.char_length(F.coalesce(docs[text], F.lit(""))).alias("n_chars"), F.struct("*").alias("row"))
     narrow = scratch.materialise(keyed.select("sha"), "exact-hashes")
     tested = RepeatFilter(narrow, "sha", narrow.count()).test(keyed)
     again = tested.filter("may_repeat")

@@ -120,7 +120,8 @@ def _apply(keep_text: bool, least: int):
     def apply(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"n_lines": [], "n_dropped": [], "kept_sha256": [], "kept": []}
         drops = batch.column("drops").to_pylist()
-        for text, gone in zip(arrow.texts(batch.column("text")), drops, strict=True):
+        nulls = batch.column("text").is_null().to_pylist()
+        for text, gone, null in zip(arrow.texts(batch.column("text")), drops, nulls, strict=True):
             lines = text.split(b"\n")
             n = len(lines)
             if gone:
@@ -130,7 +131,7 @@ def _apply(keep_text: bool, least: int):
             out["n_lines"].append(n)
             out["n_dropped"].append(n - len(lines))
             out["kept_sha256"].append(hashlib.sha256(text).hexdigest())
-            out["kept"].append(text if keep_text else None)
+            out["kept"].append(text if keep_text and (text or not null) else None)
         kept = pa.array(out.pop("kept"), type=pa.binary()).cast(pa.string())
         return out | {"row": batch.column("row"), "kept": kept}
 
@@ -140,11 +141,9 @@ def _apply(keep_text: bool, least: int):
 def _dropped(docs: DataFrame, drops: DataFrame, doc_id: str, text: str, keep_text: bool, least: int) -> DataFrame:
     """A row for each row of ``docs``: row (its other columns), n_lines, n_dropped, kept_sha256, kept (the text)."""
     lists = drops.groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("h1").alias("drops"))
-    other = [docs[c] for c in docs.columns if c != text]
-    rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text"), F.struct(*other).alias("row"))
+    rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text"), F.struct("*").dropFields(f"`{text}`").alias("row"))
     rows = rows.join(lists, F.col("id").eqNullSafe(F.col("of")), "left").select("row", "text", "drops")
-    row = ", ".join(f"`{c}`: {docs.schema[c].dataType.simpleString()}" for c in docs.columns if c != text)
-    return arrow.mapped(rows, _apply(keep_text, least), f"row struct<{row}>, n_lines long, n_dropped long, kept_sha256 string, kept string")
+    return arrow.mapped(rows, _apply(keep_text, least), arrow.with_column("row", rows.schema["row"].dataType, "n_lines long, n_dropped long, kept_sha256 string, kept string"))
 
 
 def without_lines(docs: DataFrame, drops: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_CHARS) -> DataFrame:

@@ -88,7 +88,7 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     found = mix(docs, doc_id, text, source, weights, most, seed)
     by = found.groupBy(F.col("doc_id").alias("id"), F.col("source").alias("from"), F.col("size").alias("of")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies"))
     by = skew.small(scratch.materialise(by.filter(F.col("copies")[0] > 0), "mix-copies"))
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), word_count(docs[text]).alias("size"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), word_count(docs[text]).alias("size"), F.struct("*").alias("row"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("from")) & (F.col("size") == F.col("of"))
     rows = rows.join(by, same).select("doc_id", "source", "size", "copies", "row")
     twins = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import arrow, ranks, scratch, tokens
 
@@ -80,8 +81,7 @@ def place(pieces: DataFrame, seq_len: int = SEQ_LEN, order: tuple[str, ...] = ("
         out = {c: batch.column(c) for c in columns}
         return out | {"sequence_id": table["base"][k] + rank - 1 - table["first"][k], "offset": table["offset"][k]}
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return arrow.mapped(ranked, locate, f"{fields}, sequence_id long, offset long")
+    return arrow.mapped(ranked, locate, StructType([*pieces.schema.fields, *StructType.fromDDL("sequence_id long, offset long").fields]))
 
 
 def _cut(path: str, seq_len: int, end_id: int, with_ids: bool):

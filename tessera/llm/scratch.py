@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _marked: set[str] = set()
+#: Folders of local sessions that name none, by application.
+_own: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -26,9 +28,10 @@ def shared_root(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", base) if spark.conf.isModifiable("spark.checkpoint.dir") else _fallback.setdefault(spark.sparkContext.applicationId, base)
-        base = _fallback.get(spark.sparkContext.applicationId, base)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="tessera-")
+        base = _own[app]
     root = f"{base.rstrip('/')}/tessera-{spark.sparkContext.applicationId}"
     if root not in _marked:
         jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
@@ -40,9 +43,6 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
-_fallback: dict[str, str] = {}
-
-
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 

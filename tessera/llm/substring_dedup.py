@@ -249,5 +249,5 @@ def strip_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k
     """doc_id, n_words, n_removed, kept_sha256, kept (the words that stay, joined by spaces; or null) of each row."""
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("rid"))
     gone = repeated_windows(rows).groupBy("rid").agg(F.collect_set(F.struct("lo", "n", "mask")).alias("gone"))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return arrow.mapped(rows.join(gone, "rid", "left").select("doc_id", "text", "gone"), partial(_strip, keep_text=keep_text), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept string")
+    schema = arrow.with_column("doc_id", docs.schema[doc_id].dataType, "n_words long, n_removed long, kept_sha256 string, kept string")
+    return arrow.mapped(rows.join(gone, "rid", "left").select("doc_id", "text", "gone"), partial(_strip, keep_text=keep_text), schema)

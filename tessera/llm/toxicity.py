@@ -321,8 +321,7 @@ def tag(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text
     """doc_id, score, spans (offsets in code points and marginals of tokens above one half) of each row."""
     score = _scorer(docs.sparkSession, model, lambda batch: arrow.texts(batch.column(1)))
     cols = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return arrow.mapped(cols, score, f"doc_id {kind}, score double, spans {SPAN}")
+    return arrow.mapped(cols, score, arrow.with_column("doc_id", docs.schema[doc_id].dataType, f"score double, spans {SPAN}"))
 
 
 def _in_code_points(text: bytes, spans: list[tuple[int, int, float]]) -> list[dict]:
@@ -345,6 +344,5 @@ def keep_clean(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     """``docs`` with all columns, without the documents that are predicted toxic."""
     at = docs.columns.index(text)
     score = _scorer(docs.sparkSession, train(docs, labels, doc_id, text), lambda batch: arrow.texts(batch.column(0).field(at)))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return arrow.mapped(rows, score, f"row {kind}, score double, spans {SPAN}").filter(F.col("score") < 0.5).select("row.*")
+    rows = docs.select(F.struct("*").alias("row"))
+    return arrow.mapped(rows, score, arrow.with_column("row", rows.schema["row"].dataType, f"score double, spans {SPAN}")).filter(F.col("score") < 0.5).select("row.*")

@@ -35,12 +35,12 @@ ROWS = [
     (14, "repeated row", "en", "a", 12),
     (14, "repeated row", "en", "a", 12),
 ]
-EXTRA = ["row", "size", "fp", "kept", "label", "h1", "digest", "rid", "n"]
+EXTRA = ["row", "size", "fp", "kept", "label", "h1", "digest", "rid", "n", "a.b: c, d"]
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in EXTRA)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c.replace('`', '``')}` string" for c in EXTRA)
     return spark.createDataFrame([(*r, *EXTRA) for r in ROWS], schema)
 
 
@@ -151,7 +151,9 @@ def test_lines(docs, none):
     assert got == sorted(out, key=repr)
     assert sum(x[2] for x in got) == 3
     assert rows(line_dedup.decide(none)) == []
-    assert line_dedup.dedup_lines(docs).columns == docs.columns
+    kept = line_dedup.dedup_lines(docs)
+    assert kept.columns == docs.columns
+    assert sum(r["text"] is None for r in kept.collect()) == sum(r[1] is None for r in ROWS)
 
 
 def test_line_runs_are_levelled(spark, docs):
