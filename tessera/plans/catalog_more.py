@@ -455,3 +455,101 @@ def _(spark, sf):
     code = F.when(c("page_id") % 2 == 0, F.format_string("B3-%d-01", c("page_id") % 9)).otherwise(F.format_string("%d.1", 1101 + c("page_id") % 6000))
     fetched = pages(spark, sf).select("url", source.alias("source"), code.alias("section_code"), "html")
     return section_pages.parsed(fetched).select("url", "title", "part_code", "chapter_code", "word_count", "table_count", F.size("subsections").alias("subsections"), F.size("cross_references").alias("references"))
+
+
+# --- Files -----------------------------------------------------------------------------------------
+
+def _files(spark, sf):
+    """Each section as its markdown file."""
+    from ..sources import files
+
+    part, chapter, subpart = P.code_hierarchy(c("section_code"))
+    fields = F.struct(
+        "source", "section_code", "title", F.lit("https://h/x").alias("url"), part.alias("part"), F.lit("").alias("part_name"), chapter.alias("chapter"), F.lit("").alias("chapter_name"), subpart.alias("subpart"),
+        T.word_count(c("body")).alias("word_count"), F.array(c("section_code"), F.lit("B1-1-01")).alias("cross_references"), c("body").alias("content_markdown"), F.array(F.lit("SEL-2024-01 (May 1)")).alias("announcements"),
+    )
+    return C.sections(spark, sf).select("section_id", files.section_file(fields).alias("value"))
+
+
+@query("scl_12_section_files")
+def _(spark, sf):
+    return _files(spark, sf)
+
+
+@query("src_02_front_matter", rf"SELECT section_id, source, section_code, title, CAST({O.words('body')} AS BIGINT) AS words FROM ({guide.SECTIONS_SQL})")
+def _(spark, sf):
+    from ..sources import files
+
+    rows = _files(spark, sf).select("section_id", files.front_matter(c("value")).alias("f"))
+    field = lambda k: F.try_element_at("f.fields", F.lit(k)).alias(k)
+    return rows.select("section_id", field("source"), field("section_code"), field("title"), F.try_element_at("f.fields", F.lit("word_count")).cast("long").alias("words"))
+
+
+@query("scl_13_chunk_markers", f"{O.WITH_CHUNKS} SELECT section_id, count(*) AS markers FROM chunks GROUP BY section_id")
+def _(spark, sf):
+    from ..sources import files
+
+    chunks = C.headed(spark, sf)
+    lists = chunks.groupBy("section_id").agg(F.array_sort(F.collect_list(F.struct("seq", "heading", "chunk_id"))).alias("p"))
+    rows = C.sections(spark, sf).join(lists, "section_id")
+    parts = F.transform("p", lambda x: F.struct(x["heading"].alias("heading"), x["chunk_id"].alias("chunk_id")))
+    marked = rows.select("section_id", files.chunk_markers(c("body"), c("p")[0]["chunk_id"], parts).alias("text"))
+    return marked.select("section_id", F.regexp_count("text", F.lit("<!-- chunk: ")).cast("long").alias("markers"))
+
+
+def _section_pages(spark, sf):
+    """Sections as pages of the first guide."""
+    body = F.concat(F.lit("<nav aria-label='breadcrumb'><a>Part B</a><a>Chapter B3</a></nav><h1>"), c("section_code"), F.lit(", "), c("title"), F.lit(" (01/02/2024)</h1><div class='body-field'><p>"), F.repeat(F.lit("Some words to read here. "), 6), F.lit("</p><h2>Limits</h2><p>See <a href='/sel/b2-1.2-01/x'>LTV</a> and <a href='/sel/b2-1.2-01'>LTV</a>.</p><h3>Scores</h3><ul><li>"), c("title"), F.lit("<li>two</ul></div><h3>Related Announcements</h3><table><tr><th>Code<th>Date</tr><tr><td>SEL-2024-"), c("section_id").cast("string"), F.lit("<td>May 1</tr></table>"))
+    first = C.sections(spark, sf).filter("source = 'fannie_mae'")
+    return first.select(F.concat(F.lit("u"), c("section_id").cast("string")).alias("url"), "source", "section_code", body.alias("html"))
+
+
+_FIRST = f"SELECT * FROM ({guide.SECTIONS_SQL}) WHERE source = 'fannie_mae'"
+
+
+@query("htm_06_titles", f"SELECT 'u' || section_id AS url, CASE WHEN section_code LIKE 'ZZ%' THEN section_code || ', ' || title ELSE title END AS title, '2024-01-02' AS effective_date FROM ({_FIRST})")
+def _(spark, sf):
+    from ..sources import section_pages
+
+    return section_pages.parsed(_section_pages(spark, sf)).select("url", "title", "effective_date")
+
+
+@query("htm_11_breadcrumbs", f"SELECT 'u' || section_id AS url, 'Chapter B3' AS chapter_name FROM ({_FIRST})")
+def _(spark, sf):
+    from ..sources import section_pages
+
+    return section_pages.parsed(_section_pages(spark, sf)).select("url", "chapter_name")
+
+
+@query("htm_13_subsections", f"SELECT 'u' || section_id AS url, unnest(['Limits', 'Scores']) AS heading, unnest([2, 3]) AS level, unnest([false, true]) AS has_lists FROM ({_FIRST})")
+def _(spark, sf):
+    from ..sources import section_pages
+
+    rows = section_pages.parsed(_section_pages(spark, sf)).select("url", F.explode("subsections").alias("s"))
+    return rows.select("url", "s.heading", c("s.heading_level").alias("level"), "s.has_lists")
+
+
+@query("htm_14_cross_references", f"SELECT 'u' || section_id AS url, 'B2-1.2-01' AS code, 'LTV' AS text FROM ({_FIRST})")
+def _(spark, sf):
+    from ..sources import section_pages
+
+    rows = section_pages.parsed(_section_pages(spark, sf)).select("url", F.explode("cross_references").alias("r"))
+    return rows.select("url", c("r.target_section_code").alias("code"), c("r.link_text").alias("text"))
+
+
+@query("htm_15_announcements", f"SELECT 'u' || section_id AS url, 'SEL-2024-' || section_id AS code, 'May 1' AS date FROM ({_FIRST})")
+def _(spark, sf):
+    from ..sources import section_pages
+
+    rows = section_pages.parsed(_section_pages(spark, sf)).select("url", F.explode("related_announcements").alias("a"))
+    return rows.select("url", "a.code", "a.date")
+
+
+@query("res_02_fetch")
+def _(spark, sf):
+    """The table of pages replayed by a fetcher that knows one page."""
+    from ..operators import fetch
+    from .config import Config
+
+    found = pages(spark, sf).select("url", F.lit("freddie_mac").alias("source"), c("page_id").cast("string").alias("section_code"))
+    return fetch.fetched(found, lambda: fetch.TableFetcher({}), Config(max_retries=0, breaker_threshold=10**9), 0.0, 4, len).select("url", "status", "attempts")

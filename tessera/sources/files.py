@@ -138,3 +138,58 @@ def index_entries(chunks: DataFrame) -> DataFrame:
     fixed = ["chunk_id", "source", "section_code", "title", "heading", "content_type", "domains", "enumerations", "key_terms", "cross_source_links", "summary", "word_count", "has_table"]
     entry = F.struct(*fixed, some("entities"), requirement, some("numeric_constraints"), some("conditional_refs"))
     return chunks.select("chunk_id", F.to_json(entry).alias("entry"))
+
+
+def chunk_markers(markdown: Column, chunk_id: Column, headings: Column) -> Column:
+    """``markdown`` with the section's marker on top and a marker before each heading's first line.
+
+    ``headings`` is an array of (heading, chunk_id); a line counts if it is of level 2
+    or 3 and begins with the heading.
+    """
+
+    def mark(text: str, own: str | None, parts: list) -> str:
+        import re
+
+        text = f"<!-- chunk: {own} -->\n\n{text}" if own else text
+        for p in parts if parts is not None else []:
+            if p["heading"]:
+                found = re.compile(rf"^(?=#{{2,3}}\s+{re.escape(p['heading'])})", re.MULTILINE)
+                text = found.sub(lambda _, p=p: f"<!-- chunk: {p['chunk_id']} -->\n", text, count=1)
+        return text
+
+    def of(texts: pd.Series, ids: pd.Series, lists: pd.Series) -> pd.Series:
+        return pd.Series([mark(t or "", i, x) for t, i, x in zip(texts, ids, lists, strict=True)])
+
+    return F.pandas_udf(of, "string")(markdown, chunk_id, headings)
+
+
+FRONT_KEYS = ["source", "section_code", "title", "url", "part", "part_name", "chapter", "chapter_name"]
+FRONT_MORE = ["subpart", "subpart_name", "effective_date"]
+
+
+def render_front_matter(section: dict) -> str:
+    """YAML of a section's fields; optional ones only where they are known, references in order."""
+    import yaml
+
+    data = {k: section.get(k) or "" for k in FRONT_KEYS} | {k: section[k] for k in FRONT_MORE if section.get(k)}
+    data |= {k: int(section.get(k) or 0) for k in ("word_count", "table_count")}
+    references = section.get("cross_references")
+    if references is not None and len(references):
+        data["cross_references"] = sorted(set(references))
+    return yaml.safe_dump(data, default_flow_style=False, sort_keys=False, allow_unicode=True)
+
+
+def section_file(section: Column) -> Column:
+    """The markdown file of a section (a struct of its fields, content_markdown and announcements)."""
+
+    def render(s: dict) -> str:
+        lines = ["---", render_front_matter(s).rstrip(), "---", "", f"# {s['section_code']}: {s['title']}", "", s.get("content_markdown") or ""]
+        news = s.get("announcements")
+        if news is not None and len(news):
+            lines += ["", "---", "", f"*Related Announcements: {', '.join(news)}*"]
+        return "\n".join(lines)
+
+    def of(frame: pd.DataFrame) -> pd.Series:
+        return pd.Series([render(r) for r in frame.to_dict("records")])
+
+    return F.pandas_udf(of, "string")(section)
