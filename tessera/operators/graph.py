@@ -104,14 +104,21 @@ def vocabulary_table(spark: SparkSession) -> DataFrame:
 
 
 def statistics(chunks: DataFrame) -> DataFrame:
-    """total_edges, total_entity_values (pairs of entity and chunk), total_constraints: one row."""
-    pairs = chunks.select("chunk_id", F.explode("entities").alias("e")).distinct()
-    counts = [("total_edges", edges(chunks)), ("total_entity_values", pairs), ("total_constraints", limits(chunks))]
-    rows = None
-    for name, df in counts:
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows.groupBy().pivot("name", [n for n, _ in counts]).sum("n")
+    """total_edges, total_entity_values (pairs of entity and chunk), total_constraints: one row.
+
+    Chunks are passed over once: each gives its number of edges, its entities and its limits.
+    """
+    kind = "array<struct<kind:string,key:string,n:int>>"
+    bounds = F.aggregate(F.transform("numeric_constraints", lambda x: F.size(x["conditions"])), F.lit(0), lambda a, x: a + x)
+    own = F.array(F.struct(F.lit("edges").alias("kind"), F.lit(None).cast("string").alias("key"), (F.size("entities") + F.size("conditional_refs") + bounds).alias("n"))).cast(kind)
+    found = F.transform("entities", lambda e: F.struct(F.lit("entity").alias("kind"), F.concat_ws("\x01", "chunk_id", e).alias("key"), F.lit(0).alias("n"))).cast(kind)
+    limit = F.transform("numeric_constraints", lambda x: F.struct(F.lit("limit").alias("kind"), F.concat_ws("\x01", x["metric"], x["operator"], x["value"], x["unit"]).alias("key"), F.lit(0).alias("n"))).cast(kind)
+    facts = chunks.select(F.explode(F.concat(own, found, limit)).alias("f")).select("f.*")
+    of = lambda k: F.count_distinct(F.when(F.col("kind") == k, F.col("key")))
+    counts = facts.groupBy("kind", "key").agg(F.sum("n").alias("n")).agg(F.sum("n").alias("edges"), of("entity").alias("total_entity_values"), of("limit").alias("total_constraints"))
+    pairs = equivalent(chunks).agg(F.count(F.lit(1)).alias("pairs"))
+    both = counts.crossJoin(F.broadcast(pairs))  # one row each
+    return both.select((F.col("edges") + F.col("pairs") + len(V.IMPLICATIONS)).alias("total_edges"), "total_entity_values", "total_constraints")
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
