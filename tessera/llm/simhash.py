@@ -26,6 +26,7 @@ ignored.
 from __future__ import annotations
 
 import itertools
+import math
 from functools import reduce
 
 import numpy as np
@@ -33,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import arrow, scratch, skew
 from .components import components
@@ -241,13 +243,18 @@ def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     return skew.join_by_group(prints, classes, ["fp"], "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
-def word_fingerprint(words: list[bytes]) -> int:
-    """The fingerprint of the distinct words of a text: it moves less with an edit than one of shingles."""
-    if not words:
-        return 0
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in set(words)), dtype="<u8")
-    ones = sum(np.unpackbits(hashes[a : a + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for a in range(0, len(hashes), 65_536))
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+#: Buckets of up to so many nodes are compared pair by pair at once, larger ones first with one node.
+SMALL = 16
+#: Into so many parts a large bucket is dealt to be compared with one of its nodes.
+PARTS = 4
+#: Cells of the histogram of a shingle set that bounds what two sets can share.
+CELLS = 64
+#: Sets of more than this many shingles also have a histogram of ``FINE`` cells, a byte each.
+LONG = 1000
+FINE = 2048
+#: A shingle is common if more texts than this, and than a thousandth of all, hold it among their ``LOW`` least.
+COMMON = 256
+LOW = 16
 
 
 def shingle_set(words: list[bytes], size: int) -> np.ndarray:
@@ -256,92 +263,114 @@ def shingle_set(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, parts), dtype="<u8"))
 
 
-def near_pairs(values: np.ndarray, radius: int, per_value: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket within ``radius``: all of them while they are few, else those with the
-    value that has most neighbours and with each value's nearest four."""
-    differ = np.bitwise_count(values[:, None] ^ values[None, :])
-    np.fill_diagonal(differ, 255)
-    near = differ <= radius
-    if near.sum() > 2 * per_value * len(values):
-        few = np.zeros_like(near)
-        rows = np.arange(len(values))
-        for _ in range(4):
-            best = differ.argmin(axis=1)
-            few[rows, best] = True
-            differ[rows, best] = 255
-        few[:, near.sum(axis=0).argmax()] = True
-        near &= few
-    i, j = np.nonzero(near)
-    return np.minimum(values[i], values[j]), np.maximum(values[i], values[j])
-
-
-def candidate_pairs(fps: DataFrame, rows: int, radius: int, bucket: int = BUCKET) -> DataFrame:
-    """a, b: pairs of distinct fingerprints ``fps`` (a table on disk) within ``radius``, to be verified.
-
-    A bucket of more than ``bucket`` fingerprints is dealt into parts, which share
-    its least fingerprint; each key deals them anew.
-    """
-    chosen = masks(bit_counts(fps), rows, radius)
-    keyed = fps.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in chosen])).alias("mask"))
-    keyed = keyed.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
-    sizes = keyed.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("root")).filter("n > 1")
-    large = scratch.materialise(sizes.filter(F.col("n") > bucket), "simhash-large")
-    if large.isEmpty():
-        lists = keyed.groupBy("mask", "value").agg(F.collect_list("fp").alias("fps"))
-    else:
-        marked = keyed.join(skew.small(large), ["mask", "value"], "left")
-        parts = F.ceil(F.coalesce("n", F.lit(1)) / bucket)
-        marked = marked.withColumn("part", F.pmod(F.xxhash64("fp", "mask"), parts))
-        lists = marked.groupBy("mask", "value", "part").agg(F.collect_list("fp").alias("own"), F.any_value("root").alias("root"))
-        lists = lists.select(F.when(F.col("root").isNull(), F.col("own")).otherwise(F.array_union("own", F.array("root"))).alias("fps"))
+def set_id(shingles: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(shingles.tobytes())
 
-    def pairs(batch: pa.RecordBatch) -> dict:
-        flat, at = batch.column(0).flatten().to_numpy().view(np.uint64), np.cumsum([0, *[len(x) for x in batch.column(0)]])
-        found = [near_pairs(flat[a:b], radius) for a, b in itertools.pairwise(at)]
-        both = np.unique(np.stack([np.concatenate([f[i] for f in found]) for i in (0, 1)], axis=1), axis=0).view(np.int64)
-        return {"a": both[:, 0], "b": both[:, 1]}
 
-    return arrow.mapped(lists.select("fps").filter(F.size("fps") > 1), pairs, "a long, b long").distinct()
+def histogram(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles lie in each cell; two sets share at most the sum of the lesser counts."""
+    return np.bincount((shingles & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype("<u4")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 5) -> DataFrame:
-    """doc_id, component_id: documents linked by a similarity of word shingles of at least ``similarity``.
+def fine_histogram(shingles: np.ndarray) -> bytes | None:
+    """The same of a long set over more cells; none where a byte cannot hold a count."""
+    if len(shingles) <= LONG:
+        return None
+    counts = np.bincount((shingles & np.uint64(FINE - 1)).astype(np.int64), minlength=FINE)
+    return counts.astype(np.uint8).tobytes() if counts.max() <= 255 else None
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles in an order that all sets share (by hash, ``common`` ones last): of two sets
+    alike by ``similarity`` each prefix holds one of the other's, else too few would be left to share."""
+    keep = len(shingles) - math.ceil(similarity * len(shingles) - 1e-9) + 1
+    late = np.isin(shingles, common)
+    return np.concatenate([shingles[~late], shingles[late]])[:keep]
+
+
+def bucket_pairs(sigs: np.ndarray, labels: np.ndarray, cells: np.ndarray, fine: list[bytes | None], similarity: float) -> np.ndarray:
+    """Pairs of a bucket with different labels, without those that cannot be alike by ``similarity``."""
+    sizes, found = cells.sum(axis=1, dtype=np.int64), []
+    for k in range(len(sigs) - 1):
+        rest = k + 1 + np.flatnonzero((labels[k + 1 :] != labels[k]) & (np.minimum(sizes[k + 1 :], sizes[k]) >= similarity * np.maximum(sizes[k + 1 :], sizes[k])))
+        if len(rest):
+            share = np.minimum(cells[rest], cells[k]).sum(axis=1, dtype=np.int64)
+            rest = rest[share >= similarity * (sizes[rest] + sizes[k] - share)]
+            if fine[k] is not None and len(rest):
+                own = np.frombuffer(fine[k], np.uint8)
+                share = np.array([sizes[k] if fine[j] is None else np.minimum(own, np.frombuffer(fine[j], np.uint8)).sum(dtype=np.int64) for j in rest])
+                rest = rest[share >= similarity * (sizes[rest] + sizes[k] - share)]
+            found.append(np.stack([np.minimum(sigs[rest], sigs[k]), np.maximum(sigs[rest], sigs[k])], axis=1))
+    return np.concatenate(found) if found else np.empty((0, 2), dtype=np.int64)
+
+
+def _near_classes(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, sig and the columns of ``docs`` as a struct) and classes (sig, n, best).
 
-    Fingerprints of the distinct words retrieve candidates within ``radius`` bits;
-    these are verified by the Jaccard similarity of their shingle sets.  Rows with
-    equal shingle sets are one node.
+    Rows with equal shingle sets are one node, ``sig``.  Candidates are nodes that share a
+    shingle of their prefixes, which all pairs alike by ``similarity`` do, so that nothing
+    is missed.  ``best`` is the row that stays of a component: that of the least id (null
+    ids come last), then the first.
     """
 
     def sign(batch: pa.RecordBatch) -> dict:
-        found = [(word_fingerprint(w), xxhash.xxh3_64_intdigest(shingle_set(w, shingle).tobytes())) for w in map(words_of, arrow.texts(batch.column(1)))]
-        both = np.array(found, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        return {"doc_id": batch.column(0), "fp": both[:, 0], "sig": both[:, 1]}
-
-    cols = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    signed = scratch.materialise(arrow.mapped(cols, sign, "doc_id long, fp long, sig long"), "near-signed")
-    nodes = signed.groupBy("sig").agg(F.min("doc_id").alias("first"), F.any_value("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
+        sets = [shingle_set(words_of(t), shingle) for t in arrow.texts(batch.column("text"))]
+        out = {k: batch.column(k) for k in ("row", "id", "text", "data")}
+        out["sig"] = np.array([set_id(x) for x in sets], dtype=np.uint64).view(np.int64)
+        out["low"] = pa.array([x[:LOW].view(np.int64) for x in sets], pa.list_(pa.int64()))
+        return out | {"cells": pa.array([histogram(x).tobytes() for x in sets], pa.binary()), "fine": pa.array(list(map(fine_histogram, sets)), pa.binary())}
+
+    cols = docs.select(F.monotonically_increasing_id().alias("row"), docs[doc_id].cast("long").alias("id"), docs[text].alias("text"), F.struct("*").dropFields(f"`{text}`").alias("data"))
+    kind = StructType([*cols.schema.fields, *StructType.fromDDL("sig long, low array<long>, cells binary, fine binary").fields])
+    signed = scratch.materialise(arrow.mapped(cols, sign, kind), "near-signed")
+    best = F.struct(F.col("id").isNull().alias("nil"), "id", "row")
+    nodes = signed.groupBy("sig").agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("n"))
     nodes = scratch.materialise(nodes, "near-nodes")
-    fps = scratch.materialise(nodes.groupBy("fp").agg(F.min("sig").alias("root")), "near-fingerprints")
-    rows = fps.count()
-    pairs = nodes.join(fps, "fp").filter("sig <> root").select(F.col("sig").alias("a"), F.col("root").alias("b"))
-    if rows > 1:
-        roots = [fps.select(F.col("fp").alias(k), F.col("root").alias(f"root_{k}")) for k in "ab"]
-        found = scratch.materialise(candidate_pairs(fps, rows, radius), "near-pairs")
-        pairs = pairs.unionByName(found.join(roots[0], "a").join(roots[1], "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-    pairs = scratch.materialise(pairs, "near-candidates")
+    rows = nodes.count()
+    features = signed.select("row", "sig", "low", "cells", "fine").join(nodes.select("sig", F.col("best.row").alias("row")), ["row", "sig"])
+    features = scratch.materialise(features.select("sig", "low", "cells", "fine"), "near-features")
+
+    # Any choice of common shingles is right; a good one keeps buckets small.
+    seen = features.select(F.explode("low").alias("key")).groupBy("key").count()
+    common = np.array([r["key"] for r in seen.filter(F.col("count") > max(COMMON, rows // 1000)).collect()], dtype=np.int64).view(np.uint64)  # at most 1,000 LOW rows
+
+    def keys(batch: pa.RecordBatch) -> dict:
+        found = {}  # of rows with one sig in a batch one is enough
+        for t, sig in zip(arrow.texts(batch.column("text")), batch.column("sig").to_pylist(), strict=True):
+            if sig not in found:
+                found[sig] = prefix(shingle_set(words_of(t), shingle), common, similarity)
+        sizes = [len(x) for x in found.values()]
+        flat = np.concatenate([*found.values(), np.empty(0, "<u8")]).view(np.int64)
+        return {"key": flat, "sig": np.repeat(np.array(list(found), dtype=np.int64), sizes)}
+
+    lists = arrow.mapped(signed.select("text", "sig"), keys, "key long, sig long").repartition("key")
+    lists = lists.groupBy("key").agg(F.collect_set("sig").alias("sigs")).filter(F.size("sigs") > 1)
+    buckets = scratch.materialise(lists.select(F.array_sort("sigs").alias("sigs")).distinct(), "near-buckets")
+    buckets = scratch.materialise(buckets.withColumn("bucket", F.monotonically_increasing_id()), "near-buckets")
 
-    # The shingle sets of the nodes in question, from one text each.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(nodes, "sig").select("sig", F.col("first").alias("of"))
-    source = cols.join(wanted, F.col("doc_id") == F.col("of")).select("sig", "text")
+    def pairs(batch: pa.RecordBatch) -> dict:
+        found = [np.empty((0, 2), dtype=np.int64)]
+        for members in batch.column(0):
+            x = members.values
+            cells = np.frombuffer(b"".join(x.field("cells").to_pylist()), "<u4").reshape(-1, CELLS)
+            found.append(bucket_pairs(x.field("sig").to_numpy(), x.field("label").to_numpy(), cells, x.field("fine").to_pylist(), similarity))
+        both = np.unique(np.concatenate(found), axis=0)
+        return {"a": both[:, 0], "b": both[:, 1]}
 
-    def sets(batch: pa.RecordBatch) -> dict:
-        found = [shingle_set(words_of(t), shingle) for t in arrow.texts(batch.column(1))]
-        own = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in found], dtype=np.uint64).view(np.int64) == batch.column(0).to_numpy()
-        at = np.flatnonzero(own)  # of several rows with one id the one that is meant
-        return {"sig": batch.column(0).take(pa.array(at)), "set": pa.array([found[k].tobytes() for k in at], pa.binary())}
+    def compared(members: DataFrame) -> DataFrame:
+        """a, b: the pairs of the buckets of ``members`` (bucket, part, sig, label) that may be alike."""
+        full = members.join(features.select("sig", "cells", "fine"), "sig").groupBy("bucket", "part").agg(F.collect_list(F.struct("sig", "label", "cells", "fine")).alias("members"))
+        return arrow.mapped(full.select("members"), pairs, "a long, b long").distinct()
 
-    shingles = scratch.materialise(arrow.mapped(source, sets, "sig long, set binary"), "near-sets")
-    left, right = (shingles.select(F.col("sig").alias(k), F.col("set").alias(f"set_{k}")) for k in "ab")
+    def against_one(lists: DataFrame) -> DataFrame:
+        """The input of ``compared`` for the least node of each bucket against the others."""
+        rest = lists.select("bucket", F.col("sigs")[0].alias("own"), F.explode("sigs").alias("sig")).filter("sig <> own")
+        rest = scratch.materialise(rest.withColumn("part", F.pmod(F.xxhash64("sig"), F.lit(PARTS)).cast("int")), "near-rest")
+        one = rest.select("bucket", "part", F.col("own").alias("sig"), F.lit(0).cast("long").alias("label")).distinct()
+        return one.unionByName(rest.select("bucket", "part", "sig", F.lit(1).cast("long").alias("label")))
+
+    def sets(batch: pa.RecordBatch) -> dict:
+        return {"sig": batch.column(0), "set": pa.array([shingle_set(words_of(t), shingle).tobytes() for t in arrow.texts(batch.column(1))], pa.binary())}
 
     def verify(batch: pa.RecordBatch) -> dict:
         keep = []
@@ -354,17 +383,52 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         at = pa.array(keep, pa.int64())
         return {k: batch.column(k).take(at) for k in "ab"}
 
-    links = arrow.mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), verify, "a long, b long")
-    labels = components(scratch.materialise(links, "near-links"))
-    members = scratch.materialise(labels.join(nodes, labels["node"] == nodes["sig"]).select("sig", "label", "first"), "near-members")
-    least = scratch.materialise(members.groupBy("label").agg(F.min("first").alias("least")), "near-least")
-    known = scratch.materialise(members.join(least, "label").select("sig", "least"), "near-known")
-    classes = scratch.materialise(nodes.join(known, "sig", "left").select("sig", "n", F.coalesce("least", "first").alias("component_id")), "near-classes")
-    return skew.join_by_group(signed.select("doc_id", "sig"), classes, ["sig"], "n", signed.count()).select("doc_id", "component_id")
+    def verified(candidates: DataFrame) -> DataFrame:
+        candidates = scratch.materialise(candidates, "near-candidates")
+        wanted = candidates.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(nodes, "sig").select("sig", F.col("best.row").alias("row"))
+        wanted = skew.small(scratch.materialise(wanted, "near-wanted"))
+        shingles = scratch.materialise(arrow.mapped(signed.select("row", "text").join(wanted, "row").select("sig", "text"), sets, "sig long, set binary"), "near-sets")
+        left, right = (shingles.select(F.col("sig").alias(k), F.col("set").alias(f"set_{k}")) for k in "ab")
+        return scratch.materialise(arrow.mapped(candidates.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), verify, "a long, b long"), "near-links")
+
+    none = F.lit(0)
+    few = buckets.filter(F.size("sigs") <= SMALL).select("bucket", none.alias("part"), F.explode("sigs").alias("sig")).withColumn("label", F.col("sig"))
+    many = buckets.filter(F.size("sigs") > SMALL)
+    links = verified(compared(few.unionByName(against_one(many))))
+    labels = components(links)
+
+    # What is linked already need not be compared; in large buckets all else is, pair by pair.
+    members = many.select("bucket", F.explode("sigs").alias("sig")).join(labels, F.col("sig") == labels["node"], "left")
+    members = scratch.materialise(members.select("bucket", none.alias("part"), "sig", F.coalesce("label", "sig").alias("label")), "near-members")
+    mixed = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
+    more = verified(compared(members.join(mixed, "bucket")))
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
+
+    linked = scratch.materialise(labels.join(nodes, labels["node"] == nodes["sig"]).select("sig", "label", "best"), "near-linked")
+    least = scratch.materialise(linked.groupBy("label").agg(F.min("best").alias("least")), "near-least")
+    known = scratch.materialise(linked.join(least, "label").select("sig", "least"), "near-known")
+    return signed, scratch.materialise(nodes.join(known, "sig", "left").select("sig", "n", F.coalesce("least", "best").alias("best")), "near-classes")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, component_id: documents linked by a similarity of word shingles of at least ``similarity``.
+
+    The links are those of all pairs.  ``component_id`` is null only if all ids of a component are.
+    """
+    signed, classes = _near_classes(docs, doc_id, text, shingle, similarity)
+    return skew.join_by_group(signed.select("id", "sig"), classes, ["sig"], "n", signed.count()).select(F.col("id").alias("doc_id"), F.col("best.id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with all columns, reduced to the smallest id of each group of near-duplicates."""
-    found = near_duplicates(docs, doc_id, text)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(skew.small(scratch.materialise(gone, "near-gone")), docs[doc_id].eqNullSafe(F.col("__gone")), "left_anti")
+    """``docs`` with all columns, reduced to one row of each group of near-duplicates.
+
+    That is the row of the smallest id; a null id comes after all others, and of rows
+    with equal ids one stays.  Rows are told apart by place, not by id, so null and
+    repeated ids cost no other row.
+    """
+    signed, classes = _near_classes(docs, doc_id, text, 5, 0.8)
+    rows = skew.join_by_group(signed.select("row", "sig"), classes, ["sig"], "n", signed.count())
+    gone = scratch.materialise(rows.filter("row <> best.row").select("row"), "near-gone")
+    kept = signed.select("row", "text", "data").join(skew.small(gone), "row", "left_anti")
+    return kept.select(*[F.col("text").alias(c) if c == text else F.col("data").getField(c).alias(c) for c in docs.columns])
