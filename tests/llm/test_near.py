@@ -50,3 +50,22 @@ def check(spark, rows):
 def test_all_merges_of_a_whole_table_are_found(spark):
     docs = line_dedup.dedup_lines(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     check(spark, [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
+
+
+def edited(rng, words, share):
+    """``words`` with a block of ``share`` of them replaced, which takes about as many shingles."""
+    n = int(len(words) * share)
+    at = int(rng.integers(0, len(words) - n + 1))
+    return [*words[:at], *[f"e{x}" for x in rng.integers(0, 1 << 60, n)], *words[at + n :]]
+
+
+def test_near_copies_in_a_large_bucket_are_found(spark):
+    """Over 256 texts of nearly one word set: a template, and pairs alike only to each other."""
+    rng, rows = np.random.default_rng(11), []
+    words = [f"w{k}" for k in range(120)]
+    for _ in range(300):
+        rows.append((len(rows), " ".join(edited(rng, words, 0.05))))
+    for _ in range(150):
+        own = list(rng.permutation(words))
+        rows += [(len(rows), " ".join(own)), (len(rows) + 1, " ".join(edited(rng, own, 0.03)))]
+    check(spark, rows)
