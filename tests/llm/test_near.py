@@ -69,3 +69,15 @@ def test_near_copies_in_a_large_bucket_are_found(spark):
         own = list(rng.permutation(words))
         rows += [(len(rows), " ".join(own)), (len(rows) + 1, " ".join(edited(rng, own, 0.03)))]
     check(spark, rows)
+
+
+def test_the_true_copy_behind_nearer_fingerprints_is_found(spark):
+    """Texts of one word set in other orders are nearer by their words than the copy by shingles."""
+    rng, rows = np.random.default_rng(12), []
+    words = [f"w{k}" for k in range(100)]
+    for _ in range(40):
+        own = list(rng.permutation(words))
+        for _ in range(10):
+            rows.append((len(rows), " ".join(rng.permutation(edited(rng, words, 0.01)))))
+        rows += [(len(rows), " ".join(own)), (len(rows) + 1, " ".join(edited(rng, own, 0.06)))]
+    check(spark, rows)
