@@ -81,3 +81,13 @@ def test_the_true_copy_behind_nearer_fingerprints_is_found(spark):
             rows.append((len(rows), " ".join(rng.permutation(edited(rng, words, 0.01)))))
         rows += [(len(rows), " ".join(own)), (len(rows) + 1, " ".join(edited(rng, own, 0.06)))]
     check(spark, rows)
+
+
+def test_links_between_texts_of_one_word_set_are_found(spark):
+    """Many orders of the same words, each with a copy that repeats its last words."""
+    rng, rows = np.random.default_rng(13), []
+    words = [f"w{k}" for k in range(80)]
+    for _ in range(20):
+        own = list(rng.permutation(words))
+        rows += [(len(rows), " ".join(own)), (len(rows) + 1, " ".join([*own, *own[-6:]]))]
+    check(spark, rows)
