@@ -91,3 +91,22 @@ def test_links_between_texts_of_one_word_set_are_found(spark):
         own = list(rng.permutation(words))
         rows += [(len(rows), " ".join(own)), (len(rows) + 1, " ".join([*own, *own[-6:]]))]
     check(spark, rows)
+
+
+def test_null_and_repeated_ids_cost_no_other_row(spark):
+    rng = np.random.default_rng(14)
+    a, b, c, d, e = (" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 100)) for _ in range(5))
+    rows = [
+        (1, a), (None, f"{a} end"),  # the null row goes
+        (None, b),  # unique: stays
+        (2, c), (7, f"{c} end"), (7, d),  # only the copy under 7 goes
+        (None, e), (None, f"{e} end"), (None, f"{e} end"),  # null ids only: one stays
+        (9, None), (9, ""),  # equal ids and shingles: one stays
+    ]
+    got = [(r["doc_id"], r["text"]) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == 6
+    assert {(1, a), (None, b), (2, c), (7, d)} <= set(got)
+    assert len([1 for i, t in got if i is None and t.startswith(e)]) == 1 and len([1 for i, _ in got if i == 9]) == 1
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    assert sorted(str(r["component_id"]) for r in found if r["doc_id"] is None) == ["1", "None", "None", "None", "None"]
