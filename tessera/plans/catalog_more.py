@@ -96,6 +96,11 @@ def _(spark, sf):
     return C.documents(spark, sf).filter(c("text").rlike(r"\A[\x20-\x7e\n]*\z")).select("doc_id", P.tidy(c("text")).alias("text"))
 
 
+@query("htm_18_white_space_all")
+def _(spark, sf):
+    return C.documents(spark, sf).select("doc_id", P.tidy(c("text")).alias("text"))
+
+
 _DATED = f"SELECT section_id, CASE section_id % 4 WHEN 0 THEN 'Effective: ' || (1 + section_id % 12) || '/' || (1 + section_id % 28) || '/2023' WHEN 1 THEN 'Updated 13/40/2021 and 2/3/2022' WHEN 2 THEN 'on 7/9/2020 only' ELSE 'none' END AS text FROM ({guide.SECTIONS_SQL})"
 
 
