@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DataType, StructField, StructType
@@ -44,3 +45,43 @@ def mapped(df: DataFrame, batch_of: Callable[[pa.RecordBatch], Iterator[dict] |
         pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
+
+
+def grouped(df: DataFrame, keys: list[str], of: Callable[[dict, list[tuple[int, int]]], dict], schema: str) -> DataFrame:
+    """``of`` (columns, ranges of rows with equal ``keys``) over ``df``, dealt and sorted by these keys (integers).
+
+    Groups are never cut, and a task holds one batch and the group that runs on, so
+    groups should be bounded.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    types = to_arrow_schema(StructType.fromDDL(schema))
+
+    def ranges(table: pa.Table) -> np.ndarray:
+        cols = [table.column(k).to_numpy() for k in keys]
+        new = np.zeros(table.num_rows, dtype=bool)
+        new[:1] = True
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(new)
+
+    def done(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        cols = {c: table.column(c).combine_chunks() for c in table.column_names}
+        out = of(cols, list(zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in types], schema=types)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                table = pa.Table.from_batches([batch])
+                table = pa.concat_tables([held, table]) if held is not None else table
+                starts = ranges(table)
+                if len(starts) > 1:
+                    yield done(table.slice(0, starts[-1]), starts[:-1])
+                held = table.slice(starts[-1])
+        if held is not None:
+            yield done(held, np.zeros(1, dtype=np.int64))
+        pa.default_memory_pool().release_unused()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

@@ -38,6 +38,7 @@ from pyspark.sql.types import StructType
 
 from . import arrow, scratch, skew
 from .components import components
+from .words import Words, hashes, mixed, slices
 
 RADIUS = 2
 SHINGLE = 3
@@ -162,18 +163,18 @@ def mask_of(bits) -> int:
     return reduce(lambda m, b: m | (1 << b), bits, 0)
 
 
-def masks(counts: np.ndarray, rows: int, radius: int = RADIUS) -> list[int]:
-    """The masks of the keys: of the cheapest number of partitions and their thresholds."""
+def masks(counts: np.ndarray, rows: int, radius: int = RADIUS, key_cost: float = KEY_COST, most: int = 5) -> list[int]:
+    """The masks of the keys: of the cheapest number (2 to ``most``) of partitions and their thresholds."""
     choices = []
-    for m in range(2, 6):
+    for m in range(2, most + 1):
         parts, costs = partitions(counts, rows, m), []
         for part in parts:
-            keys = [len(list(itertools.combinations(part, t))) for t in range(radius + 1)]
             share = near_share(counts, rows, part, radius)
-            costs.append([0.0] + [rows * rows / 2 * share[t] + KEY_COST * rows * keys[t] for t in range(radius + 1)])
+            costs.append([0.0] + [rows * rows / 2 * share[t] + key_cost * rows * math.comb(len(part), t) for t in range(min(radius, len(part)) + 1)])
         price, chosen = allocate(costs, radius - m + 1)
-        choices.append((price, m, [mask_of(set(part) - set(out)) for part, t in zip(parts, chosen, strict=True) if t >= 0 for out in itertools.combinations(part, t)]))
-    return min(choices)[2]
+        choices.append((price, m, parts, chosen))
+    _, _, parts, chosen = min(choices, key=lambda c: c[:2])
+    return [mask_of(set(part) - set(out)) for part, t in zip(parts, chosen, strict=True) if t >= 0 for out in itertools.combinations(part, t)]
 
 
 def refined(mask: int, radius: int = RADIUS) -> list[int]:
@@ -243,10 +244,18 @@ def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     return skew.join_by_group(prints, classes, ["fp"], "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
-#: Buckets of up to so many nodes are compared pair by pair at once, larger ones first with one node.
-SMALL = 16
-#: Into so many parts a large bucket is dealt to be compared with one of its nodes.
-PARTS = 4
+#: Texts alike by ``NEAR_SIMILARITY`` of their five-word shingles are probed within this many bits of their words' fingerprints.
+NEAR_RADIUS = 10
+NEAR_SHINGLE = 5
+NEAR_SIMILARITY = 0.8
+#: Cost of a key against that of a compared pair where members are compared as whole arrays.
+NEAR_KEY_COST = 500.0
+#: A bucket of more nodes than this is compared block by block.
+BLOCK = 1024
+#: A cell with more than so many pairs a node gives stars instead of pairs.
+DENSE = 2
+#: Up to so many rows of one or two longs are broadcast.
+NARROW_ROWS = 500_000
 #: Cells of the histogram of a shingle set that bounds what two sets can share.
 CELLS = 64
 #: Sets of more than this many shingles also have a histogram of ``FINE`` cells, a byte each.
@@ -263,8 +272,26 @@ def shingle_set(words: list[bytes], size: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, parts), dtype="<u8"))
 
 
-def set_id(shingles: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(shingles.tobytes())
+def word_sets(texts: list[bytes], size: int):
+    """For each text its distinct word hashes and its distinct shingle hashes, sorted; of whole arrays of texts at a time."""
+    for a, b in slices(texts):
+        words = Words(texts[a:b], lower=True)
+        h = hashes(words.data, words.starts, words.ends)
+        run = h
+        for k in range(1, size):
+            run = mixed(run, np.append(h[k:], np.zeros(min(k, len(h)), np.uint64))[: len(h)])
+        for lo, hi in itertools.pairwise(words.first):
+            own = h[lo:hi]
+            shingles = np.unique(run[lo : hi - size + 1]) if hi - lo >= size else np.array([xxhash.xxh3_64_intdigest(own.tobytes(), len(own))], dtype=np.uint64)
+            yield np.unique(own), shingles
+
+
+def words_fingerprint(words: np.ndarray) -> int:
+    """SimHash of a set of word hashes."""
+    if not len(words):
+        return 0
+    bits = np.unpackbits(mixed(words, words).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return int(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(words), bitorder="little").view("<u8")[0])
 
 
 def histogram(shingles: np.ndarray) -> np.ndarray:
@@ -288,136 +315,220 @@ def prefix(shingles: np.ndarray, common: np.ndarray, similarity: float) -> np.nd
     return np.concatenate([shingles[~late], shingles[late]])[:keep]
 
 
-def bucket_pairs(sigs: np.ndarray, labels: np.ndarray, cells: np.ndarray, fine: list[bytes | None], similarity: float) -> np.ndarray:
-    """Pairs of a bucket with different labels, without those that cannot be alike by ``similarity``."""
+def probed(codes: np.ndarray, sizes: np.ndarray, own: np.ndarray, earlier: np.ndarray, radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs to verify (positions) among the members of one cell.
+
+    They lie within ``radius``, are of sizes that allow the similarity, and did not
+    meet under an ``earlier`` mask.  Where these are many, stars that cover the
+    members stand for them.
+    """
+    near = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= radius
+    near &= np.minimum(sizes[:, None], sizes[None, :]) >= similarity * np.maximum(sizes[:, None], sizes[None, :])
+    if own.max() != own.min():  # blocks of one bucket: their own pairs are in other cells
+        near &= own[:, None] != own[None, :]
+    np.fill_diagonal(near, False)
+    i, j = np.nonzero(np.triu(near))
+    if len(i):
+        first = np.ones(len(i), dtype=bool)
+        differ = codes[i] ^ codes[j]
+        for mask in earlier:
+            first &= (differ & mask) != 0
+        i, j = i[first], j[first]
+    if len(i) <= DENSE * len(codes):
+        return i, j
+    left, right, todo, degree = [], [], np.ones(len(codes), dtype=bool), near.sum(axis=1)
+    while degree.max() > DENSE:
+        hub = int(degree.argmax())
+        reached = near[hub] & todo
+        left.append(np.full(int(reached.sum()), hub))
+        right.append(np.flatnonzero(reached))
+        todo[reached] = False
+        degree = degree - near[:, reached].sum(axis=1)
+    i, j = np.nonzero(np.triu(near & todo[:, None] & todo[None, :]))
+    return np.concatenate([*left, i]), np.concatenate([*right, j])
+
+
+def bucket_pairs(nodes: np.ndarray, labels: np.ndarray, own: np.ndarray, cells: np.ndarray, fine: list[bytes | None], similarity: float) -> np.ndarray:
+    """Pairs of a cell with different labels, without those that cannot be alike by ``similarity``."""
     sizes, found = cells.sum(axis=1, dtype=np.int64), []
-    for k in range(len(sigs) - 1):
-        rest = k + 1 + np.flatnonzero((labels[k + 1 :] != labels[k]) & (np.minimum(sizes[k + 1 :], sizes[k]) >= similarity * np.maximum(sizes[k + 1 :], sizes[k])))
+    apart = own.max() != own.min()
+    for k in range(len(nodes) - 1):
+        ok = (labels[k + 1 :] != labels[k]) & (np.minimum(sizes[k + 1 :], sizes[k]) >= similarity * np.maximum(sizes[k + 1 :], sizes[k]))
+        if apart:
+            ok &= own[k + 1 :] != own[k]
+        rest = k + 1 + np.flatnonzero(ok)
         if len(rest):
             share = np.minimum(cells[rest], cells[k]).sum(axis=1, dtype=np.int64)
             rest = rest[share >= similarity * (sizes[rest] + sizes[k] - share)]
             if fine[k] is not None and len(rest):
-                own = np.frombuffer(fine[k], np.uint8)
-                share = np.array([sizes[k] if fine[j] is None else np.minimum(own, np.frombuffer(fine[j], np.uint8)).sum(dtype=np.int64) for j in rest])
+                mine = np.frombuffer(fine[k], np.uint8)
+                share = np.array([sizes[k] if fine[j] is None else np.minimum(mine, np.frombuffer(fine[j], np.uint8)).sum(dtype=np.int64) for j in rest])
                 rest = rest[share >= similarity * (sizes[rest] + sizes[k] - share)]
-            found.append(np.stack([np.minimum(sigs[rest], sigs[k]), np.maximum(sigs[rest], sigs[k])], axis=1))
+            found.append(np.stack([np.minimum(nodes[rest], nodes[k]), np.maximum(nodes[rest], nodes[k])], axis=1))
     return np.concatenate(found) if found else np.empty((0, 2), dtype=np.int64)
 
 
-def _near_classes(docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, sig and the columns of ``docs`` as a struct) and classes (sig, n, best).
+def in_blocks(rows: DataFrame, count: str, block: int = BLOCK) -> DataFrame:
+    """``rows`` with own (the block of a node in its bucket of ``count`` rows) and cell (a pair of blocks), once a cell."""
+    blocks = F.ceil(F.col(count) / block).cast("long")
+    own = F.pmod(F.xxhash64("node", F.lit(5)), blocks)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return rows.withColumn("cell", F.least("own", "other") * (1 << 31) + F.greatest("own", "other")).drop("other", count)
+
+
+class NearTexts:
+    """Classes and links of the rows of one table.
+
+    Rows with equal shingle sets are one node (its least row).  Pairs are found twice:
 
-    Rows with equal shingle sets are one node, ``sig``.  Candidates are nodes that share a
-    shingle of their prefixes, which all pairs alike by ``similarity`` do, so that nothing
-    is missed.  ``best`` is the row that stays of a component: that of the least id (null
-    ids come last), then the first.
+    1. *SimHash.*  Fingerprints of the words within ``NEAR_RADIUS`` bits meet under a
+       mask of the generalised pigeonhole principle and are verified by their shingles.
+       A cell of many pairs gives stars instead.
+    2. *What fingerprints cannot promise.*  Two texts alike by the similarity share a
+       shingle of their prefixes.  Nodes that do and are not linked yet are compared, so no link
+       is lost to a fingerprint's chance or to a star.
     """
 
-    def sign(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(words_of(t), shingle) for t in arrow.texts(batch.column("text"))]
-        out = {k: batch.column(k) for k in ("row", "id", "text", "data")}
-        out["sig"] = np.array([set_id(x) for x in sets], dtype=np.uint64).view(np.int64)
-        out["low"] = pa.array([x[:LOW].view(np.int64) for x in sets], pa.list_(pa.int64()))
-        return out | {"cells": pa.array([histogram(x).tobytes() for x in sets], pa.binary()), "fine": pa.array(list(map(fine_histogram, sets)), pa.binary())}
-
-    cols = docs.select(F.monotonically_increasing_id().alias("row"), docs[doc_id].cast("long").alias("id"), docs[text].alias("text"), F.struct("*").dropFields(f"`{text}`").alias("data"))
-    kind = StructType([*cols.schema.fields, *StructType.fromDDL("sig long, low array<long>, cells binary, fine binary").fields])
-    signed = scratch.materialise(arrow.mapped(cols, sign, kind), "near-signed")
-    best = F.struct(F.col("id").isNull().alias("nil"), "id", "row")
-    nodes = signed.groupBy("sig").agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("n"))
-    nodes = scratch.materialise(nodes, "near-nodes")
-    rows = nodes.count()
-    features = signed.select("row", "sig", "low", "cells", "fine").join(nodes.select("sig", F.col("best.row").alias("row")), ["row", "sig"])
-    features = scratch.materialise(features.select("sig", "low", "cells", "fine"), "near-features")
-
-    # Any choice of common shingles is right; a good one keeps buckets small.
-    seen = features.select(F.explode("low").alias("key")).groupBy("key").count()
-    common = np.array([r["key"] for r in seen.filter(F.col("count") > max(COMMON, rows // 1000)).collect()], dtype=np.int64).view(np.uint64)  # at most 1,000 LOW rows
-
-    def keys(batch: pa.RecordBatch) -> dict:
-        found = {}  # of rows with one sig in a batch one is enough
-        for t, sig in zip(arrow.texts(batch.column("text")), batch.column("sig").to_pylist(), strict=True):
-            if sig not in found:
-                found[sig] = prefix(shingle_set(words_of(t), shingle), common, similarity)
-        sizes = [len(x) for x in found.values()]
-        flat = np.concatenate([*found.values(), np.empty(0, "<u8")]).view(np.int64)
-        return {"key": flat, "sig": np.repeat(np.array(list(found), dtype=np.int64), sizes)}
-
-    lists = arrow.mapped(signed.select("text", "sig"), keys, "key long, sig long").repartition("key")
-    lists = lists.groupBy("key").agg(F.collect_set("sig").alias("sigs")).filter(F.size("sigs") > 1)
-    buckets = scratch.materialise(lists.select(F.array_sort("sigs").alias("sigs")).distinct(), "near-buckets")
-    buckets = scratch.materialise(buckets.withColumn("bucket", F.monotonically_increasing_id()), "near-buckets")
-
-    def pairs(batch: pa.RecordBatch) -> dict:
-        found = [np.empty((0, 2), dtype=np.int64)]
-        for members in batch.column(0):
-            x = members.values
-            cells = np.frombuffer(b"".join(x.field("cells").to_pylist()), "<u4").reshape(-1, CELLS)
-            found.append(bucket_pairs(x.field("sig").to_numpy(), x.field("label").to_numpy(), cells, x.field("fine").to_pylist(), similarity))
-        both = np.unique(np.concatenate(found), axis=0)
-        return {"a": both[:, 0], "b": both[:, 1]}
-
-    def compared(members: DataFrame) -> DataFrame:
-        """a, b: the pairs of the buckets of ``members`` (bucket, part, sig, label) that may be alike."""
-        full = members.join(features.select("sig", "cells", "fine"), "sig").groupBy("bucket", "part").agg(F.collect_list(F.struct("sig", "label", "cells", "fine")).alias("members"))
-        return arrow.mapped(full.select("members"), pairs, "a long, b long").distinct()
-
-    def against_one(lists: DataFrame) -> DataFrame:
-        """The input of ``compared`` for the least node of each bucket against the others."""
-        rest = lists.select("bucket", F.col("sigs")[0].alias("own"), F.explode("sigs").alias("sig")).filter("sig <> own")
-        rest = scratch.materialise(rest.withColumn("part", F.pmod(F.xxhash64("sig"), F.lit(PARTS)).cast("int")), "near-rest")
-        one = rest.select("bucket", "part", F.col("own").alias("sig"), F.lit(0).cast("long").alias("label")).distinct()
-        return one.unionByName(rest.select("bucket", "part", "sig", F.lit(1).cast("long").alias("label")))
-
-    def sets(batch: pa.RecordBatch) -> dict:
-        return {"sig": batch.column(0), "set": pa.array([shingle_set(words_of(t), shingle).tobytes() for t in arrow.texts(batch.column(1))], pa.binary())}
-
-    def verify(batch: pa.RecordBatch) -> dict:
-        keep = []
-        for k, (x, y) in enumerate(zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True)):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            if min(len(x), len(y)) >= similarity * max(len(x), len(y)):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if both >= similarity * (len(x) + len(y) - both):
-                    keep.append(k)
-        at = pa.array(keep, pa.int64())
-        return {k: batch.column(k).take(at) for k in "ab"}
-
-    def verified(candidates: DataFrame) -> DataFrame:
-        candidates = scratch.materialise(candidates, "near-candidates")
-        wanted = candidates.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(nodes, "sig").select("sig", F.col("best.row").alias("row"))
-        wanted = skew.small(scratch.materialise(wanted, "near-wanted"))
-        shingles = scratch.materialise(arrow.mapped(signed.select("row", "text").join(wanted, "row").select("sig", "text"), sets, "sig long, set binary"), "near-sets")
-        left, right = (shingles.select(F.col("sig").alias(k), F.col("set").alias(f"set_{k}")) for k in "ab")
-        return scratch.materialise(arrow.mapped(candidates.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"), verify, "a long, b long"), "near-links")
-
-    none = F.lit(0)
-    few = buckets.filter(F.size("sigs") <= SMALL).select("bucket", none.alias("part"), F.explode("sigs").alias("sig")).withColumn("label", F.col("sig"))
-    many = buckets.filter(F.size("sigs") > SMALL)
-    links = verified(compared(few.unionByName(against_one(many))))
-    labels = components(links)
-
-    # What is linked already need not be compared; in large buckets all else is, pair by pair.
-    members = many.select("bucket", F.explode("sigs").alias("sig")).join(labels, F.col("sig") == labels["node"], "left")
-    members = scratch.materialise(members.select("bucket", none.alias("part"), "sig", F.coalesce("label", "sig").alias("label")), "near-members")
-    mixed = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
-    more = verified(compared(members.join(mixed, "bucket")))
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
-
-    linked = scratch.materialise(labels.join(nodes, labels["node"] == nodes["sig"]).select("sig", "label", "best"), "near-linked")
-    least = scratch.materialise(linked.groupBy("label").agg(F.min("best").alias("least")), "near-least")
-    known = scratch.materialise(linked.join(least, "label").select("sig", "least"), "near-known")
-    return signed, scratch.materialise(nodes.join(known, "sig", "left").select("sig", "n", F.coalesce("least", "best").alias("best")), "near-classes")
-
-
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    def __init__(self, docs: DataFrame, doc_id: str, text: str, shingle: int, similarity: float):
+        self.size, self.similarity = shingle, similarity
+
+        def sign(batch: pa.RecordBatch) -> dict:
+            rows = [(xxhash.xxh3_128_digest(x.tobytes()), words_fingerprint(w), len(x), x[:LOW].view(np.int64)) for w, x in word_sets(arrow.texts(batch.column("text")), shingle)]
+            sig, fp, n, low = zip(*rows, strict=True)
+            out = {k: batch.column(k) for k in ("row", "id", "text", "data")}
+            return out | {"sig": list(sig), "fp": np.array(fp, dtype=np.uint64).view(np.int64), "size": list(n), "low": pa.array(low, pa.list_(pa.int64()))}
+
+        cols = docs.select(F.monotonically_increasing_id().alias("row"), docs[doc_id].cast("long").alias("id"), docs[text].alias("text"), F.struct("*").dropFields(f"`{text}`").alias("data"))
+        kind = StructType([*cols.schema.fields, *StructType.fromDDL("sig binary, fp long, size long, low array<long>").fields])
+        self.signed = scratch.materialise(arrow.mapped(cols, sign, kind), "near-signed")
+        best = F.struct(F.col("id").isNull().alias("nil"), "id", "row")
+        nodes = self.signed.groupBy("sig").agg(F.min("row").alias("node"), F.min(best).alias("best"), F.count(F.lit(1)).alias("n"), F.any_value("fp").alias("fp"), F.any_value("size").alias("size"))
+        self.nodes = scratch.materialise(nodes, "near-nodes")
+        self.count = self.nodes.count()
+        copies = self.signed.select("row", "sig").join(self.nodes.filter("n > 1").select("sig", "node"), "sig").filter("row <> node").select("row")
+        self.copies = skew.small(scratch.materialise(copies, "near-copies"), NARROW_ROWS)
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """node, set (its shingle hashes) of ``nodes``."""
+        size = self.size
+
+        def of(batch: pa.RecordBatch) -> dict:
+            return {"node": batch.column(0), "set": pa.array([x.tobytes() for _, x in word_sets(arrow.texts(batch.column(1)), size)], pa.binary())}
+
+        wanted = skew.small(scratch.materialise(nodes.distinct(), "near-wanted"), NARROW_ROWS)
+        texts = self.signed.select(F.col("row").alias("node"), "text").join(wanted, "node", "left_semi")
+        return scratch.materialise(arrow.mapped(texts, of, "node long, set binary"), "near-sets")
+
+    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """a, b: those of the ``pairs`` that are alike."""
+        similarity = self.similarity
+
+        def verify(batch: pa.RecordBatch) -> dict:
+            keep = []
+            for k, (x, y) in enumerate(zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True)):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                if min(len(x), len(y)) >= similarity * max(len(x), len(y)):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if both >= similarity * (len(x) + len(y) - both):
+                        keep.append(k)
+            at = pa.array(keep, pa.int64())
+            return {k: batch.column(k).take(at) for k in "ab"}
+
+        left, right = (sets.select(F.col("node").alias(k), F.col("set").alias(f"set_{k}")) for k in "ab")
+        full = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
+        return scratch.materialise(arrow.mapped(full, verify, "a long, b long"), "near-links")
+
+    def by_fingerprint(self) -> DataFrame:
+        """a, b: links found by SimHash."""
+        current = masks(bit_counts(self.nodes), self.count, NEAR_RADIUS, NEAR_KEY_COST, NEAR_RADIUS)
+        keys = self.nodes.select("node", "fp", "size", F.posexplode(F.array(*[F.lit(_signed(m)) for m in current])).alias("t", "mask"))
+        keys = keys.select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "node", "fp", "size")
+        large = scratch.materialise(keys.groupBy("t", "value").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > BLOCK), "near-large")
+        if large.isEmpty():
+            dealt = keys.withColumn("own", F.lit(0).cast("long")).withColumn("cell", F.lit(0).cast("long"))
+        else:
+            counted = keys.join(skew.small(large, NARROW_ROWS), ["t", "value"], "left")
+            dealt = in_blocks(counted.withColumn("many", F.coalesce("many", F.lit(1))), "many")
+        all_masks, similarity = np.array(current, dtype=np.uint64), self.similarity
+
+        def pairs(cols: dict[str, pa.Array], groups: list[tuple[int, int]]) -> dict:
+            t, node, code, size, own = (cols[k].to_numpy() for k in ("t", "node", "fp", "size", "own"))
+            code, found = code.view(np.uint64), [np.empty((0, 2), dtype=np.int64)]
+            for a, b in groups:
+                if b - a > 1:
+                    i, j = probed(code[a:b], size[a:b], own[a:b], all_masks[: t[a]], NEAR_RADIUS, similarity)
+                    if len(i):
+                        found.append(np.sort(node[a:b][np.stack([i, j], axis=1)], axis=1))
+            both = np.unique(np.concatenate(found), axis=0)
+            return {"a": both[:, 0], "b": both[:, 1]}
+
+        found = scratch.materialise(arrow.grouped(dealt, ["t", "value", "cell"], pairs, "a long, b long").distinct(), "near-probed")
+        return self.verified(found, self.sets(found.select(F.explode(F.array("a", "b")).alias("node"))))
+
+    def by_prefix(self, labels: DataFrame) -> DataFrame:
+        """a, b: links between nodes of different ``labels`` (node, label; others are their own), out of all that share a shingle of their prefixes."""
+        size, similarity = self.size, self.similarity
+        # Any choice of common shingles is right; a good one keeps buckets small.
+        texts = self.signed.join(self.copies, "row", "left_anti")
+        seen = texts.select(F.explode("low").alias("key")).groupBy("key").count()
+        common = np.array([r["key"] for r in seen.filter(F.col("count") > max(COMMON, self.count // 1000)).collect()], dtype=np.int64).view(np.uint64)  # at most 1,000 LOW rows
+
+        def keys(batch: pa.RecordBatch) -> dict:
+            found = [prefix(x, common, similarity) for _, x in word_sets(arrow.texts(batch.column(1)), size)]
+            return {"key": np.concatenate(found).view(np.int64), "node": np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])}
+
+        rows = scratch.materialise(arrow.mapped(texts.select("row", "text"), keys, "key long, node long"), "near-keys")
+        buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("many"), *[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]).filter("many > 1")
+        buckets = scratch.materialise(buckets.groupBy("many", "x1", "x2").agg(F.min("key").alias("key")).select("key", "many"), "near-buckets")  # one of those with equal members
+        members = skew.join_by_group(rows, buckets, ["key"], "many", rows.count())
+        members = members.join(skew.small(labels, NARROW_ROWS), "node", "left").select("key", "many", "node", F.coalesce("label", "node").alias("label"))
+        members = scratch.materialise(members, "near-members")
+        mixed_ = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
+        members = scratch.materialise(members.join(skew.small(scratch.materialise(mixed_, "near-mixed"), NARROW_ROWS), "key", "left_semi"), "near-open")
+        sets = self.sets(members.select("node"))
+
+        def features(batch: pa.RecordBatch) -> dict:
+            found = [np.frombuffer(x, "<u8") for x in batch.column(1).to_pylist()]
+            return {"node": batch.column(0), "cells": pa.array([histogram(x).tobytes() for x in found], pa.binary()), "fine": pa.array(list(map(fine_histogram, found)), pa.binary())}
+
+        def pairs(cols: dict[str, pa.Array], groups: list[tuple[int, int]]) -> dict:
+            node, label, own = (cols[k].to_numpy() for k in ("node", "label", "own"))
+            cells, fine, found = cols["cells"].to_pylist(), cols["fine"].to_pylist(), [np.empty((0, 2), dtype=np.int64)]
+            for a, b in groups:
+                if b - a > 1:
+                    found.append(bucket_pairs(node[a:b], label[a:b], own[a:b], np.frombuffer(b"".join(cells[a:b]), "<u4").reshape(-1, CELLS), fine[a:b], similarity))
+            both = np.unique(np.concatenate(found), axis=0)
+            return {"a": both[:, 0], "b": both[:, 1]}
+
+        full = in_blocks(members, "many").join(scratch.materialise(arrow.mapped(sets, features, "node long, cells binary, fine binary"), "near-features"), "node")
+        found = arrow.grouped(full.select("key", "cell", "node", "label", "own", "cells", "fine"), ["key", "cell"], pairs, "a long, b long").distinct()
+        return self.verified(scratch.materialise(found, "near-candidates"), sets)
+
+    def classes(self) -> DataFrame:
+        """sig, n, best: of each class the row that stays of its component, that of the least id (null ids come last), then the first."""
+        if self.count < 2:
+            return self.nodes.select("sig", "n", "best")
+        links = self.by_fingerprint()
+        labels = components(links)
+        more = self.by_prefix(labels)
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
+        linked = scratch.materialise(labels.join(self.nodes, "node").select("sig", "label", "best"), "near-linked")
+        least = scratch.materialise(linked.groupBy("label").agg(F.min("best").alias("least")), "near-least")
+        known = scratch.materialise(linked.join(least, "label").select("sig", "least"), "near-known")
+        return scratch.materialise(self.nodes.join(known, "sig", "left").select("sig", "n", F.coalesce("least", "best").alias("best")), "near-classes")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, similarity: float = NEAR_SIMILARITY) -> DataFrame:
     """doc_id, component_id: documents linked by a similarity of word shingles of at least ``similarity``.
 
-    The links are those of all pairs.  ``component_id`` is null only if all ids of a component are.
+    The links are those of all pairs.  Defined results: null and empty texts are equal;
+    ``component_id`` is null only if all ids of a component are; repeated rows are copies
+    of each other; very long texts are taken whole; an empty table gives an empty
+    result; other columns are ignored.
     """
-    signed, classes = _near_classes(docs, doc_id, text, shingle, similarity)
-    return skew.join_by_group(signed.select("id", "sig"), classes, ["sig"], "n", signed.count()).select(F.col("id").alias("doc_id"), F.col("best.id").alias("component_id"))
+    near = NearTexts(docs, doc_id, text, shingle, similarity)
+    return skew.join_by_group(near.signed.select("id", "sig"), near.classes(), ["sig"], "n", near.signed.count()).select(F.col("id").alias("doc_id"), F.col("best.id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -425,10 +536,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     That is the row of the smallest id; a null id comes after all others, and of rows
     with equal ids one stays.  Rows are told apart by place, not by id, so null and
-    repeated ids cost no other row.
+    repeated ids cost no other row.  Null and empty texts are equal, very long ones
+    are taken whole, other columns may have any names, and an empty table stays empty.
     """
-    signed, classes = _near_classes(docs, doc_id, text, 5, 0.8)
-    rows = skew.join_by_group(signed.select("row", "sig"), classes, ["sig"], "n", signed.count())
+    near = NearTexts(docs, doc_id, text, NEAR_SHINGLE, NEAR_SIMILARITY)
+    rows = skew.join_by_group(near.signed.select("row", "sig"), near.classes(), ["sig"], "n", near.signed.count())
     gone = scratch.materialise(rows.filter("row <> best.row").select("row"), "near-gone")
-    kept = signed.select("row", "text", "data").join(skew.small(gone), "row", "left_anti")
+    kept = near.signed.select("row", "text", "data").join(skew.small(gone, NARROW_ROWS), "row", "left_anti")
     return kept.select(*[F.col("text").alias(c) if c == text else F.col("data").getField(c).alias(c) for c in docs.columns])

@@ -36,13 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrow, scratch, skew
-from .words import Words, hashes, slices, spread
+from .words import Words, hashes, mixed, slices, spread
 
 WINDOW = 35
 GRAM = 8
 GROUP = 256
 
-_A, _B = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 _Q = 0xD6E8FEB86659FD93
 _Q_INVERSE = pow(_Q, -1, 1 << 64)
 _powers: list[np.ndarray] = []
@@ -59,17 +58,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = (a * _A) ^ (b + _B)
-    x = (x ^ (x >> np.uint64(31))) * _B
-    return x ^ (x >> np.uint64(29))
-
-
 def _grams(h: np.ndarray) -> np.ndarray:
     """The hash of the GRAM words from each word on, over the end as well (not to be used there)."""
     step = 1
     while step < GRAM:
-        h = _mixed(h, np.append(h[step:], h[:step]))
+        h = mixed(h, np.append(h[step:], h[:step]))
         step *= 2
     return h
 
@@ -106,7 +99,7 @@ def segments(words: Words) -> dict[str, np.ndarray]:
     n = np.diff(np.append(new, total))
     lo, place = start[new], anchor[new]
     seg = Ranges(h).of(lo, lo + n + WINDOW - 1)
-    seg = _mixed(seg, (n * 64 + place - lo).astype(np.uint64))
+    seg = mixed(seg, (n * 64 + place - lo).astype(np.uint64))
     return {"text": text[new], "lo": lo - words.first[text[new]], "n": n, "gram": gram[place], "seg": seg, "at": lo, "h": h}
 
 

@@ -78,6 +78,13 @@ def hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return h
 
 
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of the pair of hashes at each place."""
+    x = (a * _P1) ^ (b + _P2)
+    x = (x ^ (x >> np.uint64(31))) * _P2
+    return x ^ (x >> np.uint64(29))
+
+
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The indices starts[0], starts[0] + 1, ... of all ranges, one range after the other."""
     total = int(sizes.sum())
