@@ -14,13 +14,17 @@ Tokens without any weighted feature only pass messages on, by the same matrix; r
 of them are crossed at once by its power, so the cost follows the tokens that have
 a feature and inference stays exact.
 
-The model is fitted on at most ``MAX_DOCS`` labelled documents of each class (those
-with the smallest hash of their id); every text is scored whole.  Labels, language,
-source and id are no inputs of a score.
+The model is fitted on whole texts of a bounded sample of labelled documents: of each
+class those with the smallest hash of their id, at most ``MAX_DOCS`` of them, until
+their texts reach ``MAX_BYTES``.  The chain is trained on all segments of the sample
+with a token labelled toxic and on as many others, drawn at random (``LEAST_CLEAN`` at
+least, if there are).  Every text is scored whole.  Labels, language, source and id are no
+inputs of a score.
 
 Defined results: a null or empty text has the score of no toxic tokens; a null id
 is not held out; without labels of both classes every score is 0; several labels of
-one id count as toxic if any is; repeated rows are scored alike; an empty table
+one id count as toxic if any is, and of several texts of a labelled id one is fitted on;
+repeated rows are scored alike; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -31,17 +35,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import arrow
-from .words import HashTable, Words, hashes, slices
+from .words import HashTable, Words, hashes, slices, spread
 
 MAX_DOCS = 3_000
-MAX_DOC_BYTES = 20_000
+MAX_BYTES = 8 << 20
 PREFIXES = (3, 4, 5, 6)
 SEGMENT = 32
-MAX_SEGMENTS = 6_000
+LEAST_CLEAN = 3_000
 EPOCHS = 60
 LEAST_WEIGHT = 0.15
 
@@ -174,15 +178,14 @@ def _token_labels(found: np.ndarray, text: np.ndarray, toxic: np.ndarray) -> np.
 
 def _train_chain(found: np.ndarray, first: np.ndarray, labels: np.ndarray, seed: int = 5) -> Model:
     """Maximum likelihood by full-batch Adam over segments of labelled tokens."""
-    rng = np.random.default_rng(seed)
-    spots = np.flatnonzero(labels)
-    spots = rng.permutation(spots)[: MAX_SEGMENTS // 2]
-    begin = np.concatenate((spots - rng.integers(0, SEGMENT, len(spots)), rng.integers(0, max(1, len(labels)), MAX_SEGMENTS - len(spots))))
-    text = np.searchsorted(first, np.concatenate((spots, begin[len(spots) :])), side="right") - 1
-    begin = np.maximum(begin, first[text])
-    stop = np.minimum(begin + SEGMENT, first[text + 1])
-    keep = stop > begin
-    begin, stop = begin[keep], stop[keep]
+    size = np.diff(first)
+    begin = spread(np.zeros(len(size), dtype=np.int64), -(-size // SEGMENT)) * SEGMENT + np.repeat(first[:-1], -(-size // SEGMENT))
+    stop = np.minimum(begin + SEGMENT, np.repeat(first[1:], -(-size // SEGMENT)))
+    sums = np.concatenate(([0], np.cumsum(labels)))
+    marked = sums[stop] > sums[begin]
+    clean = np.random.default_rng(seed).permutation(np.flatnonzero(~marked))
+    used = np.concatenate((np.flatnonzero(marked), clean[: max(LEAST_CLEAN, int(marked.sum()))]))
+    begin, stop = begin[used], stop[used]
     index = np.minimum(begin[:, None] + np.arange(SEGMENT), len(labels) - 1)
     live = (begin[:, None] + np.arange(SEGMENT) < stop[:, None]).astype(float)
     y = labels[index] * live.astype(np.int64)
@@ -265,19 +268,21 @@ def fit(texts: list[bytes], toxic: list[int]) -> Model:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MAX_DOCS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MAX_DOCS, most_bytes: int = MAX_BYTES) -> Model:
     """A model from the documents of ``labels`` (doc_id, toxic) that are not held out.
 
-    At most ``most`` documents of each class are used, and of each its first
-    ``MAX_DOC_BYTES`` bytes at most; this bounds the fit, not the scoring.
+    Of each class at most ``most`` documents are used, and none once the texts before it
+    have reached ``most_bytes``; texts are never cut.
     """
     known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(11))
     picked = [known.filter(F.col("toxic") == k).orderBy(order).limit(most) for k in (0, 1)]
     picked = F.broadcast(picked[0].unionByName(picked[1]).select(F.col("doc_id").alias("of"), "toxic"))
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).join(picked, F.col("doc_id") == F.col("of"))
-    rows = rows.select("doc_id", F.substring(F.coalesce("text", F.lit("")).cast("binary"), 1, MAX_DOC_BYTES).alias("text"), "toxic").toPandas()
-    rows = rows.sort_values(["doc_id", "text"])
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).cast("binary").alias("text"))
+    before = Window.partitionBy("toxic").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # at most ``most`` rows
+    rows = rows.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))).filter(F.col("before") < most_bytes)
+    rows = rows.select("doc_id", "text", "toxic").toPandas().sort_values("doc_id")
     rows = rows.iloc[np.argsort([hash_of(x) for x in rows["doc_id"]], kind="stable")]
     return fit([bytes(t) for t in rows["text"]], rows["toxic"].tolist())
 
