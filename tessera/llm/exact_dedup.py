@@ -1,15 +1,16 @@
 """Exact de-duplication by two-pass Bloom filtering (DataFrame functions only).
 
-Pass 1 hashes every normalised text and sets bits of a blocked Bloom filter that
-counts to two: a bit that only one row set is dropped, so what is left marks
-hashes that *may* occur twice.  Pass 2 tests every row against that filter.  Rows
-that fail the test are unique for certain and pass straight through; only the
-others are shuffled, grouped by their SHA-256 and resolved exactly.
-
-The filter has ``BITS_PER_ROW`` bits a row in blocks of 32,768 bits, all bits of a
-row in one block, so a test is one lookup.  A filter of up to
-``MAX_FILTER_BITS`` (32 MB) is broadcast; more rows than that allows are dealt
-to several filters by hash, each of which stays below the bound.
+Pass 1 gives every normalised text one place in a Bloom filter by its hash and keeps the
+places that more than one row has, so what is left marks hashes that *may* occur
+twice.  Only these places (one long a row, counted before they are shuffled) move, never a
+row.  Pass 2 tests every row against that filter in one scan.  Rows that fail the test are
+unique for certain and pass straight through; only the others are shuffled, grouped
+by their SHA-256 and resolved exactly.
+
+The filter has ``BITS_PER_ROW`` bits a row, in blocks of 32,768 bits, and ``MAX_FILTER_BITS``
+(32 MB) at most: more rows share these bits, down to ``LEAST_BITS`` a row, which lets more
+unique rows be shuffled and loses nothing.  With still more rows the filter has its
+full size and is not broadcast: hashes are dealt to the blocks, in one scan as well.
 
 Defined results: null text counts as the empty text and equals every text of
 white space only; rows with a null id take part and yield to any row with an id;
@@ -19,15 +20,13 @@ decision; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch, skew
 
-BITS_PER_ROW = 16
-HASHES = 3
+BITS_PER_ROW = 32
+LEAST_BITS = 2
 BLOCK_BITS = 32_768
 MAX_FILTER_BITS = 1 << 28
 
@@ -42,40 +41,24 @@ class RepeatFilter:
     """A blocked Bloom filter of the hashes that occur at least twice."""
 
     def __init__(self, keys: DataFrame, key: str, rows: int):
-        bits = max(BLOCK_BITS, rows * BITS_PER_ROW)
-        self.key = key
-        self.shards = -(-bits // MAX_FILTER_BITS)
-        self.blocks = -(-bits // BLOCK_BITS // self.shards)
-        bit = F.explode(F.array_distinct(F.array(*self._bits())))
-        marks = keys.select(self._shard().alias("shard"), self._block().alias("block"), bit.alias("bit"))
-        twice = marks.groupBy("shard", "block", "bit").count().filter("count >= 2")
-        filters = twice.groupBy("shard", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+        self.key, self.fits = key, rows * LEAST_BITS <= MAX_FILTER_BITS
+        bits = min(rows * BITS_PER_ROW, MAX_FILTER_BITS) if self.fits else rows * BITS_PER_ROW
+        self.blocks = max(1, -(-bits // BLOCK_BITS))
+        twice = keys.select(self._place().alias("place")).groupBy("place").count().filter("count >= 2")
+        filters = twice.groupBy(F.expr(f"place div {BLOCK_BITS}").alias("block")).agg(F.bitmap_construct_agg(F.col("place") % BLOCK_BITS).alias("bits"))
         self.table = scratch.materialise(filters, "repeat-filter")
 
-    def _shard(self) -> Column:
-        return F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(self.shards)).cast("int")
-
-    def _block(self) -> Column:
-        return F.pmod(F.xxhash64(self.key, F.lit(2)), F.lit(self.blocks)).cast("int")
-
-    def _bits(self) -> list[Column]:
-        h = F.xxhash64(self.key, F.lit(3))
-        return [F.pmod(F.shiftrightunsigned(h, 20 * i), F.lit(BLOCK_BITS)) for i in range(HASHES)]
-
-    def _has(self, bit: Column) -> Column:
-        byte = F.conv(F.hex(F.substring(F.col("bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.call_function("shiftright", byte, F.pmod(bit, F.lit(8)).cast("int")).bitwiseAND(1) == 1
+    def _place(self) -> Column:
+        return F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(self.blocks * BLOCK_BITS))
 
     def test(self, rows: DataFrame) -> DataFrame:
         """``rows`` with a column ``may_repeat``, which is false only for keys that occur once."""
-        tested = []
-        for shard in range(self.shards):
-            part = rows.filter(self._shard() == shard) if self.shards > 1 else rows
-            bits = self.table.filter(F.col("shard") == shard).select("block", "bits")
-            found = part.withColumn("block", self._block()).join(F.broadcast(bits), "block", "left")
-            hit = reduce(lambda a, b: a & b, [self._has(b) for b in self._bits()])
-            tested.append(found.withColumn("may_repeat", F.coalesce(F.col("bits").isNotNull() & hit, F.lit(False))).drop("block", "bits"))
-        return reduce(DataFrame.unionByName, tested)
+        bits = F.broadcast(self.table) if self.fits else self.table
+        found = rows.withColumn("__place", self._place()).withColumn("block", F.expr(f"__place div {BLOCK_BITS}")).join(bits, "block", "left")
+        bit = F.col("__place") % BLOCK_BITS
+        byte = F.conv(F.hex(F.substring(F.col("bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        has = F.call_function("shiftright", byte, F.pmod(bit, F.lit(8)).cast("int")).bitwiseAND(1) == 1
+        return found.withColumn("may_repeat", F.coalesce(F.col("bits").isNotNull() & has, F.lit(False))).drop("block", "bits", "__place")
 
 
 def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -19,6 +19,11 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def least_heavy(total: int) -> int:
+    """So many rows make a key heavy."""
+    return max(64, int(total * HEAVY_SHARE))
+
+
 def join_by_group(rows: DataFrame, groups: DataFrame, key: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
     """Join ``rows`` with one row of ``groups`` for each key.
 
@@ -27,7 +32,7 @@ def join_by_group(rows: DataFrame, groups: DataFrame, key: list[str], size: str,
     broadcast, so that no task receives a heavy key; the others are shuffled and
     none of them is large.  ``groups`` should be a table on disk.  how: inner or left.
     """
-    least = max(64, int(total * HEAVY_SHARE))
+    least = least_heavy(total)
     heavy = F.broadcast(groups.filter(F.col(size) >= least))
     light = groups.filter(F.col(size) < least)
     hot = rows.join(heavy, key, "inner")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow, scratch
+from . import arrow, scratch, skew
 from .exact_dedup import RepeatFilter
 from .words import WordEncoder, slices
 
@@ -161,7 +161,8 @@ class DigestCache:
         if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
             return None
         stored = spark.read.schema("digest binary, n_tokens long, tokenizer string").parquet(self.path)
-        return stored.filter(F.col("tokenizer") == tokenizer).select("digest", "n_tokens")
+        # Two writers may have appended one digest, with equal counts.
+        return stored.filter(F.col("tokenizer") == tokenizer).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
     def append(self, rows: DataFrame, tokenizer: str) -> None:
         rows.withColumn("tokenizer", F.lit(tokenizer)).write.mode("append").partitionBy("tokenizer").parquet(self.path)
@@ -185,12 +186,17 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: DigestCache | None
     clean = F.coalesce(docs[text], F.lit(""))
     full = docs.select(docs[doc_id].alias("doc_id"), clean.alias("text"), F.unhex(F.sha2(clean, 256)).alias("digest"))
     narrow = scratch.materialise(full.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "token-digests")
-    tested = RepeatFilter(narrow, "digest", narrow.count()).test(full.select("digest", "text"))
+    rows = narrow.count()
+    repeats = RepeatFilter(narrow, "digest", rows)
+    tested = repeats.test(full.select("digest", "text"))
     alone = tested.filter(~F.col("may_repeat")).select("digest", "text")
     again = tested.filter("may_repeat").groupBy("digest").agg(F.first("text").alias("text"))
     misses = alone.unionByName(again)
     if (stored := cache.read(version)) is not None:
         misses = misses.join(stored, "digest", "left_anti")
     cache.append(arrow.mapped(misses, _counts(tokenizer_path), "digest binary, n_tokens long"), version)
-    known = cache.read(version)
-    return narrow.join(known, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # Only digests that may repeat can be heavy; `join_by_group` asks for the sizes of those.
+    sizes = repeats.test(narrow.select("digest")).filter("may_repeat").groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    sizes = F.broadcast(scratch.materialise(sizes.filter(F.col("copies") >= skew.least_heavy(rows)), "token-heavy"))  # at most 1,000 digests
+    known = scratch.materialise(cache.read(version).join(sizes, "digest", "left").withColumn("copies", F.coalesce("copies", F.lit(1))), "token-counts")
+    return skew.join_by_group(narrow, known, ["digest"], "copies", rows).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
