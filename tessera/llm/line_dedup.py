@@ -1,15 +1,16 @@
 """Line de-duplication over levelled sorted runs of line hashes.
 
-``LineRuns`` is a small log-structured store.  A run is a table of 128-bit line
-keys with the number of documents that hold each and the largest id among them,
-sorted by key.  A new batch becomes a run of level 0; once a level holds
-``FANOUT`` runs they are merged into one run of the next level.  A batch is
-checked by a merge join of its sorted keys with the runs.
-
-Two uses: ``LineRuns.admit`` takes batches one after the other and anti-joins each
-with all that came before (first come, first kept); ``decide`` takes a whole
-corpus, adds it batch by batch, and then joins the line keys with the merged runs
-to find the lines to drop.
+``LineRuns`` is a small log-structured store.  A run is a table of 128-bit line keys,
+bucketed by key and sorted within each bucket, with the number of documents that hold
+each key and the largest id among them.  A new batch is counted by key and merge-anti-joined
+with the runs, which lie in buckets already and are not dealt again; what no run holds
+becomes a run of level 0, so a key is in one run only.  What a run holds already goes to
+the store's list of repeats, which stays small.  Once a level holds ``FANOUT`` runs they are
+compacted into one run of the next level.
+
+Two uses: ``LineRuns.admit`` takes batches one after the other and drops from each
+all that came before (first come, first kept); ``decide`` takes a whole corpus batch by
+batch and then joins the line keys with the repeats to find the lines to drop.
 
 Keys: the line without white space ``[\\x20\\x09-\\x0D]`` at both ends, A-Z in
 lower case.  Defined results: a null or empty text is one empty line; keys below
@@ -22,6 +23,8 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -70,40 +73,62 @@ def line_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least
 class LineRuns:
     """Levelled sorted runs of line keys: h1, h2, n_docs, last_doc."""
 
+    KEY = ("h1", "h2")
+
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout, self.levels = spark, fanout, [[]]
+        self.spark, self.fanout, self.levels, self.again = spark, fanout, [[]], []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _write(self, rows: DataFrame) -> DataFrame:
-        return scratch.materialise(rows.sortWithinPartitions("h1", "h2"), "line-run")
+        """A run: sorted files by bucket, read in a way that tells Spark of the buckets."""
+        name = f"line_run_{uuid.uuid4().hex}"
+        rows.write.bucketBy(self.buckets, *self.KEY).sortBy(*self.KEY).option("path", scratch.new_path(self.spark, "line-run")).saveAsTable(name)
+        run = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay, and the plan of ``run`` knows them
+        return run
 
     @staticmethod
-    def merged(runs: list[DataFrame]) -> DataFrame:
-        """One row a key out of several runs."""
-        union = runs[0]
-        for run in runs[1:]:
-            union = union.unionByName(run)
-        return union if len(runs) == 1 else union.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+    def counted(parts: list[DataFrame]) -> DataFrame:
+        """One row a key out of several tables of counts."""
+        return reduce(DataFrame.unionByName, parts).groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
     def add(self, keys: DataFrame) -> None:
-        """Add the (doc_id, h1, h2) of a batch as a run, and compact full levels."""
-        run = keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
-        self.levels[0].append(self._write(run))
+        """Add the (doc_id, h1, h2) of a batch: its new keys as a run, the others as repeats; and compact full levels."""
+        batch = keys.groupBy(*self.KEY).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        if self.runs():
+            batch = self._write(batch)
+            run = self._write(self.unseen(batch))
+            self.again.append(scratch.materialise(batch.join(run.hint("merge"), [*self.KEY], "left_anti"), "line-seen"))
+        else:
+            run = self._write(batch)
+        self.levels[0].append(run)
         for level in range(len(self.levels)):
             if len(self.levels[level]) >= self.fanout:
                 if level + 1 == len(self.levels):
                     self.levels.append([])
-                self.levels[level + 1].append(self._write(self.merged(self.levels[level])))
+                full = self.levels[level]
+                self.levels[level + 1].append(self._write(reduce(DataFrame.unionByName, full)))
                 self.levels[level] = []
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def unseen(self, keys: DataFrame) -> DataFrame:
-        """The keys that no run holds: a merge anti-join with each run."""
+        """The rows of ``keys`` whose key no run holds: a merge anti-join with each run."""
         for run in self.runs():
-            keys = keys.join(run.hint("merge"), ["h1", "h2"], "left_anti")
+            keys = keys.join(run.hint("merge"), [*self.KEY], "left_anti")
         return keys
 
+    def held_by(self, least: int) -> DataFrame:
+        """h1, h2, n_docs, last_doc of the keys in ``least`` documents or more (two at least) of all batches."""
+        often = [run.filter(F.col("n_docs") >= least) for run in self.runs()]
+        if not self.again:
+            return reduce(DataFrame.unionByName, often)
+        again = scratch.materialise(self.counted(self.again), "line-again")
+        first = [run.join(again.select(*self.KEY), [*self.KEY], "left_semi") for run in self.runs()]
+        both = self.counted([again, *first]).filter(F.col("n_docs") >= least)
+        return reduce(DataFrame.unionByName, [both, *[run.join(again.select(*self.KEY), [*self.KEY], "left_anti") for run in often]])
+
     def admit(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """``docs`` without the lines that earlier batches hold; then adds this batch.
 
@@ -159,7 +184,7 @@ def corpus_drops(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ba
     store = LineRuns(docs.sparkSession)
     for k in range(batches):
         store.add(keys.filter(F.col("batch") == k).drop("batch"))
-    repeated = scratch.materialise(LineRuns.merged(store.runs()).filter(F.col("n_docs") >= min_docs), "line-repeats")
+    repeated = scratch.materialise(store.held_by(min_docs), "line-repeats")
     hits = skew.join_by_group(keys.drop("batch"), repeated, ["h1", "h2"], "n_docs", keys.count())
     return hits.filter(~F.col("doc_id").eqNullSafe(F.col("last_doc"))).select("doc_id", "h1", "h2")
 

@@ -28,18 +28,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = r"""
-WITH split AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), split AS (
+  SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM texts
 ), keyed AS (
   SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM split
 ), repeated AS (
-  SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+  SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT rid) >= 3
 ), marked AS (
-  SELECT k.*, r.last_doc IS NOT NULL AND k.doc_id <> r.last_doc AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id IS DISTINCT FROM r.last_doc AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY rid, doc_id
 """
 
 OP10_SQL = r"""
