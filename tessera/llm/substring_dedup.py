@@ -14,8 +14,10 @@ is partitioned by that prefix of ``GRAM`` words.  A group of up to ``GROUP`` dis
 segments is a subtree in memory: the suffixes at its window starts are ranked by prefix
 doubling until they are told apart down to ``WINDOW`` words, and the suffixes that remain together
 are the leaves below one internal node of at least that depth, which is a repeat.  A
-group that does not fit takes the longest prefix instead: each of its suffixes is
-keyed by all ``WINDOW`` words, and the keys are counted.
+group that does not fit is split: its suffixes take prefixes of ``DEEPER`` words, one length
+after the other.  A suffix alone under its prefix is done, a group of up to ``GROUP`` suffixes is
+a subtree, and the rest takes the next length; suffixes that are together under all
+``WINDOW`` words are equal.
 
 Segments travel with their words only in mixed groups and once each, and texts are read
 whole.  Words and grams are compared by 64-bit hashes.
@@ -28,7 +30,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,8 @@ from .words import Words, hashes, mixed, slices, spread
 WINDOW = 35
 GRAM = 8
 GROUP = 256
+#: Words of the longer prefixes of groups that do not fit; the last is a window.
+DEEPER = (16, 24, 32, 35)
 
 _Q = 0xD6E8FEB86659FD93
 _Q_INVERSE = pow(_Q, -1, 1 << 64)
@@ -172,16 +176,52 @@ def _subtrees(batch: pa.RecordBatch) -> dict:
     return {"gram": [g for g, _ in segs], "seg": [s["seg"] for _, s in segs], "copies": [s["copies"] for _, s in segs], "mask": masks}
 
 
-def _full_prefixes(batch: pa.RecordBatch) -> dict:
-    """Each suffix of a segment with the hash of its first WINDOW words."""
+def _suffixes(batch: pa.RecordBatch) -> dict:
+    """Each suffix of a segment: its WINDOW words, and which of the segment's windows it is."""
     n = batch.column("n").to_numpy().astype(np.int64)
     words = [np.frombuffer(w, np.uint64) for w in batch.column("words").to_pylist()]
-    sizes = np.array([len(w) for w in words])
-    start = spread(np.cumsum(sizes) - sizes, n)
-    key = Ranges(np.concatenate(words)).of(start, start + WINDOW)
     owner = np.repeat(np.arange(len(n)), n)
     bit = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-    return {c: batch.column(c).take(pa.array(owner)) for c in ("gram", "seg", "copies")} | {"key": key.view(np.int64), "bit": bit}
+    bodies = [words[k][b : b + WINDOW].tobytes() for k, b in zip(owner, bit, strict=True)]
+    return {c: batch.column(c).take(pa.array(owner)) for c in ("gram", "seg", "copies")} | {"bit": bit, "body": bodies}
+
+
+def _prefixed(size: int):
+    def keys(batch: pa.RecordBatch) -> dict:
+        """Suffixes with the hash of their first ``size`` words."""
+        words = np.frombuffer(b"".join(batch.column("body").to_pylist()), np.uint64)
+        start = np.arange(batch.num_rows) * WINDOW
+        return {c: batch.column(c) for c in ("gram", "seg", "copies", "bit", "body")} | {"key": Ranges(words).of(start, start + size).view(np.int64)}
+
+    return keys
+
+
+def _prefix_subtrees(batch: pa.RecordBatch) -> dict:
+    """The suffixes of subtrees below longer prefixes that occur again."""
+    at = np.cumsum([0, *[len(x) for x in batch.column("rows")]])
+    flat = batch.column("rows").flatten()
+    words, copies = [np.frombuffer(x, np.uint64) for x in flat.field("body").to_pylist()], flat.field("copies").to_numpy()
+    groups = np.repeat(np.arange(batch.num_rows), np.diff(at))
+    again = np.array(repeats_in(groups.tolist(), words, [1] * len(words), copies.tolist()) if words else [], dtype=np.int64) > 0
+    hit = pa.array(np.flatnonzero(again))
+    return {"gram": batch.column("gram").take(pa.array(groups)).take(hit)} | {c: flat.field(c).take(hit) for c in ("seg", "copies", "bit")}
+
+
+def deeper_repeats(segs: DataFrame) -> DataFrame:
+    """gram, seg, copies, bit: the windows of ``segs`` (of groups that do not fit) that occur again."""
+    suffixes = scratch.materialise(arrow.mapped(segs, _suffixes, "gram long, seg long, copies long, bit int, body binary"), "suffixes")
+    found = []
+    for size in DEEPER:
+        keyed = scratch.materialise(arrow.mapped(suffixes, _prefixed(size), "gram long, seg long, copies long, bit int, body binary, key long"), "prefixes")
+        groups = keyed.groupBy("gram", "key").agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts")).filter("starts > 1")
+        groups = scratch.materialise(groups.select("gram", "key", "leaves"), "prefix-groups")
+        together = skew.join_by_group(keyed, groups, ["gram", "key"], "leaves", keyed.count())
+        if size == WINDOW:
+            return reduce(DataFrame.unionByName, [*found, together.select("gram", "seg", "copies", "bit")])
+        trees = together.filter(F.col("leaves") <= GROUP).groupBy("gram", "key").agg(F.collect_list(F.struct("seg", "copies", "bit", "body")).alias("rows"))
+        found.append(scratch.materialise(arrow.mapped(trees.select("gram", "rows"), _prefix_subtrees, "gram long, seg long, copies long, bit int"), "prefix-repeats"))
+        suffixes = together.filter(F.col("leaves") > GROUP).select("gram", "seg", "copies", "bit", "body")
+    raise ValueError("the last prefix is the window")
 
 
 def _strip(batch: pa.RecordBatch, keep_text: bool) -> dict:
@@ -226,11 +266,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     trees = fits.groupBy("gram").agg(F.collect_list(F.struct("seg", "copies", "n", "words")).alias("segs"))
     masks = arrow.mapped(trees, _subtrees, "gram long, seg long, copies long, mask long").filter("mask <> 0")
     if some:
-        suffixes = segs.join(large, "gram", "left_semi").select("gram", "seg", "copies", "n", "words")
-        suffixes = scratch.materialise(arrow.mapped(suffixes, _full_prefixes, "gram long, seg long, copies long, key long, bit int"), "long-prefixes")
-        again = suffixes.groupBy("gram", "key").agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts")).filter("starts > 1")
-        again = scratch.materialise(again.select("gram", "key", "leaves"), "long-repeats")
-        hits = skew.join_by_group(suffixes, again, ["gram", "key"], "leaves", suffixes.count())
+        hits = deeper_repeats(segs.join(large, "gram", "left_semi").select("gram", "seg", "copies", "n", "words"))
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
         masks = masks.unionByName(hits.groupBy("gram", "seg").agg(F.max("copies").alias("copies"), F.bit_or(bit).alias("mask")))
     masks = scratch.materialise(masks, "masks")
@@ -240,7 +276,8 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
 
 def strip_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept (the words that stay, joined by spaces; or null) of each row."""
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("rid"))
+    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.monotonically_increasing_id().alias("rid"))
+    rows = scratch.materialise(rows, "passage-rows")
     gone = repeated_windows(rows).groupBy("rid").agg(F.collect_set(F.struct("lo", "n", "mask")).alias("gone"))
     schema = arrow.with_column("doc_id", docs.schema[doc_id].dataType, "n_words long, n_removed long, kept_sha256 string, kept string")
     return arrow.mapped(rows.join(gone, "rid", "left").select("doc_id", "text", "gone"), partial(_strip, keep_text=keep_text), schema)
