@@ -15,9 +15,13 @@ is cut into blocks and compared block by block in tasks of their own; a pair cou
 first table that finds it, so counts add up.  A task returns, for each of its vectors,
 a count and one edge of a star: never its pairs.
 
-Defined results: vectors that are null, empty, zero, of another length than most, or
-that hold null or non-finite components link with nothing and are components of
-their own; a repeated row is another vector equal to the first; rows with a null id
+Cost: with m substrings a vector has 8 to 361 entries (m is 8 at some hundred rows
+and 3 from 3 million rows on, the least), nearly half of them probes, and buckets grow with the
+rows from there: of 1e10 vectors a bucket of 21 bits has some 5,000.
+
+Defined results: vectors that are null, empty, zero, or that hold null or non-finite
+components link with nothing and are components of their own; vectors of different
+lengths do not link, and each length has an index of its own; a repeated row is another vector equal to the first; rows with a null id
 link with nothing; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +44,9 @@ SAMPLE = 10_000
 BITS = 64
 RADIUS = 7
 CHECK_RADIUS = 14
-BLOCK = 256
+BLOCK = 1024
+#: At least so many tables, which bounds the entries of a vector.
+LEAST_TABLES = 3
 ROUNDS = 40
 
 
@@ -83,7 +90,7 @@ def encode(x: np.ndarray, centre: np.ndarray, projection: np.ndarray) -> np.ndar
 
 def tables(rows: int, bits: int = BITS, radius: int = RADIUS) -> tuple[list[int], int]:
     """The masks of the substrings and the radius within each."""
-    m = min(8, max(2, round(bits / max(1.0, math.log2(max(2, rows))))))
+    m = min(8, max(LEAST_TABLES, round(bits / max(1.0, math.log2(max(2, rows))))))
     edges = [bits * k // m for k in range(m + 1)]
     return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in itertools.pairwise(edges)], radius // m
 
@@ -220,19 +227,9 @@ def _exact(masks: list[int], near: int, threshold: float):
     return exact
 
 
-def link(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
-    """vec_id, n_links, component_id, kept for each row of ``vectors``."""
-    rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[embedding].cast("array<double>").alias("embedding"))
-    good = rows.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    sizes = good.groupBy(F.size("embedding").alias("size")).count().orderBy(F.col("count").desc(), "size").limit(1).collect()
-    if not sizes:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    fits = usable(F.col("embedding")) & F.col("vec_id").isNotNull() & (F.size("embedding") == sizes[0]["size"])
-    keyed = scratch.materialise(rows.select("vec_id", "embedding", F.when(fits, F.xxhash64("embedding")).alias("cid")), "itq-rows")
-    classes = keyed.filter("cid is not null").groupBy("cid").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("embedding").alias("embedding"))
-    classes = scratch.materialise(classes, "itq-classes")
+def links_of(classes: DataFrame, threshold: float) -> DataFrame:
+    """cid, links, root: counts of links and edges of stars among ``classes`` (cid, n, embedding; one length), a table on disk."""
     total = classes.count()
-
     sample = classes.orderBy(F.xxhash64("cid", F.lit(9)), "cid").limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
     centre, projection = fit_itq(unit(matrix(sample)))
     masks, near = tables(total)
@@ -242,17 +239,31 @@ def link(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding
     found = scratch.materialise(arrow.mapped(cells, _survivors(masks, near), "bucket long, cell long, kind int, cid long, code long, side int"), "itq-candidates")
     full = found.join(classes.select("cid", "n", "embedding"), "cid")
     full = full.groupBy("bucket", "cell", "kind").agg(F.collect_list(F.struct("cid", "code", "side", "n", "embedding")).alias("rows"))
-    counted = scratch.materialise(arrow.mapped(full, _exact(masks, near, threshold), "cid long, links long, root long"), "itq-links")
+    return scratch.materialise(arrow.mapped(full, _exact(masks, near, threshold), "cid long, links long, root long"), "itq-links")
+
+
+def link(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
+    """vec_id, n_links, component_id, kept for each row of ``vectors``."""
+    rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[embedding].cast("array<double>").alias("embedding"))
+    fits = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
+    # Equal vectors are known by 128 bits of hash.
+    h1, h2 = (F.when(fits, F.xxhash64(F.lit(k), "embedding")) for k in (1, 2))
+    keyed = scratch.materialise(rows.select("vec_id", "embedding", h1.alias("h1"), h2.alias("h2")), "itq-rows")
+    classes = keyed.filter("h1 is not null").groupBy("h1", "h2").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("embedding").alias("embedding"))
+    classes = scratch.materialise(classes.withColumn("cid", F.monotonically_increasing_id()).withColumn("length", F.size("embedding")), "itq-classes")
+    lengths = [r["length"] for r in classes.groupBy("length").count().filter("count > 1").orderBy("length").collect()]  # a model each, so few
+    parts = [classes.filter(F.col("length") == k) for k in lengths]
+    counted = reduce(DataFrame.unionByName, [links_of(p.select("cid", "n", "embedding"), threshold) for p in parts]) if parts else vectors.sparkSession.createDataFrame([], "cid long, links long, root long")
 
     links = counted.groupBy("cid").agg(F.sum("links").alias("links"))
     labels = components(counted.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     members = scratch.materialise(labels.join(classes.select("cid", "first"), labels["node"] == F.col("cid")).select("cid", "label", "first"), "itq-members")
     least = scratch.materialise(members.groupBy("label").agg(F.min("first").alias("least")), "itq-least")
     known = scratch.materialise(members.join(least, "label").select("cid", "least"), "itq-known")
-    decided = classes.select("cid", "n", "first").join(links, "cid", "left").join(known, "cid", "left")
-    decided = decided.select("cid", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("least", "first").alias("component_id"))
+    decided = classes.select("h1", "h2", "cid", "n", "first").join(links, "cid", "left").join(known, "cid", "left")
+    decided = decided.select("h1", "h2", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("least", "first").alias("component_id"))
     decided = scratch.materialise(decided, "itq-decided")
-    done = skew.join_by_group(keyed.filter("cid is not null").select("vec_id", "cid"), decided, ["cid"], "n", keyed.count())
-    alone = keyed.filter("cid is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    done = skew.join_by_group(keyed.filter("h1 is not null").select("vec_id", "h1", "h2"), decided, ["h1", "h2"], "n", keyed.count())
+    alone = keyed.filter("h1 is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = done.select("vec_id", "n_links", "component_id").unionByName(alone)
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
