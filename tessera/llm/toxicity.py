@@ -42,10 +42,12 @@ from . import arrow
 from .words import HashTable, Words, hashes, slices, spread
 
 MAX_DOCS = 3_000
-MAX_BYTES = 8 << 20
+MAX_BYTES = 4 << 20
 PREFIXES = (3, 4, 5, 6)
 SEGMENT = 32
 LEAST_CLEAN = 3_000
+#: Segments that a gradient is computed of at a time, which bounds the fit's memory.
+CHUNK = 1_024
 EPOCHS = 60
 LEAST_WEIGHT = 0.15
 
@@ -60,11 +62,12 @@ def held_out(doc_id: Column) -> Column:
 def features(texts: list[bytes]) -> tuple[Words, np.ndarray]:
     """The tokens of the texts, and the hashes of their features: [token, feature]."""
     words = Words(texts, BREAKS, lower=True)
-    columns = [hashes(words.data, words.starts, words.ends)]
-    for n in PREFIXES:
+    found = np.empty((len(words.starts), 1 + len(PREFIXES)), dtype=np.uint64)
+    found[:, 0] = hashes(words.data, words.starts, words.ends)
+    for k, n in enumerate(PREFIXES, 1):
         part = hashes(words.data, words.starts, np.minimum(words.starts + n, words.ends))
-        columns.append(part ^ np.uint64(0x9E3779B97F4A7C15 * n & (1 << 64) - 1))
-    return words, np.stack(columns, axis=1)
+        found[:, k] = part ^ np.uint64(0x9E3779B97F4A7C15 * n & (1 << 64) - 1)
+    return words, found
 
 
 @dataclass
@@ -176,6 +179,37 @@ def _token_labels(found: np.ndarray, text: np.ndarray, toxic: np.ndarray) -> np.
     return (out & bad_token).astype(np.int64)
 
 
+def _gradient(w: np.ndarray, bias: float, trans: np.ndarray, number: np.ndarray, live: np.ndarray, y: np.ndarray) -> tuple:
+    """Expected less observed counts of features, toxic tokens and transitions, of segments (rows) by forward-backward."""
+    shape = y.shape
+    before = np.concatenate((np.zeros((shape[0], 1), np.int64), y[:, :-1]), axis=1)
+    score = w[number].sum(axis=2) + bias
+    own = np.stack((np.ones(shape), np.exp(np.clip(score, -30, 30))), axis=2)
+    own = np.where(live[..., None] > 0, own, 1.0)
+    step = np.exp(trans)
+    ahead, back = np.empty((*shape, 2)), np.ones((*shape, 2))
+    message = np.tile([1.0, 0.0], (shape[0], 1))
+    for t in range(shape[1]):
+        m = (message @ step) * own[:, t]
+        message = m / m.sum(axis=1, keepdims=True)
+        ahead[:, t] = message
+    for t in range(shape[1] - 2, -1, -1):
+        on = live[:, t + 1, None] > 0
+        m = np.where(on, (back[:, t + 1] * own[:, t + 1]) @ step.T, 1.0)
+        back[:, t] = m / m.sum(axis=1, keepdims=True)
+    both = ahead * back
+    error = (both[..., 1] / both.sum(axis=2) - y) * live
+    edge = np.zeros((2, 2))
+    for t in range(shape[1]):
+        left = ahead[:, t - 1] if t else np.tile([1.0, 0.0], (shape[0], 1))
+        joint = left[:, :, None] * step[None] * (own[:, t] * back[:, t])[:, None, :]
+        joint /= joint.sum(axis=(1, 2), keepdims=True)
+        on = live[:, t] > 0
+        edge += joint[on].sum(axis=0)
+        np.subtract.at(edge, (before[on, t], y[on, t]), 1)
+    return np.bincount(number.ravel(), np.repeat(error.ravel(), number.shape[2]), minlength=len(w)), error.sum(), edge
+
+
 def _train_chain(found: np.ndarray, first: np.ndarray, labels: np.ndarray, seed: int = 5) -> Model:
     """Maximum likelihood by full-batch Adam over segments of labelled tokens."""
     size = np.diff(first)
@@ -194,43 +228,16 @@ def _train_chain(found: np.ndarray, first: np.ndarray, labels: np.ndarray, seed:
     keys = keys[counts >= 2]
     table = HashTable()
     table.add(keys)
-    number = table.find(found[index].ravel()).reshape(-1, found.shape[1])
+    number = table.find(found[index].ravel()).reshape(*index.shape, found.shape[1]).astype(np.int32)
     number[number < 0] = len(keys)
-    shape = y.shape
     w, bias, trans = np.zeros(len(keys) + 1), -3.0, np.zeros((2, 2))
     moments = [[np.zeros_like(w), np.zeros_like(w)], [0.0, 0.0], [np.zeros((2, 2)), np.zeros((2, 2))]]
-    before = np.concatenate((np.zeros((shape[0], 1), np.int64), y[:, :-1]), axis=1)
+    parts = [slice(k, k + CHUNK) for k in range(0, len(y), CHUNK)]
     for epoch in range(1, EPOCHS + 1):
-        score = (w[number].sum(axis=1) + bias).reshape(shape)
-        own = np.stack((np.ones(shape), np.exp(np.clip(score, -30, 30))), axis=2)
-        own = np.where(live[..., None] > 0, own, 1.0)
-        step = np.exp(trans)
-        ahead, back = np.empty((*shape, 2)), np.ones((*shape, 2))
-        message = np.tile([1.0, 0.0], (shape[0], 1))
-        for t in range(shape[1]):
-            m = (message @ step) * own[:, t]
-            message = m / m.sum(axis=1, keepdims=True)
-            ahead[:, t] = message
-        for t in range(shape[1] - 2, -1, -1):
-            on = live[:, t + 1, None] > 0
-            m = np.where(on, (back[:, t + 1] * own[:, t + 1]) @ step.T, 1.0)
-            back[:, t] = m / m.sum(axis=1, keepdims=True)
-        both = ahead * back
-        p = both[..., 1] / both.sum(axis=2)
-        error = (p - y) * live
-        edge = np.zeros((2, 2))
-        for t in range(shape[1]):
-            left = ahead[:, t - 1] if t else np.tile([1.0, 0.0], (shape[0], 1))
-            joint = left[:, :, None] * step[None] * (own[:, t] * back[:, t])[:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            on = live[:, t] > 0
-            edge += joint[on].sum(axis=0)
-            np.subtract.at(edge, (before[on, t], y[on, t]), 1)
-        n = live.sum()
-        rate = np.bincount(number.ravel(), np.repeat(error.ravel(), found.shape[1]), minlength=len(w)) + 0.5 * w
-        rate[-1] = 0
-        grads = [rate, error.sum(), edge + 0.5 * trans]
-        values = [w, bias, trans]
+        sums = [_gradient(w, bias, trans, number[p], live[p], y[p]) for p in parts]
+        grads = [sum(g[0] for g in sums) + 0.5 * w, sum(g[1] for g in sums), sum(g[2] for g in sums) + 0.5 * trans]
+        grads[0][-1] = 0
+        n, values = live.sum(), [w, bias, trans]
         for k, g in enumerate(grads):
             moments[k][0] = 0.9 * moments[k][0] + 0.1 * g / n
             moments[k][1] = 0.99 * moments[k][1] + 0.01 * (g / n) ** 2
