@@ -478,9 +478,16 @@ class NearTexts:
             return {"key": np.concatenate(found).view(np.int64), "node": np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])}
 
         rows = scratch.materialise(arrow.mapped(texts.select("row", "text"), keys, "key long, node long"), "near-keys")
-        buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("many"), *[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]).filter("many > 1")
-        buckets = scratch.materialise(buckets.groupBy("many", "x1", "x2").agg(F.min("key").alias("key")).select("key", "many"), "near-buckets")  # one of those with equal members
-        members = skew.join_by_group(rows, buckets, ["key"], "many", rows.count())
+        shared = scratch.materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1"), "near-shared")
+        if shared.count() <= NARROW_ROWS:
+            members = rows.join(F.broadcast(shared), "key")
+        else:
+            members = skew.join_by_group(rows, shared, ["key"], "many", rows.count())
+        members = scratch.materialise(members, "near-shared")
+        # Of keys with equal members one is enough.
+        alike = members.groupBy("key", "many").agg(*[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)])
+        buckets = skew.small(scratch.materialise(alike.groupBy("many", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "near-buckets"), NARROW_ROWS)
+        members = members.join(buckets, "key", "left_semi")
         members = members.join(skew.small(labels, NARROW_ROWS), "node", "left").select("key", "many", "node", F.coalesce("label", "node").alias("label"))
         members = scratch.materialise(members, "near-members")
         mixed_ = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
