@@ -32,7 +32,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -408,20 +408,21 @@ class NearTexts:
         copies = self.signed.select("row", "sig").join(self.nodes.filter("n > 1").select("sig", "node"), "sig").filter("row <> node").select("row")
         self.copies = skew.small(scratch.materialise(copies, "near-copies"), NARROW_ROWS)
 
-    def sets(self, nodes: DataFrame) -> DataFrame:
-        """node, set (its shingle hashes) of ``nodes``."""
-        size = self.size
+    def of_nodes(self, nodes: DataFrame, of, columns: str) -> DataFrame:
+        """node and the ``columns`` that ``of`` makes of the shingle sets of ``nodes``."""
+        size, label = self.size, columns.split()[0]
 
-        def of(batch: pa.RecordBatch) -> dict:
-            return {"node": batch.column(0), "set": pa.array([x.tobytes() for _, x in word_sets(arrow.texts(batch.column(1)), size)], pa.binary())}
+        def made(batch: pa.RecordBatch) -> dict:
+            return {"node": batch.column(0)} | of([x for _, x in word_sets(arrow.texts(batch.column(1)), size)])
 
-        wanted = skew.small(scratch.materialise(nodes.distinct(), "near-wanted"), NARROW_ROWS)
+        wanted = skew.small(scratch.materialise(nodes.select("node").distinct(), "near-wanted"), NARROW_ROWS)
         texts = self.signed.select(F.col("row").alias("node"), "text").join(wanted, "node", "left_semi")
-        return scratch.materialise(arrow.mapped(texts, of, "node long, set binary"), "near-sets")
+        return scratch.materialise(arrow.mapped(texts, made, f"node long, {columns}"), f"near-{label}")
 
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """a, b: those of the ``pairs`` that are alike."""
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """a, b: those of the ``pairs`` (a table on disk) that are alike."""
         similarity = self.similarity
+        sets = self.of_nodes(pairs.select(F.explode(F.array("a", "b")).alias("node")), lambda found: {"set": pa.array([x.tobytes() for x in found], pa.binary())}, "set binary")
 
         def verify(batch: pa.RecordBatch) -> dict:
             keep = []
@@ -463,7 +464,7 @@ class NearTexts:
             return {"a": both[:, 0], "b": both[:, 1]}
 
         found = scratch.materialise(arrow.grouped(dealt, ["t", "value", "cell"], pairs, "a long, b long").distinct(), "near-probed")
-        return self.verified(found, self.sets(found.select(F.explode(F.array("a", "b")).alias("node"))))
+        return self.verified(found)
 
     def by_prefix(self, labels: DataFrame) -> DataFrame:
         """a, b: links between nodes of different ``labels`` (node, label; others are their own), out of all that share a shingle of their prefixes."""
@@ -475,9 +476,10 @@ class NearTexts:
 
         def keys(batch: pa.RecordBatch) -> dict:
             found = [prefix(x, common, similarity) for _, x in word_sets(arrow.texts(batch.column(1)), size)]
-            return {"key": np.concatenate(found).view(np.int64), "node": np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])}
+            many = [len(x) for x in found]
+            return {"key": np.concatenate(found).view(np.int64), "node": np.repeat(batch.column(0).to_numpy(), many), "size": np.repeat(batch.column(2).to_numpy(), many)}
 
-        rows = scratch.materialise(arrow.mapped(texts.select("row", "text"), keys, "key long, node long"), "near-keys")
+        rows = scratch.materialise(arrow.mapped(texts.select("row", "text", "size"), keys, "key long, node long, size long"), "near-keys")
         shared = scratch.materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1"), "near-shared")
         if shared.count() <= NARROW_ROWS:
             members = rows.join(F.broadcast(shared), "key")
@@ -488,15 +490,17 @@ class NearTexts:
         alike = members.groupBy("key", "many").agg(*[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)])
         buckets = skew.small(scratch.materialise(alike.groupBy("many", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "near-buckets"), NARROW_ROWS)
         members = members.join(buckets, "key", "left_semi")
-        members = members.join(skew.small(labels, NARROW_ROWS), "node", "left").select("key", "many", "node", F.coalesce("label", "node").alias("label"))
+        members = members.join(skew.small(labels, NARROW_ROWS), "node", "left").select("key", "many", "node", "size", F.coalesce("label", "node").alias("label"))
         members = scratch.materialise(members, "near-members")
         mixed_ = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
-        members = scratch.materialise(members.join(skew.small(scratch.materialise(mixed_, "near-mixed"), NARROW_ROWS), "key", "left_semi"), "near-open")
-        sets = self.sets(members.select("node"))
+        members = in_blocks(members.join(skew.small(scratch.materialise(mixed_, "near-mixed"), NARROW_ROWS), "key", "left_semi"), "many")
+        # A node with a partner of a size near enough has one next to it in order of size.
+        by_size = Window.partitionBy("key", "cell").orderBy("size")
+        near = (F.lag("size").over(by_size) >= similarity * F.col("size")) | (F.col("size") >= similarity * F.lead("size").over(by_size))
+        members = scratch.materialise(members.withColumn("near", near).filter("near").drop("near", "size"), "near-open")
 
-        def features(batch: pa.RecordBatch) -> dict:
-            found = [np.frombuffer(x, "<u8") for x in batch.column(1).to_pylist()]
-            return {"node": batch.column(0), "cells": pa.array([histogram(x).tobytes() for x in found], pa.binary()), "fine": pa.array(list(map(fine_histogram, found)), pa.binary())}
+        def features(found: list[np.ndarray]) -> dict:
+            return {"cells": pa.array([histogram(x).tobytes() for x in found], pa.binary()), "fine": pa.array(list(map(fine_histogram, found)), pa.binary())}
 
         def pairs(cols: dict[str, pa.Array], groups: list[tuple[int, int]]) -> dict:
             node, label, own = (cols[k].to_numpy() for k in ("node", "label", "own"))
@@ -507,9 +511,9 @@ class NearTexts:
             both = np.unique(np.concatenate(found), axis=0)
             return {"a": both[:, 0], "b": both[:, 1]}
 
-        full = in_blocks(members, "many").join(scratch.materialise(arrow.mapped(sets, features, "node long, cells binary, fine binary"), "near-features"), "node")
+        full = members.join(self.of_nodes(members, features, "cells binary, fine binary"), "node")
         found = arrow.grouped(full.select("key", "cell", "node", "label", "own", "cells", "fine"), ["key", "cell"], pairs, "a long, b long").distinct()
-        return self.verified(scratch.materialise(found, "near-candidates"), sets)
+        return self.verified(scratch.materialise(found, "near-candidates"))
 
     def classes(self) -> DataFrame:
         """sig, n, best: of each class the row that stays of its component, that of the least id (null ids come last), then the first."""
