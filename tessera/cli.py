@@ -56,7 +56,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     Config()
     spark = spark or SparkSession.builder.appName("tessera").getOrCreate()
     if args.step == "discover":
-        discovered(spark, args.sitemap, args.source, args.host).show(1000, truncate=False)
+        for row in discovered(spark, args.sitemap, args.source, args.host).toLocalIterator():  # all of them, a partition at a time
+            print(*row, sep="\t")
     elif args.step == "status":
         scrape.status(scrape.manifest(spark, f"{args.folder}/manifest")).show(truncate=False)
     elif args.incremental:

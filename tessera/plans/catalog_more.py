@@ -91,12 +91,12 @@ def _(spark, sf):
     return C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_id", P.short_links(text).alias("text"))
 
 
-@query("htm_03_white_space", r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)[ \t]+$', '', 'g'), '\n{4,}', chr(10) || chr(10) || chr(10), 'g'), '^\s+', ''), '\s+$', '') AS text FROM documents WHERE regexp_full_match(text, '[\x20-\x7e\n]*')")
-def _(spark, sf):
-    return C.documents(spark, sf).filter(c("text").rlike(r"\A[\x20-\x7e\n]*\z")).select("doc_id", P.tidy(c("text")).alias("text"))
+#: The white space of Unicode without the line feed, as a character class.
+_BLANK = r"\t\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_ENDS = rf"[{_BLANK}\n\x1c-\x1f]+"
 
 
-@query("htm_18_white_space_all")
+@query("htm_03_white_space", rf"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)[{_BLANK}]+$', '', 'g'), '\n{{4,}}', chr(10) || chr(10) || chr(10), 'g'), '\A{_ENDS}', ''), '{_ENDS}\z', '') AS text FROM documents")
 def _(spark, sf):
     return C.documents(spark, sf).select("doc_id", P.tidy(c("text")).alias("text"))
 
@@ -209,11 +209,11 @@ def _(spark, sf):
     return crawl.adaptive_delays(rows, "user_id", ["ts", "event_id"], "status")
 
 
-@query("set_01_right_biased_merge", "SELECT coalesce(n.k, o.k) AS k, coalesce(n.h, o.h) AS h FROM (SELECT doc_id AS k, sha256(text) AS h FROM documents WHERE doc_id % 3 = 0) n FULL JOIN (SELECT doc_id AS k, lang AS h FROM documents WHERE doc_id % 2 = 0) o ON n.k = o.k")
+@query("set_01_right_biased_merge", "SELECT coalesce(n.k, o.k) AS k, coalesce(n.h, o.h) AS h FROM (SELECT doc_id AS k, sha256(text) AS h FROM documents WHERE lang <> 'en') n FULL JOIN (SELECT doc_id AS k, lang AS h FROM documents) o ON n.k = o.k")
 def _(spark, sf):
     docs = C.documents(spark, sf)
-    new = docs.filter("doc_id % 3 = 0").select(c("doc_id").alias("k"), F.sha2("text", 256).alias("h"))
-    old = docs.filter("doc_id % 2 = 0").select(c("doc_id").alias("k"), c("lang").alias("h"))
+    new = docs.filter("lang <> 'en'").select(c("doc_id").alias("k"), F.sha2("text", 256).alias("h"))
+    old = docs.select(c("doc_id").alias("k"), c("lang").alias("h"))
     return crawl.right_biased_merge(old, new, "k", "h")
 
 

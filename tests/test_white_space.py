@@ -18,5 +18,5 @@ def tidied(text):
 
 def test_all_documents_are_tidied(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
-    got = {r["doc_id"]: r["text"] for r in catalog.queries()["htm_18_white_space_all"](spark, SF).collect()}
+    got = {r["doc_id"]: r["text"] for r in catalog.queries()["htm_03_white_space"](spark, SF).collect()}
     assert len(got) == 1000 and got == {d: tidied(t) for d, t in docs.items()}
