@@ -23,7 +23,8 @@ Segments travel with their words only in mixed groups and once each, and texts a
 whole.  Words and grams are compared by 64-bit hashes.
 
 Defined results: a null or empty text has no words; texts shorter than a window lose
-nothing; repeated rows repeat each other's windows; ids may be null or repeat; an
+nothing; repeated rows repeat each other's windows (rows are told apart by a 64-bit hash
+of id and text, and equal ones lose the same); ids may be null or repeat; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -177,23 +178,15 @@ def _subtrees(batch: pa.RecordBatch) -> dict:
 
 
 def _suffixes(batch: pa.RecordBatch) -> dict:
-    """Each suffix of a segment: its WINDOW words, and which of the segment's windows it is."""
+    """Each suffix of a segment: its WINDOW words, which of the segment's windows it is, and the hash of each of its ``DEEPER`` prefixes."""
     n = batch.column("n").to_numpy().astype(np.int64)
     words = [np.frombuffer(w, np.uint64) for w in batch.column("words").to_pylist()]
     owner = np.repeat(np.arange(len(n)), n)
     bit = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     bodies = [words[k][b : b + WINDOW].tobytes() for k, b in zip(owner, bit, strict=True)]
-    return {c: batch.column(c).take(pa.array(owner)) for c in ("gram", "seg", "copies")} | {"bit": bit, "body": bodies}
-
-
-def _prefixed(size: int):
-    def keys(batch: pa.RecordBatch) -> dict:
-        """Suffixes with the hash of their first ``size`` words."""
-        words = np.frombuffer(b"".join(batch.column("body").to_pylist()), np.uint64)
-        start = np.arange(batch.num_rows) * WINDOW
-        return {c: batch.column(c) for c in ("gram", "seg", "copies", "bit", "body")} | {"key": Ranges(words).of(start, start + size).view(np.int64)}
-
-    return keys
+    ranges, start = Ranges(np.frombuffer(b"".join(bodies), np.uint64)), np.arange(len(bodies)) * WINDOW
+    keys = {f"k{size}": ranges.of(start, start + size).view(np.int64) for size in DEEPER}
+    return {c: batch.column(c).take(pa.array(owner)) for c in ("gram", "seg", "copies")} | {"bit": bit, "body": bodies} | keys
 
 
 def _prefix_subtrees(batch: pa.RecordBatch) -> dict:
@@ -209,18 +202,19 @@ def _prefix_subtrees(batch: pa.RecordBatch) -> dict:
 
 def deeper_repeats(segs: DataFrame) -> DataFrame:
     """gram, seg, copies, bit: the windows of ``segs`` (of groups that do not fit) that occur again."""
-    suffixes = scratch.materialise(arrow.mapped(segs, _suffixes, "gram long, seg long, copies long, bit int, body binary"), "suffixes")
+    keys = ", ".join(f"k{size} long" for size in DEEPER)
+    rest = scratch.materialise(arrow.mapped(segs, _suffixes, f"gram long, seg long, copies long, bit int, body binary, {keys}"), "suffixes")
     found = []
     for size in DEEPER:
-        keyed = scratch.materialise(arrow.mapped(suffixes, _prefixed(size), "gram long, seg long, copies long, bit int, body binary, key long"), "prefixes")
-        groups = keyed.groupBy("gram", "key").agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts")).filter("starts > 1")
-        groups = scratch.materialise(groups.select("gram", "key", "leaves"), "prefix-groups")
-        together = skew.join_by_group(keyed, groups, ["gram", "key"], "leaves", keyed.count())
+        key = ["gram", f"k{size}"]
+        groups = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts")).filter("starts > 1")
+        groups = scratch.materialise(groups.select(*key, "leaves"), "prefix-groups")
+        together = skew.join_by_group(rest, groups, key, "leaves", rest.count())
         if size == WINDOW:
             return reduce(DataFrame.unionByName, [*found, together.select("gram", "seg", "copies", "bit")])
-        trees = together.filter(F.col("leaves") <= GROUP).groupBy("gram", "key").agg(F.collect_list(F.struct("seg", "copies", "bit", "body")).alias("rows"))
+        trees = together.filter(F.col("leaves") <= GROUP).groupBy(*key).agg(F.collect_list(F.struct("seg", "copies", "bit", "body")).alias("rows"))
         found.append(scratch.materialise(arrow.mapped(trees.select("gram", "rows"), _prefix_subtrees, "gram long, seg long, copies long, bit int"), "prefix-repeats"))
-        suffixes = together.filter(F.col("leaves") > GROUP).select("gram", "seg", "copies", "bit", "body")
+        rest = scratch.materialise(together.filter(F.col("leaves") > GROUP).select(*rest.columns), "suffixes")
     raise ValueError("the last prefix is the window")
 
 
@@ -276,8 +270,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
 
 def strip_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept (the words that stay, joined by spaces; or null) of each row."""
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.monotonically_increasing_id().alias("rid"))
-    rows = scratch.materialise(rows, "passage-rows")
+    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("rid"))
     gone = repeated_windows(rows).groupBy("rid").agg(F.collect_set(F.struct("lo", "n", "mask")).alias("gone"))
     schema = arrow.with_column("doc_id", docs.schema[doc_id].dataType, "n_words long, n_removed long, kept_sha256 string, kept string")
     return arrow.mapped(rows.join(gone, "rid", "left").select("doc_id", "text", "gone"), partial(_strip, keep_text=keep_text), schema)
