@@ -244,8 +244,9 @@ def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     return skew.join_by_group(prints, classes, ["fp"], "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
-#: Texts alike by ``NEAR_SIMILARITY`` of their five-word shingles are probed within this many bits of their words' fingerprints.
-NEAR_RADIUS = 10
+#: Texts alike by ``NEAR_SIMILARITY`` of their five-word shingles are probed within this many bits of
+#: their words' fingerprints; links further apart are found by prefixes, so results do not depend on it.
+NEAR_RADIUS = 7
 NEAR_SHINGLE = 5
 NEAR_SIMILARITY = 0.8
 #: Cost of a key against that of a compared pair where members are compared as whole arrays.
