@@ -262,6 +262,8 @@ CELLS = 64
 #: Sets of more than this many shingles also have a histogram of ``FINE`` cells, a byte each.
 LONG = 1000
 FINE = 2048
+#: A pair that shares several keys is compared under the first of the ``FIRST_KEYS`` least of each node that both have.
+FIRST_KEYS = 16
 #: A shingle is common if more texts than this, and than a thousandth of all, hold it among their ``LOW`` least.
 COMMON = 256
 LOW = 16
@@ -349,15 +351,19 @@ def probed(codes: np.ndarray, sizes: np.ndarray, own: np.ndarray, earlier: np.nd
     return np.concatenate([*left, i]), np.concatenate([*right, j])
 
 
-def bucket_pairs(nodes: np.ndarray, labels: np.ndarray, own: np.ndarray, cells: np.ndarray, fine: list[bytes | None], similarity: float) -> np.ndarray:
-    """Pairs of a cell with different labels, without those that cannot be alike by ``similarity``."""
+def bucket_pairs(key: int, nodes: np.ndarray, labels: np.ndarray, own: np.ndarray, least: np.ndarray, cells: np.ndarray, fine: list[bytes | None], similarity: float) -> np.ndarray:
+    """Pairs of a cell with different labels, without those that cannot be alike by ``similarity``
+    and those that share a lesser one of their ``least`` keys: they are compared there."""
     sizes, found = cells.sum(axis=1, dtype=np.int64), []
+    lesser = [x[x < key] for x in least]
     apart = own.max() != own.min()
     for k in range(len(nodes) - 1):
         ok = (labels[k + 1 :] != labels[k]) & (np.minimum(sizes[k + 1 :], sizes[k]) >= similarity * np.maximum(sizes[k + 1 :], sizes[k]))
         if apart:
             ok &= own[k + 1 :] != own[k]
         rest = k + 1 + np.flatnonzero(ok)
+        if len(rest) and len(lesser[k]):
+            rest = rest[~np.isin(least[rest], lesser[k]).any(axis=1)]
         if len(rest):
             share = np.minimum(cells[rest], cells[k]).sum(axis=1, dtype=np.int64)
             rest = rest[share >= similarity * (sizes[rest] + sizes[k] - share)]
@@ -504,16 +510,20 @@ class NearTexts:
             return {"cells": pa.array([histogram(x).tobytes() for x in found], pa.binary()), "fine": pa.array(list(map(fine_histogram, found)), pa.binary())}
 
         def pairs(cols: dict[str, pa.Array], groups: list[tuple[int, int]]) -> dict:
-            node, label, own = (cols[k].to_numpy() for k in ("node", "label", "own"))
+            key, node, label, own = (cols[k].to_numpy() for k in ("key", "node", "label", "own"))
             cells, fine, found = cols["cells"].to_pylist(), cols["fine"].to_pylist(), [np.empty((0, 2), dtype=np.int64)]
+            least = np.array([x + x[-1:] * (FIRST_KEYS - len(x)) for x in cols["least"].to_pylist()], dtype=np.int64)
             for a, b in groups:
                 if b - a > 1:
-                    found.append(bucket_pairs(node[a:b], label[a:b], own[a:b], np.frombuffer(b"".join(cells[a:b]), "<u4").reshape(-1, CELLS), fine[a:b], similarity))
+                    found.append(bucket_pairs(key[a], node[a:b], label[a:b], own[a:b], least[a:b], np.frombuffer(b"".join(cells[a:b]), "<u4").reshape(-1, CELLS), fine[a:b], similarity))
             both = np.unique(np.concatenate(found), axis=0)
             return {"a": both[:, 0], "b": both[:, 1]}
 
-        full = members.join(self.of_nodes(members, features, "cells binary, fine binary"), "node")
-        found = arrow.grouped(full.select("key", "cell", "node", "label", "own", "cells", "fine"), ["key", "cell"], pairs, "a long, b long").distinct()
+        # As many keys as a node's own prefix has at most.
+        least = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, FIRST_KEYS).alias("least"))
+        known = self.of_nodes(members, features, "cells binary, fine binary").join(least, "node")
+        full = members.join(scratch.materialise(known, "near-features"), "node")
+        found = arrow.grouped(full.select("key", "cell", "node", "label", "own", "least", "cells", "fine"), ["key", "cell"], pairs, "a long, b long").distinct()
         return self.verified(scratch.materialise(found, "near-candidates"))
 
     def classes(self) -> DataFrame:
