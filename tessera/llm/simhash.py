@@ -38,6 +38,7 @@ from pyspark.sql.types import StructType
 
 from . import arrow, scratch, skew
 from .components import components
+from .exact_dedup import RepeatFilter
 from .words import Words, hashes, mixed, slices
 
 RADIUS = 2
@@ -255,8 +256,6 @@ NEAR_KEY_COST = 500.0
 BLOCK = 1024
 #: A cell with more than so many pairs a node gives stars instead of pairs.
 DENSE = 2
-#: Up to so many rows of one or two longs are broadcast.
-NARROW_ROWS = 500_000
 #: Cells of the histogram of a shingle set that bounds what two sets can share.
 CELLS = 64
 #: Sets of more than this many shingles also have a histogram of ``FINE`` cells, a byte each.
@@ -413,7 +412,7 @@ class NearTexts:
         self.nodes = scratch.materialise(nodes, "near-nodes")
         self.count = self.nodes.count()
         copies = self.signed.select("row", "sig").join(self.nodes.filter("n > 1").select("sig", "node"), "sig").filter("row <> node").select("row")
-        self.copies = skew.small(scratch.materialise(copies, "near-copies"), NARROW_ROWS)
+        self.copies = skew.small(scratch.materialise(copies, "near-copies"), skew.NARROW_ROWS)
 
     def of_nodes(self, nodes: DataFrame, of, columns: str) -> DataFrame:
         """node and the ``columns`` that ``of`` makes of the shingle sets of ``nodes``."""
@@ -422,7 +421,7 @@ class NearTexts:
         def made(batch: pa.RecordBatch) -> dict:
             return {"node": batch.column(0)} | of([x for _, x in word_sets(arrow.texts(batch.column(1)), size)])
 
-        wanted = skew.small(scratch.materialise(nodes.select("node").distinct(), "near-wanted"), NARROW_ROWS)
+        wanted = skew.small(scratch.materialise(nodes.select("node").distinct(), "near-wanted"), skew.NARROW_ROWS)
         texts = self.signed.select(F.col("row").alias("node"), "text").join(wanted, "node", "left_semi")
         return scratch.materialise(arrow.mapped(texts, made, f"node long, {columns}"), f"near-{label}")
 
@@ -455,7 +454,7 @@ class NearTexts:
         if large.isEmpty():
             dealt = keys.withColumn("own", F.lit(0).cast("long")).withColumn("cell", F.lit(0).cast("long"))
         else:
-            counted = keys.join(skew.small(large, NARROW_ROWS), ["t", "value"], "left")
+            counted = keys.join(skew.small(large, skew.NARROW_ROWS), ["t", "value"], "left")
             dealt = in_blocks(counted.withColumn("many", F.coalesce("many", F.lit(1))), "many")
         all_masks, similarity = np.array(current, dtype=np.uint64), self.similarity
 
@@ -487,20 +486,23 @@ class NearTexts:
             return {"key": np.concatenate(found).view(np.int64), "node": np.repeat(batch.column(0).to_numpy(), many), "size": np.repeat(batch.column(2).to_numpy(), many)}
 
         rows = scratch.materialise(arrow.mapped(texts.select("row", "text", "size"), keys, "key long, node long, size long"), "near-keys")
+        # Most keys occur once, and their rows need not be shuffled.
+        again = RepeatFilter(rows, "key", rows.count()).test(rows).filter("may_repeat").drop("may_repeat")
+        rows = scratch.materialise(again, "near-again")
         shared = scratch.materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1"), "near-shared")
-        if shared.count() <= NARROW_ROWS:
+        if shared.count() <= skew.NARROW_ROWS:
             members = rows.join(F.broadcast(shared), "key")
         else:
             members = skew.join_by_group(rows, shared, ["key"], "many", rows.count())
         members = scratch.materialise(members, "near-shared")
         # Of keys with equal members one is enough.
         alike = members.groupBy("key", "many").agg(*[F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)])
-        buckets = skew.small(scratch.materialise(alike.groupBy("many", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "near-buckets"), NARROW_ROWS)
+        buckets = skew.small(scratch.materialise(alike.groupBy("many", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "near-buckets"), skew.NARROW_ROWS)
         members = members.join(buckets, "key", "left_semi")
-        members = members.join(skew.small(labels, NARROW_ROWS), "node", "left").select("key", "many", "node", "size", F.coalesce("label", "node").alias("label"))
+        members = members.join(skew.small(labels, skew.NARROW_ROWS), "node", "left").select("key", "many", "node", "size", F.coalesce("label", "node").alias("label"))
         members = scratch.materialise(members, "near-members")
         mixed_ = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
-        members = in_blocks(members.join(skew.small(scratch.materialise(mixed_, "near-mixed"), NARROW_ROWS), "key", "left_semi"), "many")
+        members = in_blocks(members.join(skew.small(scratch.materialise(mixed_, "near-mixed"), skew.NARROW_ROWS), "key", "left_semi"), "many")
         # A node with a partner of a size near enough has one next to it in order of size.
         by_size = Window.partitionBy("key", "cell").orderBy("size")
         near = (F.lag("size").over(by_size) >= similarity * F.col("size")) | (F.col("size") >= similarity * F.lead("size").over(by_size))
@@ -564,5 +566,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     near = NearTexts(docs, doc_id, text, NEAR_SHINGLE, NEAR_SIMILARITY)
     rows = skew.join_by_group(near.signed.select("row", "sig"), near.classes(), ["sig"], "n", near.signed.count())
     gone = scratch.materialise(rows.filter("row <> best.row").select("row"), "near-gone")
-    kept = near.signed.select("row", "text", "data").join(skew.small(gone, NARROW_ROWS), "row", "left_anti")
+    kept = near.signed.select("row", "text", "data").join(skew.small(gone, skew.NARROW_ROWS), "row", "left_anti")
     return kept.select(*[F.col("text").alias(c) if c == text else F.col("data").getField(c).alias(c) for c in docs.columns])

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 1 / 1000
 #: Largest number of rows that `small` lets be broadcast.
 BROADCAST_ROWS = 20_000
+#: The same for rows of one or two longs.
+NARROW_ROWS = 500_000
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
