@@ -82,16 +82,17 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MAX_COPIES, seed: int = 17) -> DataFrame:
     """``docs`` with all columns, each row as many times as the mix takes it.
 
-    Copies are joined back by id, source and size.  Rows that share all three are
-    numbered, and each takes the copies of one of them.
+    Copies are joined back by id, source and size, broadcast where they are few enough, so
+    that texts stay where they are.  Rows that share all three are numbered by a hash of
+    their texts, and each takes the copies of one of them.
     """
     found = mix(docs, doc_id, text, source, weights, most, seed)
     by = found.groupBy(F.col("doc_id").alias("id"), F.col("source").alias("from"), F.col("size").alias("of")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies"))
-    by = skew.small(scratch.materialise(by.filter(F.col("copies")[0] > 0), "mix-copies"))
+    by = skew.small(scratch.materialise(by.filter(F.col("copies")[0] > 0), "mix-copies"), skew.NARROW_ROWS // 2)
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), word_count(docs[text]).alias("size"), F.struct("*").alias("row"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("from")) & (F.col("size") == F.col("of"))
     rows = rows.join(by, same).select("doc_id", "source", "size", "copies", "row")
-    twins = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))
+    twins = Window.partitionBy("doc_id", "source", "size").orderBy(F.xxhash64(F.col("row").getField(text)))
     alone = rows.filter(F.size("copies") == 1).select("row", F.col("copies")[0].alias("times"))
     others = rows.filter(F.size("copies") > 1).withColumn("k", F.row_number().over(twins)).select("row", F.get("copies", F.col("k") - 1).alias("times"))
     taken = alone.unionByName(others).filter("times > 0")
