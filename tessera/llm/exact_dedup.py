@@ -40,9 +40,9 @@ def normalised(text: Column) -> Column:
 class RepeatFilter:
     """A blocked Bloom filter of the hashes that occur at least twice."""
 
-    def __init__(self, keys: DataFrame, key: str, rows: int):
+    def __init__(self, keys: DataFrame, key: str, rows: int, bits_per_row: int = BITS_PER_ROW):
         self.key, self.fits = key, rows * LEAST_BITS <= MAX_FILTER_BITS
-        bits = min(rows * BITS_PER_ROW, MAX_FILTER_BITS) if self.fits else rows * BITS_PER_ROW
+        bits = min(rows * bits_per_row, MAX_FILTER_BITS) if self.fits else rows * bits_per_row
         self.blocks = max(1, -(-bits // BLOCK_BITS))
         twice = keys.select(self._place().alias("place")).groupBy("place").count().filter("count >= 2")
         filters = twice.groupBy(F.expr(f"place div {BLOCK_BITS}").alias("block")).agg(F.bitmap_construct_agg(F.col("place") % BLOCK_BITS).alias("bits"))

@@ -263,6 +263,8 @@ LONG = 1000
 FINE = 2048
 #: A pair that shares several keys is compared under the first of the ``FIRST_KEYS`` least of each node that both have.
 FIRST_KEYS = 16
+#: Bits of the filter of repeated keys for each key.
+KEY_BITS = 8
 #: A shingle is common if more texts than this, and than a thousandth of all, hold it among their ``LOW`` least.
 COMMON = 256
 LOW = 16
@@ -487,7 +489,7 @@ class NearTexts:
 
         rows = scratch.materialise(arrow.mapped(texts.select("row", "text", "size"), keys, "key long, node long, size long"), "near-keys")
         # Most keys occur once, and their rows need not be shuffled.
-        again = RepeatFilter(rows, "key", rows.count()).test(rows).filter("may_repeat").drop("may_repeat")
+        again = RepeatFilter(rows, "key", rows.count(), KEY_BITS).test(rows).filter("may_repeat").drop("may_repeat")
         rows = scratch.materialise(again, "near-again")
         shared = scratch.materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1"), "near-shared")
         if shared.count() <= skew.NARROW_ROWS:
@@ -514,7 +516,7 @@ class NearTexts:
         def pairs(cols: dict[str, pa.Array], groups: list[tuple[int, int]]) -> dict:
             key, node, label, own = (cols[k].to_numpy() for k in ("key", "node", "label", "own"))
             cells, fine, found = cols["cells"].to_pylist(), cols["fine"].to_pylist(), [np.empty((0, 2), dtype=np.int64)]
-            least = np.array([x + x[-1:] * (FIRST_KEYS - len(x)) for x in cols["least"].to_pylist()], dtype=np.int64)
+            least = cols["least"].flatten().to_numpy().reshape(-1, FIRST_KEYS)
             for a, b in groups:
                 if b - a > 1:
                     found.append(bucket_pairs(key[a], node[a:b], label[a:b], own[a:b], least[a:b], np.frombuffer(b"".join(cells[a:b]), "<u4").reshape(-1, CELLS), fine[a:b], similarity))
@@ -522,7 +524,8 @@ class NearTexts:
             return {"a": both[:, 0], "b": both[:, 1]}
 
         # As many keys as a node's own prefix has at most.
-        least = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, FIRST_KEYS).alias("least"))
+        own = F.array_sort(F.collect_set("key"))
+        least = members.groupBy("node").agg(F.slice(F.concat(own, F.array_repeat(F.array_max(own), FIRST_KEYS)), 1, FIRST_KEYS).alias("least"))
         known = self.of_nodes(members, features, "cells binary, fine binary").join(least, "node")
         full = members.join(scratch.materialise(known, "near-features"), "node")
         found = arrow.grouped(full.select("key", "cell", "node", "label", "own", "least", "cells", "fine"), ["key", "cell"], pairs, "a long, b long").distinct()
