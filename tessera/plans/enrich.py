@@ -36,11 +36,15 @@ def chunk_tags(chunks: DataFrame) -> DataFrame:
     )
 
 
-def enrich(sections: DataFrame, split: Column | None = None) -> DataFrame:
-    """Enriched chunks; ``split`` replaces the adaptive chunker (it is an array of chunks)."""
+def enrich(sections: DataFrame, split: Column | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Enriched chunks; ``split`` replaces the adaptive chunker (it is an array of chunks).
+
+    Links go to ``sections`` and to those ``known`` beside them (source, section_code).
+    """
     tagged = tagged_sections(sections)
     split = chunking.adaptive(F.col("body"), F.col("content_type")) if split is None else split
     chunks = chunk_tags(chunking.chunked(tagged, split).drop("body"))
-    lists = linking.link_lists(sections)
+    codes = sections.select("source", "section_code")
+    lists = linking.link_lists(codes if known is None else codes.unionByName(known.select("source", "section_code")))
     none = F.array().cast("array<struct<source:string,section_code:string,topic:string,relationship:string>>")
     return chunks.join(lists, ["source", "section_code"], "left").withColumn("cross_source_links", F.coalesce("cross_source_links", none))

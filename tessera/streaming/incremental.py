@@ -11,46 +11,64 @@ from ..plans import enrich
 from ..sources import files
 
 
-def enriched(sections: DataFrame) -> DataFrame:
-    """Enriched chunks of parsed files (as `files.sections` gives them)."""
+def enriched(sections: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Enriched chunks of parsed files (as `files.sections` gives them), linked with sections ``known`` as well."""
     c = F.col
     numbered = sections.filter("error is null and section_code <> ''").select("source", "section_code", "title", "body", (c("table_count") > 0).alias("has_tables"), F.xxhash64("path").alias("section_id"), "path", "content_hash")
-    return enrich.enrich(numbered)
+    return enrich.enrich(numbered, known=known)
 
 
 def update(spark: SparkSession, batch: DataFrame, folder: str) -> None:
     """Enrich what changed in ``batch`` (path, value) and replace it in the tables below ``folder``.
 
     Chunks are written first and the state last, so a batch that fails midway is
-    done again; rows of a file are replaced whole.
+    done again; rows of a file are replaced whole.  New chunks are linked with the sections
+    of all files, not of this batch alone.
     """
     now = files.sections(batch)
     state = _table(spark, f"{folder}/state", "path string, content_hash string")
     fresh = crawl.changed(now, state, ["path", "content_hash"])
-    chunks = enriched(fresh)
     old = _table(spark, f"{folder}/chunks", None)
-    if old is not None:
-        chunks = crawl.changed(old, fresh.select("path"), ["path"]).unionByName(chunks)
+    if old is None:
+        chunks = enriched(fresh)
+    else:
+        kept = crawl.changed(old, fresh.select("path"), ["path"])
+        chunks = kept.unionByName(enriched(fresh, kept.select("source", "section_code").distinct()))
     _replace(spark, chunks, f"{folder}/chunks")
     merged = crawl.right_biased_merge(state, now.select("path", "content_hash"), "path", "content_hash")
     _replace(spark, merged, f"{folder}/state")
 
 
 def _table(spark: SparkSession, path: str, schema: str | None) -> DataFrame | None:
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found):
+    """The table at ``path``, taken back first from where a run that died midway had put it."""
+    fs, here, before = _places(spark, path, "", "-before")
+    if not fs.exists(here) and fs.exists(before):
+        fs.rename(before, here)
+    if fs.exists(here):
         return spark.read.parquet(path)
     return spark.createDataFrame([], schema) if schema else None
 
 
+def _places(spark: SparkSession, path: str, *ends: str) -> list:
+    """The file system of ``path``, and ``path`` with each of the ``ends``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    found = [hadoop.Path(f"{path}{end}") for end in ends]
+    return [found[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), *found]
+
+
 def _replace(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Write next to the table, then take its place: the new rows may come from the old table."""
+    """Write next to the table, then take its place: the new rows may come from the old table.
+
+    The old table is moved and deleted last, so at any time it or the new one is there.
+    """
     files.write_table(df, f"{path}-next")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    old, new = hadoop.Path(path), hadoop.Path(f"{path}-next")
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    fs.rename(new, old)
+    fs, here, new, before = _places(spark, path, "", "-next", "-before")
+    if fs.exists(here):
+        fs.delete(before, True)
+        fs.rename(here, before)
+    if not fs.rename(new, here):
+        raise OSError(f"{path} could not be replaced")
+    fs.delete(before, True)
 
 
 def watch(spark: SparkSession, tree: str, folder: str) -> StreamingQuery:

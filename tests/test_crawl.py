@@ -97,6 +97,28 @@ def test_stream_enriches_what_changed(spark, tmp_path):
     assert spark.read.parquet(f"{out}/state").count() == 3
 
 
+def test_new_files_are_linked_with_all_files(spark, tmp_path):
+    tree, out = tmp_path / "tree", f"file://{tmp_path}/out"
+    tree.mkdir()
+    write(tree, "a.md", "4201.1", "A condo must be insured. " * 10)
+    (tree / "b.md").write_text("---\nsource: fannie_mae\nsection_code: B2-1.3-01\ntitle: T\n---\n# B2-1.3-01\n\n" + "An overview. " * 20)
+    incremental.watch(spark, str(tree), out).awaitTermination()
+    whole = {r["section_code"]: {x["section_code"] for x in r["cross_source_links"]} for r in spark.read.parquet(f"{out}/chunks").collect()}
+    (tree / "b.md").write_text((tree / "b.md").read_text() + "\nAnother line.\n")
+    rows = spark.read.text(str(tree / "b.md"), wholetext=True).selectExpr("_metadata.file_path AS path", "value")
+    incremental.update(spark, rows, out)
+    assert {r["section_code"]: {x["section_code"] for x in r["cross_source_links"]} for r in spark.read.parquet(f"{out}/chunks").collect()} == whole
+    assert "4201.1" in whole["B2-1.3-01"]
+
+
+def test_a_table_moved_by_a_dead_run_is_taken_back(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    spark.range(3).write.parquet(f"{path}-before")
+    assert incremental._table(spark, path, None).count() == 3
+    incremental._replace(spark, incremental._table(spark, path, None).filter("id > 0"), path)
+    assert spark.read.parquet(path).count() == 2 and not (tmp_path / "t-before").exists()
+
+
 def test_command_line(spark, tmp_path, capsys):
     tree = tmp_path / "tree"
     tree.mkdir()
