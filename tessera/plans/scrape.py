@@ -37,14 +37,17 @@ def frontier(found: DataFrame, done: DataFrame, config: Config) -> DataFrame:
 def scrape(spark: SparkSession, found: DataFrame, folder: str, make: Callable[[], fetch.Fetcher], config: Config, base_delay: float = 0.0, workers: int = 1) -> DataFrame:
     """Fetch, parse and store; returns the new manifest (also stored).
 
-    Tables below ``folder``: pages (as fetched, one part a run), sections and manifest.
+    Tables below ``folder``: pages (as fetched) and sections, one part a run, and manifest.
+    A run is named by the manifest that it starts from, so one that died before its
+    manifest was written is done again in the same place and leaves nothing twice.
     """
     old = manifest(spark, f"{folder}/manifest")
-    run = f"{folder}/pages/run={spark.sparkContext.applicationId}-{abs(hash(folder)) % 10**6}-{old.count()}"
+    name = old.agg(F.coalesce(F.bit_xor(F.xxhash64(*old.columns)), F.lit(0)).cast("decimal(20,0)")).first()[0]
+    run, parts = f"{folder}/pages/run={old.count()}-{name}", f"{folder}/sections/run={old.count()}-{name}"
     todo = frontier(found, old, config)
     fetch.fetched(todo, make, config, base_delay, workers, words_of_page).write.mode("overwrite").parquet(run)
     got = spark.read.parquet(run)
-    section_pages.parsed(got.filter("html is not null")).write.mode("append").partitionBy("source").parquet(f"{folder}/sections")
+    section_pages.parsed(got.filter("html is not null")).write.mode("overwrite").partitionBy("source").parquet(parts)
     new = got.select("source", "section_code", "url", "status", F.sha2("html", 256).alias("content_hash"), "word_count", "error_type", "error_message")
     kept = crawl.changed(old, new.select("source", "section_code"), ["source", "section_code"])
     merged = kept.unionByName(new)

@@ -69,6 +69,9 @@ def test_scrape_resumes(spark, tmp_path):
     folder = f"file://{tmp_path}/out"
     first = {r["section_code"]: r["status"] for r in scrape.scrape(spark, found, folder, lambda: fetch.TableFetcher(pages), config).collect()}
     assert first == {"1100.1": "success", "1101.1": "quality_warning", "1102.1": "failed", "1103.1": "failed"}
+    (tmp_path / "out" / "manifest").rename(tmp_path / "lost")  # as if the run had died before it wrote the manifest
+    assert {r["section_code"]: r["status"] for r in scrape.scrape(spark, found, folder, lambda: fetch.TableFetcher(pages), config).collect()} == first
+    assert spark.read.parquet(f"{folder}/sections").count() == 2
     assert [r["section_code"] for r in scrape.frontier(found, scrape.manifest(spark, f"{folder}/manifest"), config).orderBy("section_code").collect()] == ["1102.1", "1103.1"]
     second = {r["section_code"]: r["status"] for r in scrape.scrape(spark, found, folder, lambda: fetch.TableFetcher(pages | {"https://h/3": PAGE}), config).collect()}
     assert second == first | {"1103.1": "success"}
