@@ -15,9 +15,9 @@ segments is a subtree in memory: the suffixes at its window starts are ranked by
 doubling until they are told apart down to ``WINDOW`` words, and the suffixes that remain together
 are the leaves below one internal node of at least that depth, which is a repeat.  A
 group that does not fit is split: its suffixes take prefixes of ``DEEPER`` words, one length
-after the other.  A suffix alone under its prefix is done, a group of up to ``GROUP`` suffixes is
-a subtree, and the rest takes the next length; suffixes that are together under all
-``WINDOW`` words are equal.
+after the other.  A suffix alone under its prefix is done, a group of suffixes that are equal in
+all ``WINDOW`` words is one leaf and a repeat, a group of up to ``GROUP`` suffixes is a subtree,
+and the rest takes the next length.
 
 Segments travel with their words only in mixed groups and once each, and texts are read
 whole.  Words and grams are compared by 64-bit hashes.
@@ -205,16 +205,19 @@ def deeper_repeats(segs: DataFrame) -> DataFrame:
     keys = ", ".join(f"k{size} long" for size in DEEPER)
     rest = scratch.materialise(arrow.mapped(segs, _suffixes, f"gram long, seg long, copies long, bit int, body binary, {keys}"), "suffixes")
     found = []
+    whole = f"k{WINDOW}"
     for size in DEEPER:
         key = ["gram", f"k{size}"]
-        groups = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts")).filter("starts > 1")
-        groups = scratch.materialise(groups.select(*key, "leaves"), "prefix-groups")
-        together = skew.join_by_group(rest, groups, key, "leaves", rest.count())
+        groups = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts"), (F.min(whole) != F.max(whole)).alias("splits")).filter("starts > 1")
+        groups = scratch.materialise(groups.select(*key, "leaves", "splits"), "prefix-groups")
+        together = scratch.materialise(skew.join_by_group(rest, groups, key, "leaves", rest.count()), "prefix-members", ["splits"])
+        found.append(together.filter(~F.col("splits")).select("gram", "seg", "copies", "bit"))
         if size == WINDOW:
-            return reduce(DataFrame.unionByName, [*found, together.select("gram", "seg", "copies", "bit")])
-        trees = together.filter(F.col("leaves") <= GROUP).groupBy(*key).agg(F.collect_list(F.struct("seg", "copies", "bit", "body")).alias("rows"))
+            return reduce(DataFrame.unionByName, found)
+        below = together.filter("splits")
+        trees = below.filter(F.col("leaves") <= GROUP).groupBy(*key).agg(F.collect_list(F.struct("seg", "copies", "bit", "body")).alias("rows"))
         found.append(scratch.materialise(arrow.mapped(trees.select("gram", "rows"), _prefix_subtrees, "gram long, seg long, copies long, bit int"), "prefix-repeats"))
-        rest = scratch.materialise(together.filter(F.col("leaves") > GROUP).select(*rest.columns), "suffixes")
+        rest = below.filter(F.col("leaves") > GROUP).select(*rest.columns)
     raise ValueError("the last prefix is the window")
 
 
