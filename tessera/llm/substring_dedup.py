@@ -17,7 +17,7 @@ are the leaves below one internal node of at least that depth, which is a repeat
 group that does not fit is split: its suffixes take prefixes of ``DEEPER`` words, one length
 after the other.  A suffix alone under its prefix is done, a group of suffixes that are equal in
 all ``WINDOW`` words is one leaf and a repeat, a group of up to ``GROUP`` suffixes is a subtree,
-and the rest takes the next length.
+and the rest takes the next length that tells any of its suffixes apart.
 
 Segments travel with their words only in mixed groups and once each, and texts are read
 whole.  Words and grams are compared by 64-bit hashes.
@@ -205,19 +205,21 @@ def deeper_repeats(segs: DataFrame) -> DataFrame:
     keys = ", ".join(f"k{size} long" for size in DEEPER)
     rest = scratch.materialise(arrow.mapped(segs, _suffixes, f"gram long, seg long, copies long, bit int, body binary, {keys}"), "suffixes")
     found = []
-    whole = f"k{WINDOW}"
-    for size in DEEPER:
+    passed: list[DataFrame] = []
+    for k, size in enumerate(DEEPER):
         key = ["gram", f"k{size}"]
-        groups = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts"), (F.min(whole) != F.max(whole)).alias("splits")).filter("starts > 1")
-        groups = scratch.materialise(groups.select(*key, "leaves", "splits"), "prefix-groups")
-        together = scratch.materialise(skew.join_by_group(rest, groups, key, "leaves", rest.count()), "prefix-members", ["splits"])
-        found.append(together.filter(~F.col("splits")).select("gram", "seg", "copies", "bit"))
+        # Groups in which nothing is told apart by a length go past it.
+        parting = [F.when(F.min(f"k{longer}") != F.max(f"k{longer}"), longer) for longer in DEEPER[k + 1 :]]
+        groups = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts"), F.coalesce(*parting, F.lit(0)).alias("parts_at")).filter("starts > 1")
+        groups = scratch.materialise(groups.select(*key, "leaves", "parts_at"), "prefix-groups")
+        together = scratch.materialise(skew.join_by_group(rest, groups, key, "leaves", rest.count()), "prefix-members", ["parts_at"])
+        found.append(together.filter("parts_at = 0").select("gram", "seg", "copies", "bit"))
         if size == WINDOW:
             return reduce(DataFrame.unionByName, found)
-        below = together.filter("splits")
-        trees = below.filter(F.col("leaves") <= GROUP).groupBy(*key).agg(F.collect_list(F.struct("seg", "copies", "bit", "body")).alias("rows"))
+        trees = together.filter((F.col("parts_at") > 0) & (F.col("leaves") <= GROUP)).groupBy(*key).agg(F.collect_list(F.struct("seg", "copies", "bit", "body")).alias("rows"))
         found.append(scratch.materialise(arrow.mapped(trees.select("gram", "rows"), _prefix_subtrees, "gram long, seg long, copies long, bit int"), "prefix-repeats"))
-        rest = below.filter(F.col("leaves") > GROUP).select(*rest.columns)
+        passed.append(together.filter(F.col("leaves") > GROUP))
+        rest = reduce(DataFrame.unionByName, [x.filter(F.col("parts_at") == DEEPER[k + 1]).select(*rest.columns) for x in passed])
     raise ValueError("the last prefix is the window")
 
 
