@@ -83,28 +83,37 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def by_kind(names: str) -> Column:
+    """An array of kind.value as an array of (kind, values), kinds in order of their first value."""
+    kinds = F.array_distinct(F.transform(names, lambda x: F.substring_index(x, ".", 1)))
+    values = lambda k: F.transform(F.filter(names, lambda x: F.substring_index(x, ".", 1) == k), lambda x: F.substr(x, F.length(k) + 2))
+    return F.transform(kinds, lambda k: F.struct(k.alias("kind"), values(k).alias("values")))
+
+
 def chunk_header() -> Column:
-    """The text of a chunk's file: its facts line by line, a rule, and the content; absent facts have no line."""
+    """The text of a chunk's file: its facts line by line, a rule, and the content; absent facts but domains have no line."""
     line = lambda label, value: F.when(value.isNotNull() & (value != ""), F.concat(F.lit(f"{label}: "), value))
-    join = lambda c, n=None, sep=", ": F.array_join(F.slice(c, 1, n) if n else F.col(c) if isinstance(c, str) else c, sep)
     c = F.col
-    limits = F.transform(F.slice("numeric_constraints", 1, 5), lambda x: F.concat(x["metric"], F.lit(" "), x["operator"], F.lit(" "), x["value"], x["unit"]))
-    linked = F.transform(F.slice("cross_source_links", 1, 5), lambda x: F.concat(x["source"], F.lit("/"), x["section_code"], F.lit(" ("), x["relationship"], F.lit(")")))
+    enumerations = F.transform(by_kind("enumerations"), lambda x: F.concat(x["kind"], F.lit("("), F.array_join(x["values"], ", "), F.lit(")")))
+    entities = F.transform(by_kind("entities"), lambda x: F.concat(x["kind"], F.lit("="), F.array_join(x["values"], ",")))
+    limits = F.transform(F.slice("numeric_constraints", 1, 5), lambda x: F.concat(x["metric"], x["operator"], x["value"], x["unit"]))
+    linked = F.transform(F.slice("cross_source_links", 1, 5), lambda x: F.concat(x["source"], F.lit("/"), x["section_code"]))
+    # The labels and separators are the file's format.
     lines = [
         line("Source", c("source")),
         F.concat(F.lit("Section: "), c("section_code"), F.lit(" - "), c("title")),
         line("Subsection", c("heading")),
-        line("Domains", join("domains")),
-        line("MISMO", join("enumerations")),
-        line("Key Terms", join(c("key_terms"), 15)),
-        line("Entities", join("entities")),
-        F.when(c("requirement_type") != "guideline", F.concat(F.lit("Requirement: "), c("requirement_type"), F.lit(" ("), c("severity"), F.lit(")"))),
+        F.concat(F.lit("Domains: "), F.coalesce(F.array_join("domains", ", "), F.lit(""))),
+        line("MISMO", F.array_join(enumerations, "; ")),
+        line("Key Terms", F.array_join(F.slice("key_terms", 1, 15), ", ")),
+        line("Entities", F.array_join(entities, "; ")),
+        F.when(c("requirement_type") != "guideline", F.concat(F.lit("Requirement: type="), c("requirement_type"), F.lit(", severity="), c("severity"))),
         line("Constraints", F.array_join(limits, "; ")),
-        line("Cross-Source", F.array_join(linked, "; ")),
+        line("Cross-Source", F.array_join(linked, ", ")),
         line("Content Type", c("content_type")),
         line("Summary", c("summary")),
         F.lit("---"),
-        F.concat(F.lit("\n"), c("content")),
+        F.coalesce(c("content"), F.lit("")),
     ]
     return F.concat_ws("\n", *lines)
 
@@ -131,12 +140,19 @@ def export_texts(df: DataFrame, folder: str, name: str = "filename", text: str =
 
 
 def index_entries(chunks: DataFrame) -> DataFrame:
-    """chunk_id, and its entry of the index as JSON: without the content, absent facts left out."""
+    """chunk_id, and its entry of the index as JSON: without the content, absent facts left out.
+
+    The date, address and place of a section come from columns of these names, if there are any.
+    """
     c = F.col
-    some = lambda name: F.when(F.size(name) > 0, c(name)).alias(name)
+    mapped = lambda name: F.map_from_entries(by_kind(name))
+    some = lambda name, value, alias=None: F.when(F.size(name) > 0, value).alias(alias or name)
+    own = lambda name: (F.coalesce(c(name).cast("string"), F.lit("")) if name in chunks.columns else F.lit("")).alias(name)
+    date = (c("effective_date") if "effective_date" in chunks.columns else F.lit(None)).cast("string").alias("effective_date")
     requirement = F.when(c("requirement_type") != "guideline", F.struct(c("requirement_type").alias("type"), "severity")).alias("requirement")
-    fixed = ["chunk_id", "source", "section_code", "title", "heading", "content_type", "domains", "enumerations", "key_terms", "cross_source_links", "summary", "word_count", "has_table"]
-    entry = F.struct(*fixed, some("entities"), requirement, some("numeric_constraints"), some("conditional_refs"))
+    limits = F.transform("numeric_constraints", lambda x: F.struct(x["metric"].alias("metric"), x["operator"].alias("operator"), x["value"].alias("value"), x["unit"].alias("unit"), x["conditions"].alias("conditions")))
+    first = ["chunk_id", "source", "section_code", "title", "heading", "domains", mapped("enumerations").alias("mismo_tags"), "key_terms", "content_type", "summary", "cross_source_links", "word_count", "has_table"]
+    entry = F.struct(*first, date, own("url"), own("hierarchy_path"), some("entities", mapped("entities")), requirement, some("numeric_constraints", limits), some("conditional_refs", c("conditional_refs")))
     return chunks.select("chunk_id", F.to_json(entry).alias("entry"))
 
 

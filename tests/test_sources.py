@@ -83,8 +83,12 @@ def test_exports(spark, tmp_path):
     assert [r["name"] for r in files.export_texts(text, f"file://{tmp_path}").collect()] == ["x/one.txt"]
     lines = (tmp_path / "x" / "one.txt").read_text().split("\n")
     assert lines[:2] == ["Source: fannie_mae", "Section: B2-1.2-01 - Limits"]
-    assert "Entities: property_types.Condo" in lines and "Constraints: LTV <= 80%" in lines and "---" in lines
+    assert "Entities: property_types=Condo" in lines and "Constraints: LTV<=80%" in lines
+    assert lines[lines.index("---") + 1] == "Intro." and any(x.startswith("Domains: ") for x in lines)
     entry = json.loads(files.index_entries(chunks).first()["entry"])
-    assert "content" not in entry and entry["entities"] == ["property_types.Condo"]
+    assert "content" not in entry and entry["entities"] == {"property_types": ["Condo"]}
+    assert [entry[k] for k in ("url", "hierarchy_path")] == ["", ""] and "conditions" in entry["numeric_constraints"][0] and "source_text" not in entry["numeric_constraints"][0]
+    names = spark.createDataFrame([(["a.x", "b.y.z", "a.w"],), ([],)], "names array<string>").select(files.by_kind("names").alias("k"))
+    assert [[(x["kind"], x["values"]) for x in r["k"]] for r in names.collect()] == [[("a", ["x", "w"]), ("b", ["y.z"])], []]
     files.write_table(chunks, f"{tmp_path}/chunks", ["source"])
     assert spark.read.parquet(f"{tmp_path}/chunks").count() == 1
