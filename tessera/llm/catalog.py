@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries_native, queries_near, queries_text
+from . import queries_index, queries_native, queries_near, queries_text
 
-_MODULES = [queries_native, queries_near, queries_text]
+_MODULES = [queries_native, queries_near, queries_text, queries_index]
 
 
 def queries() -> dict:
