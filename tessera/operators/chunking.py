@@ -6,6 +6,8 @@ nothing is shuffled; ``chunked`` explodes them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,19 +51,41 @@ def by_terms(markdown: Column) -> Column:
     return F.when(F.size(parts) > 3, F.concat(intro, rest).cast(f"array<{CHUNK}>"))
 
 
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with ``value`` worked out once, also where ``of`` uses it for each element of an array."""
+    return F.transform(F.array(value), of)[0]
+
+
+def _runs(words: Column, begins: Callable[[Column, Column], Column]) -> Column:
+    """(first, length) of the runs that elements of so many ``words`` form in order.
+
+    ``begins(n, w)``: whether an element of w words begins a run of its own after one of
+    n words so far.  The fold carries a number and the places where runs begin, as text:
+    nothing of it grows with the elements, so the work does not grow with their square.
+    """
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("i"), F.lit("").alias("at"))
+
+    def step(s: Column, w: Column) -> Column:
+        new = (s["i"] == 0) | begins(s["n"], w)
+        at = F.when(new, F.concat(s["at"], s["i"].cast("string"), F.lit(","))).otherwise(s["at"])
+        return F.struct(F.when(new, w).otherwise(s["n"] + w).cast("long").alias("n"), (s["i"] + 1).alias("i"), at.alias("at"))
+
+    def cut(s: Column) -> Column:
+        firsts = F.transform(F.filter(F.split(s["at"], ","), lambda x: x != ""), lambda x: x.cast("int"))
+        ends = lambda f: F.transform(f, lambda a, k: F.struct(a.alias("first"), (F.coalesce(F.get(f, k + 1), s["i"]) - a).alias("length")))
+        return _let(firsts, ends)
+
+    return _let(F.aggregate(words.cast("array<bigint>"), start, step), cut)
+
+
 def pack_paragraphs(content: Column, most: int = MAX_WORDS) -> Column:
     """Paragraphs put together while they have at most ``most`` words; a longer one stays whole."""
-    state = "struct<done:array<string>,open:array<string>,n:bigint>"
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("open"), F.lit(0).cast("long").alias("n")).cast(state)
 
-    def step(s: Column, p: Column) -> Column:
-        words = T.word_count(p)
-        flush = (s["n"] + words > most) & (F.size(s["open"]) > 0)
-        done = F.when(flush, F.concat(s["done"], F.array(F.array_join(s["open"], "\n\n")))).otherwise(s["done"])
-        return F.struct(done.alias("done"), F.when(flush, F.array(p)).otherwise(F.concat(s["open"], F.array(p))).alias("open"), F.when(flush, words).otherwise(s["n"] + words).alias("n")).cast(state)
+    def packed(paragraphs: Column) -> Column:
+        runs = _runs(F.transform(paragraphs, T.word_count), lambda n, w: n + w > most)
+        return F.transform(runs, lambda r: F.array_join(F.slice(paragraphs, r["first"] + 1, r["length"]), "\n\n"))
 
-    end = lambda s: F.when(F.size(s["open"]) > 0, F.concat(s["done"], F.array(F.array_join(s["open"], "\n\n")))).otherwise(s["done"])
-    return F.aggregate(F.split(content, "\n\n+"), start, step, end)
+    return _let(F.split(content, "\n\n+"), packed)
 
 
 def split_oversize(chunks: Column, most: int = MAX_WORDS) -> Column:
@@ -78,13 +102,16 @@ def split_oversize(chunks: Column, most: int = MAX_WORDS) -> Column:
 def merge_undersize(chunks: Column, least: int = MIN_WORDS) -> Column:
     """A chunk of fewer than ``least`` words takes in the next ones and keeps its heading."""
 
-    def step(acc: Column, c: Column) -> Column:
-        last = F.element_at(acc, -1)
-        grown = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(chunk(last["heading"], F.concat(last["content"], F.lit("\n\n"), c["content"]))))
-        short = (F.size(acc) > 0) & (T.word_count(F.try_element_at(acc, F.lit(-1))["content"]) < least)
-        return F.when(short, grown).otherwise(F.concat(acc, F.array(c))).cast(f"array<{CHUNK}>")
+    def merged(own: Column) -> Column:
+        runs = _runs(F.transform(own, lambda c: T.word_count(c["content"])), lambda n, w: n >= least)
+
+        def glued(r: Column) -> Column:
+            texts = F.transform(F.slice(own, r["first"] + 1, r["length"]), lambda c: c["content"])
+            return F.when(r["length"] == 1, F.get(own, r["first"])).otherwise(chunk(F.get(own, r["first"])["heading"], F.array_join(texts, "\n\n")))
 
-    return F.aggregate(chunks, F.array().cast(f"array<{CHUNK}>"), step)
+        return F.transform(runs, glued).cast(f"array<{CHUNK}>")
+
+    return _let(chunks, merged)
 
 
 def adaptive(markdown: Column, content_type: Column, least: int = MIN_WORDS, most: int = MAX_WORDS) -> Column:
@@ -98,19 +125,46 @@ def merge_small_subsections(subsections: Column, least: int = 50) -> Column:
     """Subsections (heading, content, words, tables, lists) of fewer than ``least`` words take in the next one."""
     kind = "struct<heading:string,content:string,words:bigint,tables:boolean,lists:boolean>"
 
-    def step(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        glued = F.struct(
-            last["heading"].alias("heading"),
-            F.concat(last["content"], F.lit("\n\n## "), s["heading"], F.lit("\n\n"), s["content"]).alias("content"),
-            (last["words"] + s["words"]).alias("words"),
-            (last["tables"] | s["tables"]).alias("tables"),
-            (last["lists"] | s["lists"]).alias("lists"),
-        )
-        short = (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["words"] < least)
-        return F.when(short, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(glued))).otherwise(F.concat(acc, F.array(s))).cast(f"array<{kind}>")
-
-    return F.aggregate(subsections.cast(f"array<{kind}>"), F.array().cast(f"array<{kind}>"), step)
+    def merged(own: Column) -> Column:
+        runs = _runs(F.transform(own, lambda s: s["words"]), lambda n, w: n >= least)
+
+        def glued(r: Column) -> Column:
+            def whole(parts: Column) -> Column:
+                texts = F.transform(parts, lambda s, k: F.when(k == 0, s["content"]).otherwise(F.concat(F.lit("## "), s["heading"], F.lit("\n\n"), s["content"])))
+                return F.struct(
+                    parts[0]["heading"].alias("heading"),
+                    F.array_join(texts, "\n\n").alias("content"),
+                    F.aggregate(parts, F.lit(0).cast("long"), lambda a, s: a + s["words"]).alias("words"),
+                    F.exists(parts, lambda s: s["tables"]).alias("tables"),
+                    F.exists(parts, lambda s: s["lists"]).alias("lists"),
+                )
+
+            return _let(F.slice(own, r["first"] + 1, r["length"]), whole)
+
+        return F.transform(runs, glued).cast(f"array<{kind}>")
+
+    return _let(subsections.cast(f"array<{kind}>"), merged)
+
+
+def semantic(sections: DataFrame, least: int = 50, most: int = 2000) -> DataFrame:
+    """A chunk for each section and, of those of more than ``most`` words and several subsections, one for each of these.
+
+    ``sections`` have source, section_code, title, content_markdown, word_count, subsections
+    (heading, content, words, tables, lists) and the names and codes of their place.  A
+    subsection's text begins with where it stands.
+    """
+    c = F.col
+    place = T.semantic_path(c("part_name"), c("chapter_name"), c("chapter_code"), c("subpart_name"), c("subpart_code"), c("section_code"))
+    own = F.struct(F.lit("section").alias("chunk_type"), F.lit(None).cast("string").alias("heading"), c("content_markdown").alias("content"), c("word_count").cast("long").alias("words"))
+    parts = F.transform(
+        merge_small_subsections(c("subsections"), least),
+        lambda s: F.struct(F.lit("subsection").alias("chunk_type"), s["heading"].alias("heading"), F.concat(T.context_prefix(F.concat(c("section_code"), F.lit(" - "), c("title")), s["heading"]), s["content"]).alias("content"), s["words"].alias("words")),
+    )
+    split = (c("word_count") > most) & (F.size("subsections") > 1)
+    rows = sections.select("source", "section_code", "title", place.alias("place"), F.explode(F.when(split, F.concat(F.array(own), parts)).otherwise(F.array(own))).alias("k"))
+    path = F.concat_ws(" > ", "place", "k.heading")
+    chunk_id = F.concat_ws("/", "source", "section_code", T.slugify(c("k.heading")))
+    return rows.select("source", "section_code", "k.chunk_type", chunk_id.alias("chunk_id"), F.when(c("k.heading").isNull(), c("title")).otherwise(F.concat(c("section_code"), F.lit(": "), c("k.heading"))).alias("title"), "k.heading", path.alias("hierarchy_path"), "k.content", c("k.words").alias("word_count"))
 
 
 def chunked(sections: DataFrame, chunks: Column) -> DataFrame:

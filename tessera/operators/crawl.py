@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,10 +65,45 @@ def delay_after(codes: Column, base: float = 1.0, cap: float = 30.0) -> Column:
     return F.aggregate(codes, start, step, lambda s: s["delay"])
 
 
-def adaptive_delays(requests: DataFrame, by: str, order: list[str], status: str) -> DataFrame:
-    """The delay that each ``by`` has come to."""
-    codes = requests.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(status).alias("code")))).alias("c"))
-    return codes.select(by, delay_after(F.transform("c", lambda x: x["code"])).alias("delay"))
+class Delay:
+    """The delay that `delay_after` gives, moved on request by request."""
+
+    def __init__(self, base: float, cap: float, delay: float | None = None, good: int = 0) -> None:
+        self.base, self.cap, self.delay, self.good = base, cap, base if delay is None else delay, good
+
+    def saw(self, code: int) -> None:
+        if code in (429, 503):
+            self.delay, self.good = min(self.cap, self.delay * 2), 0
+        elif code == 200:
+            self.good += 1
+            if self.good == 3:
+                self.delay, self.good = max(self.base, self.delay * 0.75), 0
+
+
+def adaptive_delays(requests: DataFrame, by: str, order: list[str], status: str, base: float = 1.0, cap: float = 30.0) -> DataFrame:
+    """The delay that each ``by`` has come to.
+
+    Requests are sorted by ``by`` and order and folded one after the other, so a task
+    holds one delay, however many requests a ``by`` has.
+    """
+    kind = requests.schema[by].dataType.simpleString()
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, pace = None, None
+        for f in frames:
+            done = []
+            for key, code in zip(f["by"], f["code"], strict=True):
+                if pace is None or key != own:
+                    if pace is not None:
+                        done.append((own, pace.delay))
+                    own, pace = key, Delay(base, cap)
+                pace.saw(code)
+            yield pd.DataFrame(done, columns=["by", "delay"])
+        if pace is not None:
+            yield pd.DataFrame([(own, pace.delay)], columns=["by", "delay"])
+
+    rows = requests.select(F.col(by).alias("by"), *order, F.col(status).alias("code")).repartition("by").sortWithinPartitions("by", *order)
+    return rows.select("by", "code").mapInPandas(fold, f"by {kind}, delay double").withColumnRenamed("by", by)
 
 
 def quality_gate(attempts: DataFrame, by: str, attempt: str, words: str, least: float) -> DataFrame:

@@ -20,6 +20,8 @@ from ..plans.config import Config
 
 RESULT = "url string, source string, section_code string, html string, status string, word_count long, attempts int, error_type string, error_message string"
 JITTER = 0.25
+#: Waits differ by so much from the delay, so that workers do not fall into step, and are so long at least.
+WAIT_JITTER, LEAST_WAIT = 0.15, 0.1
 
 
 class NotRetryable(Exception):
@@ -46,7 +48,7 @@ class HttpFetcher:
         import requests
 
         self.session = requests.Session()
-        self.session.headers["User-Agent"] = self.user_agent
+        self.session.headers.update({"User-Agent": self.user_agent, **HEADERS})
 
     def get(self, url: str) -> str | None:
         answer = self.session.get(url, timeout=self.timeout)
@@ -60,6 +62,21 @@ class HttpFetcher:
             self.session.close()
 
 
+#: What a session says it takes.
+HEADERS = {"Accept": "text/html,application/xhtml+xml,application/xml;q=0.9", "Accept-Language": "en-US,en;q=0.9", "Accept-Encoding": "gzip, deflate"}
+
+
+@dataclass(frozen=True)
+class Http:
+    """Makes a fetcher for each worker, with a session of its own."""
+
+    config: Config
+    user_agent: str = "tessera"
+
+    def __call__(self) -> HttpFetcher:
+        return HttpFetcher(self.user_agent, self.config.timeout)
+
+
 class TableFetcher:
     """Pages out of a mapping, for tests and replays."""
 
@@ -83,6 +100,8 @@ class Pace:
     config: Config
     base: float
     sleep: Callable[[float], None] = time.sleep
+    #: How far a wait is from the delay, as a share of it.
+    spread: Callable[[], float] = field(default=lambda: random.uniform(-WAIT_JITTER, WAIT_JITTER))
     delay: float = field(init=False)
     good: int = 0
     failures: int = 0
@@ -95,7 +114,7 @@ class Pace:
             self.sleep(self.config.breaker_cooldown)
             self.failures = 0
         if self.delay:
-            self.sleep(self.delay)
+            self.sleep(max(LEAST_WAIT, self.delay * (1 + self.spread())))
 
     def saw(self, code: int) -> None:
         """429 and 503 double the delay; three successes in a row take a quarter off."""

@@ -6,10 +6,11 @@ entities, conditional_refs, numeric_constraints and, where links are needed, cro
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as V
+from . import ranking
 
 ORDER = ["section_id", "seq"]
 _NONE = "map<string,string>"
@@ -70,32 +71,80 @@ def edges(chunks: DataFrame) -> DataFrame:
     return chunk_edges(chunks).unionByName(implies(chunks.sparkSession)).unionByName(equivalent(chunks))
 
 
-def reverse_index(chunks: DataFrame) -> DataFrame:
-    """entity, chunk_ids in the order in which they are first seen."""
+#: Longest list of a block of postings.
+BLOCK = 4096
+LIMIT = ["metric", "operator", "value", "unit"]
+
+
+def blocks(rows: DataFrame, keys: list[str], order: list[Column], item: str, size: int = BLOCK) -> DataFrame:
+    """keys, block (from 0) and items: the ``item`` of each row of a key in ``order``, at most ``size`` a block.
+
+    A key may have any share of the rows; no task gathers more than a block.
+    """
+    placed = ranking.ranked_within(rows, keys, order, "__place")
+    cut = placed.withColumn("block", ((F.col("__place") - 1) / size).cast("long"))
+    lists = cut.groupBy(*keys, "block").agg(F.array_sort(F.collect_list(F.struct("__place", F.col(item).alias("item")))).alias("c"))
+    return lists.select(*keys, "block", F.transform("c", lambda x: x["item"]).alias("items"))
+
+
+def entity_postings(chunks: DataFrame) -> DataFrame:
+    """entity, block, items: the chunk_ids of an entity in the order in which they are first seen."""
     rows = chunks.select(*ORDER, "chunk_id", F.explode("entities").alias("entity"))
     first = rows.groupBy("entity", "chunk_id").agg(F.min(F.struct(*ORDER)).alias("at"))
-    lists = first.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("at", "chunk_id"))).alias("c"))
-    return lists.select("entity", F.transform("c", lambda x: x["chunk_id"]).alias("chunk_ids"))
+    return blocks(first, ["entity"], [F.col("at"), F.col("chunk_id")], "chunk_id")
+
+
+def with_more(old: DataFrame, more: DataFrame, keys: list[str]) -> DataFrame:
+    """Blocks ``old`` with blocks ``more`` of later chunks after them; nothing that is stored is rewritten.
+
+    Items of ``more`` that ``old`` has as well stay twice: later chunks have ids of their own.
+    """
+    last = old.groupBy(*keys).agg((F.max("block") + 1).alias("__next"))
+    moved = more.join(last, keys, "left").withColumn("block", F.col("block") + F.coalesce("__next", F.lit(0))).select(*more.columns)
+    return old.unionByName(moved)
+
+
+def read_postings(postings: DataFrame, wanted: list[str]) -> DataFrame:
+    """entity, chunk_id of the postings of some entities, from their blocks alone."""
+    return postings.filter(F.col("entity").isin(wanted)).select("entity", F.explode("items").alias("chunk_id"))
+
+
+def in_all(postings: DataFrame, wanted: list[str]) -> DataFrame:
+    """chunk_id of the chunks that the postings have under all wanted entities."""
+    found = read_postings(postings, wanted).groupBy("chunk_id").agg(F.count_distinct("entity").alias("n"))
+    return found.filter(F.col("n") == len(set(wanted))).select("chunk_id")
+
+
+def reverse_index(chunks: DataFrame) -> DataFrame:
+    """entity, chunk_ids in the order in which they are first seen, merged from blocks: for exports of bounded size."""
+    by = entity_postings(chunks).groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("block", "items"))).alias("b"))
+    return by.select("entity", F.flatten(F.transform("b", lambda x: x["items"])).alias("chunk_ids"))
 
 
 def intersection(chunks: DataFrame, wanted: list[str]) -> DataFrame:
     """chunk_id of the chunks that have all wanted entities."""
-    rows = chunks.select("chunk_id", F.explode("entities").alias("entity")).filter(F.col("entity").isin(wanted))
-    return rows.groupBy("chunk_id").agg(F.count_distinct("entity").alias("n")).filter(F.col("n") == len(set(wanted))).select("chunk_id")
+    return in_all(entity_postings(chunks), wanted)
 
 
-def limits(chunks: DataFrame) -> DataFrame:
-    """metric, operator, value, unit with the sections and conditions that state them, in order of first sight."""
+def limit_postings(chunks: DataFrame) -> DataFrame:
+    """metric, operator, value, unit, kind, block, items: the sections that state a limit and its conditions, in order of first sight.
+
+    One pass: each limit gives its section and its conditions, of which the first sight is kept.
+    """
     rows = chunks.select(*ORDER, "section_code", F.posexplode("numeric_constraints").alias("k", "c"))
-    at = F.struct(*ORDER, "k")
-    keys = [F.col(f"c.{k}").alias(k) for k in ("metric", "operator", "value", "unit")]
-    names = ["metric", "operator", "value", "unit"]
-    sections = rows.groupBy(*keys, "section_code").agg(F.min(at).alias("at")).groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("at", "section_code"))).alias("s"))
-    conditions = rows.select(*keys, at.alias("at"), F.posexplode("c.conditions").alias("j", "condition")).groupBy(*names, "condition").agg(F.min(F.struct("at", "j")).alias("at"))
-    conditions = conditions.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("at", "condition"))).alias("d"))
-    out = sections.join(conditions, names, "left")
-    none = F.array().cast("array<string>")
-    return out.select(*names, F.transform("s", lambda x: x["section_code"]).alias("source_sections"), F.coalesce(F.transform("d", lambda x: x["condition"]), none).alias("conditions"))
+    kind = "array<struct<kind:string,j:int,item:string>>"
+    own = F.array(F.struct(F.lit("section").alias("kind"), F.lit(0).alias("j"), F.col("section_code").alias("item"))).cast(kind)
+    given = F.transform("c.conditions", lambda x, j: F.struct(F.lit("condition").alias("kind"), j.alias("j"), x.alias("item"))).cast(kind)
+    facts = rows.select(*[F.col(f"c.{n}").alias(n) for n in LIMIT], *ORDER, "k", F.explode(F.concat(own, given)).alias("f"))
+    first = facts.groupBy(*LIMIT, "f.kind", "f.item").agg(F.min(F.struct(*ORDER, "k", "f.j")).alias("at"))
+    return blocks(first, [*LIMIT, "kind"], [F.col("at"), F.col("item")], "item")
+
+
+def limits(chunks: DataFrame) -> DataFrame:
+    """metric, operator, value, unit, source_sections and conditions, merged from blocks: for exports of bounded size."""
+    of = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("block", "items"))))
+    by = limit_postings(chunks).groupBy(*LIMIT).agg(of("section").alias("s"), of("condition").alias("d"))
+    return by.select(*LIMIT, F.flatten(F.transform("s", lambda x: x["items"])).alias("source_sections"), F.flatten(F.transform("d", lambda x: x["items"])).alias("conditions"))
 
 
 def vocabulary_table(spark: SparkSession) -> DataFrame:
@@ -122,6 +171,14 @@ def statistics(chunks: DataFrame) -> DataFrame:
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    """The first row of each key in ``order``.
+
+    Rows are summed up by a digest of their keys before they are shuffled, so of a key of
+    any size a task passes on one row.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    own = F.struct(*[F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest")]) if rest else F.struct(F.lit(1).alias("rest"))
+    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]), {"ignoreNullFields": "false"}), 256)
+    places = df.select(digest.alias("__digest"), F.struct(*[F.col(f"`{c}`") for c in order]).alias("__at"), own.alias("__own"), F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__keys"))
+    first = places.groupBy("__digest").agg(F.min_by(F.struct("__keys", "__own"), "__at").alias("x"))
+    return first.select(*[(F.col(f"x.__keys.`{c}`") if c in keys else F.col(f"x.__own.rest.`{c}`")).alias(c) for c in df.columns])

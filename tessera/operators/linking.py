@@ -1,8 +1,8 @@
 """Links between equivalent sections of the two guides.
 
-The alignment map has 16 rows.  It is resolved once against the section codes (two
-small joins), and the sections then join the resolved map, so no pair of sections is
-ever formed beyond the links themselves.
+The alignment map has 16 rows.  It is resolved once against the section codes, and what
+a row of it links to is kept in blocks.  Sections keep the numbers of their rows of the
+map, so what is stored grows with the sections; pairs of sections are formed on reading.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vocabulary as V
+from ..sources import storage
+from . import graph
 
 
 def alignment(spark: SparkSession) -> DataFrame:
@@ -52,12 +54,36 @@ def map_to_first(sections: DataFrame) -> DataFrame:
     return alignment(sections.sparkSession).join(hits, "ord", "left").select("ord", "topic", "relationship", F.coalesce("code", "prefix").alias("target"))
 
 
+#: Longest list of a block of targets, and blocks that are sent to every task.
+BLOCK, BROADCAST_BLOCKS = 4096, 64
+
+
+def section_map(sections: DataFrame) -> DataFrame:
+    """source, section_code, ords: the rows of the map that a section belongs to, one row a section."""
+    both = first_to_map(sections).unionByName(second_to_map(sections)).select("source", "section_code", "ord")
+    return both.groupBy("source", "section_code").agg(F.array_sort(F.collect_set("ord")).alias("ords"))  # at most the map's rows
+
+
+def targets(sections: DataFrame) -> DataFrame:
+    """source (of the section that links), ord, link_source, block, topic, relationship, codes: what a row of the map links to."""
+    forward = map_to_second(sections).select(F.lit("fannie_mae").alias("source"), "ord", F.lit("freddie_mac").alias("link_source"), "topic", "relationship", "target")
+    backward = map_to_first(sections).select(F.lit("freddie_mac").alias("source"), "ord", F.lit("fannie_mae").alias("link_source"), "topic", "relationship", "target")
+    keys = ["source", "ord", "link_source", "topic", "relationship"]
+    cut = graph.blocks(forward.unionByName(backward), keys, [F.col("target")], "target", BLOCK)
+    return cut.withColumnRenamed("items", "codes")
+
+
+def expanded(own: DataFrame, of: DataFrame) -> DataFrame:
+    """The links of sections (as ``section_map`` gives them) by ``targets`` (a table on disk): one row a pair."""
+    of = F.broadcast(of) if of.count() <= BROADCAST_BLOCKS else of
+    each = own.select("source", "section_code", F.explode("ords").alias("ord")).join(of, ["source", "ord"])
+    return each.select("source", "section_code", "ord", "link_source", F.explode("codes").alias("link_code"), "topic", "relationship")
+
+
 def links(sections: DataFrame) -> DataFrame:
-    """source, section_code, ord, link_source, link_code, topic, relationship."""
-    forward = first_to_map(sections).select("source", "section_code", "ord").join(map_to_second(sections), "ord").withColumn("link_source", F.lit("freddie_mac"))
-    backward = second_to_map(sections).select("source", "section_code", "ord").join(map_to_first(sections), "ord").withColumn("link_source", F.lit("fannie_mae"))
-    out = forward.unionByName(backward)
-    return out.select("source", "section_code", "ord", "link_source", F.col("target").alias("link_code"), "topic", "relationship")
+    """source, section_code, ord, link_source, link_code, topic, relationship of each occurrence of a section."""
+    each = first_to_map(sections).unionByName(second_to_map(sections)).select("source", "section_code", F.array("ord").alias("ords"))
+    return expanded(each, storage.stored(targets(sections)))
 
 
 def link_lists(sections: DataFrame) -> DataFrame:

@@ -171,15 +171,16 @@ def _(spark, sf):
 def _(spark, sf):
     from pyspark.sql import Window
 
-    k = F.row_number().over(Window.partitionBy("chunk_id").orderBy(*ID))
-    name = F.concat(F.replace(c("chunk_id"), F.lit("/"), F.lit("_")), F.when(k > 1, F.concat(F.lit("_"), k.cast("string"))).otherwise(F.lit("")), F.lit(".txt"))
+    from ..sources import exports
+
+    name = exports.chunk_filename(c("chunk_id"), F.row_number().over(Window.partitionBy("chunk_id").orderBy(*ID)))
     return headed(spark, sf).select("section_id", c("seq").cast("long").alias("seq"), name.alias("filename"))
 
 
-@query("chk_01_adaptive_chunks")
+@query("chk_01_adaptive_chunks", f"{O.WITH_ADAPTIVE} SELECT section_id, seq, heading, content, CAST({O.words('content')} AS BIGINT) AS word_count FROM chunks")
 def _(spark, sf):
     tagged = enrich.tagged_sections(sections(spark, sf))
-    return chunking.chunked(tagged, chunking.adaptive(c("body"), c("content_type"))).select("section_id", "seq", "heading", "content", "word_count")
+    return chunking.chunked(tagged, chunking.adaptive(c("body"), c("content_type"))).select("section_id", c("seq").cast("long").alias("seq"), "heading", "content", "word_count")
 
 
 @query("chk_04_split_oversize")
@@ -298,6 +299,16 @@ def _(spark, sf):
     return linking.links(sections(spark, sf))
 
 
+@query("jon_05_section_map", f"{O.WITH_LINKS}, both_maps AS (SELECT DISTINCT source, section_code, ord FROM first_map UNION SELECT DISTINCT source, section_code, ord FROM second_map) SELECT source, section_code, string_agg(CAST(ord AS VARCHAR), ',' ORDER BY ord) AS ords FROM both_maps GROUP BY ALL")
+def _(spark, sf):
+    return linking.section_map(sections(spark, sf)).select("source", "section_code", F.array_join("ords", ",").alias("ords"))
+
+
+@query("jon_05_targets", f"{O.WITH_LINKS}, t AS (SELECT 'fannie_mae' AS source, ord, 'freddie_mac' AS link_source, topic, relationship, target FROM to_second UNION ALL SELECT 'freddie_mac', ord, 'fannie_mae', topic, relationship, target FROM to_first), n AS (SELECT *, row_number() OVER (PARTITION BY source, ord ORDER BY target) - 1 AS n FROM t) SELECT source, ord, link_source, topic, relationship, n // {linking.BLOCK} AS block, string_agg(target, ',' ORDER BY n) AS codes FROM n GROUP BY ALL")
+def _(spark, sf):
+    return linking.targets(sections(spark, sf)).withColumn("codes", F.array_join("codes", ","))
+
+
 @query("jon_11_entity_intersection", f"{O.WITH_ENTITIES} SELECT chunk_id FROM found WHERE entity IN ('property_types.Condo', 'asset_types.MutualFunds') GROUP BY chunk_id HAVING count(DISTINCT entity) = 2")
 def _(spark, sf):
     return graph.intersection(with_entities(spark, sf), ["property_types.Condo", "asset_types.MutualFunds"])
@@ -340,20 +351,23 @@ def _(spark, sf):
     )
 
 
-@query("agg_06_reverse_index", f"{O.WITH_ENTITIES}, f AS (SELECT entity, chunk_id, min(section_id * 1000 + seq) AS place FROM found GROUP BY ALL) SELECT entity, string_agg(chunk_id, ',' ORDER BY place) AS chunk_ids FROM f GROUP BY entity")
+@query("agg_06_reverse_index", f"{O.WITH_ENTITIES}, f AS (SELECT entity, chunk_id, min(section_id * 1000 + seq) AS place FROM found GROUP BY ALL), p AS (SELECT entity, chunk_id, row_number() OVER (PARTITION BY entity ORDER BY place, chunk_id) - 1 AS n FROM f) SELECT entity, n // {graph.BLOCK} AS block, string_agg(chunk_id, ',' ORDER BY n) AS chunk_ids FROM p GROUP BY ALL")
 def _(spark, sf):
-    return graph.reverse_index(with_entities(spark, sf)).select("entity", F.array_join("chunk_ids", ",").alias("chunk_ids"))
+    return graph.entity_postings(with_entities(spark, sf)).select("entity", "block", F.array_join("items", ",").alias("chunk_ids"))
 
 
 @query(
     "agg_07_limits",
-    f"{O.WITH_LIMITS}, s AS (SELECT metric, operator, value, unit, section_code, min(section_id * 1000000 + seq * 1000 + k) AS place FROM limits GROUP BY ALL), s2 AS (SELECT metric, operator, value, unit, string_agg(section_code, ',' ORDER BY place) AS sections FROM s GROUP BY ALL), "
-    "d AS (SELECT DISTINCT metric, operator, value, unit, condition FROM scoped), d2 AS (SELECT metric, operator, value, unit, string_agg(condition, ',' ORDER BY condition) AS conditions FROM d GROUP BY ALL) "
-    "SELECT s2.metric, s2.operator, s2.value, s2.unit, s2.sections, coalesce(d2.conditions, '') AS conditions FROM s2 LEFT JOIN d2 USING (metric, operator, value, unit)",
+    f"{O.WITH_LIMITS}, s AS (SELECT metric, operator, value, unit, section_code, min(section_id * 1000000 + seq * 1000 + k) AS place FROM limits GROUP BY ALL), s2 AS (SELECT *, row_number() OVER (PARTITION BY metric, operator, value, unit ORDER BY place) - 1 AS n FROM s), "
+    "d AS (SELECT DISTINCT metric, operator, value, unit, condition FROM scoped) "
+    f"SELECT metric, operator, value, unit, 'section' AS kind, n // {graph.BLOCK} AS block, string_agg(section_code, ',' ORDER BY n) AS items FROM s2 GROUP BY ALL "
+    "UNION ALL SELECT metric, operator, value, unit, 'condition', 0, string_agg(condition, ',' ORDER BY condition) FROM d GROUP BY ALL",
 )
 def _(spark, sf):
-    rows = graph.limits(with_limits(spark, sf))
-    return rows.select("metric", "operator", "value", "unit", F.array_join("source_sections", ",").alias("sections"), F.array_join(F.array_sort("conditions"), ",").alias("conditions"))
+    rows = graph.limit_postings(with_limits(spark, sf))
+    # The vocabulary has fewer conditions than a block; among them the order is by name here.
+    items = F.when(c("kind") == "condition", F.array_sort("items")).otherwise(c("items"))
+    return rows.select("metric", "operator", "value", "unit", "kind", "block", F.array_join(items, ",").alias("items"))
 
 
 @query("agg_09_vocabulary", "SELECT * FROM (VALUES " + ", ".join(f"({O.quote(k)}, {O.quote(','.join(sorted(v for t, v, *_ in V.ENTITIES if t == k)))}, CAST({sum(t == k for t, *_ in V.ENTITIES)} AS BIGINT))" for k in dict.fromkeys(t for t, *_ in V.ENTITIES)) + ") AS t(entity_type, vals, n)")
@@ -397,11 +411,21 @@ def _(spark, sf):
     return graph.equivalent(rows).select("type", "source", "target", c("metadata")["topic"].alias("topic"), c("metadata")["relationship"].alias("relationship"))
 
 
-@query("grf_06_edges")
+@query(
+    "grf_06_edges",
+    f"{O.WITH_ENRICHED}, seen AS (SELECT l.*, row_number() OVER (PARTITION BY least(l.section_code, l.link_code), greatest(l.section_code, l.link_code) ORDER BY s.section_id, l.ord, l.link_code) AS n FROM sections s JOIN (SELECT DISTINCT * FROM links) l USING (source, section_code)) "
+    "SELECT 'APPLIES_TO' AS type, chunk_id AS source, entity AS target FROM found UNION ALL SELECT 'CONDITIONAL', chunk_id, t FROM resolved UNION ALL SELECT 'CONSTRAINS', condition, metric || ' ' || operator || ' ' || value || unit FROM scoped "
+    "UNION ALL SELECT 'EQUIVALENT', source || '/' || section_code, link_source || '/' || link_code FROM seen WHERE n = 1 UNION ALL SELECT 'IMPLIES', * FROM (VALUES " + ", ".join(f"({O.quote(e)}, {O.quote(g)})" for e, _, g, _ in V.IMPLICATIONS) + ")",
+)
 def _(spark, sf):
     return graph.edges(enrich.enrich(sections(spark, sf))).select("type", "source", "target")
 
 
-@query("agg_08_ontology_statistics")
+@query(
+    "agg_08_ontology_statistics",
+    f"{O.WITH_ENRICHED}, pairs AS (SELECT DISTINCT least(section_code, link_code) AS lo, greatest(section_code, link_code) AS hi FROM links) "
+    f"SELECT (SELECT count(*) FROM found) + (SELECT count(*) FROM resolved) + (SELECT count(*) FROM scoped) + (SELECT count(*) FROM pairs) + {len(V.IMPLICATIONS)} AS total_edges, "
+    "(SELECT count(*) FROM (SELECT DISTINCT entity, chunk_id FROM found)) AS total_entity_values, (SELECT count(*) FROM (SELECT DISTINCT metric, operator, value, unit FROM limits)) AS total_constraints",
+)
 def _(spark, sf):
     return graph.statistics(enrich.enrich(sections(spark, sf)))

@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import crawl, model_pass
+from ..operators import answers, crawl, model_pass, ranking
+from ..operators.answer_cache import AnswerCache, cache_key
 from ..sources import pages as P
-from ..sources import sitemaps
+from ..sources import sitemaps, storage
 from . import catalog as C
 from . import guide
 from . import oracle as O
@@ -161,20 +162,20 @@ def _(spark, sf):
 @query("srt_01_sort_codes", f"SELECT section_code, row_number() OVER (ORDER BY section_code) AS place FROM (SELECT DISTINCT section_code FROM ({guide.SECTIONS_SQL}) WHERE source = 'fannie_mae')")
 def _(spark, sf):
     own = C.sections(spark, sf).filter("source = 'fannie_mae'").select("section_code").distinct()
-    return own.withColumn("place", F.row_number().over(Window.orderBy("section_code")).cast("long"))
+    return ranking.ranked(own, [c("section_code")], "place")
 
 
 @query("srt_02_numeric_sort", f"SELECT section_code, row_number() OVER (ORDER BY CAST(split_part(section_code, '.', 1) AS INTEGER), CAST(split_part(section_code, '.', 2) AS INTEGER)) AS place FROM (SELECT DISTINCT section_code FROM ({guide.SECTIONS_SQL}) WHERE source = 'freddie_mac')")
 def _(spark, sf):
     own = C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_code").distinct()
-    return own.withColumn("place", F.row_number().over(Window.orderBy(*T.sort_key(c("section_code")))).cast("long"))
+    return ranking.ranked(own, list(T.sort_key(c("section_code"))), "place")
 
 
 @query("srt_03_sorted_distribution", f"{O.WITH_ENTITIES}, d AS (SELECT entity, count(*) AS n, min(section_id * 1000 + seq) AS first_seen FROM found GROUP BY entity) SELECT entity, n, row_number() OVER (ORDER BY n DESC, first_seen, entity) AS place FROM d")
 def _(spark, sf):
     rows = C.with_entities(spark, sf).select("section_id", "seq", F.explode("entities").alias("entity"))
     counts = rows.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("section_id", "seq")).alias("seen"))
-    return counts.select("entity", "n", F.row_number().over(Window.orderBy(F.desc("n"), "seen", "entity")).cast("long").alias("place"))
+    return ranking.ranked(counts, [F.desc("n"), c("seen"), c("entity")], "place").drop("seen")
 
 
 @query("lim_01_head_then_skip", "WITH head AS (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 100) SELECT o_orderkey FROM head WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
@@ -202,13 +203,41 @@ def _(spark, sf):
     return crawl.failure_runs(rows, "user_id", ["ts", "event_id"], "ok").select("event_id", "run")
 
 
-@query("win_02_adaptive_delay")
+#: Each user's requests one after the other: the delay, the run of errors and the trips at two in a row.
+_FOLD = """WITH RECURSIVE e AS (
+  SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, CASE event_type WHEN 'error' THEN 429 WHEN 'signup' THEN 503 ELSE 200 END AS code, event_type = 'error' AS bad FROM events
+), fold AS (
+  SELECT user_id, 0::BIGINT AS n, 1.0::DOUBLE AS delay, 0 AS good, 0 AS run, 0 AS trips FROM (SELECT DISTINCT user_id FROM e)
+  UNION ALL
+  SELECT f.user_id, e.n, CASE WHEN code IN (429, 503) THEN least(30.0::DOUBLE, delay * 2) WHEN good = 2 THEN greatest(1.0::DOUBLE, delay * 0.75::DOUBLE) ELSE delay END, CASE WHEN code IN (429, 503) OR good = 2 THEN 0 ELSE good + 1 END,
+    CASE WHEN bad AND run = 0 THEN 1 ELSE 0 END, trips + CASE WHEN bad AND run = 1 THEN 1 ELSE 0 END
+  FROM fold f JOIN e ON e.user_id = f.user_id AND e.n = f.n + 1
+)"""
+
+
+def status_of_event():
+    return F.when(c("event_type") == "error", 429).when(c("event_type") == "signup", 503).otherwise(200)
+
+
+@query("win_02_adaptive_delay", f"{_FOLD} SELECT user_id, arg_max(delay, n) AS delay FROM fold GROUP BY user_id")
 def _(spark, sf):
-    status = F.when(c("event_type") == "error", 429).when(c("event_type") == "signup", 503).otherwise(200)
+    status = status_of_event()
     rows = events(spark, sf).select("user_id", "ts", "event_id", status.alias("status"))
     return crawl.adaptive_delays(rows, "user_id", ["ts", "event_id"], "status")
 
 
+@query("win_02_stream_pace", f"{_FOLD} SELECT CAST(user_id AS VARCHAR) AS host, arg_max(delay, n) AS delay, CAST(arg_max(trips, n) AS BIGINT) AS trips FROM fold GROUP BY user_id")
+def _(spark, sf):
+    from ..streaming import pacing
+
+    stream = spark.readStream.schema(events(spark, sf).schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    requests = stream.select(c("user_id").cast("string").alias("host"), c("ts").cast("timestamp").alias("at"), c("event_id").alias("id"), status_of_event().alias("status"), (c("event_type") != "error").alias("ok"))
+    folder = storage.scratch_folder(spark)
+    pacing.written(requests, f"{folder}/paced", f"{folder}/state", threshold=2)
+    rows = spark.read.parquet(f"{folder}/paced").filter("kind = 'request'")
+    return rows.groupBy("host").agg(F.max_by("delay", F.struct("at", "id")).alias("delay"), F.count_if("opened").alias("trips"))
+
+
 @query("set_01_right_biased_merge", "SELECT coalesce(n.k, o.k) AS k, coalesce(n.h, o.h) AS h FROM (SELECT doc_id AS k, sha256(text) AS h FROM documents WHERE lang <> 'en') n FULL JOIN (SELECT doc_id AS k, lang AS h FROM documents) o ON n.k = o.k")
 def _(spark, sf):
     docs = C.documents(spark, sf)
@@ -261,30 +290,90 @@ def _(spark, sf):
 
 # --- Model pass ------------------------------------------------------------------------------------
 
+_STUB = model_pass.StubModel()
+#: So many chunks, in order, has an earlier pass seen where a query looks at a second pass.
+SEEN = 100
+CHUNK = ["section_id", "seq"]
+_FORM = O.quote(model_pass.FORM)
+_PROMPTS = (
+    O.WITH_LIMITS
+    + """, kinds AS (
+  SELECT section_id, seq, string_agg(k || ': ' || vs, '; ' ORDER BY p) AS ents FROM (
+    SELECT section_id, seq, split_part(e, '.', 1) AS k, min(pos) AS p, string_agg(substr(e, length(split_part(e, '.', 1)) + 2), ', ' ORDER BY pos) AS vs
+    FROM (SELECT section_id, seq, unnest(entities) AS e, generate_subscripts(entities, 1) AS pos FROM tagged) GROUP BY ALL
+  ) GROUP BY ALL
+), found_limits AS (
+  SELECT section_id, seq, string_agg(metric || operator || value || unit, '; ' ORDER BY k) AS lims FROM limits GROUP BY ALL
+), prompts AS (
+  SELECT c.section_id, c.seq, c.section_code, c.title, c.content, 'SECTION: ' || section_code || ' - ' || title || chr(10) || 'SOURCE: ' || source || chr(10) || 'ENTITIES FOUND BY RULES: ' || coalesce(ents, 'None')
+    || chr(10) || 'LIMITS FOUND BY RULES: ' || coalesce(lims, 'None') || chr(10) || chr(10) || 'CONTENT:' || chr(10) || content || """
+    + _FORM
+    + """ AS prompt
+  FROM chunks c LEFT JOIN kinds USING (section_id, seq) LEFT JOIN found_limits USING (section_id, seq)
+), numbered AS (
+  SELECT *, sha256(left(content, 8000) || '|stub|1.0') AS key, row_number() OVER (ORDER BY section_id, seq) AS n FROM prompts
+), seen AS (
+  SELECT DISTINCT key FROM numbered WHERE n <= """
+    + str(SEEN)
+    + rf"""
+), passed AS (
+  SELECT k.*, s.key IS NOT NULL AS hit, s.key IS NULL AND row_number() OVER w = 1 AS called, {O.words('prompt')} AS prompt_words, first_value(section_code || ' - ' || title) OVER w AS summary
+  FROM numbered k LEFT JOIN seen s ON k.key = s.key WINDOW w AS (PARTITION BY k.key ORDER BY n)
+)"""
+)
 _KEY = f"{O.WITH_SECTIONS}, k AS (SELECT section_id, body, sha256(left(body, 8000) || '|stub|v1') AS key FROM sections), cache AS (SELECT DISTINCT key FROM k WHERE section_id % 3 = 0)"
 
 
-def cache_keys(spark, sf):
-    own = C.sections(spark, sf).select("section_id", "body", model_pass.cache_key(c("body"), "stub", "v1").alias("key"))
-    return own, own.filter("section_id % 3 = 0").select("key").distinct()
+def asked_chunks(spark, sf):
+    return C.with_limits(spark, sf).select(*CHUNK, "source", "section_code", "title", "content", "entities", "numeric_constraints")
+
+
+def seen_cache(spark, chunks):
+    """A cache of the answers of a pass over the first chunks."""
+    cache = AnswerCache(spark, f"{storage.scratch_folder(spark)}/answers")
+    model_pass.enriched(chunks, _STUB, cache, CHUNK, most=SEEN)
+    return cache
+
+
+def second_pass(spark, sf):
+    chunks = asked_chunks(spark, sf)
+    return model_pass.enriched(chunks, _STUB, seen_cache(spark, chunks), CHUNK)
+
+
+def entries_of(rows, tokens):
+    return rows.select("key", F.lit('{"summary":"s"}').alias("result"), F.lit("stub").alias("model"), F.lit("v1").alias("prompt_version"), F.current_timestamp().alias("stored_at"), F.lit(tokens).cast("long").alias("tokens_used"))
+
+
+def keyed(spark, sf):
+    return C.sections(spark, sf).select("section_id", cache_key(c("body"), "stub", "v1").alias("key"))
 
 
 @query("jon_10_cache_lookup", f"{_KEY} SELECT section_id, cache.key IS NOT NULL AS hit FROM k LEFT JOIN cache USING (key)")
 def _(spark, sf):
-    own, cache = cache_keys(spark, sf)
-    return model_pass.looked_up(own, cache).select("section_id", "hit")
+    own, cache = keyed(spark, sf), AnswerCache(spark, f"{storage.scratch_folder(spark)}/answers")
+    cache.put(storage.stored(entries_of(own.filter("section_id % 3 = 0"), 1)))
+    return cache.get(own).select("section_id", c("result").isNotNull().alias("hit"))
+
+
+@query("llm_09_cache_shards", f"{_KEY} SELECT left(k.key, 2) AS shard, count(DISTINCT k.key) AS entries, CAST(sum(CASE WHEN cache.key IS NULL THEN 1 ELSE 2 END) AS BIGINT) AS tokens FROM (SELECT DISTINCT key FROM k) k LEFT JOIN cache ON k.key = cache.key GROUP BY 1")
+def _(spark, sf):
+    own, cache = keyed(spark, sf), AnswerCache(spark, f"{storage.scratch_folder(spark)}/answers")
+    cache.put(storage.stored(entries_of(own, 1)))
+    cache.put(storage.stored(entries_of(own.filter("section_id % 3 = 0"), 2)))  # later entries of a key win
+    return cache.entries().groupBy("shard").agg(F.count(F.lit(1)).alias("entries"), F.sum("tokens_used").alias("tokens"))
 
 
-@query("agg_13_dry_run", rf"{_KEY}, l AS (SELECT k.*, c.key IS NOT NULL AS hit FROM k LEFT JOIN cache c USING (key)) SELECT count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses, CAST(sum(CASE WHEN hit THEN 0 ELSE (len(regexp_extract_all(body, '\S+')) * 13) // 10 END) AS BIGINT) AS input_tokens, count(*) FILTER (NOT hit) * 300 AS output_tokens FROM l")
+@query("agg_13_dry_run", f"{_PROMPTS}, t AS (SELECT count(*) AS total_chunks, count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses, CAST(coalesce(sum((prompt_words * 13) // 10) FILTER (NOT hit), 0) AS BIGINT) AS input_tokens FROM passed) SELECT *, misses * 300 AS output_tokens, round(input_tokens / 1000.0::DOUBLE * 0.00025::DOUBLE + misses * 300 / 1000.0::DOUBLE * 0.00125::DOUBLE, 4) AS estimated_cost, 'stub' AS model FROM t")
 def _(spark, sf):
-    own, cache = cache_keys(spark, sf)
-    return model_pass.dry_run(own, cache, "body")
+    chunks = asked_chunks(spark, sf)
+    return model_pass.dry_run(chunks, _STUB, seen_cache(spark, chunks), CHUNK)
 
 
-@query("agg_14_cache_statistics", f"{_KEY}, l AS (SELECT k.*, c.key IS NOT NULL AS hit FROM k LEFT JOIN cache c USING (key)) SELECT count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses, (SELECT count(*) FROM cache) AS entries, count(*) FILTER (hit) * 1000 // count(*) AS hit_per_mille FROM l")
+@query("agg_14_cache_statistics", f"{_KEY}, l AS (SELECT k.*, c.key IS NOT NULL AS hit FROM k LEFT JOIN cache c USING (key)) SELECT count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses, (SELECT count(*) FROM cache) AS entries, count(*) FILTER (hit) / count(*)::DOUBLE AS hit_rate FROM l")
 def _(spark, sf):
-    own, cache = cache_keys(spark, sf)
-    return model_pass.cache_statistics(own, cache)
+    own, cache = keyed(spark, sf), AnswerCache(spark, f"{storage.scratch_folder(spark)}/answers")
+    cache.put(storage.stored(entries_of(own.filter("section_id % 3 = 0"), 1)))
+    return cache.statistics(cache.get(own))
 
 
 @query("lim_02_first_chunks_only", f"{O.WITH_CHUNKS} SELECT section_id, seq, row_number() OVER (ORDER BY section_id, seq) <= 50 AS chosen FROM chunks")
@@ -292,24 +381,50 @@ def _(spark, sf):
     return model_pass.first_rows(C.headed(spark, sf), ["section_id", "seq"], 50).select("section_id", c("seq").cast("long").alias("seq"), "chosen")
 
 
-@query("llm_04_prompt")
+@query("llm_04_prompt", f"{_PROMPTS} SELECT section_id, seq, prompt FROM prompts")
 def _(spark, sf):
-    own = C.with_entities(spark, sf)
-    return own.select("section_id", "seq", model_pass.prompt(c("title"), c("section_code"), c("content"), c("entities")).alias("prompt"))
+    return asked_chunks(spark, sf).select("section_id", c("seq").cast("long").alias("seq"), model_pass.chunk_prompt().alias("prompt"))
 
 
-@query("llm_05_response")
+#: Answers by section_id % 7: fenced, no JSON, no object, fields of other types, partial, odd entries, whole.
+_ANSWERS = [
+    """concat('```json\n{"summary": "', section_code, '", "entities": {"a": ["b", 1]}, "numeric_constraints": [{"metric": "LTV", "value": 80}]}\n```')""",
+    "'no json'",
+    "'[1, 2]'",
+    """'{"summary": 5, "entities": "x", "numeric_constraints": {"metric": 1}, "relationships": [1, {"type": "REQUIRES"}]}'""",
+    """'{"entities": {"k": "v", "l": []}}'""",
+    """'{"summary": "odd", "numeric_constraints": [{"metric": "DTI"}, 7, {"metric": "DTI", "value": "45", "conditions": ["a", 2], "unit": ""}], "relationships": null}'""",
+    """'{"summary": "s", "entities": {}, "numeric_constraints": [{"metric": "LTV", "operator": ">=", "value": "80", "unit": "%", "conditions": [], "source_text": "t"}], "relationships": [{"type": "EXCEPTION", "target_section": "B1", "condition": "c", "description": "d"}]}'""",
+]
+
+
+@query(
+    "llm_05_response",
+    f"{O.WITH_SECTIONS} SELECT section_id, CASE section_id % 7 WHEN 0 THEN section_code WHEN 3 THEN '5' WHEN 5 THEN 'odd' WHEN 6 THEN 's' ELSE '' END AS summary, CASE section_id % 7 WHEN 0 THEN 'a=b,1' WHEN 4 THEN 'l=' ELSE '' END AS entities, "
+    "CASE section_id % 7 WHEN 0 THEN 'LTV<=80%||' WHEN 5 THEN 'DTI<=45|a|' WHEN 6 THEN 'LTV>=80%||t' ELSE '' END AS limits, CASE section_id % 7 WHEN 3 THEN 'REQUIRES->||' WHEN 6 THEN 'EXCEPTION->B1|c|d' ELSE '' END AS relations FROM sections",
+)
+def _(spark, sf):
+    text = F.expr("CASE section_id % 7 " + " ".join(f"WHEN {k} THEN {a}" for k, a in enumerate(_ANSWERS)) + " END")
+    own = C.sections(spark, sf).select("section_id", answers.parsed(text).alias("r"))
+    limits = F.transform("r.numeric_constraints", lambda x: F.concat(x["metric"], x["operator"], x["value"], x["unit"], F.lit("|"), F.array_join(x["conditions"], ","), F.lit("|"), x["source_text"]))
+    relations = F.transform("r.relationships", lambda x: F.concat(x["type"], F.lit("->"), x["target_section"], F.lit("|"), x["condition"], F.lit("|"), x["description"]))
+    entities = F.transform(F.map_entries("r.entities"), lambda x: F.concat(x["key"], F.lit("="), F.array_join(x["value"], ",")))
+    return own.select("section_id", "r.summary", F.array_join(entities, ";").alias("entities"), F.array_join(limits, ";").alias("limits"), F.array_join(relations, ";").alias("relations"))
+
+
+@query("llm_08_enrich_batch", f"{_PROMPTS} SELECT section_id, seq, summary AS llm_summary, 'stub' AS llm_model, CASE WHEN called THEN prompt_words ELSE 0 END AS llm_tokens, NOT called AS llm_cached FROM passed")
 def _(spark, sf):
-    own = C.sections(spark, sf)
-    text = F.when(c("section_id") % 3 == 0, F.lit("no json")).otherwise(F.concat(F.lit("```json\n{\"summary\": \""), c("section_code"), F.lit("\", \"entities\": {\"a\": [\"b\"]}, \"numeric_constraints\": [{\"metric\": \"LTV\", \"value\": 80}]}\n```")))
-    return own.select("section_id", model_pass.parsed(text).alias("r")).select("section_id", "r.summary", F.size("r.numeric_constraints").alias("n"))
+    return second_pass(spark, sf).select("section_id", c("seq").cast("long").alias("seq"), "llm_summary", "llm_model", "llm_tokens", "llm_cached")
 
 
-@query("llm_08_enrich_batch")
+@query("llm_11_provenance", f"{_PROMPTS} SELECT p.section_id, p.seq, coalesce(kinds.ents, 'None') AS entities, coalesce(f.lims, 'None') AS limits, 'LLM Summary: ' || summary || chr(10) || 'LLM Model: stub' AS llm_lines FROM passed p LEFT JOIN kinds USING (section_id, seq) LEFT JOIN found_limits f USING (section_id, seq)")
 def _(spark, sf):
-    own, cache = cache_keys(spark, sf)
-    rows = model_pass.looked_up(own, cache)
-    return model_pass.completed(rows.filter("not hit").select("section_id", c("body").alias("prompt")), model_pass.StubModel()).select("section_id", "tokens")
+    from ..sources import files
+
+    some = lambda a: F.when(F.size(a) > 0, F.array_join(a, "; ")).otherwise(F.lit("None"))
+    kinds = F.transform(files.by_kind("entities"), lambda x: F.concat(x["kind"], F.lit(": "), F.array_join(x["values"], ", ")))
+    limits = F.transform("numeric_constraints", lambda x: F.concat(x["metric"], x["operator"], x["value"], x["unit"]))
+    return second_pass(spark, sf).select("section_id", c("seq").cast("long").alias("seq"), some(kinds).alias("entities"), some(limits).alias("limits"), files.model_lines().alias("llm_lines"))
 
 
 # --- Pieces of the enrichment pass -----------------------------------------------------------------
@@ -394,10 +509,9 @@ def _(spark, sf):
     return totals.join(files, "source", "left").withColumn("files", F.coalesce("files", F.lit(0)))
 
 
-@query("agg_12_model_totals", rf"{O.WITH_SECTIONS}, t AS (SELECT len(regexp_extract_all(body, '\S+')) AS tokens, section_id % 3 = 0 AS cached FROM sections) SELECT count(*) FILTER (NOT cached) AS processed, count(*) FILTER (cached) AS cached, CAST(sum(CASE WHEN cached THEN 0 ELSE tokens END) AS BIGINT) AS tokens, CAST(sum(CASE WHEN cached THEN 0 ELSE tokens * 7 // 10 END) AS BIGINT) AS input_tokens FROM t")
+@query("agg_12_model_totals", f"{_PROMPTS}, t AS (SELECT count(*) AS processed, count(*) FILTER (NOT called) AS cached, CAST(sum(CASE WHEN called THEN prompt_words ELSE 0 END) AS BIGINT) AS tokens, CAST(sum(CASE WHEN called THEN prompt_words * 7 // 10 ELSE 0 END) AS BIGINT) AS input_tokens, CAST(sum(CASE WHEN called THEN prompt_words * 3 // 10 ELSE 0 END) AS BIGINT) AS output_tokens FROM passed) SELECT *, round(input_tokens / 1000.0::DOUBLE * 0.00025::DOUBLE + output_tokens / 1000.0::DOUBLE * 0.00125::DOUBLE, 6) AS cost FROM t")
 def _(spark, sf):
-    rows = C.sections(spark, sf).select(T.word_count(c("body")).alias("tokens"), (c("section_id") % 3 == 0).alias("cached"))
-    return model_pass.totals(rows)
+    return model_pass.totals(second_pass(spark, sf), _STUB)
 
 
 @query("chk_03_definition_terms")
@@ -408,20 +522,33 @@ def _(spark, sf):
     return chunking.chunked(C.sections(spark, sf).withColumn("body", body), chunking.by_terms(c("body"))).select("section_id", "seq", "heading", "content")
 
 
-@query("chk_05_merge_undersize")
+@query("chk_05_merge_undersize", f"{O.WITH_ADAPTIVE} SELECT section_id, seq, heading, content, CAST({O.words('content')} AS BIGINT) AS word_count FROM chunks")
 def _(spark, sf):
     from ..operators import chunking
 
-    return chunking.chunked(C.sections(spark, sf), chunking.merge_undersize(chunking.by_headings(c("body")))).select("section_id", "seq", "heading", "content", "word_count")
+    return chunking.chunked(C.sections(spark, sf), chunking.merge_undersize(chunking.by_headings(c("body")))).select("section_id", c("seq").cast("long").alias("seq"), "heading", "content", "word_count")
+
 
+_LINES = r"""WITH RECURSIVE lines AS (
+  SELECT doc_id, k, 'Line ' || k AS heading, line, len(regexp_extract_all(line, '[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+')) AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents)
+), fold AS (
+  SELECT doc_id, k, 0::BIGINT AS run, words AS n FROM lines WHERE k = 1
+  UNION ALL
+  SELECT l.doc_id, l.k, CASE WHEN f.n >= 50 THEN f.run + 1 ELSE f.run END, CASE WHEN f.n >= 50 THEN l.words ELSE f.n + l.words END FROM fold f JOIN lines l ON l.doc_id = f.doc_id AND l.k = f.k + 1
+), whole AS (
+  SELECT doc_id, count(*) AS n, CAST(sum(words) AS BIGINT) AS words FROM lines GROUP BY doc_id
+)"""
 
-@query("chk_07_semantic_chunks", f"{O.WITH_CHUNKS}, w AS (SELECT section_id, title, count(*) AS n, CAST(sum({O.words('content')}) AS BIGINT) AS words FROM chunks GROUP BY ALL) SELECT section_id, 'section' AS chunk_type, title AS heading, words FROM w UNION ALL SELECT c.section_id, 'subsection', c.heading, CAST({O.words('content')} AS BIGINT) FROM chunks c JOIN w USING (section_id) WHERE w.words > 50 AND w.n > 1")
+
+@query("chk_07_semantic_chunks", f"{_LINES} SELECT doc_id, 'section' AS chunk_type, NULL AS heading, words AS word_count FROM whole UNION ALL SELECT doc_id, 'subsection', first(heading ORDER BY k), CAST(sum(l.words) AS BIGINT) FROM lines l JOIN fold USING (doc_id, k) JOIN whole w USING (doc_id) WHERE w.words > 2000 AND w.n > 1 GROUP BY doc_id, run")
 def _(spark, sf):
-    chunks = C.headed(spark, sf)
-    whole = chunks.groupBy("section_id", "title").agg(F.count(F.lit(1)).alias("n"), F.sum("word_count").alias("words"))
-    large = whole.filter("words > 50 and n > 1").select("section_id")
-    own = whole.select("section_id", F.lit("section").alias("chunk_type"), c("title").alias("heading"), "words")
-    return own.unionByName(chunks.join(large, "section_id", "left_semi").select("section_id", F.lit("subsection").alias("chunk_type"), "heading", c("word_count").alias("words")))
+    """Documents as sections whose subsections are their lines."""
+    from ..operators import chunking
+
+    none = F.lit("")
+    lines = F.transform(F.split("text", "\n"), lambda x, k: F.struct(F.concat(F.lit("Line "), (k + 1).cast("string")).alias("heading"), x.alias("content"), T.word_count(x).alias("words"), F.lit(False).alias("tables"), F.lit(False).alias("lists")))
+    own = C.documents(spark, sf).filter("text IS NOT NULL").select(F.lit("documents").alias("source"), c("doc_id").cast("string").alias("section_code"), F.coalesce("lang", none).alias("title"), c("text").alias("content_markdown"), T.word_count(c("text")).alias("word_count"), lines.alias("subsections"), *[none.alias(n) for n in ("part_name", "chapter_name", "chapter_code", "subpart_name", "subpart_code")])
+    return chunking.semantic(own).select(c("section_code").cast("long").alias("doc_id"), "chunk_type", "heading", "word_count")
 
 
 @query("chk_08_merge_subsections")
@@ -558,3 +685,62 @@ def _(spark, sf):
 
     found = pages(spark, sf).select("url", F.lit("freddie_mac").alias("source"), c("page_id").cast("string").alias("section_code"))
     return fetch.fetched(found, lambda: fetch.TableFetcher({}), Config(max_retries=0, breaker_threshold=10**9), 0.0, 4, len).select("url", "status", "attempts")
+
+
+# --- Storage ---------------------------------------------------------------------------------------
+
+@query("snk_02_text_files", f"{O.WITH_CHUNKS}, n AS (SELECT chunk_id, content, row_number() OVER (PARTITION BY chunk_id ORDER BY section_id, seq) AS k FROM chunks) SELECT replace(chunk_id, '/', '_') || CASE WHEN k > 1 THEN '_' || k ELSE '' END || '.txt' AS name, content AS text FROM n")
+def _(spark, sf):
+    from ..sources import exports, text_sink
+
+    rows = C.headed(spark, sf).withColumn("k", F.row_number().over(Window.partitionBy("chunk_id").orderBy("section_id", "seq")))
+    folder = f"{storage.scratch_folder(spark)}/texts"
+    text_sink.write_texts(rows.select(exports.chunk_filename(c("chunk_id"), c("k")).alias("name"), c("content").alias("text")), folder, layout="tasks")
+    back = spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
+    return back.select(F.element_at(F.split(F.url_decode(F.replace(c("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "/"), -1).alias("name"), c("value").alias("text"))
+
+
+@query("snk_03_index_totals", f"{O.WITH_SECTIONS}, t AS (SELECT {O.content_type()} AS content_type, {O.domains()} AS domains FROM sections) SELECT 'total' AS kind, '' AS value, count(*) AS n FROM t UNION ALL SELECT 'content_type', content_type, count(*) FROM t GROUP BY content_type UNION ALL SELECT 'domain', d, count(*) FROM (SELECT unnest(domains) AS d FROM t) GROUP BY d")
+def _(spark, sf):
+    from ..sources import exports
+    from . import enrich
+
+    return exports.totals(enrich.tagged_sections(C.sections(spark, sf)))
+
+
+@query("snk_05_attempt_log", "SELECT CAST(user_id AS VARCHAR) AS section_code, arg_max(event_type, event_id) AS status FROM events GROUP BY user_id")
+def _(spark, sf):
+    from . import scrape
+
+    fields = [x.split(" ") for x in scrape.LOG.split(", ")]
+    given = {"source": F.lit("events"), "section_code": c("user_id").cast("string"), "status": c("event_type"), "attempt": c("event_id").cast("long")}
+    rows = storage.stored(events(spark, sf).select(*[given.get(n, F.lit(None)).cast(k).alias(n) for n, k in fields]))
+    log = storage.Parts(spark, f"{storage.scratch_folder(spark)}/log")
+    first, last = rows.agg(F.min("attempt"), F.max("attempt")).first()
+    cuts = [first + (last - first) * k // 3 for k in range(3)] + [last + 1]
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        at = log.new_folder("log")
+        rows.filter((c("attempt") >= a) & (c("attempt") < b)).write.parquet(f"{log.path}/{at}")
+        log.commit({f"run={k}": at})
+        if k == 1:
+            scrape.compact(spark, log)
+    return scrape.newest(log.read(scrape.LOG)).select("section_code", "status")
+
+
+@query("src_06_index_expansion", "SELECT page_id, url AS loc, 'https://guide.example.com/map-' || (page_id % 8) || '.xml' AS sitemap FROM pages WHERE page_id % 8 NOT IN (3, 5)")
+def _(spark, sf):
+    """Each eighth of the pages is in a sitemap of its own; one lies on another host, one cannot be had."""
+    from ..plans import discovery
+    from ..sources import page_source
+    from .config import Config
+
+    own = pages(spark, sf).select("page_id", "url", (c("page_id") % 8).alias("k"))
+    name = lambda k: F.concat(F.when(k == 3, F.lit("https://elsewhere.example.com")).otherwise(F.lit("https://guide.example.com")), F.lit("/map-"), k.cast("string"), F.lit(".xml"))
+    escaped = F.replace(F.replace(c("url"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    entry = F.concat(F.lit("<url><loc>"), escaped, F.lit("</loc><lastmod>"), c("page_id").cast("string"), F.lit("</lastmod></url>"))
+    maps = own.groupBy("k").agg(F.concat(F.lit("<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>"), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>")).alias("body"))
+    index = own.select("k").distinct().agg(F.concat(F.lit("<sitemapindex>"), F.array_join(F.collect_list(F.concat(F.lit("<sitemap><loc>"), name(c("k")), F.lit("</loc></sitemap>"))), ""), F.lit("</sitemapindex>")).alias("body"))
+    stored = storage.stored(maps.filter("k <> 5").select(name(c("k")).alias("url"), "body").unionByName(index.select(F.lit("https://guide.example.com/sitemap.xml").alias("url"), "body")))
+    uri = stored.inputFiles()[0].rpartition("/")[0]
+    found = discovery.expanded(spark, "https://guide.example.com/sitemap.xml", lambda: page_source.StoredPages(uri), Config(max_retries=0))
+    return found.select(c("lastmod").cast("long").alias("page_id"), "loc", "sitemap")

@@ -31,6 +31,7 @@ class Config:
     adaptive_delay: bool = True
     max_delay: float = 30.0
     max_sections: int | None = None
+    manifest_save_interval: int = 25
     model_prompt_version: str = "1.0"
     model_max_chunks: int | None = None
     first_base_url: str = "https://selling-guide.fanniemae.com"
@@ -50,6 +51,7 @@ class Config:
             "max_delay": (0.1, None),
             "max_workers": (1, None),
             "quality_min_words": (0, None),
+            "manifest_save_interval": (1, None),
         }
         for name, (low, high) in limits.items():
             value = getattr(self, name)

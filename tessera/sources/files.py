@@ -90,9 +90,37 @@ def by_kind(names: str) -> Column:
     return F.transform(kinds, lambda k: F.struct(k.alias("kind"), values(k).alias("values")))
 
 
-def chunk_header() -> Column:
-    """The text of a chunk's file: its facts line by line, a rule, and the content; absent facts but domains have no line."""
-    line = lambda label, value: F.when(value.isNotNull() & (value != ""), F.concat(F.lit(f"{label}: "), value))
+def _line(label: str, value: Column) -> Column:
+    return F.when(value.isNotNull() & (value != ""), F.concat(F.lit(f"{label}: "), value))
+
+
+def _model_lines() -> list[Column]:
+    """The lines of a model's findings, from the columns of the model pass."""
+    c = F.col
+    kinds = F.transform(F.map_entries("llm_entities"), lambda x: F.concat(x["key"], F.lit("="), F.array_join(x["value"], ",")))
+    limits = F.transform(F.slice("llm_constraints", 1, 5), lambda x: F.concat(x["metric"], x["operator"], x["value"], x["unit"]))
+    relations = F.transform(F.slice("llm_relationships", 1, 5), lambda x: F.concat(x["type"], F.lit("->"), x["target_section"]))
+    # The labels and separators are the file's format.
+    return [
+        _line("LLM Summary", c("llm_summary")),
+        _line("LLM Entities", F.array_join(kinds, "; ")),
+        _line("LLM Constraints", F.array_join(limits, "; ")),
+        _line("LLM Relationships", F.array_join(relations, "; ")),
+        _line("LLM Model", c("llm_model")),
+    ]
+
+
+def model_lines() -> Column:
+    """The lines of a model's findings that a chunk's file has."""
+    return F.concat_ws("\n", *_model_lines())
+
+
+def chunk_header(model_pass: bool = False) -> Column:
+    """The text of a chunk's file: its facts line by line, a rule, and the content; absent facts but domains have no line.
+
+    With ``model_pass`` the chunk has the columns of the model pass, which get lines of their own.
+    """
+    line = _line
     c = F.col
     enumerations = F.transform(by_kind("enumerations"), lambda x: F.concat(x["kind"], F.lit("("), F.array_join(x["values"], ", "), F.lit(")")))
     entities = F.transform(by_kind("entities"), lambda x: F.concat(x["kind"], F.lit("="), F.array_join(x["values"], ",")))
@@ -110,6 +138,7 @@ def chunk_header() -> Column:
         F.when(c("requirement_type") != "guideline", F.concat(F.lit("Requirement: type="), c("requirement_type"), F.lit(", severity="), c("severity"))),
         line("Constraints", F.array_join(limits, "; ")),
         line("Cross-Source", F.array_join(linked, ", ")),
+        *(_model_lines() if model_pass else []),
         line("Content Type", c("content_type")),
         line("Summary", c("summary")),
         F.lit("---"),
@@ -139,8 +168,8 @@ def export_texts(df: DataFrame, folder: str, name: str = "filename", text: str =
     return df.select(name, text).mapInPandas(write, "name string, bytes long")
 
 
-def index_entries(chunks: DataFrame) -> DataFrame:
-    """chunk_id, and its entry of the index as JSON: without the content, absent facts left out.
+def index_entries(chunks: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep``, chunk_id, and its entry of the index as JSON: without the content, absent facts left out.
 
     The date, address and place of a section come from columns of these names, if there are any.
     """
@@ -152,8 +181,13 @@ def index_entries(chunks: DataFrame) -> DataFrame:
     requirement = F.when(c("requirement_type") != "guideline", F.struct(c("requirement_type").alias("type"), "severity")).alias("requirement")
     limits = F.transform("numeric_constraints", lambda x: F.struct(x["metric"].alias("metric"), x["operator"].alias("operator"), x["value"].alias("value"), x["unit"].alias("unit"), x["conditions"].alias("conditions")))
     first = ["chunk_id", "source", "section_code", "title", "heading", "domains", mapped("enumerations").alias("mismo_tags"), "key_terms", "content_type", "summary", "cross_source_links", "word_count", "has_table"]
-    entry = F.struct(*first, date, own("url"), own("hierarchy_path"), some("entities", mapped("entities")), requirement, some("numeric_constraints", limits), some("conditional_refs", c("conditional_refs")))
-    return chunks.select("chunk_id", F.to_json(entry).alias("entry"))
+    fields = [*first, date, own("url"), own("hierarchy_path"), some("entities", mapped("entities")), requirement, some("numeric_constraints", limits), some("conditional_refs", c("conditional_refs"))]
+    if "llm_model" in chunks.columns:
+        found = F.transform("llm_constraints", lambda x: F.struct(*[x[n].alias(n) for n in ("metric", "operator", "value", "unit", "conditions")]))
+        said = lambda name: F.when(c(name) != "", c(name)).alias(name)
+        fields += [said("llm_summary"), some("llm_entities", c("llm_entities")), some("llm_constraints", found), some("llm_relationships", c("llm_relationships")), said("llm_model")]
+    entry = F.struct(*fields)
+    return chunks.select(*(keep or []), "chunk_id", F.to_json(entry).alias("entry"))
 
 
 def chunk_markers(markdown: Column, chunk_id: Column, headings: Column) -> Column:

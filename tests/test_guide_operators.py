@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions import rules as R
 from tessera.functions import text as T
 from tessera.functions import vocabulary as V
-from tessera.operators import chunking, crawl, graph, linking, model_pass
+from tessera.operators import answers, chunking, crawl, graph, linking, model_pass, ranking
 from tessera.plans import enrich
 from tessera.sources import pages, sitemaps
 
@@ -243,10 +243,10 @@ def test_delays(spark):
 
 def test_answers(spark):
     fenced = '```json\n{"summary": "s", "entities": {"a": ["b"]}, "numeric_constraints": [{"metric": "LTV", "value": "80"}]}\n```'
-    got = one(spark, model_pass.parsed(F.col("t")), t=fenced)
+    got = one(spark, answers.parsed(F.col("t")), t=fenced)
     assert got["summary"] == "s" and got["entities"] == {"a": ["b"]}
-    assert got["numeric_constraints"][0].asDict() == {"metric": "LTV", "operator": "<=", "value": "80", "unit": "%"}
-    bad = one(spark, model_pass.parsed(F.col("t")), t="no json")
+    assert got["numeric_constraints"][0].asDict() == {"metric": "LTV", "operator": "<=", "value": "80", "unit": "%", "conditions": [], "source_text": ""}
+    bad = one(spark, answers.parsed(F.col("t")), t="no json")
     assert bad["summary"] == "" and bad["numeric_constraints"] == []
 
 
@@ -254,9 +254,84 @@ def test_failed_calls_leave_empty_answers(spark):
     class Broken:
         name = "broken"
 
-        def complete(self, prompt):
+        def complete(self, prompt, system=""):
             raise RuntimeError("no")
 
     df = spark.createDataFrame([(1, "a b"), (2, None)], "k int, prompt string")
-    assert sorted(tuple(r) for r in model_pass.completed(df, Broken()).collect()) == [(1, "", 0), (2, "", 0)]
+    assert sorted(tuple(r) for r in model_pass.completed(df, Broken()).collect()) == [(1, "", 0, True), (2, "", 0, True)]
     assert sorted(r["tokens"] for r in model_pass.completed(df, model_pass.StubModel()).collect()) == [0, 2]
+
+
+# --- Ranks, postings and folds -----------------------------------------------------------------------
+
+
+def test_ranks_have_no_window_over_everything(spark):
+    rows = spark.range(5000).selectExpr("id", "id * 7919 % 5003 AS v", "id % 3 AS k")
+    got = ranking.ranked(rows, [F.col("v")])
+    assert [r["rank"] for r in got.orderBy("v").collect()] == list(range(1, 5001))
+    assert "SinglePartition" not in got._jdf.queryExecution().toString()
+    hot = rows.withColumn("k", F.when(F.col("id") < 4000, "hot").otherwise(F.concat(F.lit("k"), F.col("k"))))
+    places = {}
+    for r in ranking.ranked_within(hot, ["k"], [F.col("v")]).orderBy("v").collect():
+        places.setdefault(r["k"], []).append(r["rank"])
+    assert all(p == list(range(1, len(p) + 1)) for p in places.values()) and len(places["hot"]) == 4000
+    assert ranking.ranked(rows.limit(0), [F.col("v")]).count() == 0
+
+
+def test_postings_in_blocks(spark, monkeypatch):
+    rows = spark.range(1000).select(F.col("id").alias("section_id"), F.lit(0).alias("seq"), F.concat(F.lit("c"), F.col("id")).alias("chunk_id"), F.when(F.col("id") % 3 == 0, F.array(F.lit("all"), F.lit("third"))).otherwise(F.array(F.lit("all"))).alias("entities"))
+    first = graph.entity_postings(rows)
+    monkeypatch.setattr(graph, "BLOCK", 64)
+    cut = graph.blocks(rows.select("section_id", "chunk_id", F.explode("entities").alias("entity")), ["entity"], [F.col("section_id")], "chunk_id", 64)
+    got = cut.collect()
+    assert max(len(r["items"]) for r in got) == 64 and len(got) == 16 + 6
+    assert [x for r in sorted(got, key=lambda r: r["block"]) if r["entity"] == "all" for x in r["items"]] == [f"c{k}" for k in range(1000)]
+    assert {r["chunk_id"] for r in graph.in_all(cut, ["all", "third"]).collect()} == {f"c{k}" for k in range(0, 1000, 3)}
+    assert {r["entity"]: r["chunk_ids"] for r in graph.reverse_index(rows).collect()}["third"] == [f"c{k}" for k in range(0, 1000, 3)]
+    more = graph.entity_postings(rows.limit(5).withColumn("chunk_id", F.concat(F.lit("new"), F.col("section_id"))))
+    both = graph.with_more(first, more, ["entity"])
+    assert sorted((r["entity"], r["block"]) for r in both.collect()) == [("all", 0), ("all", 1), ("third", 0), ("third", 1)]
+
+
+def test_first_of_each_key(spark):
+    rows = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), (None, 2, "z"), (None, 5, "w"), ("b", 4, None)], "k string, n int, v string")
+    assert sorted(map(tuple, graph.first_by(rows, ["k"], ["n"]).collect()), key=repr) == sorted([("a", 1, "y"), (None, 2, "z"), ("b", 4, None)], key=repr)
+
+
+def test_folds_grow_with_the_paragraphs(spark):
+    """Twenty times the paragraphs take far less than four hundred times as long."""
+    import time
+
+    def seconds(n):
+        text = "\n\n".join(f"word{k} of a paragraph" for k in range(n))
+        df = spark.createDataFrame([(text,)], "t string").select(F.size(chunking.merge_undersize(chunking.split_oversize(chunking.by_headings(F.col("t")), 20), 30)).alias("n"))
+        began = time.perf_counter()
+        assert df.first()["n"] == -(-n // 10)
+        return time.perf_counter() - began
+
+    seconds(100)
+    small, large = min(seconds(1000) for _ in range(3)), seconds(20_000)
+    assert large < 60 * max(small, 0.1)
+
+
+def test_semantic_chunks(spark):
+    part = "struct<heading:string,content:string,words:bigint,tables:boolean,lists:boolean>"
+    rows = [
+        ("freddie_mac", "4201.1", "T", "whole", 2500, [("A", "a", 10, False, False), ("B", "b", 60, True, False), ("C", "c", 70, False, True)], "P", "", "42", "", ""),
+        ("freddie_mac", "4201.2", "T", "short", 2000, [("A", "a", 10, False, False), ("B", "b", 60, False, False)], "", "", "", "", ""),
+        ("freddie_mac", "4201.3", "T", "one part", 9000, [("A", "a", 9000, False, False)], "", "", "", "", ""),
+    ]
+    names = "source string, section_code string, title string, content_markdown string, word_count long, subsections array<" + part + ">, part_name string, chapter_name string, chapter_code string, subpart_name string, subpart_code string"
+    got = [tuple(r) for r in chunking.semantic(spark.createDataFrame(rows, names)).collect()]
+    assert [g[2] for g in got] == ["section", "subsection", "subsection", "section", "section"]
+    assert got[0][3:] == ("freddie_mac/4201.1", "T", None, "P > Chapter 42 > 4201.1", "whole", 2500)
+    assert got[1][3:] == ("freddie_mac/4201.1/a", "4201.1: A", "A", "P > Chapter 42 > 4201.1 > A", "*Section: 4201.1 - T*\n*Subsection: A*\n\na\n\n## B\n\nb", 70)
+
+
+def test_links_are_kept_factorised(spark):
+    rows = [("fannie_mae", f"B2-1.2-{k:02}") for k in range(30)] + [("freddie_mac", f"4201.{k}") for k in range(40)]
+    df = spark.createDataFrame(rows, "source string, section_code string")
+    own, of = linking.section_map(df), linking.targets(df)
+    pairs = linking.expanded(own, of)
+    assert pairs.count() == linking.links(df).count() > own.count() + of.count()
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, linking.links(df).collect()))
