@@ -87,6 +87,11 @@ def summary(code: Column, title: Column, domains: Column, terms: Column) -> Colu
     return F.when(F.char_length(text) > 200, F.concat(F.substring(text, 1, 197), F.lit("..."))).otherwise(text)
 
 
+def chapter_label(code: Column) -> Column:
+    """The label of the chapter that a code of the second guide begins with."""
+    return F.concat(F.lit("chapter_"), F.split_part(code, F.lit("."), F.lit(1)))
+
+
 def context_prefix(path: Column, heading: Column) -> Column:
     """The lines that say where a chunk comes from."""
     return F.concat_ws("\n", F.concat(F.lit("*Section: "), path, F.lit("*")), F.concat(F.lit("*Subsection: "), heading, F.lit("*")), F.lit("\n"))

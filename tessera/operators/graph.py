@@ -87,9 +87,10 @@ def blocks(rows: DataFrame, keys: list[str], order: list[Column], item: str, siz
     return lists.select(*keys, "block", F.transform("c", lambda x: x["item"]).alias("items"))
 
 
-def entity_postings(chunks: DataFrame) -> DataFrame:
-    """entity, block, items: the chunk_ids of an entity in the order in which they are first seen."""
-    rows = chunks.select(*ORDER, "chunk_id", F.explode("entities").alias("entity"))
+def entity_postings(chunks: DataFrame, wanted: list[str] | None = None) -> DataFrame:
+    """entity, block, items: the chunk_ids of an entity (of ``wanted``, or of each) in the order in which they are first seen."""
+    named = F.col("entities") if wanted is None else F.filter("entities", lambda e: e.isin(wanted))
+    rows = chunks.select(*ORDER, "chunk_id", F.explode(named).alias("entity"))
     first = rows.groupBy("entity", "chunk_id").agg(F.min(F.struct(*ORDER)).alias("at"))
     return blocks(first, ["entity"], [F.col("at"), F.col("chunk_id")], "chunk_id")
 
@@ -123,7 +124,7 @@ def reverse_index(chunks: DataFrame) -> DataFrame:
 
 def intersection(chunks: DataFrame, wanted: list[str]) -> DataFrame:
     """chunk_id of the chunks that have all wanted entities."""
-    return in_all(entity_postings(chunks), wanted)
+    return in_all(entity_postings(chunks, wanted), wanted)
 
 
 def limit_postings(chunks: DataFrame) -> DataFrame:

@@ -86,6 +86,13 @@ def links(sections: DataFrame) -> DataFrame:
     return expanded(each, storage.stored(targets(sections)))
 
 
+def link_counts(sections: DataFrame) -> DataFrame:
+    """source, section_code, links: how many links each section has, without forming them."""
+    sizes = targets(sections).groupBy("source", "ord").agg(F.sum(F.size("codes")).alias("n"))  # one row a side of the map's rows
+    own = section_map(sections).select("source", "section_code", F.explode("ords").alias("ord"))
+    return own.join(F.broadcast(sizes), ["source", "ord"]).groupBy("source", "section_code").agg(F.sum("n").alias("links"))
+
+
 def link_lists(sections: DataFrame) -> DataFrame:
     """source, section_code, cross_source_links in the order of the map and then of the code."""
     each = links(sections.select("source", "section_code").distinct())

@@ -183,7 +183,27 @@ def _(spark, sf):
     return chunking.chunked(tagged, chunking.adaptive(c("body"), c("content_type"))).select("section_id", c("seq").cast("long").alias("seq"), "heading", "content", "word_count")
 
 
-@query("chk_04_split_oversize")
+_PARAGRAPHS = rf"""WITH RECURSIVE t AS (
+  SELECT doc_id, {O.any_strip("'## Text' || chr(10) || chr(10) || replace(text, chr(10), chr(10) || chr(10))")} AS content FROM documents WHERE text IS NOT NULL
+), marked AS (
+  SELECT *, {O.any_words('content')} > 800 AND NOT regexp_matches(content, '\|.*\|.*\|') AS long FROM t
+), listed AS (
+  SELECT doc_id, regexp_split_to_array(content, '\n\n+') AS ps FROM marked WHERE long
+), pieces AS (
+  SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS k FROM listed
+), counted AS (
+  SELECT *, {O.any_words('p')} AS words FROM pieces
+), fold AS (
+  SELECT doc_id, k, 0 AS run, words AS n FROM counted WHERE k = 1
+  UNION ALL
+  SELECT c.doc_id, c.k, CASE WHEN f.n + c.words > 800 THEN f.run + 1 ELSE f.run END, CASE WHEN f.n + c.words > 800 THEN c.words ELSE f.n + c.words END FROM fold f JOIN counted c ON c.doc_id = f.doc_id AND c.k = f.k + 1
+)"""
+
+
+@query(
+    "chk_04_split_oversize",
+    f"{_PARAGRAPHS} SELECT doc_id, 0 AS seq, 'Text' AS heading, content FROM marked WHERE NOT long UNION ALL SELECT doc_id, run, 'Text', {O.any_strip('string_agg(p, chr(10) || chr(10) ORDER BY k)')} FROM counted JOIN fold USING (doc_id, k) GROUP BY doc_id, run",
+)
 def _(spark, sf):
     text = F.concat(F.lit("## Text\n\n"), F.replace(c("text"), F.lit("\n"), F.lit("\n\n")))
     docs = documents(spark, sf).select("doc_id", chunking.split_oversize(chunking.by_headings(text)).alias("chunks"))
@@ -343,12 +363,13 @@ def _(spark, sf):
     return headed(spark, sf).groupBy(R.severity(c("content")).alias("severity")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("agg_05_totals", rf"{O.WITH_LIMITS} SELECT (SELECT count(*) FROM sections) AS sections, count(*) AS chunks, (SELECT count(*) FROM limits) AS constraints, CAST(sum({O.words('content')}) // count(*) AS BIGINT) AS avg_words FROM chunks")
+@query("agg_05_totals", rf"{O.WITH_LIMITS}{O.WITH_LINKS.removeprefix(O.WITH_SECTIONS)} SELECT (SELECT count(*) FROM sections) AS sections, count(*) AS chunks, (SELECT count(*) FROM limits) AS constraints, CAST(sum({O.words('content')}) // count(*) AS BIGINT) AS avg_words, (SELECT count(*) FROM chunks JOIN (SELECT DISTINCT * FROM links) l USING (source, section_code)) AS cross_source_links FROM chunks")
 def _(spark, sf):
-    rows = with_limits(spark, sf)
+    rows = with_limits(spark, sf).join(linking.link_counts(sections(spark, sf)), ["source", "section_code"], "left")
     return rows.agg(
-        F.count_distinct("section_id").alias("sections"), F.count(F.lit(1)).alias("chunks"), F.sum(F.size("numeric_constraints")).alias("constraints"), F.floor(F.sum("word_count") / F.count(F.lit(1))).alias("avg_words")
-    )
+        F.count_distinct("section_id").alias("sections"), F.count(F.lit(1)).alias("chunks"), F.sum(F.size("numeric_constraints")).alias("constraints"), F.floor(F.sum("word_count") / F.count(F.lit(1))).alias("avg_words"),
+        F.sum(F.coalesce("links", F.lit(0))).alias("cross_source_links"),
+    )
 
 
 @query("agg_06_reverse_index", f"{O.WITH_ENTITIES}, f AS (SELECT entity, chunk_id, min(section_id * 1000 + seq) AS place FROM found GROUP BY ALL), p AS (SELECT entity, chunk_id, row_number() OVER (PARTITION BY entity ORDER BY place, chunk_id) - 1 AS n FROM f) SELECT entity, n // {graph.BLOCK} AS block, string_agg(chunk_id, ',' ORDER BY n) AS chunk_ids FROM p GROUP BY ALL")

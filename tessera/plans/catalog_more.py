@@ -127,10 +127,27 @@ def _(spark, sf):
     return own.select("section_code", part.alias("part"), chapter.alias("chapter"), subpart.alias("subpart"))
 
 
-@query("htm_12_second_guide_hierarchy", f"WITH s AS (SELECT DISTINCT section_code FROM ({guide.SECTIONS_SQL}) WHERE source = 'freddie_mac') SELECT section_code, split_part(section_code, '.', 1) AS chapter, CAST(floor(CAST(split_part(section_code, '.', 1) AS INTEGER) / 1000) AS INTEGER) AS part FROM s")
+@query("htm_12_second_guide_hierarchy", f"WITH s AS (SELECT DISTINCT section_code, CAST(split_part(section_code, '.', 1) AS INTEGER) // 1000 AS k FROM ({guide.SECTIONS_SQL}) WHERE source = 'freddie_mac') SELECT section_code, split_part(section_code, '.', 1) AS chapter, CASE WHEN k BETWEEN 1 AND 6 THEN CAST(k AS VARCHAR) ELSE '' END AS part, CASE k WHEN 1 THEN 'General' WHEN 2 THEN 'Requirements' WHEN 3 THEN 'Underwriting' WHEN 4 THEN 'Origination' WHEN 5 THEN 'Special Programs' WHEN 6 THEN 'Quality Control' ELSE '' END AS part_name FROM s")
 def _(spark, sf):
+    from ..sources import section_pages
+
+    part, name, chapter = section_pages.second_hierarchy(c("section_code"))
     own = C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_code").distinct()
-    return own.select("section_code", F.split_part("section_code", F.lit("."), F.lit(1)).alias("chapter"), F.floor(T.chapter_number(c("section_code")) / 1000).cast("int").alias("part"))
+    return own.select("section_code", chapter.alias("chapter"), part.alias("part"), name.alias("part_name"))
+
+
+@query("htm_14_lateral_links", """WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a (?:[^>]* )?href="([^"]*)"', 1)) AS target, generate_subscripts(regexp_extract_all(html, '<a (?:[^>]* )?href="([^"]*)"', 1), 1) AS place FROM pages) SELECT page_id, CAST(place AS INTEGER) AS place, replace(target, '&amp;', '&') AS target FROM l""")
+def _(spark, sf):
+    from ..sources import page_parts
+
+    return page_parts.parts(pages(spark, sf).select("page_id", "html")).filter("kind = 'link'").select("page_id", "place", "target")
+
+
+@query("htm_13_lateral_headings", """WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, '<h([1-6])[ >]', 1)) AS level, generate_subscripts(regexp_extract_all(html, '<h([1-6])[ >]', 1), 1) AS place FROM pages) SELECT page_id, CAST(place AS INTEGER) AS place, CAST(level AS INTEGER) AS level FROM h""")
+def _(spark, sf):
+    from ..sources import page_parts
+
+    return page_parts.parts(pages(spark, sf).select("page_id", "html")).filter("kind = 'heading'").select("page_id", "place", "level")
 
 
 @query("htm_14_page_links")
@@ -156,7 +173,7 @@ def _(spark, sf):
 
 @query("scl_10_chapter_label", f"SELECT section_id, 'chapter_' || split_part(section_code, '.', 1) AS label FROM ({guide.SECTIONS_SQL}) WHERE source = 'freddie_mac'")
 def _(spark, sf):
-    return C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_id", F.concat(F.lit("chapter_"), F.split_part("section_code", F.lit("."), F.lit(1))).alias("label"))
+    return C.sections(spark, sf).filter("source = 'freddie_mac'").select("section_id", T.chapter_label(c("section_code")).alias("label"))
 
 
 @query("srt_01_sort_codes", f"SELECT section_code, row_number() OVER (ORDER BY section_code) AS place FROM (SELECT DISTINCT section_code FROM ({guide.SECTIONS_SQL}) WHERE source = 'fannie_mae')")
@@ -185,6 +202,16 @@ def _(spark, sf):
     return crawl.frontier(every.select("o_orderkey"), done, "o_orderkey", 100)
 
 
+@query("lim_03_file_caps", f"{O.WITH_LIMITS}, l AS (SELECT section_id, seq, string_agg(metric || operator || value || unit, '; ' ORDER BY k) FILTER (k < 5) AS constraints FROM limits GROUP BY ALL) SELECT section_id, seq, array_to_string(list_slice({O.listed(O.term_list('content'))}, 1, 15), ', ') AS terms, coalesce(constraints, '') AS constraints FROM chunks LEFT JOIN l USING (section_id, seq)")
+def _(spark, sf):
+    from ..functions import rules as R
+    from ..sources import files
+
+    rows = C.with_limits(spark, sf).withColumn("key_terms", R.terms(c("content")))
+    limits = F.transform(files.shown("numeric_constraints"), lambda x: F.concat(x["metric"], x["operator"], x["value"], x["unit"]))
+    return rows.select("section_id", c("seq").cast("long").alias("seq"), F.array_join(files.shown("key_terms"), ", ").alias("terms"), F.array_join(limits, "; ").alias("constraints"))
+
+
 @query("lim_03_row_caps", f"{O.WITH_CHUNKS} SELECT section_id, seq, array_to_string(list_slice({O.listed(O.term_list('content'))}, 1, 3), ',') AS terms FROM chunks")
 def _(spark, sf):
     from ..functions import rules as R
@@ -494,19 +521,32 @@ def _(spark, sf):
     return rows.select("section_id", c("seq").cast("long").alias("seq"), "content_type", F.array_join("domains", ",").alias("domains"))
 
 
-@query("jon_07_result_by_key", f"{O.WITH_CHUNKS} SELECT section_id, seq, length(content) AS answer_chars FROM chunks")
+@query("jon_07_result_by_key", f"{_PROMPTS} SELECT section_id, seq, CASE WHEN hit THEN summary END AS summary FROM passed")
 def _(spark, sf):
-    chunks = C.headed(spark, sf)
-    answers = chunks.select("section_id", "seq", F.char_length("content").cast("long").alias("answer_chars"))
-    return chunks.select("section_id", "seq").join(answers, ["section_id", "seq"]).select("section_id", c("seq").cast("long").alias("seq"), "answer_chars")
+    chunks = asked_chunks(spark, sf)
+    keys = chunks.select("section_id", "seq", cache_key(c("content"), _STUB.name, model_pass.PROMPT_VERSION).alias("key"))
+    found = seen_cache(spark, chunks).get(keys)
+    return found.select("section_id", c("seq").cast("long").alias("seq"), answers.restored(c("result"))["summary"].alias("summary"))
+
+
+_ORDER_STATUS = "CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'failed' ELSE 'quality_warning' END"
+
+
+@query("agg_11_status_report", f"WITH o AS (SELECT o_orderpriority AS source, {_ORDER_STATUS} AS status FROM orders), f AS (SELECT source, count(*) AS files FROM o WHERE status <> 'failed' GROUP BY source) SELECT source, count(*) AS discovered, count(*) FILTER (status = 'success') AS scraped, count(*) FILTER (status = 'quality_warning') AS warnings, count(*) FILTER (status = 'failed') AS failed, 0 AS skipped, any_value(files) AS files FROM o JOIN f USING (source) GROUP BY source")
+def _(spark, sf):
+    from . import scrape
 
+    done = orders(spark, sf).select(c("o_orderpriority").alias("source"), c("o_orderkey").cast("string").alias("section_code"), F.expr(_ORDER_STATUS).alias("status"))
+    found = done.filter("status <> 'failed'").select("source", c("section_code").alias("path"))
+    return scrape.report(done, found)
 
-@query("agg_11_status_report", "SELECT o_orderpriority AS source, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS scraped, count(*) FILTER (o_orderstatus = 'P') AS failed, count(*) FILTER (o_orderkey % 5 <> 0) AS files FROM orders GROUP BY 1")
+
+@query("agg_11_first_errors", "SELECT o_orderpriority AS source, CAST(o_orderkey AS VARCHAR) AS section_code, 'OrderPending' AS error_type, o_orderpriority AS error_message FROM orders WHERE o_orderstatus = 'P' ORDER BY CAST(o_orderkey AS VARCHAR), o_orderpriority LIMIT 5")
 def _(spark, sf):
-    every = orders(spark, sf).select(c("o_orderpriority").alias("source"), "o_orderkey", "o_orderstatus")
-    files = every.filter("o_orderkey % 5 <> 0").groupBy("source").agg(F.count(F.lit(1)).alias("files"))
-    totals = every.groupBy("source").agg(F.count(F.lit(1)).alias("total"), F.count_if(c("o_orderstatus") == "F").alias("scraped"), F.count_if(c("o_orderstatus") == "P").alias("failed"))
-    return totals.join(files, "source", "left").withColumn("files", F.coalesce("files", F.lit(0)))
+    from . import scrape
+
+    done = orders(spark, sf).select(c("o_orderpriority").alias("source"), c("o_orderkey").cast("string").alias("section_code"), F.expr(_ORDER_STATUS).alias("status"), F.lit("OrderPending").alias("error_type"), c("o_orderpriority").alias("error_message"))
+    return scrape.first_errors(done)
 
 
 @query("agg_12_model_totals", f"{_PROMPTS}, t AS (SELECT count(*) AS processed, count(*) FILTER (NOT called) AS cached, CAST(sum(CASE WHEN called THEN prompt_words ELSE 0 END) AS BIGINT) AS tokens, CAST(sum(CASE WHEN called THEN prompt_words * 7 // 10 ELSE 0 END) AS BIGINT) AS input_tokens, CAST(sum(CASE WHEN called THEN prompt_words * 3 // 10 ELSE 0 END) AS BIGINT) AS output_tokens FROM passed) SELECT *, round(input_tokens / 1000.0::DOUBLE * 0.00025::DOUBLE + output_tokens / 1000.0::DOUBLE * 0.00125::DOUBLE, 6) AS cost FROM t")
@@ -514,7 +554,7 @@ def _(spark, sf):
     return model_pass.totals(second_pass(spark, sf), _STUB)
 
 
-@query("chk_03_definition_terms")
+@query("chk_03_definition_terms", f"{O.WITH_SECTIONS}, s AS (SELECT *, CASE WHEN {O.words('body')} > 10 THEN 1 ELSE 0 END AS k FROM sections), lines AS (SELECT *, chr(10) AS nl FROM s) SELECT section_id, 0 AS seq, NULL AS heading, {O.strip('body')} AS content FROM lines WHERE k = 1 UNION ALL SELECT section_id, k, title, '**' || title || '**' || nl || 'first meaning' FROM lines UNION ALL SELECT section_id, k + 1, 'second', '__second__' || nl || 'meaning two' FROM lines UNION ALL SELECT section_id, k + 2, 'third', '**third**' || nl || 'meaning three' FROM lines")
 def _(spark, sf):
     from ..operators import chunking
 
@@ -551,7 +591,7 @@ def _(spark, sf):
     return chunking.semantic(own).select(c("section_code").cast("long").alias("doc_id"), "chunk_type", "heading", "word_count")
 
 
-@query("chk_08_merge_subsections")
+@query("chk_08_merge_subsections", f"{O.WITH_SUBSECTIONS} SELECT section_id, CAST(run AS INTEGER) AS seq, coalesce(first(heading ORDER BY c.seq), '') AS heading, CAST(sum(words) AS BIGINT) AS words FROM counted c JOIN fold f USING (section_id, seq) GROUP BY section_id, run")
 def _(spark, sf):
     from ..operators import chunking
 
@@ -617,7 +657,7 @@ def _(spark, sf):
     return rows.select("section_id", field("source"), field("section_code"), field("title"), F.try_element_at("f.fields", F.lit("word_count")).cast("long").alias("words"))
 
 
-@query("scl_13_chunk_markers", f"{O.WITH_CHUNKS} SELECT section_id, count(*) AS markers FROM chunks GROUP BY section_id")
+@query("scl_13_chunk_markers", f"{O.WITH_CHUNKS}, numbered AS (SELECT r.*, row_number() OVER (PARTITION BY section_id ORDER BY k) - 1 AS seq FROM raw r WHERE k > 1 OR {O.strip('piece')} <> '') SELECT section_id, '<!-- chunk: ' || first(chunk_id ORDER BY k) || ' -->' || chr(10) || chr(10) || string_agg(CASE WHEN k > 1 THEN '<!-- chunk: ' || chunk_id || ' -->' || chr(10) ELSE '' END || piece, '' ORDER BY k) AS text FROM numbered JOIN chunks USING (section_id, seq) GROUP BY section_id")
 def _(spark, sf):
     from ..sources import files
 
@@ -625,13 +665,22 @@ def _(spark, sf):
     lists = chunks.groupBy("section_id").agg(F.array_sort(F.collect_list(F.struct("seq", "heading", "chunk_id"))).alias("p"))
     rows = C.sections(spark, sf).join(lists, "section_id")
     parts = F.transform("p", lambda x: F.struct(x["heading"].alias("heading"), x["chunk_id"].alias("chunk_id")))
-    marked = rows.select("section_id", files.chunk_markers(c("body"), c("p")[0]["chunk_id"], parts).alias("text"))
-    return marked.select("section_id", F.regexp_count("text", F.lit("<!-- chunk: ")).cast("long").alias("markers"))
+    return rows.select("section_id", files.chunk_markers(c("body"), c("p")[0]["chunk_id"], parts).alias("text"))
 
 
 def _section_pages(spark, sf):
-    """Sections as pages of the first guide."""
-    body = F.concat(F.lit("<nav aria-label='breadcrumb'><a>Part B</a><a>Chapter B3</a></nav><h1>"), c("section_code"), F.lit(", "), c("title"), F.lit(" (01/02/2024)</h1><div class='body-field'><p>"), F.repeat(F.lit("Some words to read here. "), 6), F.lit("</p><h2>Limits</h2><p>See <a href='/sel/b2-1.2-01/x'>LTV</a> and <a href='/sel/b2-1.2-01'>LTV</a>.</p><h3>Scores</h3><ul><li>"), c("title"), F.lit("<li>two</ul></div><h3>Related Announcements</h3><table><tr><th>Code<th>Date</tr><tr><td>SEL-2024-"), c("section_id").cast("string"), F.lit("<td>May 1</tr></table>"))
+    """Sections as pages of the first guide: four kinds of breadcrumbs, one to three subsections, links by section."""
+    k = c("section_id")
+    number = lambda n: (k % n).cast("string")
+    crumbs = (
+        F.when(k % 4 == 0, F.concat(F.lit("<nav aria-label='breadcrumb'><a>Part B</a><a>Chapter "), c("section_code"), F.lit("</a></nav>")))
+        .when(k % 4 == 1, F.concat(F.lit("<div class='breadcrumb-bar'><a>Part C</a> <span>Chapter "), c("section_code"), F.lit("</span></div>")))
+        .when(k % 4 == 2, F.lit("<nav aria-label='Breadcrumb'><a>Part D</a></nav>"))
+        .otherwise(F.lit(""))
+    )
+    more = F.array_join(F.transform(F.sequence(F.lit(1), (k % 3).cast("int") + 1), lambda i: F.concat(F.lit("<h3>Scores "), i.cast("string"), F.lit("</h3><ul><li>"), c("title"), F.lit("<li>two</ul>"))), "")
+    links = F.concat(F.lit("<a href='/sel/b"), number(5), F.lit("-1.2-01/x'>LTV</a> and <a href='/sel/b"), number(5), F.lit("-1.2-01'>LTV</a>, <a href='/sel/c"), number(7), F.lit("-2-0"), number(3), F.lit("'>rules</a> or <a href='/other/b1-1-01'>no</a>"))
+    body = F.concat(crumbs, F.lit("<h1>"), c("section_code"), F.lit(", "), c("title"), F.lit(" (01/02/2024)</h1><div class='body-field'><p>"), F.repeat(F.lit("Some words to read here. "), 6), F.lit("</p><h2>Limits</h2><p>See "), links, F.lit(".</p>"), more, F.lit("</div><h3>Related Announcements</h3><table><tr><th>Code<th>Date</tr><tr><td>SEL-2024-"), k.cast("string"), F.lit("<td>May 1</tr></table>"))
     first = C.sections(spark, sf).filter("source = 'fannie_mae'")
     return first.select(F.concat(F.lit("u"), c("section_id").cast("string")).alias("url"), "source", "section_code", body.alias("html"))
 
@@ -646,14 +695,14 @@ def _(spark, sf):
     return section_pages.parsed(_section_pages(spark, sf)).select("url", "title", "effective_date")
 
 
-@query("htm_11_breadcrumbs", f"SELECT 'u' || section_id AS url, 'Chapter B3' AS chapter_name FROM ({_FIRST})")
+@query("htm_11_breadcrumbs", f"SELECT 'u' || section_id AS url, CASE WHEN section_id % 4 < 2 THEN 'Chapter ' || section_code ELSE '' END AS chapter_name FROM ({_FIRST})")
 def _(spark, sf):
     from ..sources import section_pages
 
     return section_pages.parsed(_section_pages(spark, sf)).select("url", "chapter_name")
 
 
-@query("htm_13_subsections", f"SELECT 'u' || section_id AS url, unnest(['Limits', 'Scores']) AS heading, unnest([2, 3]) AS level, unnest([false, true]) AS has_lists FROM ({_FIRST})")
+@query("htm_13_subsections", f"SELECT 'u' || section_id AS url, CASE WHEN k = 0 THEN 'Limits' ELSE 'Scores ' || k END AS heading, CASE WHEN k = 0 THEN 2 ELSE 3 END AS level, k > 0 AS has_lists FROM (SELECT *, unnest(range(0, section_id % 3 + 2)) AS k FROM ({_FIRST}))")
 def _(spark, sf):
     from ..sources import section_pages
 
@@ -661,7 +710,7 @@ def _(spark, sf):
     return rows.select("url", "s.heading", c("s.heading_level").alias("level"), "s.has_lists")
 
 
-@query("htm_14_cross_references", f"SELECT 'u' || section_id AS url, 'B2-1.2-01' AS code, 'LTV' AS text FROM ({_FIRST})")
+@query("htm_14_cross_references", f"SELECT 'u' || section_id AS url, 'B' || (section_id % 5) || '-1.2-01' AS code, 'LTV' AS text FROM ({_FIRST}) UNION ALL SELECT 'u' || section_id, 'C' || (section_id % 7) || '-2-0' || (section_id % 3), 'rules' FROM ({_FIRST})")
 def _(spark, sf):
     from ..sources import section_pages
 
@@ -679,7 +728,7 @@ def _(spark, sf):
 
 @query("res_02_fetch")
 def _(spark, sf):
-    """The table of pages replayed by a fetcher that knows one page."""
+    """The table of pages asked of a fetcher that knows none of them."""
     from ..operators import fetch
     from .config import Config
 
@@ -744,3 +793,19 @@ def _(spark, sf):
     uri = stored.inputFiles()[0].rpartition("/")[0]
     found = discovery.expanded(spark, "https://guide.example.com/sitemap.xml", lambda: page_source.StoredPages(uri), Config(max_retries=0))
     return found.select(c("lastmod").cast("long").alias("page_id"), "loc", "sitemap")
+
+
+@query("src_16_increment", f"SELECT section_id, source = 'freddie_mac' AS changed, 2 AS versions FROM ({guide.SECTIONS_SQL})")
+def _(spark, sf):
+    """All section files enriched, then those of one guide again with another line; the state has each file's last text."""
+    from ..streaming import incremental
+
+    folder = storage.scratch_folder(spark)
+    rows = _files(spark, sf).join(C.sections(spark, sf).select("section_id", "source"), "section_id")
+    path = F.concat(F.lit("section-"), c("section_id").cast("string"), F.lit(".md")).alias("path")
+    incremental.update(spark, storage.stored(rows.select(path, "value")), folder)
+    later = F.when(c("source") == "freddie_mac", F.concat("value", F.lit("\n\nAnother line."))).otherwise(c("value"))
+    incremental.update(spark, storage.stored(rows.select(path, later.alias("value"))), folder)
+    found = incremental.chunks(spark, folder).groupBy("path").agg(F.max(F.contains("content", F.lit("Another line."))).alias("changed"))
+    versions = F.lit(incremental.tables(spark, folder).version())
+    return found.select(F.regexp_extract("path", r"(\d+)\.md", 1).cast("long").alias("section_id"), "changed", versions.alias("versions"))

@@ -177,15 +177,15 @@ links AS (
 )
 
 
-def _adaptive() -> str:
-    """Chunks of the adaptive chunker on the guide's sections, whose definitions have no term lines and whose chunks are not too long: chunks by headings, of which one of fewer than 30 words takes in the next ones."""
+def _adaptive(least: int = 30) -> str:
+    """Chunks of the adaptive chunker on the guide's sections, whose definitions have no term lines and whose chunks are not too long: chunks by headings, of which one of fewer than ``least`` words takes in the next ones."""
     at = WITH_CHUNKS.index(", chunks AS (")
     fold = rf""", counted AS (
   SELECT *, {words('content')} AS words FROM headed
 ), fold AS (
   SELECT section_id, seq, 0::BIGINT AS run, words AS n FROM counted WHERE seq = 0
   UNION ALL
-  SELECT c.section_id, c.seq, CASE WHEN f.n >= 30 THEN f.run + 1 ELSE f.run END, CASE WHEN f.n >= 30 THEN c.words ELSE f.n + c.words END FROM fold f JOIN counted c ON c.section_id = f.section_id AND c.seq = f.seq + 1
+  SELECT c.section_id, c.seq, CASE WHEN f.n >= {least} THEN f.run + 1 ELSE f.run END, CASE WHEN f.n >= {least} THEN c.words ELSE f.n + c.words END FROM fold f JOIN counted c ON c.section_id = f.section_id AND c.seq = f.seq + 1
 ), merged AS (
   SELECT section_id, source, section_code, title, run AS seq, first(heading ORDER BY seq) AS heading, string_agg(content, chr(10) || chr(10) ORDER BY seq) AS content FROM counted JOIN fold USING (section_id, seq) GROUP BY section_id, source, section_code, title, run
 )"""
@@ -193,5 +193,19 @@ def _adaptive() -> str:
 
 
 WITH_ADAPTIVE = _adaptive()
+#: White space as the patterns of the rules have it, for a class of the other engine.
+SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
+def any_words(x: str) -> str:
+    """Words of any text."""
+    return f"len(regexp_extract_all({x}, '[^{SPACE}]+'))"
+
+
+def any_strip(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '^[{SPACE}]+', ''), '[{SPACE}]+$', '')"
+
+
+WITH_SUBSECTIONS = _adaptive(50)
 #: The same with limits, references and links of these chunks.
 WITH_ENRICHED = WITH_ADAPTIVE + WITH_LIMITS.removeprefix(WITH_CHUNKS) + WITH_REFERENCES.removeprefix(WITH_CHUNKS) + WITH_LINKS.removeprefix(WITH_SECTIONS)

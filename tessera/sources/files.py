@@ -68,6 +68,17 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("section_code", "status", F.try_element_at("content_hashes", F.col("section_code")).alias("content_hash"))
 
 
+COUNTERS = ["total_discovered", "total_scraped", "total_failed", "total_skipped", "total_quality_warnings"]
+
+
+def read_manifest_totals(spark: SparkSession, path: str) -> DataFrame:
+    """source, the counters, started_at, last_updated and the errors of a manifest in JSON; a corrupt one gives no rows."""
+    error = "array<struct<url:string,section_code:string,error_type:string,error_message:string,status_code:int,timestamp:string,retries_attempted:int>>"
+    schema = "source string, " + ", ".join(f"{n} long" for n in COUNTERS) + f", started_at string, last_updated string, errors {error}"
+    found = spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE").json(path).filter("source IS NOT NULL")
+    return found.select("source", *[F.coalesce(n, F.lit(0)).alias(n) for n in COUNTERS], *[F.coalesce(n, F.lit("")).alias(n) for n in ("started_at", "last_updated")], F.coalesce("errors", F.array().cast(error)).alias("errors"))
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """path, content_hash of the last run; a corrupt or absent state gives no rows."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -90,6 +101,15 @@ def by_kind(names: str) -> Column:
     return F.transform(kinds, lambda k: F.struct(k.alias("kind"), values(k).alias("values")))
 
 
+#: How many of a chunk's findings its file shows.
+SHOWN = {"key_terms": 15, "numeric_constraints": 5, "cross_source_links": 5}
+
+
+def shown(name: str) -> Column:
+    """The first of a chunk's findings, as many as its file shows."""
+    return F.slice(name, 1, SHOWN[name])
+
+
 def _line(label: str, value: Column) -> Column:
     return F.when(value.isNotNull() & (value != ""), F.concat(F.lit(f"{label}: "), value))
 
@@ -124,8 +144,8 @@ def chunk_header(model_pass: bool = False) -> Column:
     c = F.col
     enumerations = F.transform(by_kind("enumerations"), lambda x: F.concat(x["kind"], F.lit("("), F.array_join(x["values"], ", "), F.lit(")")))
     entities = F.transform(by_kind("entities"), lambda x: F.concat(x["kind"], F.lit("="), F.array_join(x["values"], ",")))
-    limits = F.transform(F.slice("numeric_constraints", 1, 5), lambda x: F.concat(x["metric"], x["operator"], x["value"], x["unit"]))
-    linked = F.transform(F.slice("cross_source_links", 1, 5), lambda x: F.concat(x["source"], F.lit("/"), x["section_code"]))
+    limits = F.transform(shown("numeric_constraints"), lambda x: F.concat(x["metric"], x["operator"], x["value"], x["unit"]))
+    linked = F.transform(shown("cross_source_links"), lambda x: F.concat(x["source"], F.lit("/"), x["section_code"]))
     # The labels and separators are the file's format.
     lines = [
         line("Source", c("source")),
@@ -133,7 +153,7 @@ def chunk_header(model_pass: bool = False) -> Column:
         line("Subsection", c("heading")),
         F.concat(F.lit("Domains: "), F.coalesce(F.array_join("domains", ", "), F.lit(""))),
         line("MISMO", F.array_join(enumerations, "; ")),
-        line("Key Terms", F.array_join(F.slice("key_terms", 1, 15), ", ")),
+        line("Key Terms", F.array_join(shown("key_terms"), ", ")),
         line("Entities", F.array_join(entities, "; ")),
         F.when(c("requirement_type") != "guideline", F.concat(F.lit("Requirement: type="), c("requirement_type"), F.lit(", severity="), c("severity"))),
         line("Constraints", F.array_join(limits, "; ")),

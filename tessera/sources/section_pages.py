@@ -10,7 +10,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -25,6 +25,10 @@ SECTION = f"struct<title:string,content_html:string,content_markdown:string,page
 # Fixed values.  Names of the parts of the first guide by letter, and of the second by thousands.
 FIRST_PARTS = {"A": "Part A: Doing Business with Fannie Mae", "B": "Part B: Origination Through Closing", "C": "Part C: Selling, Securitizing, and Delivering Loans", "D": "Part D: Ensuring Quality Control (QC)", "E": "Part E: Quick Reference Materials"}
 
+SECOND_PARTS = {"1": "General", "2": "Requirements", "3": "Underwriting", "4": "Origination", "5": "Special Programs", "6": "Quality Control"}
+#: Longest text of a breadcrumb bar that counts.
+CRUMB_CHARS = 100
+
 # Fixed values.  Where the second guide keeps its content, most specific first.
 _SECOND_CONTENT = [".rn_Answer", "#rn_AnswerDetail", ".rn_AnswerDetail", "*answer", "*Answer", "*content", "main", "#content"]
 _CODE_PREFIX, _DATE_SUFFIX = re.compile(r"^[A-E][\d\-\.]+\s*,?\s*"), re.compile(r"\s*\(\d{2}/\d{2}/\d{4}\)\s*$")
@@ -161,6 +165,7 @@ def section_of(html: str | None, source: str, code: str) -> dict:
     content = first_content(root) if first else second_content(root)
     crumbs = breadcrumbs(root)
     pick = lambda test: next((x for x in reversed(crumbs) if test(x)), "")
+    bar = None if first else root.find(lambda n: "crumb" in n.attrs.get("class", "").lower())
     inner = content.html() if content else ""
     hint = root.find(lambda n: n.tag == "meta" and bool(re.search("date|modified", n.attrs.get("name", ""), re.IGNORECASE)))
     return {
@@ -170,7 +175,7 @@ def section_of(html: str | None, source: str, code: str) -> dict:
         "page_text": " ".join("".join(root.strings()).split()),
         "date_hint": hint.attrs.get("content", "")[:10] if hint else None,
         "part_crumb": pick(lambda x: x.startswith("Part ")),
-        "chapter_crumb": pick(lambda x: not x.startswith("Part ") and "Chapter" in x),
+        "chapter_crumb": pick(lambda x: not x.startswith("Part ") and "Chapter" in x) if first else "".join(bar.strings()).strip()[:CRUMB_CHARS] if bar else "",
         "subpart_crumb": pick(lambda x: not x.startswith("Part ") and "Subpart" in x and "Chapter" not in x),
         "table_count": len(content.find_all(tagged("table"))) if content else 0,
         "subsections": subsections(content, ("h2", "h3") if first else ("h2", "h3", "h4")) if content else [],
@@ -179,6 +184,18 @@ def section_of(html: str | None, source: str, code: str) -> dict:
     }
 
 
+def _names(values: dict[str, str]) -> Column:
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v))])
+
+
+def second_hierarchy(code: Column) -> tuple[Column, Column, Column]:
+    """Part (by thousands, where it has a name, else blank), part name and chapter of a code of the second guide."""
+    chapter = F.split_part(code, F.lit("."), F.lit(1))
+    thousand = F.floor(T.chapter_number(code) / 1000).cast("string")
+    name = F.coalesce(F.try_element_at(_names(SECOND_PARTS), thousand), F.lit(""))
+    return F.when(name != "", thousand).otherwise(F.lit("")), name, chapter
+
+
 def parsed(fetched: DataFrame) -> DataFrame:
     """Sections out of ``fetched`` (url, source, section_code, html): structure, hierarchy, dates and counts."""
 
@@ -189,16 +206,16 @@ def parsed(fetched: DataFrame) -> DataFrame:
     rows = fetched.select("url", "source", "section_code", "html").mapInPandas(walk, f"url string, source string, section_code string, p {SECTION}")
     code, first = F.col("section_code"), F.col("source") == "fannie_mae"
     part, chapter, subpart = pages.code_hierarchy(code)
-    number = F.split_part(code, F.lit("."), F.lit(1))
-    names = F.create_map(*[x for k, v in FIRST_PARTS.items() for x in (F.lit(k), F.lit(v))])
+    second_part, second_name, number = second_hierarchy(code)
+    names = _names(FIRST_PARTS)
     date = F.when(first, F.coalesce(pages.effective_date(F.col("p.page_text"), True), F.nullif("p.date_hint", F.lit("")))).otherwise(pages.effective_date(F.col("p.page_text"), False))
     return rows.select(
         "url",
         "source",
         "section_code",
         "p.title",
-        F.when(first, part).otherwise(F.floor(T.chapter_number(code) / 1000).cast("string")).alias("part_code"),
-        F.coalesce(F.when(first, F.try_element_at(names, part)), T.blank_to_null(F.col("p.part_crumb")), F.lit("")).alias("part_name"),
+        F.when(first, part).otherwise(second_part).alias("part_code"),
+        F.when(first, F.coalesce(F.try_element_at(names, part), T.blank_to_null(F.col("p.part_crumb")), F.lit(""))).otherwise(second_name).alias("part_name"),
         F.when(first, chapter).otherwise(number).alias("chapter_code"),
         F.col("p.chapter_crumb").alias("chapter_name"),
         F.when(first, subpart).alias("subpart_code"),

@@ -92,3 +92,77 @@ def test_exports(spark, tmp_path):
     assert [[(x["kind"], x["values"]) for x in r["k"]] for r in names.collect()] == [[("a", ["x", "w"]), ("b", ["y.z"])], []]
     files.write_table(chunks, f"{tmp_path}/chunks", ["source"])
     assert spark.read.parquet(f"{tmp_path}/chunks").count() == 1
+
+
+def test_parts_of_pages(spark):
+    from tessera.sources import page_parts
+
+    html = "<h1>One <b>two</b></h1><p><a href='/x'>x  y</a><a>none</a></p><h3>Three</h3><table><tr><td>1<tr><td>2</table><a href=''>z</a>"
+    rows = spark.createDataFrame([(1, html, "a"), (2, None, "b"), (3, "", "c"), (4, "<h2>broken", "d")], "k int, html string, `a.b` string")
+    got = [tuple(r) for r in page_parts.parts(rows).orderBy("k", "kind", "place").collect()]
+    assert got == [(1, "a", "heading", 1, 1, "One two", None), (1, "a", "heading", 2, 3, "Three", None), (1, "a", "link", 1, None, "x y", "/x"), (1, "a", "link", 2, None, "z", ""), (1, "a", "table", 1, 2, None, None), (4, "d", "heading", 1, 2, "broken", None)]
+
+
+def test_second_guide_pages_have_parts_and_crumbs(spark):
+    from tessera.sources import section_pages
+
+    crumb = "Guide > Chapter 4201 > " + "x" * 120
+    html = f"<div class='my-Breadcrumb'>{crumb}</div><h2>Title here</h2><div class='rn_Answer'>{'word ' * 60}</div>"
+    rows = spark.createDataFrame([("u1", "freddie_mac", "4201.1", html), ("u2", "freddie_mac", "9101.2", html.replace("my-Breadcrumb", "none"))], "url string, source string, section_code string, html string")
+    got = {r["url"]: r for r in section_pages.parsed(rows).collect()}
+    assert (got["u1"]["part_code"], got["u1"]["part_name"], got["u1"]["chapter_code"], got["u1"]["chapter_name"]) == ("4", "Origination", "4201", crumb[:100])
+    assert (got["u2"]["part_code"], got["u2"]["part_name"], got["u2"]["chapter_code"], got["u2"]["chapter_name"]) == ("", "", "9101", "")
+
+
+def test_totals_and_errors_of_a_manifest(spark, tmp_path):
+    import json
+
+    from tessera.sources import files
+
+    error = {"url": "u", "section_code": "4201.1", "error_type": "OSError", "error_message": "m", "status_code": None, "timestamp": "t", "retries_attempted": 3}
+    (tmp_path / "m.json").write_text(json.dumps({"source": "freddie_mac", "total_discovered": 5, "total_scraped": 4, "sections": {"a": "success"}, "errors": [error], "started_at": "now"}, indent=1))
+    row = files.read_manifest_totals(spark, f"{tmp_path}/m.json").first()
+    assert (row["total_discovered"], row["total_scraped"], row["total_failed"], row["started_at"], row["last_updated"]) == (5, 4, 0, "now", "")
+    assert row["errors"][0].asDict() == error
+    (tmp_path / "bad.json").write_text("{not json")
+    assert files.read_manifest_totals(spark, f"{tmp_path}/bad.json").collect() == []
+
+
+def test_pages_by_http():
+    """Absent and short pages are none, other errors are raised, and each session says what it takes."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    import pytest
+
+    from tessera.operators import fetch
+    from tessera.plans.config import Config
+
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(dict(self.headers))
+            code, body = {"/good": (200, "x" * 600), "/short": (200, "x"), "/gone": (404, "x" * 600)}.get(self.path, (503, ""))
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(body.encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    fetcher = fetch.Http(Config(timeout=5), "an agent")()
+    fetcher.open()
+    try:
+        assert fetcher.get(f"{base}/good") == "x" * 600
+        assert fetcher.get(f"{base}/short") is None and fetcher.get(f"{base}/gone") is None
+        with pytest.raises(Exception) as found:
+            fetcher.get(f"{base}/busy")
+        assert found.value.response.status_code == 503
+    finally:
+        fetcher.close()
+        server.shutdown()
+    assert asked[0]["User-Agent"] == "an agent" and all(asked[0][k] == v for k, v in fetch.HEADERS.items())
