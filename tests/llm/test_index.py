@@ -255,3 +255,37 @@ def test_a_code_point_goes_by_the_crc(spark):
     rows = [(k, "Straßenbahn straßenbahn") for k in range(3000)]
     got = spellings(spelling.variants(spark.createDataFrame(rows, "doc_id long, text string")))
     assert got == spelled(rows) and len(got) > 5
+
+
+# --- The catalogue, and vectors near the threshold ------------------------------------------------
+
+
+def test_all_operators_are_registered():
+    import __spark_entry__ as entry
+
+    found = entry.queries()
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in found if k.startswith("op")} and "pipeline" in found
+
+
+@pytest.mark.parametrize("size", [64, 384])
+def test_vectors_near_the_threshold_are_found(spark, size):
+    """Pairs with a cosine of 0.95 to 0.96, among vectors of 40 clusters."""
+    from tessera.llm import embedding_dedup
+
+    rng = np.random.default_rng(size)
+    centres = rng.normal(size=(40, size))
+    rows = []
+    for k in range(400):
+        a = centres[k % 40] + rng.normal(size=size)
+        a /= np.linalg.norm(a)
+        b = rng.normal(size=size)
+        b -= (b @ a) * a
+        b /= np.linalg.norm(b)
+        cosine = rng.uniform(0.9501, 0.96)
+        rows += [a, cosine * a + np.sqrt(1 - cosine**2) * b]
+    x = np.array(rows)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.link(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(rows)], "vec_id long, embedding array<double>")).collect()}
+    assert all(got[k] <= near[k].sum() for k in got)
+    assert sum(got.values()) >= 0.97 * near.sum() >= 0.97 * 800
