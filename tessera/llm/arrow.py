@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +26,13 @@ def with_column(name: str, kind: DataType, rest: str) -> StructType:
 SLICE_BYTES = 6 << 20
 
 
+def release() -> None:
+    """Give memory that nothing uses back to the system: a worker lives on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` of about ``SLICE_BYTES`` (rows are never cut)."""
     step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
@@ -42,7 +51,7 @@ def mapped(df: DataFrame, batch_of: Callable[[pa.RecordBatch], Iterator[dict] |
             for part in sliced(batch):
                 cols = batch_of(part)
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for f, c in ((f, cols[f.name]) for f in types)], schema=types)
-        pa.default_memory_pool().release_unused()
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -82,6 +91,6 @@ def grouped(df: DataFrame, keys: list[str], of: Callable[[dict, list[tuple[int,
                 held = table.slice(starts[-1])
         if held is not None:
             yield done(held, np.zeros(1, dtype=np.int64))
-        pa.default_memory_pool().release_unused()
+        release()
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
