@@ -7,10 +7,11 @@ expression over the text: no join and no Python.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 from re import _parser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,18 +56,37 @@ def required_literals(pattern: str) -> list[str] | None:
     return found if found and min(map(len, found)) >= 2 else None
 
 
-def matches(content: Column, pattern: str, flags: str = FLAGS) -> Column:
-    """Whether ``content`` has ``pattern``.
+def read(content: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` over a text as (text, low, wide): it is lower-cased and measured once for all of a family's patterns."""
+    wide = F.octet_length(content) != F.char_length(content)
+    return T.let(F.struct(content.alias("text"), F.lower(content).alias("low"), wide.alias("wide")), of)
+
+
+def near(t: Column, pattern: str) -> Column | None:
+    """Whether a text (as `read` gives it) may have ``pattern``; None if there is no telling.
 
-    A search for plain strings that every match must have comes before the pattern;
-    only texts of ASCII take it, since case folding beyond ASCII is for patterns.
+    A search for plain strings that every match must have; only texts of ASCII take it,
+    since case folding beyond ASCII is for patterns.
     """
-    needed, hit = required_literals(pattern), content.rlike(flags + pattern)
+    needed = required_literals(pattern)
     if needed is None:
-        return hit
-    low = F.lower(content)
-    near = reduce(lambda a, b: a | b, [F.contains(low, F.lit(x)) for x in dict.fromkeys(needed)])
-    return (near | (F.octet_length(content) != F.char_length(content))) & hit
+        return None
+    return reduce(lambda a, b: a | b, [F.contains(t["low"], F.lit(x)) for x in dict.fromkeys(needed)]) | t["wide"]
+
+
+def matched(t: Column, pattern: str, flags: str = FLAGS) -> Column:
+    """Whether a text (as `read` gives it) has ``pattern``; what `near` can tell comes first."""
+    maybe, hit = near(t, pattern), t["text"].rlike(flags + pattern)
+    return hit if maybe is None else maybe & hit
+
+
+def matches(content: Column, pattern: str, flags: str = FLAGS) -> Column:
+    """Whether ``content`` has ``pattern``."""
+    return read(content, lambda t: matched(t, pattern, flags))
+
+
+def any_matched(t: Column, patterns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [matched(t, p) for p in patterns])
 
 
 def strings(values: list[str]) -> Column:
@@ -81,42 +101,56 @@ def chosen(pairs: list[tuple[str, Column]]) -> Column:
 def content_type(source: Column, code: Column, title: Column, content: Column, has_tables: Column) -> Column:
     upper, low, sample = F.upper(code), F.lower(title), F.lower(F.substring(content, 1, 3000))
     first = source == "fannie_mae"
-    out = F.when(first & upper.startswith("E-3"), F.lit("definition")).when(first & (upper.startswith("E-1") | upper.startswith("E-2")), F.lit("reference"))
-    for kind, patterns in V.CONTENT_SIGNALS:
-        p = any_of(patterns, EXACT_CASE)  # the text is in lower case, so a pattern with capitals never matches
-        out = out.when(low.rlike(p) | sample.rlike(p), F.lit(kind))
-    eligible = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in ("eligib", "requirement", "limit", "matrix")])
-    steps = F.regexp_count(sample, F.lit(r"(?dU)(?:^|\n)\s*\d+\.\s+\w"))
-    return out.when(has_tables & eligible, F.lit("eligibility_matrix")).when(steps >= 3, F.lit("procedure")).otherwise(F.lit("policy_rule"))
+
+    def by_text(t: Column) -> Column:
+        out = None
+        for kind, patterns in V.CONTENT_SIGNALS:
+            p = any_of(patterns, EXACT_CASE)  # the text is in lower case, so a pattern with capitals never matches
+            hit = t["title"].rlike(p) | t["sample"].rlike(p)
+            out = F.when(hit, F.lit(kind)) if out is None else out.when(hit, F.lit(kind))
+        eligible = reduce(lambda a, b: a | b, [F.contains(t["title"], F.lit(w)) for w in ("eligib", "requirement", "limit", "matrix")])
+        steps = F.regexp_count(t["sample"], F.lit(r"(?dU)(?:^|\n)\s*\d+\.\s+\w"))
+        return out.when(has_tables & eligible, F.lit("eligibility_matrix")).when(steps >= 3, F.lit("procedure")).otherwise(F.lit("policy_rule"))
+
+    texts = F.struct(low.alias("title"), sample.alias("sample"))
+    return F.when(first & upper.startswith("E-3"), F.lit("definition")).when(first & (upper.startswith("E-1") | upper.startswith("E-2")), F.lit("reference")).otherwise(T.let(texts, by_text))
 
 
 def severity(content: Column) -> Column:
     """The strongest level with a signal."""
-    out = None
-    for level, patterns in V.SEVERITY_SIGNALS[:-1]:
-        hit = reduce(lambda a, b: a | b, [matches(content, p) for p in patterns])
-        out = F.when(hit, F.lit(level)) if out is None else out.when(hit, F.lit(level))
-    return out.otherwise(F.lit("info_only"))
+
+    def of(t: Column) -> Column:
+        out = None
+        for level, patterns in V.SEVERITY_SIGNALS[:-1]:
+            hit = any_matched(t, patterns)
+            out = F.when(hit, F.lit(level)) if out is None else out.when(hit, F.lit(level))
+        return out.otherwise(F.lit("info_only"))
+
+    return read(content, of)
 
 
 def severity_signals(content: Column, most: int = 10) -> Column:
     """level:pattern of the first signals found, in declared order."""
-    found = chosen([(f"{level}:{p}", matches(content, p)) for level, patterns in V.SEVERITY_SIGNALS for p in patterns])
+    found = read(content, lambda t: chosen([(f"{level}:{p}", matched(t, p)) for level, patterns in V.SEVERITY_SIGNALS for p in patterns]))
     return F.slice(found, 1, most)
 
 
-def requirement_counts(content: Column) -> list[tuple[str, Column]]:
-    return [(kind, reduce(lambda a, b: a + b, [matches(content, p).cast("int") for p in patterns])) for kind, patterns in V.REQUIREMENT_SIGNALS]
+def requirement_counts(content: Column) -> Column:
+    """How many patterns of each type match, in declared order."""
+    return read(content, lambda t: F.array(*[reduce(lambda a, b: a + b, [matched(t, p).cast("int") for p in patterns]) for _, patterns in V.REQUIREMENT_SIGNALS]))
 
 
 def requirement_type(content: Column) -> Column:
     """The type of which most patterns match; the first of equals; guideline if none does."""
-    counts = requirement_counts(content)
-    top = F.greatest(*[c for _, c in counts])
-    out = F.when(top == 0, F.lit("guideline"))
-    for kind, c in counts:
-        out = out.when(c == top, F.lit(kind))
-    return out
+
+    def of(counts: Column) -> Column:
+        top = F.array_max(counts)
+        out = F.when(top == 0, F.lit("guideline"))
+        for k, (kind, _) in enumerate(V.REQUIREMENT_SIGNALS):
+            out = out.when(counts[k] == top, F.lit(kind))
+        return out
+
+    return T.let(requirement_counts(content), of)
 
 
 def prefix_domains(code: Column) -> Column:
@@ -138,37 +172,35 @@ def range_domains(code: Column) -> Column:
 
 
 def keyword_domains(content: Column) -> Column:
-    low = F.lower(content)
-    return chosen([(d, reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])) for d, words in V.KEYWORD_DOMAINS])
+    return T.let(F.lower(content), lambda low: chosen([(d, reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])) for d, words in V.KEYWORD_DOMAINS]))
 
 
 def domains(source: Column, code: Column, content: Column) -> Column:
     by_code = F.when(source == "fannie_mae", prefix_domains(code)).otherwise(range_domains(code))
-    by_word = keyword_domains(content)
-    found = F.coalesce(by_code, F.when(F.size(by_word) > 0, by_word), strings([V.FALLBACK_DOMAIN]))
+    by_word = T.let(keyword_domains(content), lambda found: F.when(F.size(found) > 0, found))
+    found = F.coalesce(by_code, by_word, strings([V.FALLBACK_DOMAIN]))
     return F.array_sort(F.array_distinct(found))
 
 
 def enumerations(content: Column) -> Column:
     """enumeration.value of all that match."""
-    return chosen([(f"{e}.{v}", matches(content, p)) for e, v, p in V.ENUMERATIONS])
+    return read(content, lambda t: chosen([(f"{e}.{v}", matched(t, p)) for e, v, p in V.ENUMERATIONS]))
 
 
 def terms(content: Column) -> Column:
     """Glossary terms found, in glossary order; up to four characters they must be whole words."""
-    low = F.lower(content)
-    return chosen([(t, matches(content, r"\b" + re.escape(t) + r"\b") if len(t) <= 4 else F.contains(low, F.lit(t.lower()))) for t in V.TERMS])
+    return read(content, lambda t: chosen([(x, matched(t, r"\b" + re.escape(x) + r"\b") if len(x) <= 4 else F.contains(t["low"], F.lit(x.lower()))) for x in V.TERMS]))
 
 
-def entity_conditions(content: Column) -> list[tuple[str, Column]]:
-    return [(f"{kind}.{value}", reduce(lambda a, b: a | b, [matches(content, p) for p in patterns])) for kind, value, patterns, _ in V.ENTITIES]
+def entity_conditions(t: Column) -> list[tuple[str, Column]]:
+    """type.value of each entity and whether a text (as `read` gives it) has it."""
+    return [(f"{kind}.{value}", any_matched(t, patterns)) for kind, value, patterns, _ in V.ENTITIES]
 
 
 def entities(content: Column) -> Column:
     """type.value of all entities found: types in declared order, values sorted within a type."""
     order = {k: i for i, k in enumerate(dict.fromkeys(k for k, *_ in V.ENTITIES))}
-    found = sorted(entity_conditions(content), key=lambda x: (order[x[0].split(".")[0]], x[0]))
-    return chosen(found)
+    return read(content, lambda t: chosen(sorted(entity_conditions(t), key=lambda x: (order[x[0].split(".")[0]], x[0]))))
 
 
 def metric_pattern() -> str:
@@ -216,49 +248,69 @@ def _compared(low: str, name: str) -> str:
     return ">=" if any(w in low for w in V.AT_LEAST_WORDS) or name == "credit_score" else "<="
 
 
-def limits_in(content: str, found: list[str], patterns: list[re.Pattern], aliases: dict[str, list[str]], around: int = 300) -> list[dict]:
-    """Numeric limits of one text in order of pattern and place, the first of equals.
+class Limits:
+    """The shapes of limits and the aliases of entities, compiled; of a text that is ASCII only the shapes whose plain strings it has are searched."""
 
-    Entities of ``found`` that have an alias within ``around`` characters of the
-    place are the conditions.
-    """
-    out: dict[tuple[str, str, str], dict] = {}
-    for pattern in patterns:
-        for m in pattern.finditer(content):
-            low = m[0].lower()
-            name = _named(low)
-            if name is None or not m[1]:
+    def __init__(self, around: int = 300) -> None:
+        shapes = [s.replace("{METRIC}", metric_pattern()) for s in V.CONSTRAINT_SHAPES]
+        self.shapes = [(re.compile(s, re.IGNORECASE), required_literals(s)) for s in shapes]
+        self.aliases = {f"{k}.{v}": [a.lower() for a in names] for k, v, _, names in V.ENTITIES}
+        self.around = around
+
+    def of(self, content: str, found: list[str]) -> list[dict]:
+        """Numeric limits of one text in order of pattern and place, the first of equals.
+
+        Entities of ``found`` that have an alias within ``around`` characters of the
+        place are the conditions.
+        """
+        out: dict[tuple[str, str, str], dict] = {}
+        whole = content.lower() if content.isascii() else None
+        for pattern, needed in self.shapes:
+            if whole is not None and needed is not None and not any(x in whole for x in needed):
                 continue
-            key = (name, _compared(low, name), m[1])
-            if key not in out:
-                near = content[max(0, m.start() - around) : m.start() + around].lower()
-                unit_of = {"reserves_months": "months", "credit_score": ""}.get(name, "%")
-                conditions = sorted(e for e in found if any(a in near for a in aliases[e]))
-                out[key] = dict(zip(("metric", "operator", "value"), key, strict=True)) | {"unit": unit_of, "conditions": conditions, "source_text": m[0].strip()}
-    return list(out.values())
+            for m in pattern.finditer(content):
+                low = m[0].lower()
+                name = _named(low)
+                if name is None or not m[1]:
+                    continue
+                key = (name, _compared(low, name), m[1])
+                if key not in out:
+                    near = content[max(0, m.start() - self.around) : m.start() + self.around].lower()
+                    unit_of = {"reserves_months": "months", "credit_score": ""}.get(name, "%")
+                    conditions = sorted(e for e in found if any(a in near for a in self.aliases[e]))
+                    out[key] = dict(zip(("metric", "operator", "value"), key, strict=True)) | {"unit": unit_of, "conditions": conditions, "source_text": m[0].strip()}
+        return list(out.values())
 
 
 def constraints(content: Column, found: Column, around: int = 300) -> Column:
     """Numeric limits of a text; ``found`` are its entities.
 
     Places of matches are needed, which column functions do not give, so this is a
-    vectorised function over Arrow batches.
+    vectorised function over Arrow batches.  It is not given texts without any plain
+    string that a limit must have.
     """
-    patterns = [s.replace("{METRIC}", metric_pattern()) for s in V.CONSTRAINT_SHAPES]
+    from pyspark.sql.types import DataType
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = f"array<{CONSTRAINT}>"
+    limits, given = Limits(around), to_arrow_type(DataType.fromDDL(kind))
+
+    @F.arrow_udf(kind)
+    def of(texts: pa.Array, entities: pa.Array) -> pa.Array:
+        pairs = zip(texts.to_pylist(), entities.to_pylist(), strict=True)
+        return pa.array([limits.of(t, e or []) if t else [] for t, e in pairs], type=given)
 
-    @F.pandas_udf(f"array<{CONSTRAINT}>")
-    def of(texts: pd.Series, entities: pd.Series) -> pd.Series:
-        compiled = [re.compile(p, re.IGNORECASE) for p in patterns]
-        aliases = {f"{k}.{v}": [a.lower() for a in names] for k, v, _, names in V.ENTITIES}
-        return pd.Series([limits_in(t or "", list(e) if e is not None else [], compiled, aliases, around) for t, e in zip(texts, entities, strict=True)])
+    def maybe(t: Column) -> Column:
+        tests = [near(t, s.replace("{METRIC}", metric_pattern())) for s in V.CONSTRAINT_SHAPES]
+        return F.when(F.lit(True) if any(x is None for x in tests) else reduce(lambda a, b: a | b, tests), t["text"])
 
-    return of(content, found)
+    text = read(content, maybe)
+    return of(text, F.when(text.isNotNull(), found))
 
 
 def resolved_entity(phrase: Column) -> Column:
     """The first entity whose pattern the phrase has, or the phrase itself."""
-    low = F.lower(T.strip(phrase))
-    return F.coalesce(*[F.when(c, F.lit(n)) for n, c in entity_conditions(low)], phrase)
+    return F.coalesce(read(F.lower(T.strip(phrase)), lambda t: F.coalesce(*[F.when(c, F.lit(n)) for n, c in entity_conditions(t)])), phrase)
 
 
 REFERENCE = "struct<if_entity:string,then_see:string>"

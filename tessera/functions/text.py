@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 BLANK = r"(?U)[\s\x1c-\x1f]"
 
 
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with ``value`` worked out once, however often ``of`` uses it."""
+    return F.transform(F.array(value), of)[0]
+
+
 def strip(text: Column) -> Column:
     """``text`` without white space at both ends."""
     return F.regexp_replace(text, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")

@@ -51,9 +51,7 @@ def by_terms(markdown: Column) -> Column:
     return F.when(F.size(parts) > 3, F.concat(intro, rest).cast(f"array<{CHUNK}>"))
 
 
-def _let(value: Column, of: Callable[[Column], Column]) -> Column:
-    """``of(value)`` with ``value`` worked out once, also where ``of`` uses it for each element of an array."""
-    return F.transform(F.array(value), of)[0]
+_let = T.let
 
 
 def _runs(words: Column, begins: Callable[[Column, Column], Column]) -> Column:
