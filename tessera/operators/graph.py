@@ -6,6 +6,8 @@ entities, conditional_refs, numeric_constraints and, where links are needed, cro
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,9 +43,28 @@ def constrains(chunks: DataFrame) -> DataFrame:
     return _edges(rows, "CONSTRAINS", F.col("condition"), limit, F.create_map(F.lit("chunk_id"), F.col("chunk_id"), F.lit("source_text"), F.col("c.source_text")))
 
 
-def equivalent(chunks: DataFrame) -> DataFrame:
-    """One edge for each unordered pair of sections: the first in chunk order."""
-    rows = chunks.select(*ORDER, "source", "section_code", F.posexplode("cross_source_links").alias("k", "l"))
+def first_chunks(chunks: DataFrame) -> DataFrame:
+    """ORDER, source, section_code of each section's first chunk; sections are summed up before they are shuffled."""
+    first = chunks.groupBy("source", "section_code").agg(F.min(F.struct(*ORDER)).alias("at"))
+    return first.select("at.*", "source", "section_code")
+
+
+def _first_lists(chunks: DataFrame) -> DataFrame:
+    """Chunks with cross_source_links, of each section and list of links (told apart by a hash) the first."""
+    own = chunks.select(*ORDER, "source", "section_code", F.xxhash64("cross_source_links").alias("__list"))
+    first = own.groupBy("source", "section_code", "__list").agg(F.min(F.struct(*ORDER)).alias("__at"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__at.{c}")) for c in ORDER])
+    return chunks.select(*ORDER, "source", "section_code", "cross_source_links").join(first.select("__at"), same, "left_semi")
+
+
+def equivalent(chunks: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """One edge for each unordered pair of sections: the first in chunk order.
+
+    All chunks of a section have its links, so only the first of them is expanded.  With
+    ``lists`` (`linking.link_lists`) the links come from there and chunks need not have them.
+    """
+    own = _first_lists(chunks) if lists is None else first_chunks(chunks).join(lists.hint("merge"), ["source", "section_code"])
+    rows = own.select(*ORDER, "source", "section_code", F.posexplode("cross_source_links").alias("k", "l"))
     pair = [F.least("section_code", "l.section_code"), F.greatest("section_code", "l.section_code")]
     own = F.struct(*ORDER, "k", "source", "section_code", "l")
     first = rows.groupBy(pair[0].alias("lo"), pair[1].alias("hi")).agg(F.min_by(own, F.struct(*ORDER, "k")).alias("e"))
@@ -66,9 +87,9 @@ def chunk_edges(chunks: DataFrame) -> DataFrame:
     return chunks.select(F.explode(F.concat(applies, refers, bounds)).alias("e")).select("e.*")
 
 
-def edges(chunks: DataFrame) -> DataFrame:
-    """All five layers."""
-    return chunk_edges(chunks).unionByName(implies(chunks.sparkSession)).unionByName(equivalent(chunks))
+def edges(chunks: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """All five layers (``lists``: see `equivalent`); chunks are read twice."""
+    return chunk_edges(chunks).unionByName(implies(chunks.sparkSession)).unionByName(equivalent(chunks, lists))
 
 
 #: Longest list of a block of postings.
@@ -153,10 +174,11 @@ def vocabulary_table(spark: SparkSession) -> DataFrame:
     return rows.groupBy("entity_type").agg(F.array_sort(F.collect_list("value")).alias("vals"), F.count(F.lit(1)).alias("n"))
 
 
-def statistics(chunks: DataFrame) -> DataFrame:
-    """total_edges, total_entity_values (pairs of entity and chunk), total_constraints: one row.
+def statistics(chunks: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """total_edges, total_entity_values (pairs of entity and chunk), total_constraints: one row (``lists``: see `equivalent`).
 
-    Chunks are passed over once: each gives its number of edges, its entities and its limits.
+    Each chunk gives its number of edges, its entities and its limits in one pass; the
+    pairs of sections take another.
     """
     kind = "array<struct<kind:string,key:string,n:int>>"
     bounds = F.aggregate(F.transform("numeric_constraints", lambda x: F.size(x["conditions"])), F.lit(0), lambda a, x: a + x)
@@ -166,7 +188,7 @@ def statistics(chunks: DataFrame) -> DataFrame:
     facts = chunks.select(F.explode(F.concat(own, found, limit)).alias("f")).select("f.*")
     of = lambda k: F.count_distinct(F.when(F.col("kind") == k, F.col("key")))
     counts = facts.groupBy("kind", "key").agg(F.sum("n").alias("n")).agg(F.sum("n").alias("edges"), of("entity").alias("total_entity_values"), of("limit").alias("total_constraints"))
-    pairs = equivalent(chunks).agg(F.count(F.lit(1)).alias("pairs"))
+    pairs = equivalent(chunks, lists).agg(F.count(F.lit(1)).alias("pairs"))
     both = counts.crossJoin(F.broadcast(pairs))  # one row each
     return both.select((F.col("edges") + F.col("pairs") + len(V.IMPLICATIONS)).alias("total_edges"), "total_entity_values", "total_constraints")
 

@@ -93,9 +93,11 @@ def link_counts(sections: DataFrame) -> DataFrame:
     return own.join(F.broadcast(sizes), ["source", "ord"]).groupBy("source", "section_code").agg(F.sum("n").alias("links"))
 
 
-def link_lists(sections: DataFrame) -> DataFrame:
-    """source, section_code, cross_source_links in the order of the map and then of the code."""
+def link_lists(sections: DataFrame, most: int | None = None) -> DataFrame:
+    """source, section_code, cross_source_links in the order of the map and then of the code; the first ``most`` of a section, if given."""
     each = links(sections.select("source", "section_code").distinct())
     item = F.struct("ord", "link_code", "link_source", "topic", "relationship")
     tidy = lambda x: F.struct(x["link_source"].alias("source"), x["link_code"].alias("section_code"), x["topic"].alias("topic"), x["relationship"].alias("relationship"))
-    return each.groupBy("source", "section_code").agg(F.transform(F.array_sort(F.collect_list(item)), tidy).alias("cross_source_links"))
+    found = F.array_sort(F.collect_list(item))
+    lists = each.groupBy("source", "section_code").agg(F.transform(found if most is None else F.slice(found, 1, most), tidy).alias("cross_source_links"))
+    return storage.stored(lists)

@@ -11,6 +11,7 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..functions import vocabulary as V
 from ..operators import chunking, graph, linking
+from ..sources import storage
 from . import enrich, guide
 from . import oracle as O
 
@@ -418,6 +419,11 @@ def _(spark, sf):
     return graph.constrains(with_limits(spark, sf)).select("type", "source", "target", c("metadata")["chunk_id"].alias("chunk_id"), c("metadata")["source_text"].alias("source_text"))
 
 
+def graph_chunks(own: DataFrame) -> DataFrame:
+    """What the graph needs of the chunks, worked out once."""
+    return storage.stored(enrich.tagged_chunks(own).select(*graph.ORDER, "chunk_id", "source", "section_code", "entities", "conditional_refs", "numeric_constraints"))
+
+
 _EQUIVALENT = f"""{O.WITH_LINKS}, seen AS (
   SELECT s.section_id, l.*, least(l.section_code, l.link_code) AS lo, greatest(l.section_code, l.link_code) AS hi,
     row_number() OVER (PARTITION BY least(l.section_code, l.link_code), greatest(l.section_code, l.link_code) ORDER BY s.section_id, l.ord, l.link_code) AS n
@@ -428,8 +434,8 @@ _EQUIVALENT = f"""{O.WITH_LINKS}, seen AS (
 @query("grf_05_equivalent", _EQUIVALENT)
 def _(spark, sf):
     own = sections(spark, sf)
-    rows = own.join(linking.link_lists(own), ["source", "section_code"]).withColumn("seq", F.lit(0))
-    return graph.equivalent(rows).select("type", "source", "target", c("metadata")["topic"].alias("topic"), c("metadata")["relationship"].alias("relationship"))
+    rows = own.withColumn("seq", F.lit(0))
+    return graph.equivalent(rows, linking.link_lists(own)).select("type", "source", "target", c("metadata")["topic"].alias("topic"), c("metadata")["relationship"].alias("relationship"))
 
 
 @query(
@@ -439,7 +445,8 @@ def _(spark, sf):
     "UNION ALL SELECT 'EQUIVALENT', source || '/' || section_code, link_source || '/' || link_code FROM seen WHERE n = 1 UNION ALL SELECT 'IMPLIES', * FROM (VALUES " + ", ".join(f"({O.quote(e)}, {O.quote(g)})" for e, _, g, _ in V.IMPLICATIONS) + ")",
 )
 def _(spark, sf):
-    return graph.edges(enrich.enrich(sections(spark, sf))).select("type", "source", "target")
+    own = sections(spark, sf)
+    return graph.edges(graph_chunks(own), linking.link_lists(own)).select("type", "source", "target")
 
 
 @query(
@@ -449,4 +456,5 @@ def _(spark, sf):
     "(SELECT count(*) FROM (SELECT DISTINCT entity, chunk_id FROM found)) AS total_entity_values, (SELECT count(*) FROM (SELECT DISTINCT metric, operator, value, unit FROM limits)) AS total_constraints",
 )
 def _(spark, sf):
-    return graph.statistics(enrich.enrich(sections(spark, sf)))
+    own = sections(spark, sf)
+    return graph.statistics(graph_chunks(own), linking.link_lists(own))

@@ -36,15 +36,22 @@ def chunk_tags(chunks: DataFrame) -> DataFrame:
     )
 
 
-def enrich(sections: DataFrame, split: Column | None = None, known: DataFrame | None = None) -> DataFrame:
-    """Enriched chunks; ``split`` replaces the adaptive chunker (it is an array of chunks).
-
-    Links go to ``sections`` and to those ``known`` beside them (source, section_code).
-    """
+def tagged_chunks(sections: DataFrame, split: Column | None = None) -> DataFrame:
+    """Chunks with all tags and without links; ``split`` replaces the adaptive chunker (it is an array of chunks)."""
     tagged = tagged_sections(sections)
     split = chunking.adaptive(F.col("body"), F.col("content_type")) if split is None else split
-    chunks = chunk_tags(chunking.chunked(tagged, split).drop("body"))
+    return chunk_tags(chunking.chunked(tagged, split).drop("body"))
+
+
+def enrich(sections: DataFrame, split: Column | None = None, known: DataFrame | None = None, most: int | None = None) -> DataFrame:
+    """Enriched chunks (``split``: see `tagged_chunks`).
+
+    Links go to ``sections`` and to those ``known`` beside them (source, section_code);
+    ``most`` keeps the first so many of each chunk, where no more of them are shown.
+    """
     codes = sections.select("source", "section_code")
-    lists = linking.link_lists(codes if known is None else codes.unionByName(known.select("source", "section_code")))
+    lists = linking.link_lists(codes if known is None else codes.unionByName(known.select("source", "section_code")), most)
+    if most is None:  # small as files, but the lists may be long, so they are not sent through the driver
+        lists = lists.hint("merge")
     none = F.array().cast("array<struct<source:string,section_code:string,topic:string,relationship:string>>")
-    return chunks.join(lists, ["source", "section_code"], "left").withColumn("cross_source_links", F.coalesce("cross_source_links", none))
+    return tagged_chunks(sections, split).join(lists, ["source", "section_code"], "left").withColumn("cross_source_links", F.coalesce("cross_source_links", none))
