@@ -58,9 +58,14 @@ COLUMNS = [
 ]
 
 
+#: Most sections of a task.
+TASK_ROWS = 20_000
+
+
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus, dealt over all cores: the table is small but its texts are not read cheaply."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").repartition(spark.sparkContext.defaultParallelism)
+    """The corpus, dealt over all cores and by so many rows a task: the table is small but its texts are not read cheaply."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    parts = parts.repartition(max(spark.sparkContext.defaultParallelism, -(-parts.count() // TASK_ROWS)))
     return parts.selectExpr(*[f"{e} AS {n}" for e, n in COLUMNS])
 
 

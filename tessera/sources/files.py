@@ -6,6 +6,7 @@ Tables are the primary form of results; single text files are an export.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,6 +24,26 @@ def scan_markdown(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
+#: A plain YAML scalar beyond doubt: words of ASCII, of which none has a meaning of its own, with single separators.
+_PLAIN = r"(?!(?:yes|no|on|off|true|false|null|y|n)(?![A-Za-z0-9 /_.-]))[A-Za-z][A-Za-z0-9]*(?:(?:[ /_.-]|://)[A-Za-z0-9]+)*"
+_SIMPLE = rf"(?:{_PLAIN}|[0-9]+|'[A-Za-z0-9 ._/-]*')"
+_PLAIN_ALONE, _DECIMAL = re.compile(_PLAIN, re.IGNORECASE), re.compile(r"[0-9]+\.[0-9]+")
+_FIELDS = re.compile(rf"\n(?:[a-z_]+: {_SIMPLE}\n|[a-z_]+:\n(?:- {_SIMPLE}\n)+)*", re.IGNORECASE)
+_FIELD = re.compile(r"^([a-z_]+):(?: (.*))?$", re.MULTILINE | re.IGNORECASE)
+#: Longest plain scalar that is sure to stay on one line.
+_SHORT = 40
+
+
+def _simple_fields(front: str) -> dict[str, str] | None:
+    """The fields of front matter that is of simple lines alone, as YAML gives them; None for any other."""
+    if not _FIELDS.fullmatch(front):
+        return None
+    found = _FIELD.findall(front)
+    if len({k for k, _ in found}) < len(found):
+        return None
+    return {k: v[1:-1] if v[0] == "'" else v for k, v in found if v}
+
+
 def split_front_matter(text: str | None) -> dict:
     """The fields between the first two `---`, as text, and what follows; bad YAML gives an error and no fields."""
     import yaml
@@ -31,6 +52,8 @@ def split_front_matter(text: str | None) -> dict:
     if not text.startswith("---") or (end := text.find("---", 3)) < 0:
         return {"fields": {}, "body": text, "error": None}
     body = text[end + 3 :].strip()
+    if (simple := _simple_fields(text[3:end])) is not None:
+        return {"fields": simple, "body": body, "error": None}
     try:
         found = yaml.load(text[3:end], Loader=yaml.BaseLoader)  # every scalar stays text, as it is written
     except yaml.YAMLError as error:
@@ -239,14 +262,28 @@ FRONT_MORE = ["subpart", "subpart_name", "effective_date"]
 
 def render_front_matter(section: dict) -> str:
     """YAML of a section's fields; optional ones only where they are known, references in order."""
-    import yaml
-
     data = {k: section.get(k) or "" for k in FRONT_KEYS} | {k: section[k] for k in FRONT_MORE if section.get(k)}
     data |= {k: int(section.get(k) or 0) for k in ("word_count", "table_count")}
     references = section.get("cross_references")
     if references is not None and len(references):
         data["cross_references"] = sorted(set(references))
-    return yaml.safe_dump(data, default_flow_style=False, sort_keys=False, allow_unicode=True)
+    return "".join(_rendered(k, v) for k, v in data.items())
+
+
+def _rendered(key: str, value: str | int | list[str]) -> str:
+    """One field as YAML; what is plain beyond doubt needs no emitter."""
+    import yaml
+
+    if isinstance(value, int):
+        return f"{key}: {value}\n"
+    if isinstance(value, str):
+        if not value or _DECIMAL.fullmatch(value):
+            return f"{key}: '{value}'\n"
+        if len(value) <= _SHORT and _PLAIN_ALONE.fullmatch(value):
+            return f"{key}: {value}\n"
+    elif all(len(x) <= _SHORT and _PLAIN_ALONE.fullmatch(x) for x in value):
+        return f"{key}:\n" + "".join(f"- {x}\n" for x in value)
+    return yaml.safe_dump({key: value}, default_flow_style=False, sort_keys=False, allow_unicode=True)
 
 
 def section_file(section: Column) -> Column:
