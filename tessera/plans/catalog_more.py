@@ -745,8 +745,7 @@ def _(spark, sf):
     rows = C.headed(spark, sf).withColumn("k", F.row_number().over(Window.partitionBy("chunk_id").orderBy("section_id", "seq")))
     folder = f"{storage.scratch_folder(spark)}/texts"
     text_sink.write_texts(rows.select(exports.chunk_filename(c("chunk_id"), c("k")).alias("name"), c("content").alias("text")), folder, layout="tasks")
-    back = spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
-    return back.select(F.element_at(F.split(F.url_decode(F.replace(c("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "/"), -1).alias("name"), c("value").alias("text"))
+    return text_sink.read_texts(spark, folder)
 
 
 @query("snk_03_index_totals", f"{O.WITH_SECTIONS}, t AS (SELECT {O.content_type()} AS content_type, {O.domains()} AS domains FROM sections) SELECT 'total' AS kind, '' AS value, count(*) AS n FROM t UNION ALL SELECT 'content_type', content_type, count(*) FROM t GROUP BY content_type UNION ALL SELECT 'domain', d, count(*) FROM (SELECT unnest(domains) AS d FROM t) GROUP BY d")
