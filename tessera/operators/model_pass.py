@@ -118,8 +118,7 @@ def enriched(chunks: DataFrame, model: Model, cache: AnswerCache | None, order:
     if most is not None:
         rows, took_part = first_rows(chunks, order, most), F.col("chosen")
     own = F.struct(*[F.col(f"`{n}`") for n in order])
-    asked = storage.stored(rows.select(*order, took_part.alias("took_part"), cache_key(F.col("content"), model.name, version).alias("key"), chunk_prompt().alias("prompt")))
-    used = asked.filter("took_part")
+    used = storage.stored(rows.filter(took_part).select(*order, cache_key(F.col("content"), model.name, version).alias("key"), chunk_prompt().alias("prompt")))
     if cache is None:
         calls = used.select(*order, "prompt")
         found = storage.stored(completed(calls.repartition(spark.sparkContext.defaultParallelism), model))

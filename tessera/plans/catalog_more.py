@@ -355,6 +355,11 @@ def asked_chunks(spark, sf):
     return C.with_limits(spark, sf).select(*CHUNK, "source", "section_code", "title", "content", "entities", "numeric_constraints")
 
 
+def stored_chunks(spark, sf):
+    """The chunks of two passes, worked out once."""
+    return storage.stored(asked_chunks(spark, sf))
+
+
 def seen_cache(spark, chunks):
     """A cache of the answers of a pass over the first chunks."""
     cache = AnswerCache(spark, f"{storage.scratch_folder(spark)}/answers")
@@ -363,7 +368,7 @@ def seen_cache(spark, chunks):
 
 
 def second_pass(spark, sf):
-    chunks = asked_chunks(spark, sf)
+    chunks = stored_chunks(spark, sf)
     return model_pass.enriched(chunks, _STUB, seen_cache(spark, chunks), CHUNK)
 
 
@@ -392,7 +397,7 @@ def _(spark, sf):
 
 @query("agg_13_dry_run", f"{_PROMPTS}, t AS (SELECT count(*) AS total_chunks, count(*) FILTER (hit) AS hits, count(*) FILTER (NOT hit) AS misses, CAST(coalesce(sum((prompt_words * 13) // 10) FILTER (NOT hit), 0) AS BIGINT) AS input_tokens FROM passed) SELECT *, misses * 300 AS output_tokens, round(input_tokens / 1000.0::DOUBLE * 0.00025::DOUBLE + misses * 300 / 1000.0::DOUBLE * 0.00125::DOUBLE, 4) AS estimated_cost, 'stub' AS model FROM t")
 def _(spark, sf):
-    chunks = asked_chunks(spark, sf)
+    chunks = stored_chunks(spark, sf)
     return model_pass.dry_run(chunks, _STUB, seen_cache(spark, chunks), CHUNK)
 
 
@@ -523,7 +528,7 @@ def _(spark, sf):
 
 @query("jon_07_result_by_key", f"{_PROMPTS} SELECT section_id, seq, CASE WHEN hit THEN summary END AS summary FROM passed")
 def _(spark, sf):
-    chunks = asked_chunks(spark, sf)
+    chunks = stored_chunks(spark, sf)
     keys = chunks.select("section_id", "seq", cache_key(c("content"), _STUB.name, model_pass.PROMPT_VERSION).alias("key"))
     found = seen_cache(spark, chunks).get(keys)
     return found.select("section_id", c("seq").cast("long").alias("seq"), answers.restored(c("result"))["summary"].alias("summary"))
