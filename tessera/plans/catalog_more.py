@@ -604,17 +604,17 @@ def _(spark, sf):
     return C.sections(spark, sf).select("section_id", F.posexplode(chunking.merge_small_subsections(parts)).alias("seq", "x")).select("section_id", "seq", "x.heading", "x.words")
 
 
-def _enriched(spark, sf):
+def _enriched(spark, sf, most=None):
     from . import enrich
 
-    return enrich.enrich(C.sections(spark, sf))
+    return enrich.enrich(C.sections(spark, sf), most=most)
 
 
 @query("scl_11_chunk_header")
 def _(spark, sf):
     from ..sources import files
 
-    return _enriched(spark, sf).select("chunk_id", "seq", files.chunk_header().alias("text"))
+    return _enriched(spark, sf, files.SHOWN["cross_source_links"]).select("chunk_id", "seq", files.chunk_header().alias("text"))
 
 
 @query("snk_03_index_entries")
