@@ -22,8 +22,8 @@ def to_fetch(found: DataFrame, manifest: DataFrame, files: DataFrame, key: str)
 
 
 def changed(now: DataFrame, state: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key and hash the state does not have."""
-    return now.join(state, on, "left_anti")
+    """Rows whose key and hash the state does not have; the state grows with the files, so it is never sent whole through the driver."""
+    return now.join(state.hint("merge"), on, "left_anti")
 
 
 def right_biased_merge(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
