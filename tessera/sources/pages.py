@@ -10,6 +10,7 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -111,13 +112,18 @@ def _tidy(text: str) -> str:
     return re.sub(r"\n{4,}", "\n\n\n", "\n".join(line.rstrip() for line in text.split("\n"))).strip()
 
 
-def _markdown(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: _tidy("".join(_walk(h).out)))
+#: Pages that a worker has as Python objects at a time.
+SLICE = 128
+
+
+def _markdown(html: pa.Array) -> pa.Array:
+    done = [pa.array([_tidy("".join(_walk(h).out)) for h in html.slice(at, SLICE).to_pylist()], pa.string()) for at in range(0, len(html), SLICE)]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
 
 def markdown(html: Column) -> Column:
     """Markdown of a page; null gives the empty text."""
-    return F.pandas_udf(_markdown, "string")(html)
+    return F.arrow_udf(_markdown, "string")(html)
 
 
 def _links(html: pd.Series) -> pd.Series:

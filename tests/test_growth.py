@@ -75,6 +75,6 @@ def test_pages_are_walked_in_slices(spark):
 
     html = [f"<h1>T{k}</h1><p>x</p>" for k in range(300)]
     batch = pa.RecordBatch.from_pydict({"url": html, "source": ["fannie_mae"] * 300, "section_code": ["A1"] * 300, "html": html})
-    found = list(section_pages._walked(iter([batch])))
+    found = list(section_pages._walked(iter([batch]), section_pages._kind()))
     assert [b.num_rows for b in found] == [128, 128, 44] and found[2].column("p")[0]["title"].as_py() == "T256"
     assert pages._markdown(pa.array([*html, None])).to_pylist() == [pages._tidy("".join(pages._walk(h).out)) for h in [*html, None]]
