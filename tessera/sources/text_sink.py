@@ -12,12 +12,12 @@ the driver lists the folders of tasks alone, and a task one folder of files at a
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import Row, StructType
@@ -99,7 +99,9 @@ class TextWriter(DataSourceWriter):
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         fs, base = self._open()
-        self._clear(fs, base)
+        for _ in range(10):  # tasks that are being stopped may still write for a moment
+            self._clear(fs, base)
+            time.sleep(0.3)
 
     def _clear(self, fs, base: str) -> None:
         from pyarrow.fs import FileSelector, FileType
@@ -125,7 +127,9 @@ class TextReader(DataSourceReader):
             raise ValueError(f"{self.path} has files that belong to no task")
         return [InputPartition(x.base_name) for x in sorted(found, key=lambda x: x.base_name)] or [InputPartition(None)]
 
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: InputPartition) -> Iterator:
+        """Arrow batches of (name, text)."""
+        import pyarrow as pa
         from pyarrow.fs import FileSelector, FileSystem, FileType
 
         if partition.value is None:
