@@ -8,11 +8,16 @@ application is removed when its JVM ends.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Arrow batches that go to Python while a table is written have about this size, not 10,000 rows of any size.
+BATCH_BYTES = 4 << 20
+
 _marked: set[str] = set()
 #: Folders of local sessions that name none, by application.
 _own: dict[str, str] = {}
@@ -47,6 +52,18 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that start meanwhile send Python batches of ``BATCH_BYTES``, which bounds them on both sides."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back: later plans start from the files."""
     spark = df.sparkSession
@@ -54,5 +71,6 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with small_batches(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

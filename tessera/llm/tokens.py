@@ -35,6 +35,8 @@ MAX_UNITS = 300_000
 #: Longer units are not remembered.
 MAX_UNIT_CHARS = 64
 LIMIT = 512
+#: Texts are encoded in slices of about so many bytes: arrays over their words take twenty times as much.
+ENCODE_BYTES = 1 << 20
 
 #: White space other than single spaces and line ends between words.
 _UNEVEN = re.compile("[ \n][ \n]|^[ \n]|[ \n]$|[^\\S \n]|[\x1c-\x1f\x85\u180e\u200b\ufeff]")
@@ -118,8 +120,10 @@ def encoded(texts: list[bytes], path: str):
     if path not in _encoders:
         table = Units(path, None)
         _encoders[path] = WordEncoder(path) if table.kind == "blanks" else table.library
+        del table
+        arrow.release()  # what reading the file took
     encoder = _encoders[path]
-    for a, b in slices(texts):
+    for a, b in slices(texts, ENCODE_BYTES):
         if isinstance(encoder, WordEncoder):
             ids, at = encoder.encode(texts[a:b])
             data = ids.astype("<u4").tobytes()
