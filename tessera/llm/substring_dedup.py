@@ -14,10 +14,11 @@ is partitioned by that prefix of ``GRAM`` words.  A group of up to ``GROUP`` dis
 segments is a subtree in memory: the suffixes at its window starts are ranked by prefix
 doubling until they are told apart down to ``WINDOW`` words, and the suffixes that remain together
 are the leaves below one internal node of at least that depth, which is a repeat.  A
-group that does not fit is split: its suffixes take prefixes of ``DEEPER`` words, one length
-after the other.  A suffix alone under its prefix is done, a group of suffixes that are equal in
-all ``WINDOW`` words is one leaf and a repeat, a group of up to ``GROUP`` suffixes is a subtree,
-and the rest takes the next length.
+group that does not fit is split: suffixes that are equal in all ``WINDOW`` words become one leaf,
+and the leaves take prefixes of ``DEEPER`` words, one length after the other.  A suffix alone
+under its prefix is done, a leaf of several alone there is a repeat, a group of up to ``GROUP``
+leaves is a subtree, and the rest takes the next length.  The repeated leaves are joined back
+to their suffixes once.
 
 Segments travel with their words only in mixed groups and once each, and texts are read
 whole.  Words and grams are compared by 64-bit hashes.
@@ -190,35 +191,42 @@ def _suffixes(batch: pa.RecordBatch) -> dict:
 
 
 def _prefix_subtrees(batch: pa.RecordBatch) -> dict:
-    """The suffixes of subtrees below longer prefixes that occur again."""
-    at = np.cumsum([0, *[len(x) for x in batch.column("rows")]])
-    flat = batch.column("rows").flatten()
+    """The leaves of subtrees below longer prefixes that occur again."""
+    at = np.cumsum([0, *[len(x) for x in batch.column("members")]])
+    flat = batch.column("members").flatten()
     words, copies = [np.frombuffer(x, np.uint64) for x in flat.field("body").to_pylist()], flat.field("copies").to_numpy()
     groups = np.repeat(np.arange(batch.num_rows), np.diff(at))
     again = np.array(repeats_in(groups.tolist(), words, [1] * len(words), copies.tolist()) if words else [], dtype=np.int64) > 0
     hit = pa.array(np.flatnonzero(again))
-    return {"gram": batch.column("gram").take(pa.array(groups)).take(hit)} | {c: flat.field(c).take(hit) for c in ("seg", "copies", "bit")}
+    return {"gram": batch.column("gram").take(pa.array(groups)).take(hit)} | {c: flat.field(c).take(hit) for c in ("leaf", "places")}
 
 
 def deeper_repeats(segs: DataFrame) -> DataFrame:
-    """gram, seg, copies, bit: the windows of ``segs`` (of groups that do not fit) that occur again."""
+    """gram, seg, copies, bit: the windows of ``segs`` (of groups that do not fit) that occur again.
+
+    Equal suffixes are one leaf (with how many ``places`` there are in the segments and how
+    many ``copies`` in the texts), so a passage of any number of copies goes down the tree once.
+    """
     keys = ", ".join(f"k{size} long" for size in DEEPER)
-    rest = scratch.materialise(arrow.mapped(segs, _suffixes, f"gram long, seg long, copies long, bit int, body binary, {keys}"), "suffixes")
+    suffixes = scratch.materialise(arrow.mapped(segs, _suffixes, f"gram long, seg long, copies long, bit int, body binary, {keys}"), "suffixes")
+    suffixes = suffixes.withColumnRenamed(f"k{WINDOW}", "leaf")
+    key_of = {size: ["gram", f"k{size}" if size < WINDOW else "leaf"] for size in DEEPER}
+    shared = [F.first(c).alias(c) for c in (*[key[1] for key in key_of.values() if key[1] != "leaf"], "body")]
+    rest = scratch.materialise(suffixes.groupBy("gram", "leaf").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("places"), *shared), "leaves")
     found = []
-    whole = f"k{WINDOW}"
-    for size in DEEPER:
-        key = ["gram", f"k{size}"]
-        groups = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts"), (F.min(whole) != F.max(whole)).alias("splits")).filter("starts > 1")
-        groups = scratch.materialise(groups.select(*key, "leaves", "splits"), "prefix-groups")
-        together = scratch.materialise(skew.join_by_group(rest, groups, key, "leaves", rest.count()), "prefix-members", ["splits"])
-        found.append(together.filter(~F.col("splits")).select("gram", "seg", "copies", "bit"))
+    for size, key in key_of.items():
+        groups = rest.groupBy(*key).agg(F.count(F.lit(1)).alias("leaves"), F.sum("copies").alias("starts"), F.sum("places").alias("places"), F.min("leaf").alias("only")).filter("starts > 1")
+        groups = scratch.materialise(groups, "prefix-groups")
+        found.append(groups.filter("leaves = 1").select("gram", F.col("only").alias("leaf"), "places"))
         if size == WINDOW:
-            return reduce(DataFrame.unionByName, found)
-        below = together.filter("splits")
-        trees = below.filter(F.col("leaves") <= GROUP).groupBy(*key).agg(F.collect_list(F.struct("seg", "copies", "bit", "body")).alias("rows"))
-        found.append(scratch.materialise(arrow.mapped(trees.select("gram", "rows"), _prefix_subtrees, "gram long, seg long, copies long, bit int"), "prefix-repeats"))
+            break  # distinct leaves are told apart here
+        split = groups.filter("leaves > 1").select(*key, "leaves")
+        below = scratch.materialise(skew.join_by_group(rest, split, key, "leaves", rest.count()), "prefix-members")
+        trees = below.filter(F.col("leaves") <= GROUP).groupBy(*key).agg(F.collect_list(F.struct("leaf", "copies", "places", "body")).alias("members"))
+        found.append(arrow.mapped(trees.select("gram", "members"), _prefix_subtrees, "gram long, leaf long, places long"))
         rest = below.filter(F.col("leaves") > GROUP).select(*rest.columns)
-    raise ValueError("the last prefix is the window")
+    hits = scratch.materialise(reduce(DataFrame.unionByName, found), "repeated-leaves")
+    return skew.join_by_group(suffixes, hits, ["gram", "leaf"], "places", suffixes.count()).select("gram", "seg", "copies", "bit")
 
 
 def _strip(batch: pa.RecordBatch, keep_text: bool) -> dict:

@@ -300,6 +300,25 @@ def test_passages_in_periodic_and_shifted_texts(spark):
     df = spark.createDataFrame(data, "doc_id long, text string")
     assert rows(substring_dedup.strip_repeats(df).drop("kept")) == passages_spec(data)
 
+def test_equal_suffixes_go_down_the_tree_once(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "GROUP", 4)
+    own = lambda k, side: " ".join(f"{side}{k}x{j}" for j in range(40))
+    data = [(k, f"{own(k, 'a')} {PASSAGE} {own(k % 7 if k < 20 else k, 'b')}") for k in range(40)]
+    members, materialise = [], substring_dedup.scratch.materialise
+
+    def spied(df, label, *more):
+        table = materialise(df, label, *more)
+        if label == "prefix-members":
+            members.append(table)
+        return table
+
+    monkeypatch.setattr(substring_dedup.scratch, "materialise", spied)
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert rows(substring_dedup.strip_repeats(df).drop("kept")) == passages_spec(data)
+    assert sum(t.count() for t in members) > 0
+    for t in members:
+        assert t.count() == t.select("gram", "body").distinct().count()
+
 
 # --- Near-duplicates ----------------------------------------------------------------------------------
 
