@@ -4,12 +4,16 @@ Each request moves its host's delay (`crawl.Delay`) and its run of failures.  At
 ``threshold`` failures in a row the breaker opens and the run begins anew; a timer closes
 it when the cooldown has passed in the time of the requests.  Requests of a host count in
 the order of their time, then of their id.
+
+Calls of the state server and single Arrow batches cost more than the fold itself, so the
+state has the times at which a host's breakers close, and a timer only for the first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -26,28 +30,43 @@ class Pacing(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("pace", "delay double, good int, run int")
+        self.state = handle.getValueState("pace", "delay double, good int, run int, closings array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = self.state.get() if self.state.exists() else None
-        pace, run = Delay(self.base, self.cap, *(found[:2] if found else ())), found[2] if found else 0
-        out = []
-        for r in pd.concat(list(rows)).sort_values(["at", "id"]).itertuples():
-            pace.saw(r.status)
-            run = 0 if r.ok else run + 1
-            opened = run == self.threshold
-            if opened:
-                self.handle.registerTimer(int(r.at.timestamp() * 1000) + int(self.cooldown * 1000))
+        found = self.state.get()
+        pace, run, closings = Delay(self.base, self.cap, *(found[:2] if found else ())), found[2] if found else 0, set(found[3] if found else ())
+        frames = list(rows)
+        asked = frames[0] if len(frames) == 1 else pd.concat(frames)
+        asked = asked.iloc[np.lexsort((asked["id"].to_numpy(), asked["at"].to_numpy()))]
+        delays, runs, opened = [], [], []
+        for status, ok in zip(asked["status"].tolist(), asked["ok"].tolist(), strict=True):
+            pace.saw(status)
+            run = 0 if ok else run + 1
+            opened.append(run == self.threshold)
+            if opened[-1]:
                 run = 0
-            out.append((key[0], "request", r.at, r.id, r.status, pace.delay, run, opened))
-        self.state.update((pace.delay, pace.good, run))
-        yield pd.DataFrame(out, columns=[c.partition(" ")[0] for c in PACED.split(", ")])
+            delays.append(pace.delay)
+            runs.append(run)
+        if any(opened):
+            first = min(closings, default=None)
+            ends = asked["at"].to_numpy()[opened].astype("datetime64[ms]").astype(np.int64) + int(self.cooldown * 1000)
+            closings.update(ends.tolist())
+            if first is None or min(closings) < first:
+                self.handle.registerTimer(min(closings))
+        self.state.update((pace.delay, pace.good, run, sorted(closings)))
+        yield pd.DataFrame({"host": key[0], "kind": "request", "at": asked["at"], "id": asked["id"], "status": asked["status"], "delay": delays, "run": runs, "opened": opened})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
-        found = self.state.get()
-        row = {"host": key[0], "kind": "closed", "at": at, "id": None, "status": None, "delay": found[0], "run": found[2], "opened": False}
-        yield pd.DataFrame([row]).astype({"id": "Int64", "status": "Int32"})
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        delay, good, run, closings = self.state.get()
+        due, rest = [t for t in closings if t <= now], [t for t in closings if t > now]
+        if not due:
+            return
+        if rest:
+            self.handle.registerTimer(rest[0])
+        self.state.update((delay, good, run, rest))
+        none = [None] * len(due)
+        yield pd.DataFrame({"host": key[0], "kind": "closed", "at": pd.to_datetime(due, unit="ms"), "id": pd.array(none, "Int64"), "status": pd.array(none, "Int32"), "delay": delay, "run": run, "opened": False})
 
     def close(self) -> None:
         pass

@@ -3,6 +3,7 @@
 import json
 import sys
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -168,3 +169,45 @@ def test_pace_on_a_stream_is_the_batch_fold(spark, tmp_path):
     assert {(r["host"], r["id"]) for r in asked.filter("opened").collect()} == {(r["host"], r["id"]) for r in trips.collect()}
     closed = out.filter("kind = 'closed'").count()
     assert 0 < closed <= trips.count()  # those whose cooldown ends after the last request stay open
+
+
+def test_a_host_has_one_timer_however_often_its_breaker_opens():
+    class Handle:
+        def __init__(self):
+            self.value, self.timers = None, []
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            return self.value
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class At:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getExpiryTimeInMs(self):
+            return self.ms
+
+        def getCurrentWatermarkInMs(self):
+            return 60_000
+
+    handle, pacing_ = Handle(), pacing.Pacing(1.0, 30.0, 2, 30.0)
+    pacing_.init(handle)
+    asked = pd.DataFrame({"at": pd.to_datetime([k * 10_000 for k in range(8)][::-1], unit="ms"), "id": range(8), "status": 429, "ok": False})
+    out = pd.concat(pacing_.handleInputRows(("h",), iter([asked[:3], asked[3:]]), None))
+    assert out["opened"].tolist() == [False, True] * 4 and out["at"].is_monotonic_increasing
+    assert handle.timers == [40_000]
+    out = pd.concat(pacing_.handleExpiredTimer(("h",), At(60_000), At(40_000)))
+    assert [x.timestamp() for x in out["at"]] == [40, 60]  # all that is due; the next is left to a new timer
+    assert handle.timers == [40_000, 80_000]
+    assert list(pacing_.handleExpiredTimer(("h",), At(60_000), At(40_000))) == []
