@@ -23,7 +23,7 @@ def with_column(name: str, kind: DataType, rest: str) -> StructType:
 
 
 #: Arrow batches are worked on in slices of about this size, which bounds what Python holds at once.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
 
 
 def release() -> None:

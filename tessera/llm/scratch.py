@@ -52,16 +52,23 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on jobs of the session send Python batches of ``BATCH_BYTES``, which bounds them on both sides."""
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs that start meanwhile send Python batches of ``BATCH_BYTES``, which bounds them on both sides."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_BYTES))
+    """`bound_batches` for the jobs that start meanwhile."""
+    before = spark.conf.get(_BATCH)
+    bound_batches(spark)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(_BATCH, before)
 
 
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ _LONG = 96
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def slices(texts: list[bytes], most: int = 4_000_000):
+def slices(texts: list[bytes], most: int = 1_000_000):
     """Ranges of texts of about ``most`` bytes each; a longer text is a range of its own."""
     start = size = 0
     for k, t in enumerate(texts):

@@ -3,6 +3,7 @@
 import public_tokenizers
 import pyarrow as pa
 
+import corpus_pipeline
 from tessera.llm import scratch, tokens, words
 
 
@@ -35,3 +36,15 @@ def test_texts_are_encoded_in_small_slices(monkeypatch):
     assert len(ids) == len(texts)
     assert sum(taken) == sum(map(len, texts))
     assert max(taken) <= tokens.ENCODE_BYTES
+
+
+def test_what_a_stage_returns_runs_by_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    try:
+        kept = corpus_pipeline.clean(spark, docs, "/root/testdata/sf0.001")
+        assert spark.conf.get(name) == str(scratch.BATCH_BYTES)
+        assert 0 < kept.count() <= docs.count()
+    finally:
+        spark.conf.set(name, before)
