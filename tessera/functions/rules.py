@@ -316,8 +316,8 @@ def resolved_entity(phrase: Column) -> Column:
 REFERENCE = "struct<if_entity:string,then_see:string>"
 
 
-def conditional_references(content: Column, code: Column) -> Column:
-    """If-then references to other sections, the first of equals."""
+def references(content: Column) -> Column:
+    """If-then references of a text, the first of equals."""
 
     def tidy(x: Column) -> Column:
         return F.regexp_replace(T.strip(x), r"[.,;:]+\z", "")
@@ -327,6 +327,16 @@ def conditional_references(content: Column, code: Column) -> Column:
         phrases, sections = (two, one) if k == 2 else (one, two)
         return F.transform(phrases, lambda x, i: F.struct(tidy(x).alias("if_entity"), tidy(F.get(sections, i)).alias("then_see")))
 
-    others = F.filter(F.concat(*[of(k, p) for k, p in enumerate(V.CONDITIONAL_SHAPES)]).cast(f"array<{REFERENCE}>"), lambda x: x["then_see"] != code)
-    once = first_of_equals(others, lambda x: x, REFERENCE)
+    every = F.concat(*[of(k, p) for k, p in enumerate(V.CONDITIONAL_SHAPES)]).cast(f"array<{REFERENCE}>")
+    once = first_of_equals(every, lambda x: x, REFERENCE)
     return F.transform(once, lambda x: F.struct(resolved_entity(x["if_entity"]).alias("if_entity"), x["then_see"].alias("then_see")))
+
+
+def to_others(found: Column, code: Column) -> Column:
+    """Those of ``found`` (see `references`) that a section of this code does not make to itself."""
+    return F.filter(found, lambda x: x["then_see"] != code)
+
+
+def conditional_references(content: Column, code: Column) -> Column:
+    """If-then references to other sections, the first of equals."""
+    return to_others(references(content), code)

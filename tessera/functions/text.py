@@ -103,10 +103,15 @@ def context_prefix(path: Column, heading: Column) -> Column:
     return F.concat_ws("\n", F.concat(F.lit("*Section: "), path, F.lit("*")), F.concat(F.lit("*Subsection: "), heading, F.lit("*")), F.lit("\n"))
 
 
-def chunk_id(source: Column, code: Column, heading: Column, index: Column) -> Column:
-    """source/code/slug; without a heading `intro` for the first chunk (index 0) and part-n for others."""
+def chunk_name(heading: Column, index: Column) -> Column:
+    """The slug of the heading; without a heading `intro` for the first chunk (index 0) and part-n for others."""
     plain = F.when(index == 0, F.lit("intro")).otherwise(F.concat(F.lit("part-"), (index + 1).cast("string")))
-    return F.concat(source, F.lit("/"), code, F.lit("/"), F.when(F.coalesce(heading, F.lit("")) != "", slugify(heading)).otherwise(plain))
+    return F.when(F.coalesce(heading, F.lit("")) != "", slugify(heading)).otherwise(plain)
+
+
+def chunk_id(source: Column, code: Column, name: Column) -> Column:
+    """source/code/name (see `chunk_name`)."""
+    return F.concat(source, F.lit("/"), code, F.lit("/"), name)
 
 
 def sort_key(code: Column) -> list[Column]:

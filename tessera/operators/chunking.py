@@ -165,12 +165,13 @@ def semantic(sections: DataFrame, least: int = 50, most: int = 2000) -> DataFram
     return rows.select("source", "section_code", "k.chunk_type", chunk_id.alias("chunk_id"), F.when(c("k.heading").isNull(), c("title")).otherwise(F.concat(c("section_code"), F.lit(": "), c("k.heading"))).alias("title"), "k.heading", path.alias("hierarchy_path"), "k.content", c("k.words").alias("word_count"))
 
 
+def cut(texts: DataFrame, chunks: Column) -> DataFrame:
+    """A row for each chunk: the columns of ``texts``, seq, heading, content, word_count, has_table."""
+    rows = texts.select("*", F.posexplode(chunks).alias("seq", "chunk")).select(*texts.columns, "seq", "chunk.heading", "chunk.content")
+    return rows.select("*", T.word_count(F.col("content")).alias("word_count"), has_table(F.col("content")).alias("has_table"))
+
+
 def chunked(sections: DataFrame, chunks: Column) -> DataFrame:
-    """A row for each chunk: the section's columns, seq, heading, content, word_count, has_table, chunk_id."""
-    rows = sections.select("*", F.posexplode(chunks).alias("seq", "chunk")).select(*sections.columns, "seq", "chunk.heading", "chunk.content")
-    return rows.select(
-        "*",
-        T.word_count(F.col("content")).alias("word_count"),
-        has_table(F.col("content")).alias("has_table"),
-        T.chunk_id(F.col("source"), F.col("section_code"), F.col("heading"), F.col("seq")).alias("chunk_id"),
-    )
+    """As `cut`, with chunk_id."""
+    name = T.chunk_name(F.col("heading"), F.col("seq"))
+    return cut(sections, chunks).withColumn("chunk_id", T.chunk_id(F.col("source"), F.col("section_code"), name))

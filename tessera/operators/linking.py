@@ -7,7 +7,7 @@ map, so what is stored grows with the sections; pairs of sections are formed on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -93,11 +93,42 @@ def link_counts(sections: DataFrame) -> DataFrame:
     return own.join(F.broadcast(sizes), ["source", "ord"]).groupBy("source", "section_code").agg(F.sum("n").alias("links"))
 
 
-def link_lists(sections: DataFrame, most: int | None = None) -> DataFrame:
-    """source, section_code, cross_source_links in the order of the map and then of the code; the first ``most`` of a section, if given."""
-    each = links(sections.select("source", "section_code").distinct())
+def _lists(each: DataFrame, by: list[str], most: int | None) -> DataFrame:
+    """``by``, cross_source_links: the links of ``each`` in the order of the map and then of the code; the first ``most``, if given."""
     item = F.struct("ord", "link_code", "link_source", "topic", "relationship")
     tidy = lambda x: F.struct(x["link_source"].alias("source"), x["link_code"].alias("section_code"), x["topic"].alias("topic"), x["relationship"].alias("relationship"))
     found = F.array_sort(F.collect_list(item))
-    lists = each.groupBy("source", "section_code").agg(F.transform(found if most is None else F.slice(found, 1, most), tidy).alias("cross_source_links"))
-    return storage.stored(lists)
+    return each.groupBy(*by).agg(F.transform(found if most is None else F.slice(found, 1, most), tidy).alias("cross_source_links"))
+
+
+def link_lists(sections: DataFrame, most: int | None = None) -> DataFrame:
+    """source, section_code, cross_source_links in the order of the map and then of the code; the first ``most`` of a section, if given."""
+    each = links(sections.select("source", "section_code").distinct())
+    return storage.stored(_lists(each, ["source", "section_code"], most))
+
+
+#: Most links of all lists together that are sent to every task.
+LISTED = 100_000
+
+
+def map_rows(source: Column, code: Column) -> Column:
+    """The rows of the map that a section belongs to, in order, without a join (see `first_to_map` and `second_to_map`)."""
+    row = lambda hit, i: F.when(hit, F.lit(i))
+    first = T.let(F.upper(code), lambda x: F.array_compact(F.array(*[row(x.startswith(p.upper()), i) for i, (p, *_) in enumerate(V.CROSS_SOURCE)])))
+    second = T.let(T.chapter_number(code), lambda x: F.array_compact(F.array(*[row(x.between(r[1], r[2]), i) for i, r in enumerate(V.CROSS_SOURCE)])))
+    return F.when(source == "fannie_mae", first).when(source == "freddie_mac", second).otherwise(F.array().cast("array<int>"))
+
+
+def shared_lists(codes: DataFrame, most: int | None = None) -> DataFrame | None:
+    """source, ords, cross_source_links: the list of all sections that belong to the same rows of the map.
+
+    There are as many lists as the map has such sets of rows, not one a section.  None if
+    they hold more than ``LISTED`` links; ``most``: see `link_lists`.
+    """
+    of = storage.stored(targets(codes))
+    sets = storage.stored(codes.select("source", map_rows(F.col("source"), F.col("section_code")).alias("ords")).distinct())
+    each = sets.select("source", "ords", F.explode("ords").alias("ord")).join(of, ["source", "ord"])
+    if each.agg(F.coalesce(F.sum(F.size("codes")), F.lit(0))).first()[0] > LISTED:
+        return None
+    rows = each.select("source", "ords", "ord", "link_source", F.explode("codes").alias("link_code"), "topic", "relationship")
+    return storage.stored(_lists(rows, ["source", "ords"], most))

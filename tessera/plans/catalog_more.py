@@ -604,24 +604,24 @@ def _(spark, sf):
     return C.sections(spark, sf).select("section_id", F.posexplode(chunking.merge_small_subsections(parts)).alias("seq", "x")).select("section_id", "seq", "x.heading", "x.words")
 
 
-def _enriched(spark, sf, most=None):
+def _enriched(spark, sf, **more):
     from . import enrich
 
-    return enrich.enrich(C.sections(spark, sf), most=most)
+    return enrich.enrich(C.sections(spark, sf), **more)
 
 
 @query("scl_11_chunk_header")
 def _(spark, sf):
     from ..sources import files
 
-    return _enriched(spark, sf, files.SHOWN["cross_source_links"]).select("chunk_id", "seq", files.chunk_header().alias("text"))
+    return _enriched(spark, sf, most=files.SHOWN["cross_source_links"]).select("chunk_id", "seq", files.chunk_header().alias("text"))
 
 
 @query("snk_03_index_entries")
 def _(spark, sf):
     from ..sources import files
 
-    return files.index_entries(_enriched(spark, sf))
+    return files.index_entries(_enriched(spark, sf, as_json=True))
 
 
 @query("htm_17_parsed_pages")

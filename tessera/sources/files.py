@@ -215,6 +215,7 @@ def index_entries(chunks: DataFrame, keep: list[str] | None = None) -> DataFrame
     """The columns ``keep``, chunk_id, and its entry of the index as JSON: without the content, absent facts left out.
 
     The date, address and place of a section come from columns of these names, if there are any.
+    Links may be there as JSON text, so that a list that many chunks share is written once.
     """
     c = F.col
     mapped = lambda name: F.map_from_entries(by_kind(name))
@@ -229,8 +230,13 @@ def index_entries(chunks: DataFrame, keep: list[str] | None = None) -> DataFrame
         found = F.transform("llm_constraints", lambda x: F.struct(*[x[n].alias(n) for n in ("metric", "operator", "value", "unit", "conditions")]))
         said = lambda name: F.when(c(name) != "", c(name)).alias(name)
         fields += [said("llm_summary"), some("llm_entities", c("llm_entities")), some("llm_constraints", found), some("llm_relationships", c("llm_relationships")), said("llm_model")]
-    entry = F.struct(*fields)
-    return chunks.select(*(keep or []), "chunk_id", F.to_json(entry).alias("entry"))
+    entry = F.to_json(F.struct(*fields))
+    if dict(chunks.dtypes)["cross_source_links"] == "string":  # as JSON, which is put between the fields before and after it
+        k = next(i for i, x in enumerate(first) if isinstance(x, str) and x == "cross_source_links")
+        before = T.let(F.to_json(F.struct(*fields[:k])), lambda x: F.substring(x, F.lit(1), F.char_length(x) - 1))
+        after = F.substring(F.to_json(F.struct(*fields[k + 1 :])), 2, 2**31 - 1)  # neither is empty: domains and the address are never null
+        entry = F.concat(before, F.lit(',"cross_source_links":'), c("cross_source_links"), F.lit(","), after)
+    return chunks.select(*(keep or []), "chunk_id", entry.alias("entry"))
 
 
 def chunk_markers(markdown: Column, chunk_id: Column, headings: Column) -> Column:

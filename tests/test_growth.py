@@ -6,8 +6,8 @@ import yaml
 from pyspark.sql import functions as F
 
 from tessera.functions import rules as R
-from tessera.operators import graph
-from tessera.plans import catalog_more, guide
+from tessera.operators import graph, linking
+from tessera.plans import catalog_more, enrich, guide
 from tessera.sources import files, pages, section_pages, text_sink
 
 SF = "/root/testdata/sf0.001"
@@ -78,3 +78,35 @@ def test_pages_are_walked_in_slices(spark):
     found = list(section_pages._walked(iter([batch]), section_pages._kind()))
     assert [b.num_rows for b in found] == [128, 128, 44] and found[2].column("p")[0]["title"].as_py() == "T256"
     assert pages._markdown(pa.array([*html, None])).to_pylist() == [pages._tidy("".join(pages._walk(h).out)) for h in [*html, None]]
+
+
+def _guide(spark):
+    """Sections of which many have the same text, by type of section and by code."""
+    text = "Intro.\n\n## Limits\n\nFor a condo the maximum LTV of 80% applies.\n\nFor investment properties, refer to B2-1.2-01 and see Section B4-1.\n\n" + "\n\n".join(f"**Term {k}**\nmeaning " + "word " * 40 for k in range(3))
+    codes = [("fannie_mae", "B2-1.2-01"), ("fannie_mae", "E-3-02"), ("fannie_mae", "ZZ-1"), ("freddie_mac", "4201.1"), ("freddie_mac", "4299.2"), ("freddie_mac", "x"), ("other", "4201.1")]
+    rows = [(k, *codes[k % 7], f"T{k}", [text, text + " é", None, ""][k // 7 % 4], k % 2 == 0) for k in range(56)]
+    return spark.createDataFrame(rows, "section_id long, source string, section_code string, title string, body string, has_tables boolean")
+
+
+def test_a_repeated_text_is_worked_out_once(spark):
+    df = _guide(spark)
+    plan = enrich.tagged_chunks(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("ArrowEvalPython") < plan.index("Aggregate")
+    one = enrich.tagged_chunks(df)
+    refers = {r["section_code"]: [x["then_see"] for x in r["conditional_refs"]] for r in one.filter("size(conditional_refs) > 0").collect()}
+    assert "B2-1.2-01" not in refers and refers["ZZ-1"] == ["B2-1.2-01"]
+
+
+def test_sections_of_the_same_rows_of_the_map_share_a_list(spark, monkeypatch):
+    df = _guide(spark)
+    codes = df.select("source", "section_code").distinct()
+    shared = linking.shared_lists(codes)
+    assert shared.count() == shared.select("source", "ords").distinct().count() < codes.count()
+    own = codes.withColumn("ords", linking.map_rows(F.col("source"), F.col("section_code"))).join(shared, ["source", "ords"]).drop("ords")
+    links = lambda d: sorted(map(repr, d.select("source", "section_code", "cross_source_links").collect()))
+    assert links(own) == links(linking.link_lists(codes))
+    entries = lambda **k: sorted(map(repr, files.index_entries(enrich.enrich(df, **k)).collect()))
+    as_text, as_lists = entries(as_json=True), entries()
+    monkeypatch.setattr(linking, "LISTED", 0)
+    assert linking.shared_lists(codes) is None and as_text == as_lists == entries(as_json=True)
+    assert sum("4201.1" in e and "B2-1.2" in e for e in as_text) > 0
