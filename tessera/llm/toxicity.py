@@ -12,7 +12,9 @@ one half give the offending offsets.
 
 Tokens without any weighted feature only pass messages on, by the same matrix; runs
 of them are crossed at once by its power, so the cost follows the tokens that have
-a feature and inference stays exact.
+a feature and inference stays exact.  All texts of a slice are one chain, which starts
+anew with each text and is worked on in blocks side by side, so the length of a text
+costs no steps of its own.
 
 The model is fitted on whole texts of a bounded sample of labelled documents: of each
 class those with the smallest hash of their id, at most ``MAX_DOCS`` of them, until
@@ -70,6 +72,37 @@ def features(texts: list[bytes]) -> tuple[Words, np.ndarray]:
     return words, found
 
 
+def _odds(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """x[k] = (b[k] + x[k - 1] * d[k]) / (a[k] + x[k - 1] * c[k]) for all k, from 0 before the first; nothing is negative.
+
+    The chain is cut into blocks, which take each step together: first to the product of
+    each block's matrices, from which follows what enters it, then to the values in it.
+    """
+    n = len(a)
+    steps = max(1, int(np.sqrt(n)))
+    blocks = -(-n // steps)
+
+    def dealt(x: np.ndarray, rest: float) -> np.ndarray:
+        """[step, block]"""
+        return np.append(x, np.full(blocks * steps - n, rest)).reshape(blocks, steps).T.copy()
+
+    a, b, c, d = dealt(a, 1.0), dealt(b, 0.0), dealt(c, 0.0), dealt(d, 1.0)
+    p, q, r, s = a[0], b[0], c[0], d[0]
+    for t in range(1, steps):
+        p, q, r, s = p * a[t] + q * c[t], p * b[t] + q * d[t], r * a[t] + s * c[t], r * b[t] + s * d[t]
+        if t % 4 == 0:
+            size = p + q + r + s
+            p, q, r, s = p / size, q / size, r / size, s / size
+    enter = [0.0]
+    for one in zip(p.tolist(), q.tolist(), r.tolist(), s.tolist(), strict=True):
+        enter.append((one[1] + enter[-1] * one[3]) / (one[0] + enter[-1] * one[2]))
+    x = np.array(enter[:-1])
+    for t in range(steps):
+        x = (b[t] + x * d[t]) / (a[t] + x * c[t])
+        a[t] = x
+    return a.T.ravel()[:n]
+
+
 @dataclass
 class Model:
     """Weights of the chain and of the document score."""
@@ -94,8 +127,10 @@ class Model:
     def marginals(self, found: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens with a feature or next to one, and their marginals of being toxic; text i has tokens first[i]:first[i + 1]."""
         has, score = self.emissions(found)
-        at = np.flatnonzero(has)
-        at = np.unique(np.clip(np.concatenate((at - 1, at, at + 1)), 0, max(0, len(has) - 1))) if len(at) else at
+        near = has.copy()
+        near[1:] |= has[:-1]
+        near[:-1] |= has[1:]
+        at = np.flatnonzero(near)
         if not len(at):
             return at, np.zeros(0)
         step = np.exp(self.transitions)
@@ -104,42 +139,26 @@ class Model:
         order = np.argsort(-values.real)
         ratio, vectors = float((values[order[1]] / values[order[0]]).real), vectors[:, order].real
         inverse = np.linalg.inv(vectors)
-
-        def across(rows: np.ndarray, gap: np.ndarray, backward: bool) -> np.ndarray:
-            """Messages after ``gap`` neutral tokens."""
-            v, w = (inverse.T, vectors.T) if backward else (vectors, inverse)
-            part = rows @ v
-            part[:, 1] *= np.power(ratio, gap)
-            return part @ w
+        lasting, fading = np.outer(vectors[:, 0], inverse[0]), np.outer(vectors[:, 1], inverse[1])  # neutral ** gap is lasting + ratio ** gap * fading
 
         text = np.searchsorted(first, at, side="right") - 1
-        begin = np.searchsorted(text, np.arange(len(first) - 1))
-        size = np.diff(np.append(begin, len(text)))
-        own = np.stack((np.ones(len(at)), np.exp(np.clip(score[at], -30, 30))), axis=1)
-        ahead, back = np.empty((len(at), 2)), np.empty((len(at), 2))
-        order = np.argsort(-size, kind="stable")
-        order = order[size[order] > 0]
-        longest = int(size.max())
-        live = np.searchsorted(-size[order], -np.arange(longest), side="left")  # texts with more than r events
-        message, place = np.tile([1.0, 0.0], (len(order), 1)), first[order] - 1
-        for r in range(longest):
-            n = live[r]
-            k = begin[order[:n]] + r
-            m = across(message[:n], at[k] - place[:n] - 1, False) @ step * own[k]
-            message[:n] = m / m.sum(axis=1, keepdims=True)
-            place[:n] = at[k]
-            ahead[k] = message[:n]
-        message, place = np.ones((len(order), 2)), first[order + 1]
-        for r in range(longest):
-            n = live[r]
-            k = begin[order[:n]] + size[order[:n]] - 1 - r
-            m = across(message[:n], place[:n] - at[k] - 1, True)
-            m /= m.sum(axis=1, keepdims=True)
-            back[k] = m
-            message[:n] = (m * own[k]) @ step.T
-            place[:n] = at[k]
-        both = ahead * back
-        return at, both[:, 1] / both.sum(axis=1)
+        begins = np.append(True, text[1:] != text[:-1])
+        ends = np.append(begins[1:], True)
+        gap = at - np.where(begins, first[text], np.append(0, at[:-1] + 1))
+        left = np.power(ratio, gap)
+        own = np.exp(np.clip(score[at], -30, 30))
+        x, y = lasting @ step, fading @ step
+        m00, m10 = (x[i, 0] + y[i, 0] * left for i in (0, 1))
+        m01, m11 = ((x[i, 1] + y[i, 1] * left) * own for i in (0, 1))
+        del gap, left, own
+        odds = _odds(m00, m01, np.where(begins, 0.0, m10), np.where(begins, 0.0, m11))
+        # A message back to an event passes the matrix of the event after it, or the neutral tokens at a text's end.
+        tail = np.power(ratio, first[text[ends] + 1] - at[ends] - 1)
+        for i, m in enumerate((m00, m10, m01, m11)):
+            m[:-1] = m[1:]
+            m[ends] = lasting[i].sum() + fading[i].sum() * tail if i < 2 else 0.0
+        odds *= _odds(m00[::-1], m10[::-1], m01[::-1], m11[::-1])[::-1]
+        return at, odds / (1 + odds)
 
     def summary(self, at: np.ndarray, p: np.ndarray, first: np.ndarray) -> np.ndarray:
         """For each text: 1, its largest marginal, and the log of one plus its expected toxic tokens (those above one tenth)."""

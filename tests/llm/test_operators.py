@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -504,6 +505,55 @@ def test_marginals_are_those_of_all_paths():
     assert len(got) >= 6
 
 
+def chain_of(texts, rng):
+    """A model with random weights for the words of ``texts`` that begin with w."""
+    found_words, found = toxicity.features(texts)
+    keys = np.unique(found[[found_words.word(k).startswith(b"w") for k in range(len(found))], 0])
+    model = toxicity.Model(keys, rng.choice([-90.0, -2.0, -0.5, 0.5, 2.0, 90.0], len(keys)), -1.0, np.array([[0.7, -1.9], [-0.6, 1.8]]))
+    return model, found, found_words.first
+
+
+def test_marginals_of_long_texts_are_those_of_single_steps():
+    """Against messages passed token by token, on texts longer and shorter than the blocks of the chain."""
+    rng = np.random.default_rng(4)
+    plain, marked = [b"x%d" % k for k in range(9)], [b"w%d" % k for k in range(40)]
+    texts = [b" ".join(rng.choice(marked if k % 2 else plain + marked[:2], n)) for k, n in enumerate([900, 3, 1, 0, 2500, 40, 7, 1, 1, 300])]
+    texts = [b"x1 x2 x3", *texts, b"", b"x1 w1 x1 x1 x1"]
+    model, found, first = chain_of(texts, rng)
+    at, p = model.marginals(found, first)
+    has, score = model.emissions(found)
+    step, want = np.exp(model.transitions), np.zeros(len(found))
+    for a, b in itertools.pairwise(first.tolist()):
+        own = np.stack((np.ones(b - a), np.exp(np.clip(score[a:b], -30, 30))), axis=1)
+        ahead, back = np.empty((b - a, 2)), np.ones((b - a, 2))
+        message = np.array([1.0, 0.0])
+        for k in range(b - a):
+            message = message @ step * own[k]
+            ahead[k] = message = message / message.sum()
+        for k in range(b - a - 2, -1, -1):
+            back[k] = step @ (own[k + 1] * back[k + 1])
+            back[k] /= back[k].sum()
+        both = ahead * back
+        want[a:b] = both[:, 1] / both.sum(axis=1)
+    near = {k + d for a, b in itertools.pairwise(first.tolist()) for k in range(a, b) if has[k] for d in (-1, 0, 1)}
+    assert at.tolist() == sorted(k for k in near if 0 <= k < len(found))
+    assert np.abs(p - want[at]).max() < 1e-9 and (p > 0.5).any() and (p < 0.1).any()
+
+
+def test_marginals_cost_the_same_in_one_long_text():
+    """A long text cost as many steps as it has tokens, whatever ran beside it."""
+    rng = np.random.default_rng(6)
+    words = rng.choice([b"w%d" % k for k in range(40)], 100_000)
+    took = []
+    for texts in ([b" ".join(words[k : k + 50]) for k in range(0, len(words), 50)], [b" ".join(words)]):
+        model, found, first = chain_of(texts, rng)
+        start = time.process_time()
+        at, _ = model.marginals(found, first)
+        took.append(time.process_time() - start)
+        assert len(at) == len(words)
+    assert took[1] < 10 * took[0] + 0.2
+
+
 def test_toxicity_learns_spans(spark):
     rng = np.random.default_rng(9)
     plain, bad = [f"p{k}" for k in range(300)], ["vile", "awful", "nasty"]
