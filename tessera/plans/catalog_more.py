@@ -636,8 +636,8 @@ def _(spark, sf):
 
 # --- Files -----------------------------------------------------------------------------------------
 
-def _files(spark, sf):
-    """Each section as its markdown file."""
+def _files(spark, sf, *kept):
+    """Each section as its markdown file, with its columns ``kept``."""
     from ..sources import files
 
     part, chapter, subpart = P.code_hierarchy(c("section_code"))
@@ -645,7 +645,7 @@ def _files(spark, sf):
         "source", "section_code", "title", F.lit("https://h/x").alias("url"), part.alias("part"), F.lit("").alias("part_name"), chapter.alias("chapter"), F.lit("").alias("chapter_name"), subpart.alias("subpart"),
         T.word_count(c("body")).alias("word_count"), F.array(c("section_code"), F.lit("B1-1-01")).alias("cross_references"), c("body").alias("content_markdown"), F.array(F.lit("SEL-2024-01 (May 1)")).alias("announcements"),
     )
-    return C.sections(spark, sf).select("section_id", files.section_file(fields).alias("value"))
+    return C.sections(spark, sf).select("section_id", *kept, files.section_file(fields).alias("value"))
 
 
 @query("scl_12_section_files")
@@ -805,7 +805,7 @@ def _(spark, sf):
     from ..streaming import incremental
 
     folder = storage.scratch_folder(spark)
-    rows = _files(spark, sf).join(C.sections(spark, sf).select("section_id", "source"), "section_id")
+    rows = _files(spark, sf, "source")  # a join would send all texts through the driver: by its estimate they are small
     path = F.concat(F.lit("section-"), c("section_id").cast("string"), F.lit(".md")).alias("path")
     incremental.update(spark, storage.stored(rows.select(path, "value")), folder)
     later = F.when(c("source") == "freddie_mac", F.concat("value", F.lit("\n\nAnother line."))).otherwise(c("value"))

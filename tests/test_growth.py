@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions import rules as R
 from tessera.operators import graph, linking
-from tessera.plans import catalog_more, enrich, guide
-from tessera.sources import files, pages, section_pages, text_sink
+from tessera.plans import catalog, catalog_more, enrich, guide
+from tessera.sources import files, pages, section_pages, storage, text_sink
+from tessera.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
 LINK = "array<struct<source:string,section_code:string,topic:string,relationship:string>>"
@@ -110,3 +111,16 @@ def test_sections_of_the_same_rows_of_the_map_share_a_list(spark, monkeypatch):
     monkeypatch.setattr(linking, "LISTED", 0)
     assert linking.shared_lists(codes) is None and as_text == as_lists == entries(as_json=True)
     assert sum("4201.1" in e and "B2-1.2" in e for e in as_text) > 0
+
+
+def test_files_of_a_batch_are_not_sent_through_the_driver(spark, monkeypatch):
+    batches = []
+    monkeypatch.setattr(storage, "stored", lambda df: df)
+    monkeypatch.setattr(incremental, "update", lambda _, batch, folder: batches.append(batch))
+    monkeypatch.setattr(incremental, "chunks", lambda *_: spark.createDataFrame([], "path string, content string"))
+    catalog.queries()["src_16_increment"](spark, SF)
+    assert ["Join" in b._jdf.queryExecution().optimizedPlan().toString() for b in batches] == [False, False]
+    first, second = ({r["path"]: r["value"] for r in b.collect()} for b in batches)
+    own = {f"section-{r['section_id']}.md": r["source"] for r in catalog.sections(spark, SF).collect()}
+    assert first.keys() == second.keys() == own.keys()
+    assert all(second[p] == first[p] + ("\n\nAnother line." if own[p] == "freddie_mac" else "") for p in own)
